@@ -73,3 +73,33 @@ select company_id, month_start, plan_id, plan_name, cast(price_per_user as doubl
 
 register("gold_company_churn_label", "select * from gold_company_churn_label")(
     lambda wh: wh.churn_label())
+
+# -- analytics layer ---------------------------------------------------------
+from .plans import analytics as _an  # noqa: E402
+
+register("gold_funnel_company", "select * from gold_funnel_company")(lambda wh: wh.funnel())
+
+register("funnel_by_channel", """
+select acquisition_channel, count(*) as signups,
+  cast(sum(cast(activated_7d as int)) as bigint) as activated,
+  cast(sum(cast(paid_30d as int)) as bigint) as paid,
+  round(cast(sum(cast(activated_7d as int)) as double) / count(*), 4) as activation_rate,
+  round(cast(sum(cast(paid_30d as int)) as double) / count(*), 4) as paid_rate
+from gold_funnel_company group by 1""")(lambda wh: _an.funnel_by_channel(wh.funnel()))
+
+register("gold_retention_company_cohorts", "select * from gold_retention_company_cohorts")(
+    lambda wh: wh.retention())
+
+register("gold_mrr_trend_breakdown", "select * from gold_mrr_trend_breakdown")(
+    lambda wh: wh.mrr_trend())
+
+register("gold_company_ltv", "select * from gold_company_ltv")(lambda wh: wh.ltv())
+
+register("gold_company_revenue_at_risk_skeleton", """
+select company_id, month_start, cast(mrr as double) as mrr,
+  cast(null as double) as churn_probability, cast(null as double) as revenue_at_risk
+from gold_company_mrr""")(lambda wh: _an.revenue_at_risk_skeleton(wh.company_mrr()))
+
+# -- features ----------------------------------------------------------------
+register("gold_company_features_for_model", "select * from gold_company_features_for_model")(
+    lambda wh: wh.features())

@@ -26,12 +26,14 @@ from ..functions.dates import lit_date, month_end, month_sequence, month_start
 
 
 def month_spine(companies: DataFrame, as_of: _dt.date, key: str = "company_id",
-                start_col: str = "signup_date", with_end: bool = False) -> DataFrame:
+                start_col: str = "signup_date", with_end: bool = False,
+                keep: Sequence[str] = ()) -> DataFrame:
     """One row per (key, month_start) from the signup month to the as-of
-    month, both inclusive. Signup after as-of or NULL signup -> no rows."""
+    month, both inclusive. Signup after as-of or NULL signup -> no rows.
+    ``keep`` carries company-level columns along (no later join needed)."""
     stop = month_start(lit_date(as_of))
     df = companies.select(
-        key, F.explode(month_sequence(month_start(start_col), stop)).alias("month_start"))
+        key, *keep, F.explode(month_sequence(month_start(start_col), stop)).alias("month_start"))
     if with_end:
         df = df.withColumn("month_end", month_end("month_start"))
     return df

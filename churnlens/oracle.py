@@ -281,3 +281,136 @@ def with_ctes(select: str) -> str:
     """Prefix every CTE (DuckDB inlines or materialises only what is used)."""
     parts = [f"{name} AS ({body})" for name, body in _deps().items()]
     return "WITH " + ",\n".join(parts) + "\n" + select
+
+GOLD["gold_funnel_company"] = """
+with signup as (select company_id, cast(signup_date as date) as signup_date, acquisition_channel
+                from silver_companies),
+activation as (select s.company_id, exists (select 1 from silver_users u
+                 join silver_events e on e.user_id = u.user_id
+                 where u.company_id = s.company_id
+                   and cast(e.event_timestamp as date) between s.signup_date
+                       and cast(s.signup_date + interval 7 day as date)) as activated_7d
+               from signup s),
+paid as (select s.company_id, exists (select 1 from silver_subscriptions sub
+           where sub.company_id = s.company_id
+             and sub.start_date between s.signup_date and cast(s.signup_date + interval 30 day as date))
+           as paid_30d from signup s)
+select s.company_id, s.signup_date, s.acquisition_channel, a.activated_7d, p.paid_30d,
+       cast(a.activated_7d as int) as activation_stage, cast(p.paid_30d as int) as paid_stage
+from signup s join activation a using (company_id) join paid p using (company_id)"""
+
+GOLD["gold_retention_company_cohorts"] = """
+with cohorts as (select company_id, cast(date_trunc('month', signup_date) as date) as cohort_month
+                 from silver_companies),
+activity as (select company_id, month_start,
+                    case when active_users_monthly > 0 then 1 else 0 end as retained
+             from gold_company_monthly_metrics),
+joined as (select c.cohort_month, a.company_id, a.month_start,
+             (date_part('year', a.month_start) - date_part('year', c.cohort_month)) * 12
+             + (date_part('month', a.month_start) - date_part('month', c.cohort_month))
+               as cohort_age_months, a.retained
+           from cohorts c join activity a on a.company_id = c.company_id
+           where a.month_start >= c.cohort_month)
+select cohort_month, cast(cohort_age_months as int) as cohort_age_months,
+       count(*) as companies_in_cell, cast(sum(retained) as bigint) as retained_companies,
+       round(cast(sum(retained) as double) / nullif(count(*), 0), 4) as retention_rate
+from joined group by 1, 2"""
+
+GOLD["gold_mrr_trend_breakdown"] = """
+select m.month_start, c.acquisition_channel, m.plan_name,
+       cast(sum(m.mrr) as double) as total_mrr,
+       count(distinct m.company_id) as companies,
+       round(cast(sum(m.mrr) as double) / count(m.mrr), 6) as avg_mrr_per_company
+from gold_company_mrr m join silver_companies c on c.company_id = m.company_id
+group by 1, 2, 3"""
+
+GOLD["gold_company_ltv"] = """
+with bounds as (select company_id, min(month_start) as first_month,
+                       cast(sum(mrr) as double) / count(mrr) as avg_mrr
+                from gold_company_mrr group by 1),
+end_month as (select b.company_id, b.first_month, b.avg_mrr,
+                case when l.churn_flag = true and l.churn_date is not null
+                     then cast(date_trunc('month', l.churn_date) as date)
+                     else cast(date_trunc('month', a.as_of_date) as date) end as end_month
+              from bounds b join gold_company_churn_label l on l.company_id = b.company_id
+              cross join as_of_t a)
+select company_id, first_month, end_month,
+  cast((date_part('year', end_month) - date_part('year', first_month)) * 12
+       + (date_part('month', end_month) - date_part('month', first_month)) + 1 as int)
+    as lifetime_months,
+  round(avg_mrr, 6) as avg_mrr_lifetime,
+  round(avg_mrr * cast((date_part('year', end_month) - date_part('year', first_month)) * 12
+       + (date_part('month', end_month) - date_part('month', first_month)) + 1 as int), 6) as ltv_est
+from end_month"""
+
+GOLD["company_month_end"] = """
+select company_id, month_end as as_of_date from company_month_spine"""
+
+GOLD["gold_company_features_for_model"] = """
+with events_window as (
+  select cme.company_id, cme.as_of_date,
+    count(distinct e.user_id) filter (where cast(e.event_timestamp as date)
+      between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date) as active_users_30d,
+    count(*) filter (where e.event_type = 'login' and cast(e.event_timestamp as date)
+      between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date) as logins_30d,
+    count(*) filter (where e.event_type = 'invite_sent' and cast(e.event_timestamp as date)
+      between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date) as invites_30d,
+    count(*) filter (where e.event_type = 'file_uploaded' and cast(e.event_timestamp as date)
+      between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date) as uploads_30d
+  from company_month_end cme
+  left join silver_users u on u.company_id = cme.company_id
+  left join silver_events e on e.user_id = u.user_id
+  group by 1, 2),
+support_window as (
+  select cme.company_id, cme.as_of_date,
+    count(*) filter (where cast(t.created_at as date)
+      between cast(cme.as_of_date - interval 60 day as date) and cme.as_of_date) as tickets_60d
+  from company_month_end cme left join silver_support_tickets t on t.company_id = cme.company_id
+  group by 1, 2),
+payment_window as (
+  select cme.company_id, cme.as_of_date,
+    count(*) filter (where p.payment_status in ('failed','declined') and p.payment_date
+      between cast(cme.as_of_date - interval 60 day as date) and cme.as_of_date) as failed_payments_60d
+  from company_month_end cme left join silver_payments p on p.company_id = cme.company_id
+  group by 1, 2),
+first_invite as (
+  select u.company_id, cast(min(e.event_timestamp) as date) as first_invite_date
+  from silver_events e join silver_users u on u.user_id = e.user_id
+  where e.event_type = 'invite_sent' group by 1),
+days_to_invite as (
+  select c.company_id,
+    case when fi.first_invite_date is null then null
+         else cast(fi.first_invite_date - cast(c.signup_date as date) as int) end as days_to_first_invite
+  from silver_companies c left join first_invite fi on fi.company_id = c.company_id),
+plan_asof as (
+  select cme.company_id, cme.as_of_date, coalesce(sp.plan_name, 'unknown') as plan_type
+  from company_month_end cme
+  left join lateral (
+    select s.plan_id from silver_subscriptions s
+    where s.company_id = cme.company_id and s.start_date <= cme.as_of_date
+      and (s.end_date is null or s.end_date >= cme.as_of_date)
+    order by s.start_date desc, s.subscription_id desc limit 1) sub on true
+  left join silver_subscription_plans sp on sp.plan_id = sub.plan_id)
+select cme.company_id, cme.as_of_date,
+  cast(coalesce(ev.active_users_30d, 0) as bigint) as active_users_30d,
+  cast(coalesce(ev.logins_30d, 0) as bigint) as logins_30d,
+  cast(coalesce(ev.invites_30d, 0) as bigint) as invites_30d,
+  cast(coalesce(ev.uploads_30d, 0) as bigint) as uploads_30d,
+  cast(coalesce(sw.tickets_60d, 0) as bigint) as tickets_60d,
+  cast(coalesce(pw.failed_payments_60d, 0) as bigint) as failed_payments_60d,
+  dti.days_to_first_invite, pa.plan_type,
+  cast((date_part('year', cme.as_of_date) - date_part('year', c.signup_date)) * 12
+       + (date_part('month', cme.as_of_date) - date_part('month', c.signup_date)) as int)
+    as months_since_signup,
+  l.churn_flag as churn_flag_static,
+  case when l.churn_date is not null and l.churn_date > cme.as_of_date
+        and l.churn_date <= cast(cme.as_of_date + interval 30 day as date) then 1 else 0 end
+    as churn_in_next_30d
+from company_month_end cme
+join silver_companies c on c.company_id = cme.company_id
+left join events_window ev on ev.company_id = cme.company_id and ev.as_of_date = cme.as_of_date
+left join support_window sw on sw.company_id = cme.company_id and sw.as_of_date = cme.as_of_date
+left join payment_window pw on pw.company_id = cme.company_id and pw.as_of_date = cme.as_of_date
+left join days_to_invite dti on dti.company_id = cme.company_id
+left join plan_asof pa on pa.company_id = cme.company_id and pa.as_of_date = cme.as_of_date
+left join gold_company_churn_label l on l.company_id = cme.company_id"""

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures, io
-from . import gold
+from . import analytics, features, gold
 from .silver import build_silver
 
 _REGISTRY: dict[tuple, "Warehouse"] = {}
@@ -98,3 +98,25 @@ class Warehouse:
     def churn_label(self) -> DataFrame:
         return self.table("gold/company_churn_label", lambda: gold.company_churn_label(
             self.s("companies"), self.user_day(), self.s("subscriptions"), self.as_of()))
+
+    def funnel(self) -> DataFrame:
+        return self.table("gold/funnel_company", lambda: analytics.funnel_company(
+            self.s("companies"), self.daily_activity(), self.s("subscriptions")))
+
+    def retention(self) -> DataFrame:
+        return self.table("gold/retention_company_cohorts", lambda: analytics.retention_cohorts(
+            self.s("companies"), self.monthly_metrics()))
+
+    def mrr_trend(self) -> DataFrame:
+        return self.table("gold/mrr_trend_breakdown", lambda: analytics.mrr_trend_breakdown(
+            self.company_mrr(), self.s("companies")))
+
+    def ltv(self) -> DataFrame:
+        return self.table("gold/company_ltv", lambda: analytics.company_ltv(
+            self.company_mrr(), self.churn_label(), self.as_of()))
+
+    def features(self) -> DataFrame:
+        return self.table("gold/company_features_for_model", lambda: features.company_features(
+            self.s("companies"), self.user_day(), self.s("support_tickets"), self.s("payments"),
+            self.s("subscriptions"), self.s("subscription_plans"), self.churn_label(),
+            self.as_of()))
