@@ -103,3 +103,99 @@ from gold_company_mrr""")(lambda wh: _an.revenue_at_risk_skeleton(wh.company_mrr
 # -- features ----------------------------------------------------------------
 register("gold_company_features_for_model", "select * from gold_company_features_for_model")(
     lambda wh: wh.features())
+
+# -- data-quality checks -----------------------------------------------------
+from .plans import checks as _ck  # noqa: E402
+
+
+def _gold_tables(wh: Warehouse) -> dict[str, DataFrame]:
+    return {"company_daily_activity": wh.daily_activity(),
+            "company_monthly_metrics": wh.monthly_metrics(), "company_mrr": wh.company_mrr(),
+            "company_churn_label": wh.churn_label(), "funnel_company": wh.funnel(),
+            "company_ltv": wh.ltv(), "company_features_for_model": wh.features()}
+
+
+def _pk_sql(table: str, src: str, pk: list[str]) -> str:
+    k = ", ".join(pk)
+    nulls = " or ".join(f"{c} is null" for c in pk)
+    return (f"select '{table}' as table_name, cast(coalesce(sum(n), 0) as bigint) as rows, "
+            f"count(*) filter (where n > 1) as duplicate_keys, "
+            f"cast(coalesce(sum(case when has_null = 1 then n end), 0) as bigint) as null_key_rows "
+            f"from (select {k}, count(*) n, max(case when {nulls} then 1 else 0 end) has_null "
+            f"from {src} group by {k}) g")
+
+
+def _pk_all_sql() -> str:
+    from .sources.schemas import PRIMARY_KEYS
+    parts = [_pk_sql(f"silver.{t}", f"silver_{t}", pk) for t, pk in PRIMARY_KEYS.items()]
+    parts += [_pk_sql(f"gold.{t}", f"gold_{t}", pk) for t, pk in _ck.GOLD_KEYS.items()]
+    return "\nunion all\n".join(parts)
+
+
+register("dq_primary_keys", _pk_all_sql())(
+    lambda wh: _ck.primary_keys(wh.silver(), _gold_tables(wh)))
+
+
+def _fk_sql() -> str:
+    from .sources.schemas import FOREIGN_KEYS
+    return "\nunion all\n".join(
+        f"select 'orphan_{c}.{fk}' as check_name, count(*) as bad_rows from silver_{c} x "
+        f"left join silver_{p} y on y.{pk} = x.{fk} where y.{pk} is null"
+        for c, fk, p, pk in FOREIGN_KEYS)
+
+
+register("dq_foreign_keys", _fk_sql())(lambda wh: _ck.foreign_keys(wh.silver()))
+
+register("dq_sanity_checks", """
+select 'null_company_id' as check_name, count(*) filter (where company_id is null) as bad_rows from silver_companies
+union all select 'null_company_name', count(*) filter (where company_name is null) from silver_companies
+union all select 'null_churn_flag', count(*) filter (where churn_flag is null) from gold_company_churn_label
+union all select 'negative_mrr', count(*) filter (where mrr < 0) from gold_company_mrr
+union all select 'negative_active_user_count', count(*) filter (where active_user_count < 0) from gold_company_mrr
+union all select 'negative_price_per_user', count(*) filter (where price_per_user < 0) from gold_company_mrr
+union all select 'churned_without_date', count(*) filter (where churn_flag = true and churn_date is null) from gold_company_churn_label
+union all select 'not_churned_with_date', count(*) filter (where churn_flag = false and churn_date is not null) from gold_company_churn_label
+union all select 'churned_without_reason', count(*) filter (where churn_flag = true and (churn_reason is null or churn_reason = '')) from gold_company_churn_label
+union all select 'negative_daily_activity', count(*) filter (where active_users < 0 or total_events < 0) from gold_company_daily_activity
+union all select 'monthly_null_month', count(*) filter (where month_start is null) from gold_company_monthly_metrics
+union all select 'monthly_events_without_users', count(*) filter (where active_users_monthly = 0 and total_events > 0) from gold_company_monthly_metrics
+union all select 'label_leakage', count(*) from gold_company_features_for_model f
+  join gold_company_churn_label l using (company_id)
+  where f.churn_in_next_30d = 1 and l.churn_date <= f.as_of_date""")(
+    lambda wh: _ck.sanity_checks(wh.s("companies"), wh.churn_label(), wh.company_mrr(),
+                                 wh.daily_activity(), wh.monthly_metrics(), wh.features()))
+
+register("dq_row_counts", """
+select 'company_daily_activity' as table_name, count(*) as rows from gold_company_daily_activity
+union all select 'company_monthly_metrics', count(*) from gold_company_monthly_metrics
+union all select 'company_mrr', count(*) from gold_company_mrr
+union all select 'company_features_for_model', count(*) from gold_company_features_for_model""")(
+    lambda wh: _ck.row_counts({"company_daily_activity": wh.daily_activity(),
+                               "company_monthly_metrics": wh.monthly_metrics(),
+                               "company_mrr": wh.company_mrr(),
+                               "company_features_for_model": wh.features()}))
+
+register("dq_latest_daily_activity", """
+select company_id, activity_date, cast(active_users as bigint) active_users,
+  cast(login_count as bigint) login_count, cast(pages_created as bigint) pages_created,
+  cast(files_uploaded as bigint) files_uploaded, cast(invites_sent as bigint) invites_sent,
+  cast(total_events as bigint) total_events
+from gold_company_daily_activity order by activity_date desc, company_id asc limit 10""")(
+    lambda wh: _ck.latest_daily_activity(wh.daily_activity()))
+
+register("dq_mrr_summary", """
+select min(month_start) as min_month, max(month_start) as max_month,
+  cast(sum(mrr) as double) as total_mrr from gold_company_mrr""")(
+    lambda wh: _ck.mrr_summary(wh.company_mrr()))
+
+register("dq_churn_reason_distribution", """
+select churn_reason, count(*) as companies from gold_company_churn_label group by 1""")(
+    lambda wh: _ck.churn_reason_distribution(wh.churn_label()))
+
+register("dq_tenure_range", """
+select min(months_since_signup) as min_m, max(months_since_signup) as max_m
+from gold_company_features_for_model""")(lambda wh: _ck.tenure_range(wh.features()))
+
+register("dq_tenure_histogram", """
+select months_since_signup, count(*) as snapshots from gold_company_features_for_model
+group by 1""")(lambda wh: _ck.tenure_histogram(wh.features()))
