@@ -199,3 +199,153 @@ from gold_company_features_for_model""")(lambda wh: _ck.tenure_range(wh.features
 register("dq_tenure_histogram", """
 select months_since_signup, count(*) as snapshots from gold_company_features_for_model
 group by 1""")(lambda wh: _ck.tenure_histogram(wh.features()))
+
+# -- model: split, evaluation, predictions -----------------------------------
+from .plans import evaluate as _ev  # noqa: E402
+from .plans import model as _md  # noqa: E402
+from .plans import risk as _rk  # noqa: E402
+from .plans import dashboards as _db  # noqa: E402
+from .functions import buckets as _bk  # noqa: E402
+
+register("model_split_counts", f"""
+select case when as_of_date < {oracle.FIXTURE_CUTOFF_SQL} then 'train' else 'test' end as split,
+  count(*) as rows, cast(sum(churn_in_next_30d) as bigint) as churners
+from gold_company_features_for_model where as_of_date is not null group by 1""")(
+    lambda wh: _md.split_counts(_md.model_input(wh.features()), wh.cutoff))
+
+
+def _summary(wh: Warehouse) -> DataFrame:
+    return wh.memo("heuristic_summary", lambda: _ev.score_summary(
+        wh.heuristic(), "churn_probability", "label"))
+
+
+register("eval_roc_auc_average_precision", """
+select round(cast(sum(cast(pos as hugeint) * (2 * neg_lt + neg)) as double)
+             / (cast(max(total_pos) as double) * cast(max(total_neg) as double) * 2.0), 6) as roc_auc,
+  round(sum(cast(pos as double) * (cast(pos_ge as double) / cast(pos_ge + neg_ge as double)))
+        / cast(max(total_pos) as double), 6) as average_precision,
+  cast(max(total_pos) as bigint) as positives, cast(max(total_neg) as bigint) as negatives
+from score_ge""")(lambda wh: _ev.auc_ap(_summary(wh)))
+
+register("eval_roc_curve", """
+select s as threshold, round(cast(neg_ge as double) / cast(total_neg as double), 6) as fpr,
+  round(cast(pos_ge as double) / cast(total_pos as double), 6) as tpr from score_ge""")(
+    lambda wh: _ev.roc_curve(_summary(wh)))
+
+register("eval_top_k", oracle.topk_sql(
+    _ev.TOP_K_FRACTIONS, "top_fraction, threshold, flagged, tp, fp, fn, precision, recall, "
+    "baseline_rate, lift"))(lambda wh: _ev.top_k_report(_summary(wh)))
+
+register("eval_precision_curve", oracle.topk_sql(
+    _ev.PRECISION_CURVE_POINTS, "top_fraction, threshold, flagged, precision"))(
+    lambda wh: _ev.precision_curve(_summary(wh)))
+
+register("eval_score_histogram", """
+with x as (select churn_probability as s, cast(label as int) as y from heuristic_t),
+rng0 as (select y, min(s) as mn0, max(s) as mx0 from x group by 1),
+rng as (select y, case when mn0 = mx0 then mn0 - 0.5 else mn0 end as mn,
+               case when mn0 = mx0 then mx0 + 0.5 else mx0 end as mx from rng0),
+c as (select x.y, cast(least(floor((x.s - rng.mn) / (rng.mx - rng.mn) * 50), 49) as int) as bin,
+             count(*) as cnt from x join rng on rng.y = x.y group by 1, 2),
+grid as (select rng.*, cast(b.bin as int) as bin from rng cross join range(50) b(bin))
+select grid.y as label, grid.bin,
+  round(mn + (mx - mn) / 50 * grid.bin, 6) as bin_lo,
+  round(mn + (mx - mn) / 50 * (grid.bin + 1), 6) as bin_hi,
+  cast(coalesce(c.cnt, 0) as bigint) as count
+from grid left join c on c.y = grid.y and c.bin = grid.bin""")(
+    lambda wh: _ev.score_histogram(wh.heuristic(), "churn_probability", "label"))
+
+register("heuristic_scores", """
+select company_id, as_of_date, label, churn_probability from heuristic_t""")(
+    lambda wh: wh.heuristic())
+
+# MLlib fit: iterative optimisation, no SQL equivalent -> rows-only checks.
+register("gold_company_churn_predictions")(lambda wh: wh.predictions())
+register("model_coefficients")(lambda wh: _md.coefficients(wh.model()[0]))
+register("model_evaluation")(lambda wh: _ev.auc_ap(_ev.score_summary(
+    wh.scored_test(), "churn_probability", "label")))
+register("model_top_k")(lambda wh: _ev.top_k_report(_ev.score_summary(
+    wh.scored_test(), "churn_probability", "label")))
+register("gold_company_risk_monitor")(lambda wh: wh.risk_monitor("model"))
+
+# -- revenue at risk (heuristic scores: exact SQL check of the same builders) -
+register("gold_revenue_at_risk", """
+select company_id, as_of_date, churn_probability, cast(mrr as double) as mrr, revenue_at_risk
+from revenue_at_risk_t""")(lambda wh: wh.revenue_at_risk("heuristic"))
+
+register("gold_company_revenue_at_risk", """
+select company_id, month_start, cast(mrr as double) as mrr, churn_probability, revenue_at_risk
+from company_revenue_at_risk_t""")(lambda wh: wh.company_revenue_at_risk("heuristic"))
+
+register("risk_companies_per_month", """
+select month_start, count(distinct company_id) as companies from company_revenue_at_risk_t
+group by 1""")(lambda wh: _rk.companies_per_month(wh.company_revenue_at_risk("heuristic")))
+
+register("gold_company_risk_monitor_heuristic", """
+select company_id, month_start, plan_type, months_since_signup, logins_30d, failed_payments_60d,
+  cast(mrr as double) as mrr, churn_probability, revenue_at_risk from company_risk_monitor_t""")(
+    lambda wh: wh.risk_monitor("heuristic"))
+
+
+# -- dashboards over the monitor ---------------------------------------------
+def _mon(wh: Warehouse) -> DataFrame:
+    return wh.risk_monitor("heuristic")
+
+
+_M = "cast(sum(cast({c} as decimal(38,10))) as double)"
+
+
+def _exp_sql(keys: str, src: str) -> str:
+    return (f"select {keys}, count(*) as companies, round({_M.format(c='mrr')}, 6) as total_mrr, "
+            f"round({_M.format(c='revenue_at_risk')}, 6) as revenue_at_risk from ({src}) x "
+            f"group by {keys}")
+
+
+register("dash_executive_overview", f"""
+select month_start, count(*) as companies, round({_M.format(c='mrr')}, 6) as total_mrr,
+  round({_M.format(c='revenue_at_risk')}, 6) as revenue_at_risk,
+  round({_M.format(c='revenue_at_risk')} * 100.0 / nullif({_M.format(c='mrr')}, 0.0), 6)
+    as pct_mrr_exposed
+from company_risk_monitor_t group by 1""")(lambda wh: _db.executive_overview(_mon(wh)))
+
+register("dash_risk_distribution", _exp_sql(
+    "month_start, risk_bin",
+    "select *, cast(least(floor(churn_probability * 10), 9) as int) as risk_bin "
+    "from company_risk_monitor_t"))(lambda wh: _db.risk_distribution(_mon(wh)))
+
+register("dash_risk_vs_engagement", """
+select company_id, month_start, logins_30d, churn_probability, cast(mrr as double) as mrr
+from company_risk_monitor_t""")(lambda wh: _db.risk_vs_engagement(_mon(wh)))
+
+register("dash_by_usage_tier", _exp_sql(
+    "month_start, usage_tier",
+    f"select *, {_bk.bucket_sql('logins_30d', _bk.ENGAGEMENT_EDGES)} as usage_tier "
+    f"from company_risk_monitor_t"))(lambda wh: _db.by_usage_tier(_mon(wh)))
+
+register("dash_by_tenure", _exp_sql(
+    "month_start, tenure_bucket",
+    f"select *, {_bk.bucket_sql('months_since_signup', _bk.TENURE_EDGES)} as tenure_bucket "
+    f"from company_risk_monitor_t"))(lambda wh: _db.by_tenure(_mon(wh)))
+
+register("dash_by_plan", _exp_sql("month_start, plan_type", "select * from company_risk_monitor_t"))(
+    lambda wh: _db.by_plan(_mon(wh)))
+
+register("dash_by_segment", _exp_sql("month_start, segment, segment_value", " union all ".join(
+    f"select m.month_start, m.mrr, m.revenue_at_risk, '{s}' as segment, "
+    f"cast(c.{s} as varchar) as segment_value from company_risk_monitor_t m "
+    f"left join silver_companies c on c.company_id = m.company_id" for s in _db.SEGMENTS)))(
+    lambda wh: _db.by_segment(_mon(wh), wh.s("companies")))
+
+register("dash_outreach_ranking", f"""
+select month_start, rank, company_id, plan_type, cast(mrr as double) as mrr, churn_probability,
+  revenue_at_risk from (
+  select *, cast(row_number() over (partition by month_start
+              order by revenue_at_risk desc, company_id asc) as int) as rank
+  from company_risk_monitor_t) r where rank <= {_db.OUTREACH_TOP_K}""")(
+    lambda wh: _db.outreach_ranking(_mon(wh)))
+
+register("dash_portfolio_grid", _exp_sql(
+    "month_start, mrr_band, risk_band",
+    f"select *, {_bk.bucket_sql('cast(mrr as double)', _bk.MRR_BAND_EDGES)} as mrr_band, "
+    f"{_bk.bucket_sql('churn_probability', _bk.RISK_BAND_EDGES)} as risk_band "
+    f"from company_risk_monitor_t"))(lambda wh: _db.portfolio_grid(_mon(wh)))

@@ -280,6 +280,8 @@ def _deps() -> dict[str, str]:
 def with_ctes(select: str) -> str:
     """Prefix every CTE (DuckDB inlines or materialises only what is used)."""
     parts = [f"{name} AS ({body})" for name, body in _deps().items()]
+    if select.lstrip().lower().startswith("with"):
+        select = f"select * from ({select}) q__"
     return "WITH " + ",\n".join(parts) + "\n" + select
 
 GOLD["gold_funnel_company"] = """
@@ -414,3 +416,83 @@ left join payment_window pw on pw.company_id = cme.company_id and pw.as_of_date
 left join days_to_invite dti on dti.company_id = cme.company_id
 left join plan_asof pa on pa.company_id = cme.company_id and pa.as_of_date = cme.as_of_date
 left join gold_company_churn_label l on l.company_id = cme.company_id"""
+
+# --- model inputs / evaluation / risk ---------------------------------------
+FIXTURE_CUTOFF_SQL = "date '2000-01-01'"
+
+GOLD["heuristic_t"] = f"""
+select company_id, as_of_date, churn_in_next_30d as label,
+  cast(failed_payments_60d + tickets_60d + 1 as double)
+    / cast(failed_payments_60d + tickets_60d + logins_30d + active_users_30d + months_since_signup + 2
+           as double) as churn_probability
+from gold_company_features_for_model where as_of_date >= {FIXTURE_CUTOFF_SQL}"""
+
+GOLD["score_summary"] = """
+select s, pos, neg, n,
+  sum(pos) over (order by s rows between unbounded preceding and current row) as pos_le,
+  sum(neg) over (order by s rows between unbounded preceding and current row) as neg_le,
+  sum(n) over (order by s rows between unbounded preceding and current row) as n_le,
+  sum(pos) over () as total_pos, sum(neg) over () as total_neg
+from (select churn_probability as s, sum(label) as pos, count(*) - sum(label) as neg, count(*) as n
+      from heuristic_t where churn_probability is not null group by 1) g"""
+
+GOLD["score_ge"] = """
+select *, total_pos - pos_le + pos as pos_ge, total_neg - neg_le + neg as neg_ge, neg_le - neg as neg_lt
+from score_summary"""
+
+GOLD["revenue_at_risk_t"] = """
+select p.company_id, p.as_of_date, p.churn_probability, m.mrr,
+  cast(m.mrr as double) * p.churn_probability as revenue_at_risk
+from heuristic_t p left join gold_company_mrr m
+  on m.company_id = p.company_id and m.month_start = cast(date_trunc('month', p.as_of_date) as date)"""
+
+GOLD["company_revenue_at_risk_t"] = """
+with risk_monthly as (
+  select company_id, cast(date_trunc('month', as_of_date) as date) as month_start, churn_probability,
+    row_number() over (partition by company_id, cast(date_trunc('month', as_of_date) as date)
+                       order by as_of_date desc, churn_probability desc) as rn
+  from revenue_at_risk_t)
+select m.company_id, m.month_start, m.mrr, coalesce(rm.churn_probability, 0) as churn_probability,
+  coalesce(rm.churn_probability, 0) * cast(m.mrr as double) as revenue_at_risk
+from gold_company_mrr m
+left join risk_monthly rm on m.company_id = rm.company_id and m.month_start = rm.month_start
+  and rm.rn = 1"""
+
+GOLD["company_risk_monitor_t"] = """
+select r.company_id, r.month_start, f.plan_type, f.months_since_signup, f.logins_30d,
+  f.failed_payments_60d, r.mrr, r.churn_probability, r.revenue_at_risk
+from company_revenue_at_risk_t r
+left join gold_company_features_for_model f
+  on f.company_id = r.company_id and cast(date_trunc('month', f.as_of_date) as date) = r.month_start"""
+
+
+def thresholds_sql(fractions) -> str:
+    vals = ", ".join(f"(cast('{float(k)!r}' as double), cast('{float(1.0 - k)!r}' as double))"
+                     for k in fractions)
+    return f"""
+ks as (select * from (values {vals}) t(k, q)),
+h as (select k, q, cnt, cnt * q + (cast(1.0 as double) - q) - cast(1.0 as double) as h
+      from ks cross join (select max(n_le) as cnt from score_summary) c),
+h2 as (select k, h, floor(h) as r_lo, h - floor(h) as t, least(floor(h) + 1, cnt - 1) as r_hi from h),
+thr as (select h2.k, case when t >= 0.5 then b.s - (b.s - a.s) * (cast(1.0 as double) - t)
+                          else a.s + (b.s - a.s) * t end as threshold
+        from h2 join score_summary a on h2.r_lo >= a.n_le - a.n and h2.r_lo < a.n_le
+                join score_summary b on h2.r_hi >= b.n_le - b.n and h2.r_hi < b.n_le),
+hit as (select k, threshold, sum(pos) as tp, sum(neg) as fp from thr
+        join score_summary on s >= threshold group by 1, 2),
+tot as (select max(total_pos) as P0, max(total_neg) as N0 from score_summary)"""
+
+
+def topk_sql(fractions, cols: str) -> str:
+    return f"""select {cols} from (with {thresholds_sql(fractions)},
+rep as (select thr.k as top_fraction, thr.threshold,
+  cast(coalesce(tp, 0) + coalesce(fp, 0) as bigint) as flagged,
+  cast(coalesce(tp, 0) as bigint) as tp, cast(coalesce(fp, 0) as bigint) as fp,
+  cast(P0 - coalesce(tp, 0) as bigint) as fn,
+  round(coalesce(tp, 0) / (coalesce(tp, 0) + coalesce(fp, 0) + cast(1e-9 as double)), 6) as precision,
+  round(coalesce(tp, 0) / (P0 + cast(1e-9 as double)), 6) as recall,
+  round(cast(P0 as double) / cast(P0 + N0 as double), 6) as baseline_rate,
+  round((coalesce(tp, 0) / (coalesce(tp, 0) + coalesce(fp, 0) + cast(1e-9 as double)))
+        / (cast(P0 as double) / cast(P0 + N0 as double)), 6) as lift
+  from thr cross join tot left join hit on hit.k = thr.k and hit.threshold = thr.threshold)
+select * from rep) q"""

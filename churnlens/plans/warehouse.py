@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures, io
-from . import analytics, features, gold
+from . import analytics, features, gold, model, risk
 from .silver import build_silver
 
 _REGISTRY: dict[tuple, "Warehouse"] = {}
@@ -32,7 +32,7 @@ class Warehouse:
         self._raw_fn = raw
         self.root = root or f"{ensure_checkpoint_dir(spark)}/churnlens-{uuid.uuid4().hex[:8]}"
         self.materialize = materialize
-        self.cutoff = cutoff
+        self.cutoff = cutoff or model.FIXTURE_CUTOFF
         self._memo: dict[str, object] = {}
 
     # -- construction helpers -------------------------------------------------
@@ -120,3 +120,35 @@ class Warehouse:
             self.s("companies"), self.user_day(), self.s("support_tickets"), self.s("payments"),
             self.s("subscriptions"), self.s("subscription_plans"), self.churn_label(),
             self.as_of()))
+
+    # -- model and risk -------------------------------------------------------
+    def heuristic(self) -> DataFrame:
+        return self.table("gold/heuristic_scores",
+                          lambda: model.heuristic_scores(self.features(), self.cutoff))
+
+    def model(self):
+        return self.memo("model", lambda: model.fit(self.features(), self.cutoff))
+
+    def scored_test(self) -> DataFrame:
+        return self.table("gold/_scored_test",
+                          lambda: model.score(self.model()[0], self.model()[2]))
+
+    def predictions(self) -> DataFrame:
+        return self.table("gold/company_churn_predictions",
+                          lambda: self.scored_test().select(*model.ID_COLS, "churn_probability"))
+
+    def _preds(self, source: str) -> DataFrame:
+        return self.heuristic() if source == "heuristic" else self.predictions()
+
+    def revenue_at_risk(self, source: str = "model") -> DataFrame:
+        return self.table(f"gold/revenue_at_risk_{source}", lambda: risk.revenue_at_risk(
+            self._preds(source).select(*model.ID_COLS, "churn_probability"), self.company_mrr()))
+
+    def company_revenue_at_risk(self, source: str = "model") -> DataFrame:
+        return self.table(f"gold/company_revenue_at_risk_{source}",
+                          lambda: risk.company_revenue_at_risk(self.company_mrr(),
+                                                               self.revenue_at_risk(source)))
+
+    def risk_monitor(self, source: str = "model") -> DataFrame:
+        return self.table(f"gold/company_risk_monitor_{source}", lambda: risk.company_risk_monitor(
+            self.company_revenue_at_risk(source), self.features()), partition_by=None)
