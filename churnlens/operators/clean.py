@@ -121,4 +121,4 @@ def keep_referenced(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Da
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """B7 quarantine / E11: child rows with a non-NULL FK absent from parent."""
     keys = parent.select(F.col(pk).alias("_fk"))
-    return child.join(keys, F.col(fk) == F.col("_fk"), "left_anti")
+    return child.where(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_fk"), "left_anti")

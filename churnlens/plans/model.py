@@ -88,8 +88,9 @@ def build_pipeline(n_train: int) -> Pipeline:
     assembler, weighted logistic regression."""
     idx = StringIndexer(inputCol="plan_type", outputCol="plan_type_idx", handleInvalid="keep",
                         stringOrderType="alphabetAsc")
-    ohe = OneHotEncoder(inputCols=["plan_type_idx"], outputCols=["plan_type_ohe"], dropLast=True,
-                        handleInvalid="keep")
+    # The indexer puts unseen levels at the last index; dropLast removes
+    # exactly that slot, so every known level keeps a column.
+    ohe = OneHotEncoder(inputCols=["plan_type_idx"], outputCols=["plan_type_ohe"], dropLast=True)
     asm = VectorAssembler(inputCols=NUMERIC_FEATURES + ["plan_type_ohe"], outputCol="features")
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL, weightCol="weight",
                             maxIter=MAX_ITER, regParam=1.0 / (C * n_train), elasticNetParam=0.0,

@@ -82,17 +82,36 @@ CLEANERS = {
 }
 
 
-def build_silver(raw: dict[str, DataFrame], enforce_fk: bool = True) -> dict[str, DataFrame]:
-    """Type, de-duplicate, then drop rows that break a foreign key (orphans
-    are reported by ``quality.orphan_checks`` on the raw side)."""
-    s = {t: fn(raw[t]) for t, fn in CLEANERS.items()}
-    if not enforce_fk:
-        return s
-    s["users"] = clean.keep_referenced(s["users"], "company_id", s["companies"], "company_id")
-    s["events"] = clean.keep_referenced(s["events"], "user_id", s["users"], "user_id")
-    s["payments"] = clean.keep_referenced(s["payments"], "company_id", s["companies"], "company_id")
-    subs = clean.keep_referenced(s["subscriptions"], "company_id", s["companies"], "company_id")
-    s["subscriptions"] = clean.keep_referenced(subs, "plan_id", s["subscription_plans"], "plan_id")
-    s["support_tickets"] = clean.keep_referenced(s["support_tickets"], "company_id",
-                                                 s["companies"], "company_id")
-    return s
+# Parents before children; each child is checked against its parent's
+# finished (materialised) table.
+BUILD_ORDER = ["companies", "subscription_plans", "users", "events", "payments",
+               "subscriptions", "support_tickets"]
+FK_PARENTS = {
+    "users": [("company_id", "companies", "company_id")],
+    "events": [("user_id", "users", "user_id")],
+    "payments": [("company_id", "companies", "company_id")],
+    "subscriptions": [("company_id", "companies", "company_id"),
+                      ("plan_id", "subscription_plans", "plan_id")],
+    "support_tickets": [("company_id", "companies", "company_id")],
+}
+
+
+def build_silver_table(table: str, raw: DataFrame, parents: dict[str, DataFrame],
+                       enforce_fk: bool = True) -> DataFrame:
+    """Type and de-duplicate one table, then drop rows that break a foreign
+    key (orphans are reported by the C2 checks)."""
+    df = CLEANERS[table](raw)
+    if enforce_fk:
+        for fk, parent, pk in FK_PARENTS.get(table, []):
+            df = clean.keep_referenced(df, fk, parents[parent], pk)
+    return df
+
+
+def build_silver(raw: dict[str, DataFrame], enforce_fk: bool = True,
+                 keep=lambda name, df: df) -> dict[str, DataFrame]:
+    """All seven silver tables in dependency order; ``keep`` materialises a
+    finished table (identity for a purely lazy plan)."""
+    out: dict[str, DataFrame] = {}
+    for t in BUILD_ORDER:
+        out[t] = keep(t, build_silver_table(t, raw[t], out, enforce_fk))
+    return out

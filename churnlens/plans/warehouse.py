@@ -65,10 +65,8 @@ class Warehouse:
         return self.memo("raw", self._raw_fn)
 
     def silver(self) -> dict[str, DataFrame]:
-        def build():
-            s = build_silver(self.raw())
-            return {t: self.table(f"silver/{t}", lambda df=df: df) for t, df in s.items()}
-        return self.memo("silver", build)
+        return self.memo("silver", lambda: build_silver(
+            self.raw(), keep=lambda t, df: self.table(f"silver/{t}", lambda: df)))
 
     def s(self, t: str) -> DataFrame:
         return self.silver()[t]
