@@ -22,17 +22,21 @@ from . import analytics, features, gold, model, risk
 from .silver import build_silver
 
 _REGISTRY: dict[tuple, "Warehouse"] = {}
+# Month-keyed gold tables are written partitioned by their month column
+# in production runs, so month-filtered reads prune to one folder.
+MONTH_KEYS = ("month_start", "as_of_date")
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, raw: Callable[[], dict[str, DataFrame]],
                  root: str | None = None, materialize: bool = True,
-                 cutoff: _dt.date | None = None):
+                 cutoff: _dt.date | None = None, partition_months: bool = False):
         self.spark = spark
         self._raw_fn = raw
         self.root = root or f"{ensure_checkpoint_dir(spark)}/churnlens-{uuid.uuid4().hex[:8]}"
         self.materialize = materialize
         self.cutoff = cutoff or model.FIXTURE_CUTOFF
+        self.partition_months = partition_months
         self._memo: dict[str, object] = {}
 
     # -- construction helpers -------------------------------------------------
@@ -48,6 +52,9 @@ class Warehouse:
     def _keep(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         if not self.materialize:
             return df
+        if partition_by is None and self.partition_months:
+            partition_by = next(([c] for c in MONTH_KEYS if c in df.columns
+                                 and not name.startswith("silver/")), None)
         io.write_table(df, self.root, name, partition_by)
         return io.read_table(self.spark, self.root, name).select(*df.columns)
 
@@ -149,4 +156,4 @@ class Warehouse:
 
     def risk_monitor(self, source: str = "model") -> DataFrame:
         return self.table(f"gold/company_risk_monitor_{source}", lambda: risk.company_risk_monitor(
-            self.company_revenue_at_risk(source), self.features()), partition_by=None)
+            self.company_revenue_at_risk(source), self.features()))

@@ -55,6 +55,11 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | N
     month replaces only that month.
     """
     path = f"{root}/{name}"
+    if partition_by:
+        # One writer per month instead of every task writing into every
+        # month folder (tasks x months small files); AQE's rebalance splits
+        # an oversized month and coalesces small ones.
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
