@@ -1,0 +1 @@
+"""Streaming mode of the activity table (see ``daily_activity``)."""
