@@ -38,4 +38,4 @@ def test_rows_only(spark, name):
 def test_entry(spark):
     df = se.entry(spark)
     assert df.count() > 0
-    assert "mrr" in df.columns
+    assert {"mrr", "churn_probability", "revenue_at_risk"} <= set(df.columns)
