@@ -349,3 +349,101 @@ register("dash_portfolio_grid", _exp_sql(
     f"select *, {_bk.bucket_sql('cast(mrr as double)', _bk.MRR_BAND_EDGES)} as mrr_band, "
     f"{_bk.bucket_sql('churn_probability', _bk.RISK_BAND_EDGES)} as risk_band "
     f"from company_risk_monitor_t"))(lambda wh: _db.portfolio_grid(_mon(wh)))
+
+# -- single pieces: K3-K5, K16, B7 quarantine --------------------------------
+from .operators import clean as _cl  # noqa: E402
+from .plans import features as _fe  # noqa: E402
+from .plans import gold as _gd  # noqa: E402
+from .plans import silver as _sv  # noqa: E402
+
+register("gold_monthly_activity", "select * from gold_monthly_activity")(
+    lambda wh: _gd.monthly_activity(wh.daily_activity()))
+
+register("gold_monthly_active_users", "select * from mau_t")(
+    lambda wh: _gd.monthly_active_users(wh.user_day()))
+
+register("gold_monthly_tickets", """
+select company_id, cast(date_trunc('month', created_at) as date) as month_start,
+  count(*) as tickets_count from silver_support_tickets group by 1, 2""")(
+    lambda wh: _gd.monthly_tickets(wh.s("support_tickets")))
+
+register("gold_monthly_failed_payments", """
+select company_id, cast(date_trunc('month', payment_date) as date) as month_start,
+  count(*) filter (where payment_status in ('failed','declined')) as failed_payments
+from silver_payments group by 1, 2""")(lambda wh: _gd.monthly_failed_payments(wh.s("payments")))
+
+
+def _spine(wh: Warehouse) -> DataFrame:
+    return _fe.snapshot_spine(wh.s("companies"), wh.as_of())
+
+
+_W30 = "between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date"
+_W60 = "between cast(cme.as_of_date - interval 60 day as date) and cme.as_of_date"
+
+register("feature_events_window", f"""
+select cme.company_id, cme.as_of_date,
+  count(distinct e.user_id) filter (where cast(e.event_timestamp as date) {_W30}) as active_users_30d,
+  count(*) filter (where e.event_type = 'login' and cast(e.event_timestamp as date) {_W30}) as logins_30d,
+  count(*) filter (where e.event_type = 'invite_sent' and cast(e.event_timestamp as date) {_W30}) as invites_30d,
+  count(*) filter (where e.event_type = 'file_uploaded' and cast(e.event_timestamp as date) {_W30}) as uploads_30d
+from company_month_end cme left join silver_users u on u.company_id = cme.company_id
+left join silver_events e on e.user_id = u.user_id group by 1, 2""")(
+    lambda wh: _fe.on_spine(_spine(wh), _fe.events_window(wh.user_day()),
+                            ["active_users_30d", "logins_30d", "invites_30d", "uploads_30d"]))
+
+register("feature_support_window", f"""
+select cme.company_id, cme.as_of_date,
+  count(*) filter (where cast(t.created_at as date) {_W60}) as tickets_60d
+from company_month_end cme left join silver_support_tickets t on t.company_id = cme.company_id
+group by 1, 2""")(lambda wh: _fe.on_spine(_spine(wh), _fe.support_window(wh.s("support_tickets")),
+                                          ["tickets_60d"]))
+
+register("feature_payment_window", f"""
+select cme.company_id, cme.as_of_date,
+  count(*) filter (where p.payment_status in ('failed','declined') and p.payment_date {_W60})
+    as failed_payments_60d
+from company_month_end cme left join silver_payments p on p.company_id = cme.company_id
+group by 1, 2""")(lambda wh: _fe.on_spine(_spine(wh), _fe.payment_window(wh.s("payments")),
+                                          ["failed_payments_60d"]))
+
+register("feature_days_to_first_invite", """
+select c.company_id, case when fi.d is null then null
+  else cast(fi.d - cast(c.signup_date as date) as int) end as days_to_first_invite
+from silver_companies c left join (
+  select u.company_id, cast(min(e.event_timestamp) as date) as d
+  from silver_events e join silver_users u on u.user_id = e.user_id
+  where e.event_type = 'invite_sent' group by 1) fi on fi.company_id = c.company_id""")(
+    lambda wh: _fe.days_to_first_invite(wh.s("companies"), wh.user_day()))
+
+register("feature_plan_asof", """
+select cme.company_id, cme.as_of_date, coalesce(sp.plan_name, 'unknown') as plan_type
+from company_month_end cme
+left join lateral (
+  select s.plan_id from silver_subscriptions s
+  where s.company_id = cme.company_id and s.start_date <= cme.as_of_date
+    and (s.end_date is null or s.end_date >= cme.as_of_date)
+  order by s.start_date desc, s.subscription_id desc limit 1) sub on true
+left join silver_subscription_plans sp on sp.plan_id = sub.plan_id""")(
+    lambda wh: _spine(wh).join(_fe.plan_asof(wh.s("subscriptions"), wh.s("subscription_plans"),
+                                             wh.as_of()), _fe.KEYS, "left")
+    .select(*_fe.KEYS, F.coalesce("plan_type", F.lit("unknown")).alias("plan_type")))
+
+
+def _quarantine(wh: Warehouse) -> DataFrame:
+    """Rows each FK check would drop (cleaned, de-duplicated, before
+    FK enforcement), per relationship."""
+    from .operators.quality import union_all
+    pre = wh.memo("prefk", lambda: {t: fn(wh.raw()[t]) for t, fn in _sv.CLEANERS.items()})
+    frames = []
+    for child, rels in _sv.FK_PARENTS.items():
+        for fk, parent, pk in rels:
+            bad = _cl.orphans(pre[child], fk, pre[parent], pk)
+            frames.append(bad.agg(F.lit(f"{child}.{fk}").alias("relationship"),
+                                  F.count(F.lit(1)).alias("quarantined_rows")))
+    return union_all(frames)
+
+
+register("dq_orphans_quarantined", "\nunion all\n".join(
+    f"select '{c}.{fk}' as relationship, count(*) as quarantined_rows from prefk_{c} x "
+    f"where x.{fk} is not null and x.{fk} not in (select {pk} from prefk_{p} where {pk} is not null)"
+    for c, rels in _sv.FK_PARENTS.items() for fk, p, pk in rels))(_quarantine)

@@ -496,3 +496,18 @@ rep as (select thr.k as top_fraction, thr.threshold,
         / (cast(P0 as double) / cast(P0 + N0 as double)), 6) as lift
   from thr cross join tot left join hit on hit.k = thr.k and hit.threshold = thr.threshold)
 select * from rep) q"""
+
+# --- single pieces (K3-K5, K16) and the B7 quarantine -------------------------
+GOLD["gold_monthly_activity"] = """
+select company_id, cast(date_trunc('month', activity_date) as date) as month_start,
+  cast(sum(total_events) as bigint) as total_events, cast(sum(login_count) as bigint) as total_logins,
+  cast(sum(invites_sent) as bigint) as total_invites, cast(sum(files_uploaded) as bigint) as total_files,
+  cast(sum(pages_created) as bigint) as total_pages_created,
+  count(distinct case when active_users > 0 then activity_date end) as active_days,
+  cast(max(active_users) as bigint) as peak_daily_active_users
+from gold_company_daily_activity group by 1, 2"""
+
+for _t, _pk in [("companies", "company_id"), ("users", "user_id"), ("events", "event_id"),
+                ("subscription_plans", "plan_id"), ("subscriptions", "subscription_id"),
+                ("payments", "payment_id"), ("support_tickets", "ticket_id")]:
+    SILVER[f"prefk_{_t}"] = _dedupe(_TYPED[_t], _pk, _SILVER_COLS[_t])

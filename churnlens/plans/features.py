@@ -110,3 +110,11 @@ def company_features(companies: DataFrame, user_day: DataFrame, tickets: DataFra
         whole_month_diff(d, "signup_date").alias("months_since_signup"),
         F.col("churn_flag").alias("churn_flag_static"),
         F.when(label, 1).otherwise(0).cast("int").alias("churn_in_next_30d"))
+
+
+def on_spine(spine: DataFrame, piece: DataFrame, zero_fill: list[str]) -> DataFrame:
+    """A K16 piece aligned to the snapshot spine (one row per snapshot,
+    counts zero-filled), the shape each piece has in the feature table."""
+    out = spine.join(piece, KEYS, "left")
+    return out.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) if c in zero_fill
+                        else F.col(c) for c in out.columns])
