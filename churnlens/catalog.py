@@ -351,7 +351,6 @@ register("dash_portfolio_grid", _exp_sql(
     f"from company_risk_monitor_t"))(lambda wh: _db.portfolio_grid(_mon(wh)))
 
 # -- single pieces: K3-K5, K16, B7 quarantine --------------------------------
-from .operators import clean as _cl  # noqa: E402
 from .plans import features as _fe  # noqa: E402
 from .plans import gold as _gd  # noqa: E402
 from .plans import silver as _sv  # noqa: E402
@@ -430,20 +429,11 @@ left join silver_subscription_plans sp on sp.plan_id = sub.plan_id""")(
 
 
 def _quarantine(wh: Warehouse) -> DataFrame:
-    """Rows each FK check would drop (cleaned, de-duplicated, before
-    FK enforcement), per relationship."""
-    from .operators.quality import union_all
-    pre = wh.memo("prefk", lambda: {t: fn(wh.raw()[t]) for t, fn in _sv.CLEANERS.items()})
-    frames = []
-    for child, rels in _sv.FK_PARENTS.items():
-        for fk, parent, pk in rels:
-            bad = _cl.orphans(pre[child], fk, pre[parent], pk)
-            frames.append(bad.agg(F.lit(f"{child}.{fk}").alias("relationship"),
-                                  F.count(F.lit(1)).alias("quarantined_rows")))
-    return union_all(frames)
+    """Rows each FK check dropped, per relationship."""
+    return _sv.quarantine_counts(wh.silver_flagged())
 
 
 register("dq_orphans_quarantined", "\nunion all\n".join(
     f"select '{c}.{fk}' as relationship, count(*) as quarantined_rows from prefk_{c} x "
-    f"where x.{fk} is not null and x.{fk} not in (select {pk} from prefk_{p} where {pk} is not null)"
+    f"where x.{fk} is not null and x.{fk} not in (select {pk} from silver_{p})"
     for c, rels in _sv.FK_PARENTS.items() for fk, p, pk in rels))(_quarantine)

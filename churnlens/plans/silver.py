@@ -96,22 +96,56 @@ FK_PARENTS = {
 }
 
 
+FK_OK = "_fk_ok"
+
+
+def fk_flag(fk: str) -> str:
+    return f"_ok_{fk}"
+
+
 def build_silver_table(table: str, raw: DataFrame, parents: dict[str, DataFrame],
                        enforce_fk: bool = True) -> DataFrame:
-    """Type and de-duplicate one table, then drop rows that break a foreign
-    key (orphans are reported by the C2 checks)."""
+    """Type and de-duplicate one table, then flag each foreign key
+    (``_ok_<fk>``) and the conjunction (``_fk_ok``) against the parents'
+    finished silver tables. Silver keeps flagged rows, the quarantine the
+    rest (C2 checks report both)."""
     df = CLEANERS[table](raw)
+    ok = F.lit(True)
     if enforce_fk:
         for fk, parent, pk in FK_PARENTS.get(table, []):
-            df = clean.keep_referenced(df, fk, parents[parent], pk)
-    return df
+            df = clean.flag_referenced(df, fk, parents[parent], pk, fk_flag(fk))
+            ok = ok & F.col(fk_flag(fk))
+    return df.withColumn(FK_OK, ok)
+
+
+def accepted(flagged: DataFrame) -> DataFrame:
+    """Silver rows: every foreign key satisfied (flags dropped)."""
+    return flagged.where(F.col(FK_OK)).select(
+        *[c for c in flagged.columns if c != FK_OK and not c.startswith("_ok_")])
 
 
 def build_silver(raw: dict[str, DataFrame], enforce_fk: bool = True,
-                 keep=lambda name, df: df) -> dict[str, DataFrame]:
-    """All seven silver tables in dependency order; ``keep`` materialises a
-    finished table (identity for a purely lazy plan)."""
+                 keep=lambda name, df: df) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """All seven tables in dependency order. ``keep`` materialises the
+    flagged table (identity for a purely lazy plan). Returns (silver,
+    flagged): silver views filter on the flag, so each table is written
+    once and the quarantine costs no extra pass."""
     out: dict[str, DataFrame] = {}
+    flagged: dict[str, DataFrame] = {}
     for t in BUILD_ORDER:
-        out[t] = keep(t, build_silver_table(t, raw[t], out, enforce_fk))
-    return out
+        flagged[t] = keep(t, build_silver_table(t, raw[t], out, enforce_fk))
+        out[t] = accepted(flagged[t])
+    return out, flagged
+
+
+def quarantine_counts(flagged: dict[str, DataFrame]) -> DataFrame:
+    """B7 report: rows dropped per relationship (an orphan of a parent row
+    that was itself dropped counts too)."""
+    from ..operators.quality import union_all
+    frames = []
+    for child, rels in FK_PARENTS.items():
+        for fk, _parent, _pk in rels:
+            frames.append(flagged[child].agg(
+                F.lit(f"{child}.{fk}").alias("relationship"),
+                F.count_if(~F.col(fk_flag(fk))).alias("quarantined_rows")))
+    return union_all(frames)

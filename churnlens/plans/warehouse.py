@@ -73,7 +73,12 @@ class Warehouse:
 
     def silver(self) -> dict[str, DataFrame]:
         return self.memo("silver", lambda: build_silver(
-            self.raw(), keep=lambda t, df: self.table(f"silver/{t}", lambda: df)))
+            self.raw(), keep=lambda t, df: self.table(f"silver/{t}", lambda: df)))[0]
+
+    def silver_flagged(self) -> dict[str, DataFrame]:
+        """Silver tables with their FK flags (quarantine = flag false)."""
+        self.silver()
+        return {t: self._memo[f"silver/{t}"] for t in self.silver()}
 
     def s(self, t: str) -> DataFrame:
         return self.silver()[t]

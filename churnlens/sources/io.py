@@ -42,8 +42,10 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {t: read_table(spark, root, f"silver/{t}").select(*SILVER[t].fieldNames())
-            for t in TABLES}
+    """Silver rows of a finished run (rows failing a foreign key stay in
+    the same files, flagged, as the quarantine)."""
+    return {t: read_table(spark, root, f"silver/{t}").where("_fk_ok")
+            .select(*SILVER[t].fieldNames()) for t in TABLES}
 
 
 def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None,

@@ -74,7 +74,7 @@ def test_csv_ingest_and_silver(spark):
             fh.write(body)
     raw = io.read_raw_dir(spark, d, "csv")
     assert [f.name for f in raw["users"].schema.fields] == RAW["users"].fieldNames()
-    s = silver.build_silver(raw)
+    s, flagged = silver.build_silver(raw)
     comps = {r.company_id: r for r in s["companies"].collect()}
     assert comps["c1"].company_name == "Acme" and comps["c1"].status is None  # first row wins
     assert comps["c2"].signup_date is None and comps["c2"].company_size is None
@@ -85,3 +85,5 @@ def test_csv_ingest_and_silver(spark):
     t = {r.ticket_id: r for r in s["support_tickets"].collect()}
     assert t["t1"].satisfaction_score is None and t["t2"].resolution_time_hours is None
     assert s["events"].count() == 2
+    q = {r.relationship: r.quarantined_rows for r in silver.quarantine_counts(flagged).collect()}
+    assert q["users.company_id"] == 1 and q["events.user_id"] == 0
