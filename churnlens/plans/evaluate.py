@@ -128,6 +128,15 @@ def _thresholds(summary: DataFrame, fractions: Sequence[float]) -> DataFrame:
     return j.select("k", thr.alias("threshold"))
 
 
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
+    """numpy-exact linear quantile of one column (NULLs ignored), computed
+    with the distributed distinct-value summary; returns one scalar."""
+    vals = df.select(F.col(col).cast("double").alias("s"), F.lit(0).alias("y"))
+    summary = score_summary(vals, "s", "y")
+    row = _thresholds(summary, [1.0 - q]).first()
+    return None if row is None else row["threshold"]
+
+
 def top_k_report(summary: DataFrame, fractions: Sequence[float] = TOP_K_FRACTIONS) -> DataFrame:
     """M12 + M13: flag scores >= the (1-k) quantile; precision, recall,
     flagged count and lift over the base rate (1e-9 guards as in source)."""

@@ -53,23 +53,35 @@ def split_counts(df: DataFrame, cutoff: _dt.date) -> DataFrame:
 
 
 def impute(train: DataFrame, others: list[DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
-    """M3/M4: exact median for numeric columns, most frequent value (ties
-    by name) for the categorical one, both fitted on train only. The
-    statistics are a single small aggregate row."""
-    med = train.agg(*[F.median(c).alias(c) for c in NUMERIC_FEATURES]).first()
-    top = (train.where(F.col("plan_type").isNotNull()).groupBy("plan_type").count()
-           .orderBy(F.col("count").desc(), F.col("plan_type").asc()).limit(1).collect())
-    fill = {c: float(med[c]) for c in NUMERIC_FEATURES if med[c] is not None}
-    if top:
-        fill["plan_type"] = top[0]["plan_type"]
+    """M3/M4: median for numeric columns and most frequent value (ties by
+    name) for the categorical one, fitted on train only.
+
+    One aggregate pass counts NULLs per column; statistics are computed
+    only for columns that have NULLs (filling a column without NULLs is a
+    no-op, and the feature table COALESCEs every count). The median is the
+    numpy-exact one from the distributed distinct-value summary, never a
+    single-task percentile buffer."""
+    from .evaluate import exact_quantile
+    cols = NUMERIC_FEATURES + CATEGORICAL_FEATURES
+    nulls = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    fill: dict[str, object] = {}
+    for c in NUMERIC_FEATURES:
+        if nulls[c]:
+            m = exact_quantile(train, c, 0.5)
+            if m is not None:
+                fill[c] = float(m)
+    if nulls["plan_type"]:
+        top = (train.where(F.col("plan_type").isNotNull()).groupBy("plan_type").count()
+               .orderBy(F.col("count").desc(), F.col("plan_type").asc()).limit(1).collect())
+        if top:
+            fill["plan_type"] = top[0]["plan_type"]
 
     def apply(df: DataFrame) -> DataFrame:
-        return df.select(*[
-            F.coalesce(F.col(c).cast("double"), F.lit(fill[c])).alias(c)
-            if c in NUMERIC_FEATURES and c in fill else
-            (F.coalesce(F.col(c), F.lit(fill[c])).alias(c) if c == "plan_type" and c in fill
-             else (F.col(c).cast("double").alias(c) if c in NUMERIC_FEATURES else F.col(c)))
-            for c in df.columns])
+        out = []
+        for c in df.columns:
+            e = F.col(c).cast("double") if c in NUMERIC_FEATURES else F.col(c)
+            out.append((F.coalesce(e, F.lit(fill[c])) if c in fill else e).alias(c))
+        return df.select(*out)
     return apply(train), [apply(d) for d in others]
 
 

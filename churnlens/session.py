@@ -58,10 +58,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir`` (a shared folder); only when
     it is unset (local tests) create a private scratch folder for it."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    active = sc.getCheckpointDir()
+    if active:
+        return active
+    current = sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         sc.setCheckpointDir(current)
-        return current
+        return sc.getCheckpointDir() or current
     path = tempfile.mkdtemp(prefix="churnlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
