@@ -437,3 +437,31 @@ register("dq_orphans_quarantined", "\nunion all\n".join(
     f"select '{c}.{fk}' as relationship, count(*) as quarantined_rows from prefk_{c} x "
     f"where x.{fk} is not null and x.{fk} not in (select {pk} from silver_{p})"
     for c, rels in _sv.FK_PARENTS.items() for fk, p, pk in rels))(_quarantine)
+
+
+# -- H2: violator samples (L9-L12 row forms) ---------------------------------
+register("dq_negative_mrr_rows", """
+select company_id, month_start, plan_id, plan_name, cast(price_per_user as double) price_per_user,
+  active_user_count, cast(mrr as double) mrr from gold_company_mrr
+where mrr < 0 or active_user_count < 0 or price_per_user < 0
+order by company_id, month_start limit 50""")(
+    lambda wh: _ck.sample_violations(
+        wh.company_mrr(), (F.col("mrr") < 0) | (F.col("active_user_count") < 0)
+        | (F.col("price_per_user") < 0), ["company_id", "month_start"]))
+
+register("dq_churned_without_date_rows", """
+select * from gold_company_churn_label where churn_flag = true and churn_date is null
+order by company_id limit 50""")(
+    lambda wh: _ck.sample_violations(
+        wh.churn_label(), (F.col("churn_flag") == F.lit(True)) & F.col("churn_date").isNull(),
+        ["company_id"]))
+
+register("dq_label_leakage_rows", """
+select f.company_id, f.as_of_date, l.churn_date from gold_company_features_for_model f
+join gold_company_churn_label l using (company_id)
+where f.churn_in_next_30d = 1 and l.churn_date <= f.as_of_date
+order by f.company_id, f.as_of_date limit 50""")(
+    lambda wh: _ck.sample_violations(
+        wh.features().where(F.col("churn_in_next_30d") == 1).select("company_id", "as_of_date")
+        .join(wh.churn_label().select("company_id", "churn_date"), "company_id"),
+        F.col("churn_date") <= F.col("as_of_date"), ["company_id", "as_of_date"]))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import lit_date, month_start, whole_month_diff
+from ..operators.temporal import existence_flag
 
 ACTIVATION_DAYS = 7
 PAID_DAYS = 30
@@ -30,22 +31,17 @@ def funnel_company(companies: DataFrame, daily_activity: DataFrame,
     sig = companies.select("company_id", F.col("signup_date").cast("date").alias("signup_date"),
                            "acquisition_channel")
     keys = sig.select("company_id", "signup_date")
-    act = (daily_activity.select("company_id", "activity_date")
-           .join(keys, "company_id")
-           .where(F.col("activity_date").between(
-               F.col("signup_date"), F.date_add("signup_date", ACTIVATION_DAYS)))
-           .select("company_id").distinct().withColumn("activated_7d", F.lit(True)))
-    paid = (subscriptions.select("company_id", "start_date")
-            .join(keys, "company_id")
+    active = (daily_activity.select("company_id", "activity_date").join(keys, "company_id")
+              .where(F.col("activity_date").between(
+                  F.col("signup_date"), F.date_add("signup_date", ACTIVATION_DAYS))))
+    paid = (subscriptions.select("company_id", "start_date").join(keys, "company_id")
             .where(F.col("start_date").between(
-                F.col("signup_date"), F.date_add("signup_date", PAID_DAYS)))
-            .select("company_id").distinct().withColumn("paid_30d", F.lit(True)))
-    out = sig.join(act, "company_id", "left").join(paid, "company_id", "left")
-    a = F.coalesce("activated_7d", F.lit(False))
-    p = F.coalesce("paid_30d", F.lit(False))
-    return out.select("company_id", "signup_date", "acquisition_channel",
-                      a.alias("activated_7d"), p.alias("paid_30d"),
-                      a.cast("int").alias("activation_stage"), p.cast("int").alias("paid_stage"))
+                F.col("signup_date"), F.date_add("signup_date", PAID_DAYS))))
+    out = existence_flag(existence_flag(sig, active, ["company_id"], "activated_7d"),
+                         paid, ["company_id"], "paid_30d")
+    return out.select("company_id", "signup_date", "acquisition_channel", "activated_7d",
+                      "paid_30d", F.col("activated_7d").cast("int").alias("activation_stage"),
+                      F.col("paid_30d").cast("int").alias("paid_stage"))
 
 
 def funnel_by_channel(funnel: DataFrame) -> DataFrame:

@@ -93,3 +93,10 @@ def tenure_range(features: DataFrame) -> DataFrame:
 def tenure_histogram(features: DataFrame) -> DataFrame:
     """Snapshot count per tenure month (full histogram)."""
     return features.groupBy("months_since_signup").agg(F.count(F.lit(1)).alias("snapshots"))
+
+
+def sample_violations(df: DataFrame, cond, order: list[str], n: int = 50) -> DataFrame:
+    """H2: up to ``n`` offending rows for inspection (the LIMIT is the
+    feature: a sample for a person to read), in a stable key order;
+    planned as a per-task top-n then a merge (TakeOrderedAndProject)."""
+    return df.where(cond).orderBy(*order).limit(n)
