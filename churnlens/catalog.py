@@ -214,9 +214,12 @@ from gold_company_features_for_model where as_of_date is not null group by 1""")
     lambda wh: _md.split_counts(_md.model_input(wh.features()), wh.cutoff))
 
 
-def _summary(wh: Warehouse) -> DataFrame:
-    return wh.memo("heuristic_summary", lambda: _ev.score_summary(
-        wh.heuristic(), "churn_probability", "label"))
+def _summary(wh: Warehouse, source: str = "heuristic") -> DataFrame:
+    """Distinct-score summary, written once: every metric reads it several
+    times (rank lookups, hits, totals)."""
+    scored = wh.heuristic() if source == "heuristic" else wh.scored_test()
+    return wh.table(f"gold/_score_summary_{source}", lambda: _ev.score_summary(
+        scored, "churn_probability", "label"))
 
 
 register("eval_roc_auc_average_precision", """
@@ -262,10 +265,8 @@ select company_id, as_of_date, label, churn_probability from heuristic_t""")(
 # MLlib fit: iterative optimisation, no SQL equivalent -> rows-only checks.
 register("gold_company_churn_predictions")(lambda wh: wh.predictions())
 register("model_coefficients")(lambda wh: _md.coefficients(wh.model()[0]))
-register("model_evaluation")(lambda wh: _ev.auc_ap(_ev.score_summary(
-    wh.scored_test(), "churn_probability", "label")))
-register("model_top_k")(lambda wh: _ev.top_k_report(_ev.score_summary(
-    wh.scored_test(), "churn_probability", "label")))
+register("model_evaluation")(lambda wh: _ev.auc_ap(_summary(wh, "model")))
+register("model_top_k")(lambda wh: _ev.top_k_report(_summary(wh, "model")))
 register("gold_company_risk_monitor")(lambda wh: wh.risk_monitor("model"))
 
 # -- revenue at risk (heuristic scores: exact SQL check of the same builders) -
