@@ -11,22 +11,19 @@ from .schemas import RAW, SILVER, TABLES
 def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
     """A1: ingest one raw table unmodified.
 
-    CSV is read with the *declared* raw schema (no inference pass over the
-    data) in PERMISSIVE mode: a malformed field becomes NULL instead of
-    failing the load; silver cleaning then handles NULL/empty/malformed text.
-    Non-string raw columns are read as text first and cast with ``try_cast``
-    so a bad value never aborts a 100 TB load.
+    CSV is read with the declared column list as text (no inference pass
+    over the data, PERMISSIVE mode): the raw layer keeps the source's
+    formatting for traceability and a malformed value can never fail a
+    100 TB load; silver parses every typed column with its multi-layout
+    ``try_`` parsers. Typed formats (Parquet, ORC) are cast to the raw
+    schema.
     """
     schema = RAW[table]
     if fmt == "csv":
         text_schema = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
-        df = (spark.read.schema(text_schema)
-              .option("header", "true").option("mode", "PERMISSIVE")
-              .option("multiLine", "false").csv(path))
-        return df.select(*[
-            (F.col(f.name) if f.dataType.simpleString() == "string"
-             else F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")).alias(f.name)
-            for f in schema.fields])
+        return (spark.read.schema(text_schema)
+                .option("header", "true").option("mode", "PERMISSIVE")
+                .option("multiLine", "false").csv(path))
     df = spark.read.format(fmt).load(path)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 

@@ -61,7 +61,8 @@ def test_csv_ingest_and_silver(spark):
                  "u1,c1,admin,2024-01-03,2024/02/01,t\nu2,c9,member,,,f\n",
         "events": "event_id,user_id,event_type,event_timestamp\n"
                   "e1,u1,login,2024-01-04 10:00:00\ne2,u1,invite_sent,2024-01-05 11:00:00\n",
-        "payments": "payment_id,company_id,amount,payment_date,payment_status\np1,c1,12.5,2024-01-05,failed\n",
+        "payments": "payment_id,company_id,amount,payment_date,payment_status\n"
+                    "p1,c1,12.5,2024/01/05,failed\np2,c1,oops,,paid\n",
         "subscription_plans": "plan_id,plan_name,price_per_user,billing_cycle\np1,Basic,10,monthly\n",
         "subscriptions": "subscription_id,company_id,plan_id,start_date,end_date,status\n"
                          "s1,c1,p1,2024-01-03,,active\n",
@@ -85,5 +86,8 @@ def test_csv_ingest_and_silver(spark):
     t = {r.ticket_id: r for r in s["support_tickets"].collect()}
     assert t["t1"].satisfaction_score is None and t["t2"].resolution_time_hours is None
     assert s["events"].count() == 2
+    pay = {r.payment_id: r for r in s["payments"].collect()}
+    assert pay["p1"].payment_date == dt.date(2024, 1, 5) and pay["p1"].amount == Decimal("12.50")
+    assert pay["p2"].amount is None and pay["p2"].payment_date is None
     q = {r.relationship: r.quarantined_rows for r in silver.quarantine_counts(flagged).collect()}
     assert q["users.company_id"] == 1 and q["events.user_id"] == 0
