@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from . import oracle
+from .functions import buckets as _bk
+from .plans import analytics as _an
+from .plans import checks as _ck
+from .plans import dashboards as _db
+from .plans import evaluate as _ev
+from .plans import features as _fe
+from .plans import gold as _gd
+from .plans import model as _md
+from .plans import risk as _rk
+from .plans import silver as _sv
 from .plans.warehouse import Warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,7 +64,7 @@ for _t, _money in [("companies", ()), ("users", ()), ("events", ()),
 
 # -- gold core ---------------------------------------------------------------
 register("gold_as_of_date", "select as_of_date from as_of_t")(
-    lambda wh: wh.spark.range(1).select(F.lit(wh.as_of()).cast("date").alias("as_of_date")))
+    lambda wh: _gd.as_of_frame(wh.s("events"), wh.s("payments"), wh.s("subscriptions")))
 
 register("gold_company_daily_activity", """
 select company_id, activity_date, cast(active_users as bigint) active_users,
@@ -75,7 +85,6 @@ register("gold_company_churn_label", "select * from gold_company_churn_label")(
     lambda wh: wh.churn_label())
 
 # -- analytics layer ---------------------------------------------------------
-from .plans import analytics as _an  # noqa: E402
 
 register("gold_funnel_company", "select * from gold_funnel_company")(lambda wh: wh.funnel())
 
@@ -105,7 +114,6 @@ register("gold_company_features_for_model", "select * from gold_company_features
     lambda wh: wh.features())
 
 # -- data-quality checks -----------------------------------------------------
-from .plans import checks as _ck  # noqa: E402
 
 
 def _gold_tables(wh: Warehouse) -> dict[str, DataFrame]:
@@ -201,11 +209,6 @@ select months_since_signup, count(*) as snapshots from gold_company_features_for
 group by 1""")(lambda wh: _ck.tenure_histogram(wh.features()))
 
 # -- model: split, evaluation, predictions -----------------------------------
-from .plans import evaluate as _ev  # noqa: E402
-from .plans import model as _md  # noqa: E402
-from .plans import risk as _rk  # noqa: E402
-from .plans import dashboards as _db  # noqa: E402
-from .functions import buckets as _bk  # noqa: E402
 
 register("model_split_counts", f"""
 select case when as_of_date < {oracle.FIXTURE_CUTOFF_SQL} then 'train' else 'test' end as split,
@@ -352,9 +355,6 @@ register("dash_portfolio_grid", _exp_sql(
     f"from company_risk_monitor_t"))(lambda wh: _db.portfolio_grid(_mon(wh)))
 
 # -- single pieces: K3-K5, K16, B7 quarantine --------------------------------
-from .plans import features as _fe  # noqa: E402
-from .plans import gold as _gd  # noqa: E402
-from .plans import silver as _sv  # noqa: E402
 
 register("gold_monthly_activity", "select * from gold_monthly_activity")(
     lambda wh: _gd.monthly_activity(wh.daily_activity()))

@@ -20,23 +20,25 @@ CANCELLED_STATUS = "cancelled"
 INACTIVITY_DAYS = 30
 
 
-def as_of_date(events: DataFrame, payments: DataFrame, subscriptions: DataFrame) -> _dt.date:
-    """K1: GREATEST of the latest event day, payment day and subscription
-    end (or start), each defaulting to 2000-01-01 when its source is empty.
-
-    Computed once per run as a scalar (one tiny job: three global max
-    aggregates, each with a partial step per task) and then used as a
-    literal by every builder, so Catalyst can constant-fold it and push
-    date predicates down instead of re-evaluating it in every table.
-    """
+def as_of_frame(events: DataFrame, payments: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """K1 as a one-row DataFrame: GREATEST of the latest event day, payment
+    day and subscription end (or start), each defaulting to 2000-01-01 when
+    its source is empty. Three global max aggregates, each with a partial
+    step per task; the cross join only pairs three one-row results."""
     fb = lit_date(AS_OF_FALLBACK)
     a = events.agg(F.max(F.col("event_timestamp").cast("date")).alias("a"))
     b = payments.agg(F.max(F.col("payment_date").cast("date")).alias("b"))
     c = subscriptions.agg(F.max(F.coalesce("end_date", "start_date")).alias("c"))
-    row = (a.crossJoin(b).crossJoin(c)
-           .select(F.greatest(F.coalesce("a", fb), F.coalesce("b", fb), F.coalesce("c", fb))
-                   .alias("d")).first())
-    return row["d"]
+    return (a.crossJoin(b).crossJoin(c)
+            .select(F.greatest(F.coalesce("a", fb), F.coalesce("b", fb), F.coalesce("c", fb))
+                    .alias("as_of_date")))
+
+
+def as_of_date(events: DataFrame, payments: DataFrame, subscriptions: DataFrame) -> _dt.date:
+    """K1 computed once per run as a scalar and then used as a literal by
+    every builder, so Catalyst can constant-fold it and push date
+    predicates down instead of re-evaluating it in every table."""
+    return as_of_frame(events, payments, subscriptions).first()["as_of_date"]
 
 
 def user_day_activity(events: DataFrame, users: DataFrame) -> DataFrame:
