@@ -83,16 +83,21 @@ def plan_asof(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date) -> Da
 
 def company_features(companies: DataFrame, user_day: DataFrame, tickets: DataFrame,
                      payments: DataFrame, subscriptions: DataFrame, plans: DataFrame,
-                     churn_label: DataFrame, as_of: _dt.date) -> DataFrame:
+                     churn_label: DataFrame, as_of: _dt.date,
+                     drop_post_churn: bool = False) -> DataFrame:
     """Gold.company_features_for_model. Company-level attributes
     (signup, first invite, label) are attached before the spine is
-    exploded, so only (company, snapshot)-keyed facts join the spine."""
+    exploded, so only (company, snapshot)-keyed facts join the spine.
+    Snapshots after a company's churn date stay in as negatives, as in the
+    source; ``drop_post_churn`` removes them (applied before the joins)."""
     comp = (companies.select("company_id", "signup_date")
             .join(days_to_first_invite(companies, user_day), "company_id", "left")
             .join(churn_label.select("company_id", "churn_flag", "churn_date"), "company_id",
                   "left"))
     spine = month_spine(comp, as_of, keep=[c for c in comp.columns if c != "company_id"])
     spine = spine.withColumn("as_of_date", month_end("month_start"))
+    if drop_post_churn:
+        spine = spine.where(F.col("churn_date").isNull() | (F.col("as_of_date") < F.col("churn_date")))
     out = (spine.join(events_window(user_day), KEYS, "left")
            .join(support_window(tickets), KEYS, "left")
            .join(payment_window(payments), KEYS, "left")

@@ -199,3 +199,15 @@ def test_revenue_at_risk_missing_and_duplicate_predictions(spark):
     assert out[D(2024, 5, 1)].churn_probability == 0.0 and out[D(2024, 5, 1)].revenue_at_risk == 0
     assert out[D(2024, 6, 1)].churn_probability == 0.5                # latest snapshot wins
     assert abs(out[D(2024, 6, 1)].revenue_at_risk - 50.0) < 1e-9
+
+
+def test_post_churn_filter_is_optional(spark):
+    comp = _companies(spark, [{"company_id": "x", "signup_date": D(2024, 1, 1)}])
+    lab = spark.createDataFrame([("x", True, D(2024, 3, 15))],
+                                "company_id string, churn_flag boolean, churn_date date")
+    empty = lambda t: frame(spark, t, [])
+    args = (comp, _user_day(spark, [], []), empty("support_tickets"), empty("payments"),
+            empty("subscriptions"), frame(spark, "subscription_plans", PLANS), lab, AS_OF)
+    assert features.company_features(*args).count() == 6          # Jan..Jun kept
+    kept = features.company_features(*args, drop_post_churn=True)
+    assert sorted(r.as_of_date for r in kept.collect()) == [D(2024, 1, 31), D(2024, 2, 29)]
