@@ -19,7 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import lit_date, month_end, month_sequence, month_start
@@ -65,11 +65,14 @@ def months_covered(df: DataFrame, start: str, end: str, as_of: _dt.date,
 def latest_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                      values: Sequence[str]) -> DataFrame:
     """Per group, the values of the row with the greatest ``order``
-    tuple (first column most significant; later columns break ties).
-    ``max(struct)`` is a grouped aggregate with a partial (map-side) step."""
-    packed = F.max(F.struct(*[F.col(c) for c in list(order) + list(values)])).alias("_top")
-    return df.groupBy(*keys).agg(packed).select(
-        *keys, *[F.col(f"_top.{c}").alias(c) for c in values])
+    tuple (first column most significant; later columns, then the values
+    themselves, break ties, so the pick is deterministic).
+    ``row_number() = 1`` plans as a WindowGroupLimit whose partial step
+    keeps one row per group and task before the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() for c in list(order) + list(values)])
+    return (df.select(*keys, *order, *values).withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") == 1).select(*keys, *values))
 
 
 def spread_to_month_ends(df: DataFrame, date_col: str, window_days: int,
