@@ -85,14 +85,16 @@ def impute(train: DataFrame, others: list[DataFrame]) -> tuple[DataFrame, list[D
     return apply(train), [apply(d) for d in others]
 
 
-def class_weights(train: DataFrame) -> DataFrame:
-    """Balanced weights n / (2 * n_class); fails clearly without both classes."""
+def class_weights(train: DataFrame, with_count: bool = False):
+    """Balanced weights n / (2 * n_class); fails clearly without both
+    classes. One aggregate pass; ``with_count`` also returns n."""
     cnt = train.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(LABEL)).alias("p")).first()
     n, p = int(cnt["n"]), int(cnt["p"] or 0)
     if p == 0 or p == n:
         raise ValueError(f"training split needs both classes (rows={n}, positives={p})")
     w_pos, w_neg = n / (2.0 * p), n / (2.0 * (n - p))
-    return train.withColumn("weight", F.when(F.col(LABEL) == 1, F.lit(w_pos)).otherwise(F.lit(w_neg)))
+    out = train.withColumn("weight", F.when(F.col(LABEL) == 1, F.lit(w_pos)).otherwise(F.lit(w_neg)))
+    return (out, n) if with_count else out
 
 
 def build_pipeline(n_train: int) -> Pipeline:
@@ -114,8 +116,7 @@ def fit(features: DataFrame, cutoff: _dt.date) -> tuple[PipelineModel, DataFrame
     """Train on the pre-cutoff snapshots; returns (model, train, test)."""
     train, test = time_split(model_input(features), cutoff)
     train, (test,) = impute(train, [test])
-    train = class_weights(train)
-    n_train = train.count()
+    train, n_train = class_weights(train, with_count=True)
     model = build_pipeline(n_train).fit(train)
     return model, train, test
 

@@ -1,7 +1,7 @@
 """End-to-end run: raw files -> silver -> gold -> model -> risk monitor.
 
-    python -m churnlens.plans.pipeline --raw RAW_DIR --out OUT_DIR [--format csv]
-    python -m churnlens.plans.pipeline --testdata /root/testdata/sf0.01 --out OUT_DIR
+    python -m churnlens.plans.runner --raw RAW_DIR --out OUT_DIR [--format csv]
+    python -m churnlens.plans.runner --testdata /root/testdata/sf0.01 --out OUT_DIR
 
 Every table is written once (Parquet, zstd; month-keyed gold tables
 partitioned by month) and read back by its consumers, so a lost executor
@@ -22,7 +22,7 @@ from . import checks, model
 from .warehouse import Warehouse
 
 
-def run_pipeline(spark: SparkSession, out_root: str, raw_root: str | None = None,
+def build_all(spark: SparkSession, out_root: str, raw_root: str | None = None,
                  raw_format: str = "csv", testdata: str | None = None,
                  cutoff: _dt.date = model.REFERENCE_CUTOFF,
                  export_csv: bool = True) -> dict[str, float]:
@@ -82,7 +82,7 @@ def main(argv=None) -> int:
     spark = get_spark()
     cutoff = (_dt.date.fromisoformat(a.cutoff) if a.cutoff else
               (model.FIXTURE_CUTOFF if a.testdata else model.REFERENCE_CUTOFF))
-    t = run_pipeline(spark, a.out, a.raw, a.format, a.testdata, cutoff)
+    t = build_all(spark, a.out, a.raw, a.format, a.testdata, cutoff)
     print(json.dumps(t))
     return 0
 

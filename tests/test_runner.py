@@ -1,16 +1,16 @@
-"""End-to-end pipeline run with partitioned writes and the BI export."""
+"""End-to-end run with partitioned writes and the BI export."""
 
 import os
 import tempfile
 
 from churnlens.plans import model
-from churnlens.plans.pipeline import run_pipeline
+from churnlens.plans.runner import build_all
 from conftest import SMOKE_DIR
 
 
-def test_pipeline_end_to_end(spark):
-    out = tempfile.mkdtemp(prefix="pipe-", dir="/tmp")
-    t = run_pipeline(spark, out, testdata=SMOKE_DIR, cutoff=model.FIXTURE_CUTOFF)
+def test_build_all_end_to_end(spark):
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    t = build_all(spark, out, testdata=SMOKE_DIR, cutoff=model.FIXTURE_CUTOFF)
     assert "company_risk_monitor" in t
     mon = spark.read.parquet(f"{out}/gold/company_risk_monitor_model")
     mrr = spark.read.parquet(f"{out}/gold/company_mrr")
