@@ -26,7 +26,7 @@ CATEGORICAL_FEATURES = ["plan_type"]
 LABEL = "churn_in_next_30d"
 ID_COLS = ["company_id", "as_of_date"]
 EXCLUDED = ["days_to_first_invite", "churn_flag_static"]  # look past the snapshot
-REFERENCE_CUTOFF = _dt.date(2024, 9, 1)
+DEFAULT_CUTOFF = _dt.date(2024, 9, 1)
 FIXTURE_CUTOFF = _dt.date(2000, 1, 1)
 MAX_ITER = 2000
 C = 1.0

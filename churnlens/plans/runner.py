@@ -24,7 +24,7 @@ from .warehouse import Warehouse
 
 def build_all(spark: SparkSession, out_root: str, raw_root: str | None = None,
                  raw_format: str = "csv", testdata: str | None = None,
-                 cutoff: _dt.date = model.REFERENCE_CUTOFF,
+                 cutoff: _dt.date = model.DEFAULT_CUTOFF,
                  export_csv: bool = True) -> dict[str, float]:
     if testdata:
         raw_fn = lambda: fixtures.raw_tables(spark, testdata)
@@ -81,7 +81,7 @@ def main(argv=None) -> int:
     from ..session import get_spark
     spark = get_spark()
     cutoff = (_dt.date.fromisoformat(a.cutoff) if a.cutoff else
-              (model.FIXTURE_CUTOFF if a.testdata else model.REFERENCE_CUTOFF))
+              (model.FIXTURE_CUTOFF if a.testdata else model.DEFAULT_CUTOFF))
     t = build_all(spark, a.out, a.raw, a.format, a.testdata, cutoff)
     print(json.dumps(t))
     return 0
