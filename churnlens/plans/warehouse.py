@@ -11,6 +11,7 @@ reuse silver/gold instead of re-cleaning 100 TB per table.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -22,6 +23,7 @@ from . import analytics, features, gold, model, risk
 from .silver import build_silver
 
 _REGISTRY: dict[tuple, "Warehouse"] = {}
+_REGISTRY_LOCK = threading.Lock()
 # Month-keyed gold tables are written partitioned by their month column
 # in production runs, so month-filtered reads prune to one folder.
 MONTH_KEYS = ("month_start", "as_of_date")
@@ -38,15 +40,19 @@ class Warehouse:
         self.cutoff = cutoff or model.FIXTURE_CUTOFF
         self.partition_months = partition_months
         self._memo: dict[str, object] = {}
+        # Re-entrant: builders call other memoised builders. Concurrent
+        # callers wait for a layer instead of writing it twice.
+        self._lock = threading.RLock()
 
     # -- construction helpers -------------------------------------------------
     @classmethod
     def for_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
         key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
-        wh = _REGISTRY.get(key)
-        if wh is None:
-            wh = cls(spark, lambda: fixtures.raw_tables(spark, sf_dir), **kw)
-            _REGISTRY[key] = wh
+        with _REGISTRY_LOCK:
+            wh = _REGISTRY.get(key)
+            if wh is None:
+                wh = cls(spark, lambda: fixtures.raw_tables(spark, sf_dir), **kw)
+                _REGISTRY[key] = wh
         return wh
 
     def _keep(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
@@ -59,9 +65,10 @@ class Warehouse:
         return io.read_table(self.spark, self.root, name).select(*df.columns)
 
     def memo(self, name: str, build: Callable[[], object]):
-        if name not in self._memo:
-            self._memo[name] = build()
-        return self._memo[name]
+        with self._lock:
+            if name not in self._memo:
+                self._memo[name] = build()
+            return self._memo[name]
 
     def table(self, name: str, build: Callable[[], DataFrame],
               partition_by: list[str] | None = None) -> DataFrame:
