@@ -27,6 +27,12 @@ EPS = 1e-9
 MAX_BUCKETS = 512
 
 
+def _nz(c: F.Column) -> F.Column:
+    """Denominator guard: ANSI mode raises on x / 0; an undefined metric
+    (e.g. no positives in the split) is NULL instead."""
+    return F.nullif(c, F.lit(0))
+
+
 def score_summary(scored: DataFrame, score: str = "score", label: str = "label",
                   buckets: int | None = None) -> DataFrame:
     """Per distinct score s: pos, neg, n and the inclusive running counts
@@ -87,10 +93,11 @@ def auc_ap(summary: DataFrame) -> DataFrame:
     agg = s.agg(F.sum(num).alias("num"),
                 F.sum(F.col("pos").cast("double") * prec).alias("ap_num"),
                 F.max("total_pos").alias("total_pos"), F.max("total_neg").alias("total_neg"))
+    pairs = F.col("total_pos").cast("double") * F.col("total_neg").cast("double") * 2.0
     return agg.select(
-        F.round(F.col("num").cast("double")
-                / (F.col("total_pos").cast("double") * F.col("total_neg").cast("double") * 2.0), 6).alias("roc_auc"),
-        F.round(F.col("ap_num") / F.col("total_pos").cast("double"), 6).alias("average_precision"),
+        F.round(F.col("num").cast("double") / _nz(pairs), 6).alias("roc_auc"),
+        F.round(F.col("ap_num") / _nz(F.col("total_pos").cast("double")), 6)
+        .alias("average_precision"),
         F.col("total_pos").alias("positives"), F.col("total_neg").alias("negatives"))
 
 
@@ -98,8 +105,8 @@ def roc_curve(summary: DataFrame) -> DataFrame:
     """One point per distinct threshold (all points kept)."""
     s = _ge(summary)
     return s.select(F.col("s").alias("threshold"),
-                    F.round(F.col("neg_ge") / F.col("total_neg"), 6).alias("fpr"),
-                    F.round(F.col("pos_ge") / F.col("total_pos"), 6).alias("tpr"))
+                    F.round(F.col("neg_ge") / _nz(F.col("total_neg")), 6).alias("fpr"),
+                    F.round(F.col("pos_ge") / _nz(F.col("total_pos")), 6).alias("tpr"))
 
 
 def _thresholds(summary: DataFrame, fractions: Sequence[float]) -> DataFrame:
@@ -149,7 +156,7 @@ def top_k_report(summary: DataFrame, fractions: Sequence[float] = TOP_K_FRACTION
     r = F.broadcast(th).crossJoin(F.broadcast(tot)).join(hit.drop("total_pos", "total_neg"), ["k", "threshold"], "left")
     tp = F.coalesce("tp", F.lit(0)).cast("bigint")
     fp = F.coalesce("fp", F.lit(0)).cast("bigint")
-    base = F.col("P0").cast("double") / (F.col("P0") + F.col("N0")).cast("double")
+    base = F.col("P0").cast("double") / _nz((F.col("P0") + F.col("N0")).cast("double"))
     prec = tp / (tp + fp + F.lit(EPS))
     return r.select(
         F.col("k").alias("top_fraction"), F.col("threshold"),
@@ -158,7 +165,7 @@ def top_k_report(summary: DataFrame, fractions: Sequence[float] = TOP_K_FRACTION
         F.round(prec, 6).alias("precision"),
         F.round(tp / (F.col("P0") + F.lit(EPS)), 6).alias("recall"),
         F.round(base, 6).alias("baseline_rate"),
-        F.round(prec / base, 6).alias("lift"))
+        F.round(prec / _nz(base), 6).alias("lift"))
 
 
 def precision_curve(summary: DataFrame) -> DataFrame:

@@ -66,3 +66,11 @@ def test_histogram_matches_numpy_counts(spark, data):
         want, _ = np.histogram(s[y == cls], bins=50)
         got = [r["count"] for r in sorted((r for r in h if r.label == cls), key=lambda r: r.bin)]
         assert got == list(want)
+
+
+def test_single_class_gives_null_metrics_not_errors(spark):
+    summ = ev.score_summary(_frame(spark, [0.1, 0.2, 0.2], [0, 0, 0]), buckets=2)
+    r = ev.auc_ap(summ).first()
+    assert r.roc_auc is None and r.average_precision is None and r.positives == 0
+    top = ev.top_k_report(summ).collect()
+    assert len(top) == 4 and all(t.lift is None and t.tp == 0 for t in top)
