@@ -47,11 +47,12 @@ def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> str:
-    """A3/A5: DROP + CREATE TABLE AS -> overwrite a Parquet table.
+    """A3/A5: DROP + CREATE TABLE AS -> overwrite a Parquet table (static
+    overwrite: the whole table is replaced, months that disappeared from
+    the data disappear from the table).
 
     Month-keyed gold tables are partitioned by month so dashboard reads
-    prune partitions. With dynamic partition overwrite a re-run of one
-    month replaces only that month.
+    prune partitions.
     """
     path = f"{root}/{name}"
     if partition_by:
