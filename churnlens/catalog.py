@@ -15,6 +15,7 @@ from pyspark.sql.types import DecimalType
 
 from . import oracle
 from .functions import buckets as _bk
+from .operators import quality as _q
 from .plans import analytics as _an
 from .plans import checks as _ck
 from .plans import dashboards as _db
@@ -466,3 +467,14 @@ order by f.company_id, f.as_of_date limit 50""")(
         wh.features().where(F.col("churn_in_next_30d") == 1).select("company_id", "as_of_date")
         .join(wh.churn_label().select("company_id", "churn_date"), "company_id"),
         F.col("churn_date") <= F.col("as_of_date"), ["company_id", "as_of_date"]))
+
+# -- L7 / L8 in their counter form (F8) ---------------------------------------
+
+register("dq_company_critical_nulls", """
+select count(*) filter (where company_id is null) as null_company_id,
+  count(*) filter (where company_name is null) as null_company_name, count(*) as total
+from silver_companies""")(lambda wh: _q.null_counts(wh.s("companies"), ["company_id", "company_name"]))
+
+register("dq_churn_flag_completeness", """
+select count(*) filter (where churn_flag is null) as null_churn_flag, count(*) as total
+from gold_company_churn_label""")(lambda wh: _q.null_counts(wh.churn_label(), ["churn_flag"]))
