@@ -120,12 +120,16 @@ def keep_referenced(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Da
             .select(*child.columns))
 
 
-def flag_referenced(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str) -> DataFrame:
+def flag_referenced(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str,
+                    parent_unique: bool = False) -> DataFrame:
     """B7 in one pass: add a boolean ``flag`` that is true when the FK is
     NULL or found in the parent. Writing the flagged table once yields both
     the silver rows (flag true) and the quarantine (flag false) without a
-    second scan of the child."""
-    keys = parent.select(F.col(pk).alias("_fk"), F.lit(True).alias("_ref")).distinct()
+    second scan of the child. ``parent_unique`` skips de-duplicating the
+    parent keys when the parent is already unique on ``pk``."""
+    keys = parent.select(F.col(pk).alias("_fk"), F.lit(True).alias("_ref"))
+    if not parent_unique:
+        keys = keys.distinct()
     return (child.join(keys, F.col(fk) == F.col("_fk"), "left")
             .withColumn(flag, F.col(fk).isNull() | F.coalesce(F.col("_ref"), F.lit(False)))
             .drop("_fk", "_ref"))

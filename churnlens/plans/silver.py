@@ -113,7 +113,9 @@ def build_silver_table(table: str, raw: DataFrame, parents: dict[str, DataFrame]
     ok = F.lit(True)
     if enforce_fk:
         for fk, parent, pk in FK_PARENTS.get(table, []):
-            df = clean.flag_referenced(df, fk, parents[parent], pk, fk_flag(fk))
+            # silver parents are de-duplicated on their key already
+            df = clean.flag_referenced(df, fk, parents[parent], pk, fk_flag(fk),
+                                       parent_unique=True)
             ok = ok & F.col(fk_flag(fk))
     return df.withColumn(FK_OK, ok)
 
