@@ -360,8 +360,7 @@ register("dash_portfolio_grid", _exp_sql(
 register("gold_monthly_activity", "select * from gold_monthly_activity")(
     lambda wh: _gd.monthly_activity(wh.daily_activity()))
 
-register("gold_monthly_active_users", "select * from mau_t")(
-    lambda wh: _gd.monthly_active_users(wh.user_day()))
+register("gold_monthly_active_users", "select * from mau_t")(lambda wh: wh.mau())
 
 register("gold_monthly_tickets", """
 select company_id, cast(date_trunc('month', created_at) as date) as month_start,

@@ -111,16 +111,19 @@ def monthly_failed_payments(payments: DataFrame) -> DataFrame:
 
 def company_monthly_metrics(companies: DataFrame, user_day: DataFrame, tickets: DataFrame,
                             payments: DataFrame, as_of: _dt.date,
-                            daily: DataFrame | None = None) -> DataFrame:
+                            daily: DataFrame | None = None,
+                            mau: DataFrame | None = None) -> DataFrame:
     """K6: spine left-joined to the pre-aggregated monthly facts, zero-filled.
     Every fact is aggregated to (company, month) before it meets the spine,
-    so the joins are 1:1 and co-partitioned on the same keys."""
+    so the joins are 1:1 and co-partitioned on the same keys. ``daily`` and
+    ``mau`` (K2, K4) are reused when already built."""
     daily = daily if daily is not None else company_daily_activity(user_day)
+    mau = mau if mau is not None else monthly_active_users(user_day)
     keys = ["company_id", "month_start"]
     spine = month_spine(companies, as_of)
     act = monthly_activity(daily).drop("active_days", "peak_daily_active_users")
     out = (spine.join(act, keys, "left")
-           .join(monthly_active_users(user_day), keys, "left")
+           .join(mau, keys, "left")
            .join(monthly_tickets(tickets), keys, "left")
            .join(monthly_failed_payments(payments), keys, "left"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
@@ -148,12 +151,14 @@ def mrr_plan_per_month(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.da
 
 
 def company_mrr(companies: DataFrame, user_day: DataFrame, subscriptions: DataFrame,
-                plans: DataFrame, as_of: _dt.date) -> DataFrame:
+                plans: DataFrame, as_of: _dt.date, mau: DataFrame | None = None) -> DataFrame:
     """K7: gold.company_mrr = monthly active users x price per user of the
-    month's plan (billing cycle is not normalised, as in the source)."""
+    month's plan (billing cycle is not normalised, as in the source).
+    ``mau`` (K4) is reused when already built."""
     keys = ["company_id", "month_start"]
     spine = month_spine(companies, as_of)
-    mau = monthly_active_users(user_day, "active_user_count")
+    mau = (monthly_active_users(user_day) if mau is None else mau).withColumnRenamed(
+        "monthly_active_users", "active_user_count")
     plan = mrr_plan_per_month(subscriptions, plans, as_of)
     users = F.coalesce(F.col("active_user_count"), F.lit(0)).cast("bigint")
     price = F.coalesce(F.col("price_per_user"), F.lit(0).cast("decimal(18,2)"))

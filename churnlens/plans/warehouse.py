@@ -102,15 +102,20 @@ class Warehouse:
         return self.table("gold/company_daily_activity",
                           lambda: gold.company_daily_activity(self.user_day()))
 
+    def mau(self) -> DataFrame:
+        """K4 once, shared by monthly metrics and MRR."""
+        return self.table("gold/_monthly_active_users",
+                          lambda: gold.monthly_active_users(self.user_day()))
+
     def monthly_metrics(self) -> DataFrame:
         return self.table("gold/company_monthly_metrics", lambda: gold.company_monthly_metrics(
             self.s("companies"), self.user_day(), self.s("support_tickets"),
-            self.s("payments"), self.as_of(), daily=self.daily_activity()))
+            self.s("payments"), self.as_of(), daily=self.daily_activity(), mau=self.mau()))
 
     def company_mrr(self) -> DataFrame:
         return self.table("gold/company_mrr", lambda: gold.company_mrr(
             self.s("companies"), self.user_day(), self.s("subscriptions"),
-            self.s("subscription_plans"), self.as_of()))
+            self.s("subscription_plans"), self.as_of(), mau=self.mau()))
 
     def churn_label(self) -> DataFrame:
         return self.table("gold/company_churn_label", lambda: gold.company_churn_label(
