@@ -75,7 +75,8 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                      F.when(F.col("slot") == 0, "admin").otherwise("member").alias("role"),
                      F.col("first_o").cast("date").cast("string").alias("join_date"),
                      F.col("last_o").cast("date").cast("string").alias("last_active_date"),
-                     F.when(F.col("last_o") >= F.lit(ACTIVE_USER_SINCE), "t").otherwise("f")
+                     F.when(F.col("last_o") >= F.lit(ACTIVE_USER_SINCE.isoformat(sep=" "))
+                            .cast("timestamp_ntz"), "t").otherwise("f")
                      .alias("is_active")))
 
     li_o = lineitem.join(orders.select("o_orderkey", "o_custkey"),

@@ -8,7 +8,9 @@ change (event-time watermark), appended to the gold table.
 
 Two chained event-time aggregations (user-day, then company-day) keep
 the distinct-user count exact without a distinct aggregate on a stream;
-users are a static (batch) join side, re-read per micro-batch.
+users are a static (batch) join side, re-read per micro-batch. Day
+windows are UTC days: run with ``spark.sql.session.timeZone=UTC`` (as
+``churnlens.session`` sets) so they equal the batch table's dates.
 """
 
 from __future__ import annotations
