@@ -19,6 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Fixed values of the evaluation protocol.
 TOP_K_FRACTIONS = (0.02, 0.05, 0.10, 0.20)
 PRECISION_CURVE_POINTS = tuple(float(x) for x in np.linspace(0.01, 0.50, 20))
@@ -43,6 +45,10 @@ def score_summary(scored: DataFrame, score: str = "score", label: str = "label",
          .groupBy("s").agg(F.sum("y").cast("bigint").alias("pos"),
                            F.count(F.lit(1)).alias("n")))
     g = g.withColumn("neg", F.col("n") - F.col("pos"))
+    # Used twice (bucket cut points, then the running sums): write it once
+    # to the shared checkpoint folder instead of aggregating the scores twice.
+    ensure_checkpoint_dir(g.sparkSession)
+    g = g.checkpoint(eager=True)
     nb = buckets or max(1, min(MAX_BUCKETS, int(g.sparkSession.conf.get(
         "spark.sql.shuffle.partitions")) * 4))
     if nb > 1:
