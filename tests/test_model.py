@@ -50,3 +50,21 @@ def test_single_class_training_fails_clearly(spark):
     df = spark.createDataFrame([(0,), (0,)], f"{md.LABEL} int")
     with pytest.raises(ValueError, match="both classes"):
         md.class_weights(df)
+
+
+def test_impute_median_and_most_frequent_fitted_on_train(spark):
+    cols = md.ID_COLS + md.NUMERIC_FEATURES + ["days_to_first_invite", "plan_type", md.LABEL]
+    schema = ", ".join(["company_id string", "as_of_date date"]
+                       + [f"{c} double" for c in md.NUMERIC_FEATURES]
+                       + ["days_to_first_invite int", "plan_type string", f"{md.LABEL} int"])
+    d = dt.date(2024, 1, 31)
+    vals = [1.0, 2.0, 10.0, 4.0, None]           # median of non-null = 3.0 (mean of middles)
+    plans = ["Pro", "Basic", "Pro", "Basic", None]  # tie 2-2 -> alphabetical "Basic"
+    rows = [("c", d, v, *([0.0] * 6), None, p, 0) for v, p in zip(vals, plans)]
+    train = spark.createDataFrame(rows, schema)
+    test = spark.createDataFrame([("t", d, None, *([0.0] * 6), None, None, 0)], schema)
+    tr, (te,) = md.impute(train, [test])
+    assert cols == tr.columns
+    r = te.first()
+    assert r[md.NUMERIC_FEATURES[0]] == 3.0 and r.plan_type == "Basic"
+    assert tr.where(tr[md.NUMERIC_FEATURES[0]].isNull()).count() == 0
