@@ -51,8 +51,18 @@ def risk_vs_engagement(monitor: DataFrame) -> DataFrame:
     return monitor.select("company_id", "month_start", "logins_30d", "churn_probability", "mrr")
 
 
+def tercile_edges(df: DataFrame, col: str = "logins_30d",
+                  labels=("low", "medium", "high")) -> tuple:
+    """Q23 alternative to fixed edges: tiers cut at the exact 1/3 and 2/3
+    quantiles of ``col`` (numpy linear), from the distributed summary."""
+    from .evaluate import exact_quantile
+    q1, q2 = exact_quantile(df, col, 1 / 3), exact_quantile(df, col, 2 / 3)
+    return ((float("-inf"), labels[0]), (q1, labels[1]), (q2, labels[2]))
+
+
 def by_usage_tier(monitor: DataFrame, edges=ENGAGEMENT_EDGES) -> DataFrame:
-    """Exposure by engagement tier of 30-day logins."""
+    """Exposure by engagement tier of 30-day logins (fixed edges by
+    default; ``tercile_edges(monitor)`` for data-driven tiers)."""
     return _exposure(monitor.withColumn("usage_tier", bucket("logins_30d", edges)),
                      ["month_start", "usage_tier"])
 

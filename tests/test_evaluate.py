@@ -74,3 +74,11 @@ def test_single_class_gives_null_metrics_not_errors(spark):
     assert r.roc_auc is None and r.average_precision is None and r.positives == 0
     top = ev.top_k_report(summ).collect()
     assert len(top) == 4 and all(t.lift is None and t.tp == 0 for t in top)
+
+
+def test_tercile_tiers_match_numpy(spark, data):
+    from churnlens.plans import dashboards as db
+    s, _ = data
+    df = spark.createDataFrame([(float(v),) for v in s], "logins_30d double")
+    edges = db.tercile_edges(df)
+    assert edges[1][0] == np.quantile(s, 1 / 3) and edges[2][0] == np.quantile(s, 2 / 3)
