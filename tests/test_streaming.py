@@ -30,3 +30,31 @@ def test_stream_matches_batch_for_closed_days(spark):
     last = batch.agg(F.max("activity_date")).first()[0]
     missing = batch.exceptAll(got).where(F.col("activity_date") < F.date_sub(F.lit(last), 3))
     assert missing.count() == 0
+
+
+def test_stream_drops_duplicates_and_counts_late_events_inside_bound(spark):
+    import datetime as dt
+
+    from churnlens.sources.schemas import SILVER
+    base = tempfile.mkdtemp(prefix="stream2-", dir="/tmp")
+    src = os.path.join(base, "events")
+    users = spark.createDataFrame([("u1", "c1"), ("u2", "c1")], "user_id string, company_id string")
+    t = lambda d, h: dt.datetime(2024, 1, d, h)
+    batches = [
+        [("e1", "u1", "login", t(1, 9)), ("e2", "u2", "login", t(1, 10))],
+        [("e1", "u1", "login", t(1, 9)),                  # duplicate id -> dropped
+         ("e3", "u1", "invite_sent", t(2, 8))],
+        [("e4", "u2", "file_uploaded", t(1, 23)),         # late, inside the 2-day bound
+         ("e5", "u1", "login", t(9, 12))],                # advances the watermark
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, SILVER["events"]).coalesce(1).write.mode("append").parquet(src)
+    q = start_refresh(spark, src, users, os.path.join(base, "out"), os.path.join(base, "ckpt"),
+                      max_files_per_trigger=1)
+    q.awaitTermination(600)
+    got = {r.activity_date: r for r in spark.read.parquet(os.path.join(base, "out")).collect()}
+    d1 = got[dt.date(2024, 1, 1)]
+    assert (d1.active_users, d1.login_count, d1.files_uploaded, d1.total_events) == (2, 2, 1, 3)
+    d2 = got[dt.date(2024, 1, 2)]
+    assert (d2.active_users, d2.invites_sent, d2.total_events) == (1, 1, 1)
+    assert dt.date(2024, 1, 9) not in got                 # still open at the end
