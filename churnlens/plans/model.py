@@ -52,7 +52,16 @@ def split_counts(df: DataFrame, cutoff: _dt.date) -> DataFrame:
                  F.sum(F.col(LABEL)).cast("bigint").alias("churners")))
 
 
-def impute(train: DataFrame, others: list[DataFrame]) -> tuple[DataFrame, list[DataFrame]]:
+def train_stats(train: DataFrame):
+    """One aggregate pass over the training split: rows, positives and
+    NULLs per model input column (feeds both imputation and weights)."""
+    cols = NUMERIC_FEATURES + CATEGORICAL_FEATURES
+    return train.agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(LABEL)).alias("_p"),
+                     *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+
+
+def impute(train: DataFrame, others: list[DataFrame],
+           stats=None) -> tuple[DataFrame, list[DataFrame]]:
     """M3/M4: median for numeric columns and most frequent value (ties by
     name) for the categorical one, fitted on train only.
 
@@ -63,7 +72,8 @@ def impute(train: DataFrame, others: list[DataFrame]) -> tuple[DataFrame, list[D
     single-task percentile buffer."""
     from .evaluate import exact_quantile
     cols = NUMERIC_FEATURES + CATEGORICAL_FEATURES
-    nulls = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    nulls = stats if stats is not None else train.agg(
+        *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
     fill: dict[str, object] = {}
     for c in NUMERIC_FEATURES:
         if nulls[c]:
@@ -85,11 +95,15 @@ def impute(train: DataFrame, others: list[DataFrame]) -> tuple[DataFrame, list[D
     return apply(train), [apply(d) for d in others]
 
 
-def class_weights(train: DataFrame, with_count: bool = False):
+def class_weights(train: DataFrame, with_count: bool = False, stats=None):
     """Balanced weights n / (2 * n_class); fails clearly without both
-    classes. One aggregate pass; ``with_count`` also returns n."""
-    cnt = train.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(LABEL)).alias("p")).first()
-    n, p = int(cnt["n"]), int(cnt["p"] or 0)
+    classes. One aggregate pass (or precomputed ``train_stats``);
+    ``with_count`` also returns n."""
+    if stats is None:
+        cnt = train.agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(LABEL)).alias("_p")).first()
+    else:
+        cnt = stats
+    n, p = int(cnt["_n"]), int(cnt["_p"] or 0)
     if p == 0 or p == n:
         raise ValueError(f"training split needs both classes (rows={n}, positives={p})")
     w_pos, w_neg = n / (2.0 * p), n / (2.0 * (n - p))
@@ -115,8 +129,9 @@ def build_pipeline(n_train: int) -> Pipeline:
 def fit(features: DataFrame, cutoff: _dt.date) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Train on the pre-cutoff snapshots; returns (model, train, test)."""
     train, test = time_split(model_input(features), cutoff)
-    train, (test,) = impute(train, [test])
-    train, n_train = class_weights(train, with_count=True)
+    stats = train_stats(train)
+    train, (test,) = impute(train, [test], stats)
+    train, n_train = class_weights(train, with_count=True, stats=stats)
     model = build_pipeline(n_train).fit(train)
     return model, train, test
 
