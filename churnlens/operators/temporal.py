@@ -3,15 +3,15 @@
 * month spine (generate_series per company)           -> explode(sequence)
 * "latest row whose interval covers the month" (LATERAL ... ORDER BY ... LIMIT 1)
                                                         -> explode each interval
-  into the months it covers, then a grouped max(struct) per (key, month)
+  into the months it covers, then row_number() = 1 per (key, month)
 * "facts within N days before a snapshot" (join all history + FILTER)
                                                         -> copy each fact to the
   1-3 month-end snapshots whose window contains it, then a grouped aggregate
 
 All three are linear in their input: no per-key cross product, no
-unpartitioned window, and every grouped step has a map-side partial
-aggregate, so a key holding a third of the rows is combined before the
-shuffle instead of landing on one task.
+unpartitioned window, and every grouped step has a map-side partial step
+(partial aggregate or partial WindowGroupLimit), so a key holding a third
+of the rows is combined before the shuffle instead of landing on one task.
 """
 
 from __future__ import annotations
