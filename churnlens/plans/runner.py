@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from ..sources import fixtures, io
 from . import checks, model
+from .silver import quarantine_counts
 from .warehouse import Warehouse
 
 
@@ -60,6 +61,7 @@ def build_all(spark: SparkSession, out_root: str, raw_root: str | None = None,
                 "company_ltv": wh.ltv(), "company_features_for_model": wh.features()}
         io.write_table(checks.primary_keys(wh.silver(), gold), out_root, "checks/primary_keys")
         io.write_table(checks.foreign_keys(wh.silver()), out_root, "checks/foreign_keys")
+        io.write_table(quarantine_counts(wh.silver_flagged()), out_root, "checks/quarantine")
         io.write_table(checks.sanity_checks(wh.s("companies"), wh.churn_label(), wh.company_mrr(),
                                             wh.daily_activity(), wh.monthly_metrics(),
                                             wh.features()), out_root, "checks/sanity")

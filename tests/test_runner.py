@@ -20,5 +20,7 @@ def test_build_all_end_to_end(spark):
     assert all(r.bad_rows == 0 for r in sanity if r.check_name != "not_churned_with_date")
     fk = spark.read.parquet(f"{out}/checks/foreign_keys").collect()
     assert all(r.bad_rows == 0 for r in fk)
+    quarantine = spark.read.parquet(f"{out}/checks/quarantine").collect()
+    assert len(quarantine) == 6 and all(r.quarantined_rows == 0 for r in quarantine)
     csv = spark.read.option("header", "true").csv(f"{out}/export/company_risk_monitor")
     assert csv.count() == mon.count()
