@@ -22,11 +22,11 @@ def _month_ends(lo, hi):
 
 
 @settings(max_examples=15, deadline=None)
-@given(st.lists(dates, min_size=1, max_size=30), st.sampled_from([30, 60]))
+@given(st.lists(dates, min_size=1, max_size=30), st.sampled_from([0, 7, 30, 45, 60, 90]))
 def test_spread_equals_between(spark, ds, n):
     df = spark.createDataFrame([(i, d) for i, d in enumerate(ds)], "i int, d date")
     got = sorted((r.i, r.as_of_date) for r in spread_to_month_ends(df, "d", n).collect())
-    ends = _month_ends(BASE - dt.timedelta(days=70), BASE + dt.timedelta(days=600))
+    ends = _month_ends(BASE - dt.timedelta(days=100), BASE + dt.timedelta(days=700))
     want = sorted((i, e) for i, d in enumerate(ds) for e in ends
                   if e - dt.timedelta(days=n) <= d <= e)
     assert got == want
