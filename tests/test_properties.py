@@ -53,3 +53,20 @@ def test_months_covered_equals_predicate(spark, spans, pit):
             if ok:
                 want.append((i, m))
     assert got == sorted(want)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.integers(0, 3)),
+                          st.integers(0, 50)), min_size=1, max_size=40, unique_by=lambda t: t[2]))
+def test_latest_per_group_equals_brute_force(spark, rows):
+    from churnlens.operators.temporal import latest_per_group
+    df = spark.createDataFrame([(k, s, f"s{i:03d}", i) for k, s, i in rows],
+                               "k string, start int, sid string, v int")
+    got = {r.k: r.v for r in latest_per_group(df, ["k"], ["start", "sid"], ["v"]).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        # NULL start sorts lowest (as in max over a struct); then higher sid wins
+        best = max((r for r in rows if r[0] == k),
+                   key=lambda r: (r[1] is not None, r[1] if r[1] is not None else -1, f"s{r[2]:03d}"))
+        want[k] = best[2]
+    assert got == want
