@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,16 +55,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir`` (a shared folder); only when
-    it is unset (local tests) create a private scratch folder for it."""
+    """The cluster's ``spark.checkpoint.dir`` (a folder all executors share).
+
+    Only a local master may run without that setting: it gets a private
+    scratch folder. On a cluster a machine-local folder would be written on
+    every executor's own disk, so the missing setting is an error there."""
     sc = spark.sparkContext
     active = sc.getCheckpointDir()
     if active:
         return active
     current = sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    path = tempfile.mkdtemp(prefix="churnlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path
+    if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {sc.master})")
+        current = tempfile.mkdtemp(prefix="churnlens-ckpt-")
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
