@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import fingerprints, langid, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": minhash.op2_minhash_near_dedup,
+    "op5_document_fingerprints": fingerprints.op5_document_fingerprints,
+    "op10_language_id": langid.op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
