@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, langid, minhash, packing
+from . import bpe, chat, fingerprints, forest, langid, minhash, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": minhash.op2_minhash_near_dedup,
     "op4_bpe_transducer": bpe.op4_bpe_transducer,
     "op5_document_fingerprints": fingerprints.op5_document_fingerprints,
+    "op6_projection_forest": forest.op6_projection_forest,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_chat_windows": chat.op8_chat_windows,
     "op10_language_id": langid.op10_language_id,
@@ -19,5 +20,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_minhash_near_dedup": minhash.ORACLE,
+    "op6_projection_forest": forest.ORACLE,
     "op8_chat_windows": chat.ORACLE,
 }
