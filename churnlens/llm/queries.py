@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, forest, langid, minhash, packing
+from . import bpe, chat, fingerprints, forest, langid, minhash, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": minhash.op2_minhash_near_dedup,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_projection_forest": forest.op6_projection_forest,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_chat_windows": chat.op8_chat_windows,
+    "op9_extendible_shards": sharding.op9_extendible_shards,
     "op10_language_id": langid.op10_language_id,
 }
 
@@ -22,4 +23,5 @@ ORACLE: dict[str, str] = {
     "op2_minhash_near_dedup": minhash.ORACLE,
     "op6_projection_forest": forest.ORACLE,
     "op8_chat_windows": chat.ORACLE,
+    "op9_extendible_shards": sharding.ORACLE,
 }
