@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, forest, langid, minhash, packing, sharding
+from . import bpe, chat, fingerprints, forest, langid, minhash, packing, sharding, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": minhash.op2_minhash_near_dedup,
+    "op3_pii_surrogates": surrogates.op3_pii_surrogates,
     "op4_bpe_transducer": bpe.op4_bpe_transducer,
     "op5_document_fingerprints": fingerprints.op5_document_fingerprints,
     "op6_projection_forest": forest.op6_projection_forest,
