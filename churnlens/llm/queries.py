@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, forest, langid, minhash, packing, sharding, surrogates
+from . import bpe, chat, fingerprints, forest, langid, lm_score, minhash, packing, sharding, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pseudo_likelihood": lm_score.op1_pseudo_likelihood,
     "op2_minhash_near_dedup": minhash.op2_minhash_near_dedup,
     "op3_pii_surrogates": surrogates.op3_pii_surrogates,
     "op4_bpe_transducer": bpe.op4_bpe_transducer,
