@@ -22,9 +22,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import SparkSession
 
 from .common import slices
 
@@ -156,7 +155,7 @@ def entropies(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return total * logs / np.maximum(sizes, 1)[:, None], letters
 
 
-def _predict(model: Model):
+def _predict(model: Model, columns: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -172,20 +171,21 @@ def _predict(model: Model):
                     names = [model.languages[b] if ok else UNDETERMINED for b, ok in zip(best, letters)]
                 yield pa.RecordBatch.from_arrays(
                     [*[c[i:j] for c in batch.columns], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                    names=[*batch.schema.names, "lang_pred", "score"])
+                    names=[*batch.schema.names, *columns])
     return run
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns, lang_pred, score, one row for each row of ``docs``.
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The ``keep`` columns, lang_pred, score (or ``names``), one row for each row of ``docs``.
 
     ``und`` with score 0 for a null text or one without letters; otherwise
     the score is the relative lead over the next language (0 for a tie, which
     goes to the first name). Without any labelled sample all are ``und``."""
     chosen = docs.select(*[F.col(c) for c in keep], *([] if "text" in keep else ["text"]))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields]
-    out = chosen.mapInArrow(_predict(model), ", ".join([*fields, "lang_pred string", "score double"]))
-    return out.select(*keep, "lang_pred", "score")
+    fields += [f"`{names[0]}` string", f"`{names[1]}` double"]
+    return chosen.mapInArrow(_predict(model, names), ", ".join(fields)).select(*keep, *names)
 
 
 def held_out() -> Column:

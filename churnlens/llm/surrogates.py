@@ -254,49 +254,50 @@ def _render(kind: Column, mention: Column, shown: Column, made: Column) -> Colum
 def replace_entities(spark: SparkSession, docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in ``text``, and a column ``n_entities``.
 
-    All rows and columns stay; ``n_chars``, if there, is the new length. A
+    All rows and columns stay (but for an ``n_entities`` there was before);
+    ``n_chars``, if there, is the new length. A
     null text stays null with no entities. Rewriting depends on the text
     alone, so repeated rows agree, and equal texts are worked on once.
     Untitled mentions of a name found in the same text are replaced as well."""
     scratch = Scratch(spark, "surrogates")
     text = F.col("text")
     found = text.rlike(_GATE) & text.rlike(_ALL)
-    mentions = (docs.where(found).select(F.sha2("text", 256).alias("_key"), F.regexp_extract_all("text", F.lit(_ALL), F.lit(0)).alias("m"))
-                .groupBy("_key").agg(F.first("m").alias("m")).select("_key", F.posexplode("m").alias("pos", "mention")))
+    mentions = (docs.where(found).select(F.sha2("text", 256).alias("_pii_key"), F.regexp_extract_all("text", F.lit(_ALL), F.lit(0)).alias("_pii_mentions"))
+                .groupBy("_pii_key").agg(F.first("_pii_mentions").alias("_pii_mentions")).select("_pii_key", F.posexplode("_pii_mentions").alias("pos", "mention")))
     mentions = mentions.withColumn("whole", _kind(F.col("mention")))
-    tokens = mentions.select("_key", "pos", "mention", "whole", F.posexplode(_tokens(F.col("whole"), F.col("mention"))).alias("part", "e"))
-    tokens = scratch.save(tokens.select("_key", "pos", "mention", "whole", "part", "e.*"), "tokens")
+    tokens = mentions.select("_pii_key", "pos", "mention", "whole", F.posexplode(_tokens(F.col("whole"), F.col("mention"))).alias("part", "e"))
+    tokens = scratch.save(tokens.select("_pii_key", "pos", "mention", "whole", "part", "e.*"), "tokens")
     made = assign(tokens.select("kind", "value").distinct(), key, scratch)
     tokens = (tokens.join(made, ["kind", "value"])
               .withColumn("new", _render(F.col("kind"), F.col("mention"), F.col("shown"), F.col("surrogate"))))
-    spans = tokens.groupBy("_key", "pos").agg(
+    spans = tokens.groupBy("_pii_key", "pos").agg(
         F.first("whole").alias("whole"), F.first("mention").alias("mention"),
         F.sort_array(F.collect_list(F.struct("part", "shown", "new"))).alias("parts"))
     named = F.col("whole").isin("woman", "man")
     title = F.regexp_extract("mention", rf"^(?:{_TITLE})\.? ", 0)
     spans = spans.withColumn("new", F.when(named, F.concat(title, F.array_join("parts.new", " "))).otherwise(F.get("parts.new", F.lit(0))))
     names = F.flatten(F.collect_list(F.when(named, F.transform("parts", lambda p: F.struct(p["shown"], p["new"])))))
-    rewritten = scratch.save(spans.groupBy("_key").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda s: s["new"]).alias("_new"),
-        F.array_distinct(names).alias("_names")), "rewritten")
+    rewritten = scratch.save(spans.groupBy("_pii_key").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda s: s["new"]).alias("_pii_new"),
+        F.array_distinct(names).alias("_pii_names")), "rewritten")
     gaps = F.split("text", _ALL)
-    joined = F.array_join(F.zip_with(gaps, F.concat("_new", F.array(F.lit(""))), lambda g, n: F.concat(g, n)), "")
+    joined = F.array_join(F.zip_with(gaps, F.concat("_pii_new", F.array(F.lit(""))), lambda g, n: F.concat(g, n)), "")
     words = F.split(joined, r"(?<=[\p{L}\p{M}])(?![\p{L}\p{M}])|(?<![\p{L}\p{M}])(?=[\p{L}\p{M}])")
 
     def renamed(word: Column) -> Column:
-        match = F.filter("_names", lambda n: n["shown"] == word)
+        match = F.filter("_pii_names", lambda n: n["shown"] == word)
         return F.when(F.size(match) > 0, F.get(match, F.lit(0))["new"]).otherwise(word)
 
-    fresh = F.when(F.size("_names") > 0, F.array_join(F.transform(words, renamed), "")).otherwise(joined)
-    rows = docs.where(found).withColumn("_key", F.sha2("text", 256)).join(rewritten, "_key")
-    columns = [c for c in docs.columns if c not in ("text", "n_chars")]
-    changed = rows.select(*columns, fresh.alias("text"), F.size("_new").alias("n_entities"))
+    fresh = F.when(F.size("_pii_names") > 0, F.array_join(F.transform(words, renamed), "")).otherwise(joined)
+    rows = docs.where(found).withColumn("_pii_key", F.sha2("text", 256)).join(rewritten, "_pii_key")
+    columns = [c for c in docs.columns if c not in ("text", "n_chars", "n_entities")]
+    changed = rows.select(*columns, fresh.alias("text"), F.size("_pii_new").alias("n_entities"))
     same = docs.where(~F.coalesce(found, F.lit(False))).select(*columns, "text", F.lit(0).alias("n_entities"))
     out = same.unionByName(changed)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.char_length("text").cast(kind))
-    return out.select(*docs.columns, "n_entities")
+    return out.select(*[c for c in docs.columns if c != "n_entities"], "n_entities")
 
 
 #: For queries and tests; a production run passes its own secret.
