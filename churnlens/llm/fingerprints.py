@@ -98,8 +98,11 @@ def with_next(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Window]:
     cuts = sorted(set(ids.approxQuantile("_id", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.col("doc_id").cast("double").alias("_id"))
-    cut = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_id", outputCol="_at", handleInvalid="keep")
-    docs = cut.transform(docs.withColumn("_id", F.coalesce("_id", F.lit(float("-inf")))))
+    docs = docs.withColumn("_id", F.coalesce("_id", F.lit(float("-inf"))))
+    if cuts:
+        docs = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_id", outputCol="_at").transform(docs)
+    else:
+        docs = docs.withColumn("_at", F.lit(0.0))
     docs = docs.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("_at").cast("int")))
     docs = docs.select("range", F.lit(False).alias("copied"), "doc_id", "text")
     order = (F.col("copied"), F.col("doc_id").desc_nulls_last(), "text")

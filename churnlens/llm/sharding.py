@@ -107,11 +107,12 @@ def _pages(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def write_shards(spark: SparkSession, docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
-    """Write ``docs`` under ``path``, a folder for each shard; returns the shards.
+    """Write ``docs`` under ``path``, a folder for each shard (column ``shard``,
+    in place of an input column of that name); returns the shards.
 
     Needs unique doc_ids: rows find their shard by them."""
     shards = Scratch(spark, "shards").save(assign(spark, docs, limit), "assigned")
-    rows = docs.join(shards.select("doc_id", F.concat(F.lit("s"), "shard").alias("shard")), "doc_id")
+    rows = docs.drop("shard").join(shards.select("doc_id", F.concat(F.lit("s"), "shard").alias("shard")), "doc_id")
     rows.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
     return shards.groupBy("shard").agg(F.first("depth").alias("depth"), F.sum("bytes").alias("bytes"),
                                        F.count("*").alias("docs"))
