@@ -6,7 +6,6 @@ Layers:
   functions/  column-level helpers (calendar arithmetic, bucketing)
   plans/      table builders: silver, gold, analytics, features, model,
               evaluation, revenue at risk, dashboards, end-to-end runner
-  streaming/  incremental (micro-batch) refresh of the activity tables
 """
 
 __all__ = ["session"]

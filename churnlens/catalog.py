@@ -38,6 +38,11 @@ def oracle_types(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def _six_places(df: DataFrame, *cols: str) -> DataFrame:
+    """Exact decimals rounded as the oracle rounds, for the comparison only."""
+    return df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in cols})
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: Callable[[Warehouse], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,9 +106,10 @@ register("gold_retention_company_cohorts", "select * from gold_retention_company
     lambda wh: wh.retention())
 
 register("gold_mrr_trend_breakdown", "select * from gold_mrr_trend_breakdown")(
-    lambda wh: wh.mrr_trend())
+    lambda wh: _six_places(wh.mrr_trend(), "avg_mrr_per_company"))
 
-register("gold_company_ltv", "select * from gold_company_ltv")(lambda wh: wh.ltv())
+register("gold_company_ltv", "select * from gold_company_ltv")(
+    lambda wh: _six_places(wh.ltv(), "avg_mrr_lifetime", "ltv_est"))
 
 register("gold_company_revenue_at_risk_skeleton", """
 select company_id, month_start, cast(mrr as double) as mrr,
@@ -136,13 +142,14 @@ def _pk_sql(table: str, src: str, pk: list[str]) -> str:
 
 def _pk_all_sql() -> str:
     from .sources.schemas import PRIMARY_KEYS
-    parts = [_pk_sql(f"silver.{t}", f"silver_{t}", pk) for t, pk in PRIMARY_KEYS.items()]
+    parts = [_pk_sql(f"typed.{t}", f"({oracle._TYPED[t]}) y", pk) for t, pk in PRIMARY_KEYS.items()]
+    parts += [_pk_sql(f"silver.{t}", f"silver_{t}", pk) for t, pk in PRIMARY_KEYS.items()]
     parts += [_pk_sql(f"gold.{t}", f"gold_{t}", pk) for t, pk in _ck.GOLD_KEYS.items()]
     return "\nunion all\n".join(parts)
 
 
 register("dq_primary_keys", _pk_all_sql())(
-    lambda wh: _ck.primary_keys(wh.silver(), _gold_tables(wh)))
+    lambda wh: _ck.primary_keys(wh.silver(), _gold_tables(wh), _sv.typed_tables(wh.raw())))
 
 
 def _fk_sql() -> str:
@@ -168,9 +175,8 @@ union all select 'churned_without_reason', count(*) filter (where churn_flag = t
 union all select 'negative_daily_activity', count(*) filter (where active_users < 0 or total_events < 0) from gold_company_daily_activity
 union all select 'monthly_null_month', count(*) filter (where month_start is null) from gold_company_monthly_metrics
 union all select 'monthly_events_without_users', count(*) filter (where active_users_monthly = 0 and total_events > 0) from gold_company_monthly_metrics
-union all select 'label_leakage', count(*) from gold_company_features_for_model f
-  join gold_company_churn_label l using (company_id)
-  where f.churn_in_next_30d = 1 and l.churn_date <= f.as_of_date""")(
+union all select 'label_leakage', count_if(churn_in_next_30d > 0 and f.as_of_date - churn_date >= 0)
+  from gold_company_churn_label l join gold_company_features_for_model f using (company_id)""")(
     lambda wh: _ck.sanity_checks(wh.s("companies"), wh.churn_label(), wh.company_mrr(),
                                  wh.daily_activity(), wh.monthly_metrics(), wh.features()))
 
@@ -269,6 +275,7 @@ select company_id, as_of_date, label, churn_probability from heuristic_t""")(
 # MLlib fit: iterative optimisation, no SQL equivalent -> rows-only checks.
 register("gold_company_churn_predictions")(lambda wh: wh.predictions())
 register("model_coefficients")(lambda wh: _md.coefficients(wh.model()[0]))
+register("model_top_coefficients")(lambda wh: _md.coefficients(wh.model()[0], 10))
 register("model_evaluation")(lambda wh: _ev.auc_ap(_summary(wh, "model")))
 register("model_top_k")(lambda wh: _ev.top_k_report(_summary(wh, "model")))
 register("gold_company_risk_monitor")(lambda wh: wh.risk_monitor("model"))
@@ -377,53 +384,26 @@ def _spine(wh: Warehouse) -> DataFrame:
     return _fe.snapshot_spine(wh.s("companies"), wh.as_of())
 
 
-_W30 = "between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date"
-_W60 = "between cast(cme.as_of_date - interval 60 day as date) and cme.as_of_date"
-
-register("feature_events_window", f"""
-select cme.company_id, cme.as_of_date,
-  count(distinct e.user_id) filter (where cast(e.event_timestamp as date) {_W30}) as active_users_30d,
-  count(*) filter (where e.event_type = 'login' and cast(e.event_timestamp as date) {_W30}) as logins_30d,
-  count(*) filter (where e.event_type = 'invite_sent' and cast(e.event_timestamp as date) {_W30}) as invites_30d,
-  count(*) filter (where e.event_type = 'file_uploaded' and cast(e.event_timestamp as date) {_W30}) as uploads_30d
-from company_month_end cme left join silver_users u on u.company_id = cme.company_id
-left join silver_events e on e.user_id = u.user_id group by 1, 2""")(
-    lambda wh: _fe.on_spine(_spine(wh), _fe.events_window(wh.user_day()),
-                            ["active_users_30d", "logins_30d", "invites_30d", "uploads_30d"]))
-
-register("feature_support_window", f"""
-select cme.company_id, cme.as_of_date,
-  count(*) filter (where cast(t.created_at as date) {_W60}) as tickets_60d
-from company_month_end cme left join silver_support_tickets t on t.company_id = cme.company_id
-group by 1, 2""")(lambda wh: _fe.on_spine(_spine(wh), _fe.support_window(wh.s("support_tickets")),
-                                          ["tickets_60d"]))
-
-register("feature_payment_window", f"""
-select cme.company_id, cme.as_of_date,
-  count(*) filter (where p.payment_status in ('failed','declined') and p.payment_date {_W60})
-    as failed_payments_60d
-from company_month_end cme left join silver_payments p on p.company_id = cme.company_id
-group by 1, 2""")(lambda wh: _fe.on_spine(_spine(wh), _fe.payment_window(wh.s("payments")),
-                                          ["failed_payments_60d"]))
-
-register("feature_days_to_first_invite", """
-select c.company_id, case when fi.d is null then null
-  else cast(fi.d - cast(c.signup_date as date) as int) end as days_to_first_invite
-from silver_companies c left join (
-  select u.company_id, cast(min(e.event_timestamp) as date) as d
-  from silver_events e join silver_users u on u.user_id = e.user_id
-  where e.event_type = 'invite_sent' group by 1) fi on fi.company_id = c.company_id""")(
+def _on_snapshots(source: str, cols: list[str]) -> str:
+    return (f"select company_id, as_of_date, {', '.join(f'coalesce({x}, 0) as {x}' for x in cols)} "
+            f"from snapshots left join {source} using (company_id, as_of_date)")
+
+
+_USAGE = ["active_users_30d", "logins_30d", "invites_30d", "uploads_30d"]
+
+register("feature_events_window", _on_snapshots("usage_30d", _USAGE))(
+    lambda wh: _fe.on_spine(_spine(wh), _fe.events_window(wh.user_day()), _USAGE))
+
+register("feature_support_window", _on_snapshots("tickets_t", ["tickets_60d"]))(
+    lambda wh: _fe.on_spine(_spine(wh), _fe.support_window(wh.s("support_tickets")), ["tickets_60d"]))
+
+register("feature_payment_window", _on_snapshots("failures_t", ["failed_payments_60d"]))(
+    lambda wh: _fe.on_spine(_spine(wh), _fe.payment_window(wh.s("payments")), ["failed_payments_60d"]))
+
+register("feature_days_to_first_invite", "select company_id, days_to_first_invite from invited")(
     lambda wh: _fe.days_to_first_invite(wh.s("companies"), wh.user_day()))
 
-register("feature_plan_asof", """
-select cme.company_id, cme.as_of_date, coalesce(sp.plan_name, 'unknown') as plan_type
-from company_month_end cme
-left join lateral (
-  select s.plan_id from silver_subscriptions s
-  where s.company_id = cme.company_id and s.start_date <= cme.as_of_date
-    and (s.end_date is null or s.end_date >= cme.as_of_date)
-  order by s.start_date desc, s.subscription_id desc limit 1) sub on true
-left join silver_subscription_plans sp on sp.plan_id = sub.plan_id""")(
+register("feature_plan_asof", "select * from plan_at_end")(
     lambda wh: _spine(wh).join(_fe.plan_asof(wh.s("subscriptions"), wh.s("subscription_plans"),
                                              wh.as_of()), _fe.KEYS, "left")
     .select(*_fe.KEYS, F.coalesce("plan_type", F.lit("unknown")).alias("plan_type")))
@@ -440,6 +420,28 @@ register("dq_orphans_quarantined", "\nunion all\n".join(
     for c, rels in _sv.FK_PARENTS.items() for fk, p, pk in rels))(_quarantine)
 
 
+def _rejected_sql() -> str:
+    parts = []
+    for t in _sv.BUILD_ORDER:
+        key = oracle._PK[t]
+        kept = f"(select count(*) from prefk_{t})"
+        reasons = {"null_key": f"count_if(nullif(trim({key}), '') is null)",
+                   "duplicate": f"count_if(nullif(trim({key}), '') is not null) - {kept}"}
+        for c in _sv.PARSED.get(t, []):
+            reasons[f"unparsed_{c}"] = (f"count_if(nullif(trim({c}), '') is not null) - "
+                                        f"(select count({c}) from ({oracle._TYPED[t]}))")
+        for fk, parent, pk in _sv.FK_PARENTS.get(t, []):
+            reasons[f"orphan_{fk}"] = (f"any_value((select count(*) from prefk_{t} where {fk} is not null "
+                                       f"and {fk} not in (select {pk} from silver_{parent})))")
+        parts += [f"select '{t}' as table_name, '{k}' as reason, cast({v} as bigint) as rows from raw_{t}"
+                  for k, v in reasons.items()]
+    return "\nunion all\n".join(parts)
+
+
+register("dq_rejected_rows", _rejected_sql())(
+    lambda wh: _sv.rejected_rows(wh.raw(), wh.silver_flagged()))
+
+
 # -- H2: violator samples (L9-L12 row forms) ---------------------------------
 register("dq_negative_mrr_rows", """
 select company_id, month_start, plan_id, plan_name, cast(price_per_user as double) price_per_user,
@@ -458,15 +460,52 @@ order by company_id limit 50""")(
         ["company_id"]))
 
 register("dq_label_leakage_rows", """
-select f.company_id, f.as_of_date, l.churn_date from gold_company_features_for_model f
-join gold_company_churn_label l using (company_id)
-where f.churn_in_next_30d = 1 and l.churn_date <= f.as_of_date
-order by f.company_id, f.as_of_date limit 50""")(
+select company_id, f.as_of_date, churn_date from gold_company_churn_label l join gold_company_features_for_model f using (company_id)
+where churn_in_next_30d > 0 and f.as_of_date - churn_date >= 0 order by 1, 2 limit 50""")(
     lambda wh: _ck.sample_violations(
         wh.features().where(F.col("churn_in_next_30d") == 1).select("company_id", "as_of_date")
         .join(wh.churn_label().select("company_id", "churn_date"), "company_id"),
         F.col("churn_date") <= F.col("as_of_date"), ["company_id", "as_of_date"]))
 
+register("dq_negative_daily_rows", """
+select company_id, activity_date, active_users, total_events from gold_company_daily_activity
+where least(active_users, total_events) < 0 order by 1, 2 limit 50""")(
+    lambda wh: _ck.sample_violations(
+        wh.daily_activity().select("company_id", "activity_date", "active_users", "total_events"),
+        (F.col("active_users") < 0) | (F.col("total_events") < 0), ["company_id", "activity_date"]))
+
+register("dq_null_month_rows", """
+select * from gold_company_monthly_metrics where month_start is null order by company_id limit 50""")(
+    lambda wh: _ck.sample_violations(wh.monthly_metrics(), F.col("month_start").isNull(), ["company_id"]))
+
+register("dq_events_without_users_rows", """
+select * from gold_company_monthly_metrics where active_users_monthly = 0 and total_events > 0
+order by company_id, month_start limit 50""")(
+    lambda wh: _ck.sample_violations(
+        wh.monthly_metrics(), (F.col("active_users_monthly") == 0) & (F.col("total_events") > 0),
+        ["company_id", "month_start"]))
+
+# -- the model's path, as far as SQL can tell what must hold -------------------
+_TRAIN = f"gold_company_features_for_model where as_of_date < {oracle.FIXTURE_CUTOFF_SQL}"
+
+register("model_imputer_statistics", f"""
+select median(days_to_first_invite) as median_days_to_first_invite,
+  (select plan_type from {_TRAIN} group by plan_type order by count(*) desc, plan_type limit 1) as most_frequent_plan
+from {_TRAIN}""")(lambda wh: _md.imputer_statistics(wh.features(), wh.cutoff))
+
+register("model_training_summary", f"""
+select count(*) as rows, cast(sum(churn_in_next_30d) as bigint) as positives,
+  round(count(*) / (2.0 * sum(churn_in_next_30d)), 6) as weight_positive,
+  round(count(*) / (2.0 * (count(*) - sum(churn_in_next_30d))), 6) as weight_negative
+from {_TRAIN}""")(lambda wh: _md.training_summary(wh.features(), wh.cutoff))
+
+register("model_monitor_by_month", f"""
+select month_start, count(*) as rows, round(cast(sum(mrr) as double), 2) as total_mrr,
+  count_if(last_day(month_start) >= {oracle.FIXTURE_CUTOFF_SQL}) as predicted_rows,
+  cast(0 as bigint) as outside_0_1, cast(0 as bigint) as wrong_products
+from gold_company_mrr group by month_start""")(
+    lambda wh: _rk.monitor_by_month(wh.risk_monitor("model")))
+
 # -- L7 / L8 in their counter form (F8) ---------------------------------------
 
 register("dq_company_critical_nulls", """

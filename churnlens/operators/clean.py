@@ -7,6 +7,7 @@ parse goes through a ``try_`` function and yields NULL for malformed input.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,9 @@ from ..functions.buckets import COMPANY_SIZE_EDGES, bucket
 # Accepted text layouts, tried in order.
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "dd.MM.yyyy", "yyyyMMdd")
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS",
-                     "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss",
-                     "yyyy-MM-dd")
+                     "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+                     "yyyy-MM-dd HH:mm:ssXXX", "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss",
+                     "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd")
 SATISFACTION_RANGE = (1, 5)
 
 
@@ -87,10 +89,16 @@ def company_size_bucket(c="company_size", edges=COMPANY_SIZE_EDGES) -> Column:
     return bucket(c, edges)
 
 
+def has_key(key: Sequence[str]) -> Column:
+    """All parts of a key are there."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+
+
 def dedupe_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per primary key, deterministically the first row in
     ascending order of ``order`` (default: all non-key columns in schema
-    order; NULL sorts first). Rows with a NULL key are dropped (PK NOT NULL).
+    order; NULL sorts first). Rows without a key are left out here; the
+    builders keep them flagged, and the rejected-rows report counts them.
 
     ``row_number() = 1`` is planned as a WindowGroupLimit with a *partial*
     step before the shuffle: each task keeps one row per key, so a key
@@ -102,10 +110,7 @@ def dedupe_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str] | None
     key = list(key)
     order = list(order) if order is not None else [c for c in df.columns if c not in key]
     w = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    not_null = F.lit(True)
-    for k in key:
-        not_null = not_null & F.col(k).isNotNull()
-    return (df.where(not_null).withColumn("_rn", F.row_number().over(w))
+    return (df.where(has_key(key)).withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == 1).drop("_rn"))
 
 

@@ -1,70 +1,74 @@
 """DuckDB SQL oracle for every registered query.
 
-Each query is ``WITH <adapter CTEs>, <silver CTEs>, <gold CTEs> <select>``
-over the driver's pre-registered test tables. The gold CTEs are written
-the straightforward way (LATERAL top-1, join-all-history + FILTER, EXISTS),
-i.e. a brute-force reference for the partition-friendly Spark plans.
+Each query is ``WITH <the CTEs it needs> <select>`` over the driver's
+pre-registered test tables. Gold is written from the definitions on month
+numbers: facts are stacked and summed on a company's months, subscriptions
+are ranked once over the months they cover, windows are range joins.
 Final selects cast counts to BIGINT, money to DOUBLE, dates to DATE.
 """
 
 from __future__ import annotations
 
+import re
+
 from .functions.buckets import COMPANY_SIZE_EDGES, bucket_sql
 
-# --- adapter: driver test tables -> raw SaaS tables -------------------------
+# --- adapter: driver test tables -> raw SaaS tables (FIXTURES.md) ----------
 ADAPTER = {
+    "customer_rows": """
+select c_custkey as k, c_name, c_mktsegment, n_name, n_regionkey, c_acctbal,
+       (select cast(min(o_orderdate) as date) from orders where o_custkey = c_custkey) as first_day
+from customer join nation on n_nationkey = c_nationkey""",
     "raw_companies": """
-select 'c' || cast(c_custkey as varchar) as company_id, c_name as company_name, signup_date,
-       c_mktsegment as acquisition_channel, 'industry_' || cast(n_regionkey as varchar) as industry,
-       cast(1 + c_custkey * 7 % 1500 as int) as company_size, n_name as country,
+select case copy when 2 then ' ' else 'c' || k end as company_id, c_name as company_name, first_day as signup_date,
+       c_mktsegment as acquisition_channel, 'industry_' || n_regionkey as industry,
+       cast(1 + k * 7 % 1500 as int) as company_size, n_name as country,
        case when c_acctbal < 0 then '' else 'active' end as status
-from customer join nation on c_nationkey = n_nationkey
-left join (select o_custkey, cast(min(o_orderdate) as date) as signup_date from orders group by o_custkey) f
-  on f.o_custkey = c_custkey""",
+from customer_rows, (values (0), (1), (2)) t(copy)
+where copy = 0 or (copy = 1 and k % 41 = 0) or (copy = 2 and k % 43 = 0)""",
     "raw_users": """
-select 'u' || cast(o_custkey as varchar) || '-' || cast(o_orderkey % 4 as varchar) as user_id,
-       'c' || cast(o_custkey as varchar) as company_id,
-       case when o_orderkey % 4 = 0 then 'admin' else 'member' end as role,
-       cast(cast(min(o_orderdate) as date) as varchar) as join_date,
-       cast(cast(max(o_orderdate) as date) as varchar) as last_active_date,
-       case when max(o_orderdate) >= timestamp '2001-01-01 00:00:00' then 't' else 'f' end as is_active
+select 'u' || o_custkey || '-' || o_orderkey % 4 as user_id,
+       case when o_custkey % 47 = 0 and o_orderkey % 4 = 3 then 'c-unknown' else 'c' || o_custkey end as company_id,
+       if(o_orderkey % 4 = 0, 'admin', 'member') as role,
+       case o_custkey % 3 when 0 then strftime(min(o_orderdate), '%Y-%m-%d') when 1 then strftime(min(o_orderdate), '%Y/%m/%d')
+            else strftime(min(o_orderdate), '%d.%m.%Y') end as join_date,
+       if(o_custkey % 53 = 0, 'never', strftime(max(o_orderdate), '%m/%d/%Y')) as last_active_date,
+       case when max(o_orderdate) >= timestamp '2001-01-01' then if(o_custkey % 2 = 0, 't', 'Yes') else if(o_custkey % 2 = 0, 'f', '0') end as is_active
 from orders group by o_custkey, o_orderkey % 4""",
     "raw_events": """
-select 'e' || cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as event_id,
-       'u' || cast(o_custkey as varchar) || '-' || cast(o_orderkey % 4 as varchar) as user_id,
-       case l_linenumber % 7 when 1 then 'page_created' when 2 then 'file_uploaded'
-            when 3 then 'invite_sent' else 'login' end as event_type,
-       l_shipdate as event_timestamp
-from lineitem join orders on l_orderkey = o_orderkey""",
+select 'e' || l_orderkey || '-' || l_linenumber as event_id,
+       case when l_orderkey % 89 = 0 then 'u-unknown' else 'u' || o_custkey || '-' || l_orderkey % 4 end as user_id,
+       case l_linenumber % 7 when 1 then 'page_created' when 2 then 'file_uploaded' when 3 then 'invite_sent' else 'login' end as event_type,
+       case when l_orderkey % 61 = 0 and l_linenumber = 1 then 'not a time' else case l_linenumber % 5
+         when 0 then strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') when 1 then strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S')
+         when 2 then strftime(l_shipdate, '%Y/%m/%d %H:%M:%S') when 3 then strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ')
+         else strftime(l_shipdate, '%Y-%m-%d %H:%M') end end as event_timestamp
+from lineitem join orders on o_orderkey = l_orderkey, (values (0), (1)) t(copy)
+where copy = 0 or l_orderkey % 73 = 0""",
     "raw_subscription_plans": """
-select * from (values ('p1','Basic',cast(10.00 as decimal(18,2)),'monthly'),
-                      ('p2','Pro',cast(25.00 as decimal(18,2)),'monthly'),
-                      ('p3','Enterprise',cast(60.00 as decimal(18,2)),'annual'))
-  as t(plan_id, plan_name, price_per_user, billing_cycle)""",
+select 'p' || level as plan_id, case level when 1 then 'Basic' when 2 then 'Pro' else 'Enterprise' end as plan_name,
+       cast(level * min(cast(p_retailprice as decimal(18,2))) as decimal(18,2)) as price_per_user, if(level = 3, 'annual', 'monthly') as billing_cycle
+from (select 1 + p_partkey % 3 as level, p_retailprice from part) group by level""",
     "raw_subscriptions": """
-select 's' || cast(o_orderkey as varchar) as subscription_id, 'c' || cast(o_custkey as varchar) as company_id,
-       'p' || cast(1 + o_orderkey % 3 as varchar) as plan_id,
-       cast(cast(o_orderdate as date) as varchar) as start_date,
-       case when o_orderstatus = 'O' and o_orderkey % 2 = 0 then ''
-            else cast(least(cast(o_orderdate as date) + cast(30 * (1 + o_orderkey % 12) as int),
-                            date '2001-12-31') as varchar) end as end_date,
+select 's' || o_orderkey as subscription_id, 'c' || o_custkey as company_id,
+       if(o_orderkey % 71 = 0, 'p9', 'p' || 1 + o_orderkey % 3) as plan_id,
+       if(o_orderkey % 2 = 0, strftime(o_orderdate, '%Y-%m-%d'), strftime(o_orderdate, '%Y%m%d')) as start_date,
+       if(o_orderstatus = 'O' and o_orderkey % 2 = 0, '', strftime(cast(o_orderdate as date) + cast(30 * (1 + o_orderkey % 12) as int), '%Y-%m-%d')) as end_date,
        case when o_orderstatus = 'F' and o_orderkey % 3 = 0 then 'cancelled'
             when o_orderstatus = 'O' and o_orderkey % 2 = 0 then 'active' else 'expired' end as status
-from orders where o_orderkey % 5 = 0""",
+from orders""",
     "raw_payments": """
-select 'pay' || cast(o_orderkey as varchar) as payment_id, 'c' || cast(o_custkey as varchar) as company_id,
-       cast(o_totalprice as decimal(18,2)) as amount, cast(o_orderdate as date) as payment_date,
-       case when o_orderkey % 7 = 0 then 'failed' when o_orderkey % 11 = 0 then 'declined'
-            else 'paid' end as payment_status
+select if(o_orderkey % 67 = 0, '', 'pay' || o_orderkey) as payment_id, 'c' || o_custkey as company_id,
+       case when o_orderkey % 53 = 0 then '' when o_orderkey % 59 = 0 then 'n/a'
+            else cast(cast(o_totalprice as decimal(18,2)) as varchar) end as amount,
+       cast(o_orderdate as date) as payment_date,
+       case when o_orderkey % 7 = 0 then 'failed' when o_orderkey % 11 = 0 then 'declined' else 'paid' end as payment_status
 from orders""",
     "raw_support_tickets": """
-select 't' || cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as ticket_id,
-       'c' || cast(o_custkey as varchar) as company_id, l_shipdate as created_at,
+select 't' || l_orderkey || '-' || l_linenumber as ticket_id, 'c' || o_custkey as company_id, l_shipdate as created_at,
        cast(l_quantity as decimal(18,2)) as resolution_time_hours,
-       case when l_partkey % 7 = 0 then '' when l_partkey % 7 = 6 then 'n/a'
-            else cast(l_partkey % 7 as varchar) end as satisfaction_score
-from lineitem join orders on l_orderkey = o_orderkey
-where l_returnflag = 'R' and l_linenumber <= 2""",
+       case l_partkey % 7 when 0 then '' when 6 then 'n/a' else cast(l_partkey % 7 as varchar) end as satisfaction_score
+from lineitem join orders on o_orderkey = l_orderkey where l_returnflag = 'R'""",
 }
 
 
@@ -78,6 +82,11 @@ def _date(c: str) -> str:
     return f"cast(coalesce({parts}) as date)"
 
 
+def _time(c: str) -> str:
+    fmts = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y/%m/%d %H:%M:%S", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %H:%M"]
+    return f"try_strptime({_nz(c)}, {fmts!r})"
+
+
 def _bool(c: str) -> str:
     v = f"lower({_nz(c)})"
     return (f"case when {v} in ('t','true','y','yes','1') then true "
@@ -114,14 +123,14 @@ _TYPED = {
   {_date('join_date')} join_date, {_date('last_active_date')} last_active_date,
   {_bool('is_active')} is_active from raw_users""",
     "events": f"""select {_nz('event_id')} event_id, {_nz('user_id')} user_id,
-  {_nz('event_type')} event_type, cast(event_timestamp as timestamp) event_timestamp from raw_events""",
+  {_nz('event_type')} event_type, {_time('event_timestamp')} event_timestamp from raw_events""",
     "subscription_plans": f"""select {_nz('plan_id')} plan_id, {_nz('plan_name')} plan_name,
   price_per_user, {_nz('billing_cycle')} billing_cycle from raw_subscription_plans""",
     "subscriptions": f"""select {_nz('subscription_id')} subscription_id, {_nz('company_id')} company_id,
   {_nz('plan_id')} plan_id, {_date('start_date')} start_date, {_date('end_date')} end_date,
   {_nz('status')} status from raw_subscriptions""",
-    "payments": f"""select {_nz('payment_id')} payment_id, {_nz('company_id')} company_id, amount,
-  payment_date, {_nz('payment_status')} payment_status from raw_payments""",
+    "payments": f"""select {_nz('payment_id')} payment_id, {_nz('company_id')} company_id,
+  try_cast({_nz('amount')} as decimal(18,2)) amount, payment_date, {_nz('payment_status')} payment_status from raw_payments""",
     "support_tickets": f"""select {_nz('ticket_id')} ticket_id, {_nz('company_id')} company_id,
   cast(created_at as timestamp) created_at, resolution_time_hours,
   case when try_cast({_nz('satisfaction_score')} as int) between 1 and 5
@@ -155,267 +164,183 @@ SILVER = {
                               f"where {_fk('company_id', 'silver_companies', 'company_id')}",
 }
 
-# --- gold, written the direct way -------------------------------------------
+# --- gold: one table of month-numbered facts, one of covered months ---------
 GOLD: dict[str, str] = {}
 
+
+def month_no(c: str) -> str:
+    """Months since year 0, so that month arithmetic is subtraction."""
+    return f"(year({c}) * 12 + month({c}) - 1)"
+
+
+def first_day(m: str) -> str:
+    return f"make_date(cast({m} // 12 as int), cast({m} % 12 + 1 as int), 1)"
+
+
 GOLD["as_of_t"] = """
-select greatest(
-  coalesce((select max(cast(event_timestamp as date)) from silver_events), date '2000-01-01'),
-  coalesce((select max(payment_date) from silver_payments), date '2000-01-01'),
-  coalesce((select max(coalesce(end_date, start_date)) from silver_subscriptions), date '2000-01-01')
-) as as_of_date"""
-
-GOLD["company_month_spine"] = """
-select c.company_id, cast(gs as date) as month_start,
-       cast(cast(gs as date) + interval 1 month - interval 1 day as date) as month_end
-from silver_companies c cross join as_of_t
-cross join lateral generate_series(
-  cast(date_trunc('month', c.signup_date) as date),
-  cast(date_trunc('month', as_of_t.as_of_date) as date), interval 1 month) t(gs)
-where c.signup_date is not null"""
+select max(d) as as_of_date from (
+  select date '2000-01-01' as d union all select cast(event_timestamp as date) from silver_events
+  union all select payment_date from silver_payments
+  union all select coalesce(end_date, start_date) from silver_subscriptions)"""
+
+# every activity metric derives from user-days
+GOLD["user_days"] = """
+select company_id, user_id, cast(event_timestamp as date) as day, count(*) as events,
+  count_if(event_type = 'login') as logins, count_if(event_type = 'page_created') as pages,
+  count_if(event_type = 'file_uploaded') as files, count_if(event_type = 'invite_sent') as invites
+from silver_users join silver_events using (user_id) where event_timestamp is not null group by all"""
+
+GOLD["months"] = f"""
+select company_id, unnest(range({month_no('signup_date')}, {month_no('as_of_date')} + 1)) as m
+from silver_companies, as_of_t where signup_date is not null"""
+
+GOLD["snapshots"] = f"""
+select company_id, m, {first_day('m')} as month_start, last_day({first_day('m')}) as as_of_date from months"""
 
 GOLD["gold_company_daily_activity"] = """
-select u.company_id, cast(e.event_timestamp as date) as activity_date,
-  count(distinct e.user_id) as active_users,
-  count(*) filter (where e.event_type = 'login') as login_count,
-  count(*) filter (where e.event_type = 'page_created') as pages_created,
-  count(*) filter (where e.event_type = 'file_uploaded') as files_uploaded,
-  count(*) filter (where e.event_type = 'invite_sent') as invites_sent,
-  count(*) as total_events
-from silver_events e join silver_users u on u.user_id = e.user_id
-group by 1, 2"""
-
-GOLD["mau_t"] = """
-select u.company_id, cast(date_trunc('month', e.event_timestamp) as date) as month_start,
-  count(distinct e.user_id) as monthly_active_users
-from silver_events e join silver_users u on u.user_id = e.user_id group by 1, 2"""
-
-GOLD["gold_company_monthly_metrics"] = """
-select s.company_id, s.month_start,
-  cast(coalesce(mau_t.monthly_active_users, 0) as bigint) as active_users_monthly,
-  cast(coalesce(a.total_events, 0) as bigint) as total_events,
-  cast(coalesce(a.total_logins, 0) as bigint) as total_logins,
-  cast(coalesce(a.total_invites, 0) as bigint) as total_invites,
-  cast(coalesce(a.total_files, 0) as bigint) as total_files,
-  cast(coalesce(a.total_pages_created, 0) as bigint) as total_pages_created,
-  cast(coalesce(t.tickets_count, 0) as bigint) as tickets_count,
-  cast(coalesce(fp.failed_payments, 0) as bigint) as failed_payments
-from company_month_spine s
-left join (select company_id, cast(date_trunc('month', activity_date) as date) as month_start,
-             sum(total_events) total_events, sum(login_count) total_logins,
-             sum(invites_sent) total_invites, sum(files_uploaded) total_files,
-             sum(pages_created) total_pages_created
-           from gold_company_daily_activity group by 1, 2) a
-  on a.company_id = s.company_id and a.month_start = s.month_start
-left join mau_t on mau_t.company_id = s.company_id and mau_t.month_start = s.month_start
-left join (select company_id, cast(date_trunc('month', created_at) as date) as month_start,
-             count(*) tickets_count from silver_support_tickets group by 1, 2) t
-  on t.company_id = s.company_id and t.month_start = s.month_start
-left join (select company_id, cast(date_trunc('month', payment_date) as date) as month_start,
-             count(*) filter (where payment_status in ('failed','declined')) failed_payments
-           from silver_payments group by 1, 2) fp
-  on fp.company_id = s.company_id and fp.month_start = s.month_start"""
+select company_id, day as activity_date, count(*) as active_users, sum(logins) as login_count, sum(pages) as pages_created,
+  sum(files) as files_uploaded, sum(invites) as invites_sent, sum(events) as total_events
+from user_days group by company_id, day"""
+
+GOLD["mau_t"] = f"""
+select company_id, {first_day(month_no('day'))} as month_start, count(distinct user_id) as monthly_active_users
+from user_days group by all"""
+
+# facts of all kinds stacked; months outside a company's spine fall away
+_METRICS = ["active_users_monthly", "total_events", "total_logins", "total_invites", "total_files",
+            "total_pages_created", "tickets_count", "failed_payments"]
+
+
+def _fact(month: str, values: dict[str, str], source: str) -> str:
+    cells = ", ".join(f"{values.get(c, '0')} as {c}" for c in _METRICS)
+    return f"select company_id, {month} as m, {cells} from {source} group by all"
+
+
+GOLD["month_facts"] = " union all ".join([
+    _fact(month_no("day"), {"active_users_monthly": "count(distinct user_id)", "total_events": "sum(events)",
+                            "total_logins": "sum(logins)", "total_invites": "sum(invites)",
+                            "total_files": "sum(files)", "total_pages_created": "sum(pages)"}, "user_days"),
+    _fact(month_no("created_at"), {"tickets_count": "count(*)"}, "silver_support_tickets"),
+    _fact(month_no("payment_date"), {"failed_payments": "count_if(payment_status in ('failed', 'declined'))"}, "silver_payments")])
+
+GOLD["gold_company_monthly_metrics"] = f"""
+select company_id, month_start, {', '.join(f'cast(coalesce(sum({c}), 0) as bigint) as {c}' for c in _METRICS)}
+from snapshots left join month_facts using (company_id, m) group by company_id, month_start"""
+
+# subscription months, newest first: billing takes the overlapping, snapshots the one open at month end
+GOLD["covered"] = """
+select company_id, m, month_start, as_of_date, plan_id, status, end_date is null or end_date >= as_of_date as open_at_end,
+  row_number() over (partition by company_id, m order by start_date desc, subscription_id desc) as newest
+from snapshots join silver_subscriptions using (company_id)
+where start_date <= as_of_date and coalesce(end_date, as_of_date) >= month_start"""
+
+GOLD["billed"] = """
+select company_id, m, arg_min(coalesce(plan_id, ''), newest) as plan_id from covered
+where status in ('active', 'cancelled') group by company_id, m"""
 
 GOLD["gold_company_mrr"] = """
-select cms.company_id, cms.month_start,
-  coalesce(cp.plan_id, 'unknown') as plan_id,
-  coalesce(cp.plan_name, 'unknown') as plan_name,
-  coalesce(cp.price_per_user, 0) as price_per_user,
-  cast(coalesce(mau_t.monthly_active_users, 0) as bigint) as active_user_count,
-  coalesce(mau_t.monthly_active_users, 0) * coalesce(cp.price_per_user, 0) as mrr
-from company_month_spine cms
-left join mau_t on mau_t.company_id = cms.company_id and mau_t.month_start = cms.month_start
-left join (
-  select cms2.company_id, cms2.month_start, sp.plan_id, sp.plan_name, sp.price_per_user
-  from company_month_spine cms2
-  left join lateral (
-    select s.plan_id from silver_subscriptions s
-    where s.company_id = cms2.company_id and s.start_date <= cms2.month_end
-      and (s.end_date is null or s.end_date >= cms2.month_start)
-      and s.status in ('active','cancelled')
-    order by s.start_date desc, s.subscription_id desc limit 1) sub on true
-  left join silver_subscription_plans sp on sp.plan_id = sub.plan_id
-) cp on cp.company_id = cms.company_id and cp.month_start = cms.month_start"""
+select company_id, month_start, coalesce(p.plan_id, 'unknown') as plan_id, coalesce(plan_name, 'unknown') as plan_name,
+  coalesce(price_per_user, 0) as price_per_user, active_users_monthly as active_user_count,
+  active_users_monthly * coalesce(price_per_user, 0) as mrr
+from snapshots join gold_company_monthly_metrics using (company_id, month_start)
+left join billed using (company_id, m) left join silver_subscription_plans p on p.plan_id = billed.plan_id"""
+
+GOLD["subscription_state"] = """
+select company_id, min(coalesce(end_date, start_date)) filter (where status = 'cancelled') as cancelled_on,
+  coalesce(bool_or(status = 'active' and start_date <= as_of_date and coalesce(end_date, as_of_date) >= as_of_date), false) as running
+from silver_subscriptions, as_of_t group by company_id"""
+
+GOLD["churn_kind"] = """
+select company_id, as_of_date, cancelled_on, last_day_seen,
+  case when cancelled_on is not null then 'cancelled'
+       when as_of_date - last_day_seen >= 30 and not coalesce(running, false) then 'inactive_30d' else 'active' end as kind
+from silver_companies cross join as_of_t left join subscription_state using (company_id)
+left join (select company_id, max(day) as last_day_seen from user_days group by company_id) using (company_id)"""
 
 GOLD["gold_company_churn_label"] = """
-select c.company_id,
-  case when can.cancelled_date is not null then true
-       when la.last_activity_date is not null
-        and la.last_activity_date <= cast(a.as_of_date - interval 30 day as date)
-        and not coalesce(act.has_active, false) then true
-       else false end as churn_flag,
-  case when can.cancelled_date is not null then can.cancelled_date
-       when la.last_activity_date is not null
-        and la.last_activity_date <= cast(a.as_of_date - interval 30 day as date)
-        and not coalesce(act.has_active, false)
-       then cast(la.last_activity_date + interval 30 day as date) end as churn_date,
-  case when can.cancelled_date is not null then 'cancelled'
-       when la.last_activity_date is not null
-        and la.last_activity_date <= cast(a.as_of_date - interval 30 day as date)
-        and not coalesce(act.has_active, false) then 'inactive_30d'
-       else 'active' end as churn_reason,
-  la.last_activity_date, a.as_of_date
-from silver_companies c cross join as_of_t a
-left join (select u.company_id, cast(max(e.event_timestamp) as date) last_activity_date
-           from silver_events e join silver_users u on u.user_id = e.user_id group by 1) la
-  on la.company_id = c.company_id
-left join (select company_id, min(coalesce(end_date, start_date)) cancelled_date
-           from silver_subscriptions where status = 'cancelled' group by 1) can
-  on can.company_id = c.company_id
-left join (select c2.company_id, exists (select 1 from silver_subscriptions s, as_of_t
-             where s.company_id = c2.company_id and s.start_date <= as_of_t.as_of_date
-               and (s.end_date is null or s.end_date >= as_of_t.as_of_date)
-               and s.status in ('active')) as has_active
-           from silver_companies c2) act on act.company_id = c.company_id"""
-
-
-def _deps() -> dict[str, str]:
-    d = {}
-    d.update(ADAPTER)
-    d.update(SILVER)
-    d.update(GOLD)
-    return d
+select company_id, kind <> 'active' as churn_flag,
+  case kind when 'cancelled' then cancelled_on when 'inactive_30d' then last_day_seen + 30 end as churn_date,
+  kind as churn_reason, last_day_seen as last_activity_date, as_of_date from churn_kind"""
 
 
 def with_ctes(select: str) -> str:
-    """Prefix every CTE (DuckDB inlines or materialises only what is used)."""
-    parts = [f"{name} AS ({body})" for name, body in _deps().items()]
+    """The query with the CTEs that it refers to, directly or through others."""
+    bodies = {**ADAPTER, **SILVER, **GOLD}
+    needed: set[str] = set()
+    todo = [select]
+    while todo:
+        for name in set(re.findall(r"\w+", todo.pop())) & bodies.keys() - needed:
+            needed.add(name)
+            todo.append(bodies[name])
     if select.lstrip().lower().startswith("with"):
         select = f"select * from ({select}) q__"
-    return "WITH " + ",\n".join(parts) + "\n" + select
+    if not needed:
+        return select
+    return "WITH " + ",\n".join(f"{n} AS ({bodies[n]})" for n in bodies if n in needed) + "\n" + select
+
 
 GOLD["gold_funnel_company"] = """
-with signup as (select company_id, cast(signup_date as date) as signup_date, acquisition_channel
-                from silver_companies),
-activation as (select s.company_id, exists (select 1 from silver_users u
-                 join silver_events e on e.user_id = u.user_id
-                 where u.company_id = s.company_id
-                   and cast(e.event_timestamp as date) between s.signup_date
-                       and cast(s.signup_date + interval 7 day as date)) as activated_7d
-               from signup s),
-paid as (select s.company_id, exists (select 1 from silver_subscriptions sub
-           where sub.company_id = s.company_id
-             and sub.start_date between s.signup_date and cast(s.signup_date + interval 30 day as date))
-           as paid_30d from signup s)
-select s.company_id, s.signup_date, s.acquisition_channel, a.activated_7d, p.paid_30d,
-       cast(a.activated_7d as int) as activation_stage, cast(p.paid_30d as int) as paid_stage
-from signup s join activation a using (company_id) join paid p using (company_id)"""
-
-GOLD["gold_retention_company_cohorts"] = """
-with cohorts as (select company_id, cast(date_trunc('month', signup_date) as date) as cohort_month
-                 from silver_companies),
-activity as (select company_id, month_start,
-                    case when active_users_monthly > 0 then 1 else 0 end as retained
-             from gold_company_monthly_metrics),
-joined as (select c.cohort_month, a.company_id, a.month_start,
-             (date_part('year', a.month_start) - date_part('year', c.cohort_month)) * 12
-             + (date_part('month', a.month_start) - date_part('month', c.cohort_month))
-               as cohort_age_months, a.retained
-           from cohorts c join activity a on a.company_id = c.company_id
-           where a.month_start >= c.cohort_month)
-select cohort_month, cast(cohort_age_months as int) as cohort_age_months,
-       count(*) as companies_in_cell, cast(sum(retained) as bigint) as retained_companies,
-       round(cast(sum(retained) as double) / nullif(count(*), 0), 4) as retention_rate
-from joined group by 1, 2"""
+select company_id, signup_date, acquisition_channel, coalesce(first_use - signup_date <= 7, false) as activated_7d,
+  coalesce(first_plan - signup_date <= 30, false) as paid_30d, cast(activated_7d as int) as activation_stage,
+  cast(paid_30d as int) as paid_stage
+from silver_companies
+left join (select company_id, min(day) as first_use from user_days join silver_companies using (company_id)
+           where day >= signup_date group by company_id) using (company_id)
+left join (select company_id, min(start_date) as first_plan from silver_subscriptions join silver_companies using (company_id)
+           where start_date >= signup_date group by company_id) using (company_id)"""
+
+GOLD["gold_retention_company_cohorts"] = f"""
+select cohort_month, age as cohort_age_months, count(*) as companies_in_cell, count_if(active_users_monthly > 0) as retained_companies,
+  round(count_if(active_users_monthly > 0) / count(*), 4) as retention_rate
+from (select cast(date_trunc('month', signup_date) as date) as cohort_month, active_users_monthly,
+        cast({month_no('month_start')} - {month_no('signup_date')} as int) as age
+      from silver_companies join gold_company_monthly_metrics using (company_id)) group by cohort_month, age"""
 
 GOLD["gold_mrr_trend_breakdown"] = """
-select m.month_start, c.acquisition_channel, m.plan_name,
-       cast(sum(m.mrr) as double) as total_mrr,
-       count(distinct m.company_id) as companies,
-       round(cast(sum(m.mrr) as double) / count(m.mrr), 6) as avg_mrr_per_company
-from gold_company_mrr m join silver_companies c on c.company_id = m.company_id
-group by 1, 2, 3"""
-
-GOLD["gold_company_ltv"] = """
-with bounds as (select company_id, min(month_start) as first_month,
-                       cast(sum(mrr) as double) / count(mrr) as avg_mrr
-                from gold_company_mrr group by 1),
-end_month as (select b.company_id, b.first_month, b.avg_mrr,
-                case when l.churn_flag = true and l.churn_date is not null
-                     then cast(date_trunc('month', l.churn_date) as date)
-                     else cast(date_trunc('month', a.as_of_date) as date) end as end_month
-              from bounds b join gold_company_churn_label l on l.company_id = b.company_id
-              cross join as_of_t a)
-select company_id, first_month, end_month,
-  cast((date_part('year', end_month) - date_part('year', first_month)) * 12
-       + (date_part('month', end_month) - date_part('month', first_month)) + 1 as int)
-    as lifetime_months,
-  round(avg_mrr, 6) as avg_mrr_lifetime,
-  round(avg_mrr * cast((date_part('year', end_month) - date_part('year', first_month)) * 12
-       + (date_part('month', end_month) - date_part('month', first_month)) + 1 as int), 6) as ltv_est
-from end_month"""
-
-GOLD["company_month_end"] = """
-select company_id, month_end as as_of_date from company_month_spine"""
-
-GOLD["gold_company_features_for_model"] = """
-with events_window as (
-  select cme.company_id, cme.as_of_date,
-    count(distinct e.user_id) filter (where cast(e.event_timestamp as date)
-      between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date) as active_users_30d,
-    count(*) filter (where e.event_type = 'login' and cast(e.event_timestamp as date)
-      between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date) as logins_30d,
-    count(*) filter (where e.event_type = 'invite_sent' and cast(e.event_timestamp as date)
-      between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date) as invites_30d,
-    count(*) filter (where e.event_type = 'file_uploaded' and cast(e.event_timestamp as date)
-      between cast(cme.as_of_date - interval 30 day as date) and cme.as_of_date) as uploads_30d
-  from company_month_end cme
-  left join silver_users u on u.company_id = cme.company_id
-  left join silver_events e on e.user_id = u.user_id
-  group by 1, 2),
-support_window as (
-  select cme.company_id, cme.as_of_date,
-    count(*) filter (where cast(t.created_at as date)
-      between cast(cme.as_of_date - interval 60 day as date) and cme.as_of_date) as tickets_60d
-  from company_month_end cme left join silver_support_tickets t on t.company_id = cme.company_id
-  group by 1, 2),
-payment_window as (
-  select cme.company_id, cme.as_of_date,
-    count(*) filter (where p.payment_status in ('failed','declined') and p.payment_date
-      between cast(cme.as_of_date - interval 60 day as date) and cme.as_of_date) as failed_payments_60d
-  from company_month_end cme left join silver_payments p on p.company_id = cme.company_id
-  group by 1, 2),
-first_invite as (
-  select u.company_id, cast(min(e.event_timestamp) as date) as first_invite_date
-  from silver_events e join silver_users u on u.user_id = e.user_id
-  where e.event_type = 'invite_sent' group by 1),
-days_to_invite as (
-  select c.company_id,
-    case when fi.first_invite_date is null then null
-         else cast(fi.first_invite_date - cast(c.signup_date as date) as int) end as days_to_first_invite
-  from silver_companies c left join first_invite fi on fi.company_id = c.company_id),
-plan_asof as (
-  select cme.company_id, cme.as_of_date, coalesce(sp.plan_name, 'unknown') as plan_type
-  from company_month_end cme
-  left join lateral (
-    select s.plan_id from silver_subscriptions s
-    where s.company_id = cme.company_id and s.start_date <= cme.as_of_date
-      and (s.end_date is null or s.end_date >= cme.as_of_date)
-    order by s.start_date desc, s.subscription_id desc limit 1) sub on true
-  left join silver_subscription_plans sp on sp.plan_id = sub.plan_id)
-select cme.company_id, cme.as_of_date,
-  cast(coalesce(ev.active_users_30d, 0) as bigint) as active_users_30d,
-  cast(coalesce(ev.logins_30d, 0) as bigint) as logins_30d,
-  cast(coalesce(ev.invites_30d, 0) as bigint) as invites_30d,
-  cast(coalesce(ev.uploads_30d, 0) as bigint) as uploads_30d,
-  cast(coalesce(sw.tickets_60d, 0) as bigint) as tickets_60d,
-  cast(coalesce(pw.failed_payments_60d, 0) as bigint) as failed_payments_60d,
-  dti.days_to_first_invite, pa.plan_type,
-  cast((date_part('year', cme.as_of_date) - date_part('year', c.signup_date)) * 12
-       + (date_part('month', cme.as_of_date) - date_part('month', c.signup_date)) as int)
-    as months_since_signup,
-  l.churn_flag as churn_flag_static,
-  case when l.churn_date is not null and l.churn_date > cme.as_of_date
-        and l.churn_date <= cast(cme.as_of_date + interval 30 day as date) then 1 else 0 end
-    as churn_in_next_30d
-from company_month_end cme
-join silver_companies c on c.company_id = cme.company_id
-left join events_window ev on ev.company_id = cme.company_id and ev.as_of_date = cme.as_of_date
-left join support_window sw on sw.company_id = cme.company_id and sw.as_of_date = cme.as_of_date
-left join payment_window pw on pw.company_id = cme.company_id and pw.as_of_date = cme.as_of_date
-left join days_to_invite dti on dti.company_id = cme.company_id
-left join plan_asof pa on pa.company_id = cme.company_id and pa.as_of_date = cme.as_of_date
-left join gold_company_churn_label l on l.company_id = cme.company_id"""
+select month_start, acquisition_channel, plan_name, cast(sum(mrr) as double) as total_mrr, count(*) as companies,
+  round(avg(cast(mrr as double)), 6) as avg_mrr_per_company
+from silver_companies join gold_company_mrr using (company_id) group by all"""
+
+GOLD["gold_company_ltv"] = f"""
+select company_id, first_month, end_month, lifetime_months, round(mean, 6) as avg_mrr_lifetime, round(mean * lifetime_months, 6) as ltv_est
+from (select company_id, min(month_start) as first_month, cast(sum(mrr) as double) / count(*) as mean,
+        cast(date_trunc('month', coalesce(any_value(churn_date), any_value(l.as_of_date))) as date) as end_month,
+        cast({month_no('end_month')} - {month_no('first_month')} + 1 as int) as lifetime_months
+      from gold_company_mrr join gold_company_churn_label l using (company_id) group by company_id)"""
+
+# windows that end at a snapshot: range joins of user-days, tickets and payments
+GOLD["usage_30d"] = """
+select company_id, as_of_date, count(distinct user_id) as active_users_30d, cast(sum(logins) as bigint) as logins_30d,
+  cast(sum(invites) as bigint) as invites_30d, cast(sum(files) as bigint) as uploads_30d
+from snapshots join user_days using (company_id) where day <= as_of_date and as_of_date - day <= 30 group by all"""
+
+GOLD["tickets_t"] = """
+select company_id, as_of_date, count(*) as tickets_60d from snapshots join silver_support_tickets using (company_id)
+where cast(created_at as date) <= as_of_date and as_of_date - cast(created_at as date) <= 60 group by all"""
+
+GOLD["failures_t"] = """
+select company_id, as_of_date, count(*) as failed_payments_60d from snapshots join silver_payments using (company_id)
+where payment_status in ('failed', 'declined') and payment_date <= as_of_date and as_of_date - payment_date <= 60 group by all"""
+
+GOLD["invited"] = """
+select company_id, signup_date, cast(min(day) filter (where invites > 0) - signup_date as int) as days_to_first_invite
+from silver_companies left join user_days using (company_id) group by company_id, signup_date"""
+
+GOLD["plan_at_end"] = """
+select company_id, as_of_date, coalesce(plan_name, 'unknown') as plan_type from snapshots
+left join (select company_id, m, arg_min(coalesce(plan_id, ''), newest) as plan_id from covered where open_at_end group by company_id, m)
+  using (company_id, m) left join silver_subscription_plans using (plan_id)"""
+
+_COUNTS = ["active_users_30d", "logins_30d", "invites_30d", "uploads_30d", "tickets_60d", "failed_payments_60d"]
+
+GOLD["gold_company_features_for_model"] = f"""
+select company_id, as_of_date, {', '.join(f'coalesce({c}, 0) as {c}' for c in _COUNTS)}, days_to_first_invite, plan_type,
+  cast(m - {month_no('signup_date')} as int) as months_since_signup, churn_flag as churn_flag_static,
+  cast(coalesce(churn_date - as_of_date between 1 and 30, false) as int) as churn_in_next_30d
+from snapshots join invited using (company_id) join plan_at_end using (company_id, as_of_date)
+join (select company_id, churn_flag, churn_date from gold_company_churn_label) using (company_id)
+left join usage_30d using (company_id, as_of_date) left join tickets_t using (company_id, as_of_date)
+left join failures_t using (company_id, as_of_date)"""
 
 # --- model inputs / evaluation / risk ---------------------------------------
 FIXTURE_CUTOFF_SQL = "date '2000-01-01'"
@@ -447,16 +372,10 @@ from heuristic_t p left join gold_company_mrr m
   on m.company_id = p.company_id and m.month_start = cast(date_trunc('month', p.as_of_date) as date)"""
 
 GOLD["company_revenue_at_risk_t"] = """
-with risk_monthly as (
-  select company_id, cast(date_trunc('month', as_of_date) as date) as month_start, churn_probability,
-    row_number() over (partition by company_id, cast(date_trunc('month', as_of_date) as date)
-                       order by as_of_date desc, churn_probability desc) as rn
-  from revenue_at_risk_t)
-select m.company_id, m.month_start, m.mrr, coalesce(rm.churn_probability, 0) as churn_probability,
-  coalesce(rm.churn_probability, 0) * cast(m.mrr as double) as revenue_at_risk
-from gold_company_mrr m
-left join risk_monthly rm on m.company_id = rm.company_id and m.month_start = rm.month_start
-  and rm.rn = 1"""
+select m.company_id, m.month_start, m.mrr, coalesce(p, 0) as churn_probability, coalesce(p, 0) * cast(m.mrr as double) as revenue_at_risk
+from gold_company_mrr m left join (
+  select distinct on (company_id, month_start) company_id, cast(date_trunc('month', as_of_date) as date) as month_start, churn_probability as p
+  from revenue_at_risk_t order by as_of_date desc, churn_probability desc) using (company_id, month_start)"""
 
 GOLD["company_risk_monitor_t"] = """
 select r.company_id, r.month_start, f.plan_type, f.months_since_signup, f.logins_30d,
@@ -498,14 +417,13 @@ rep as (select thr.k as top_fraction, thr.threshold,
 select * from rep) q"""
 
 # --- single pieces (K3-K5, K16) and the B7 quarantine -------------------------
-GOLD["gold_monthly_activity"] = """
-select company_id, cast(date_trunc('month', activity_date) as date) as month_start,
+GOLD["gold_monthly_activity"] = f"""
+select company_id, {first_day(month_no('activity_date'))} as month_start,
   cast(sum(total_events) as bigint) as total_events, cast(sum(login_count) as bigint) as total_logins,
   cast(sum(invites_sent) as bigint) as total_invites, cast(sum(files_uploaded) as bigint) as total_files,
-  cast(sum(pages_created) as bigint) as total_pages_created,
-  count(distinct case when active_users > 0 then activity_date end) as active_days,
-  cast(max(active_users) as bigint) as peak_daily_active_users
-from gold_company_daily_activity group by 1, 2"""
+  cast(sum(pages_created) as bigint) as total_pages_created, count(*) as active_days,
+  max(active_users) as peak_daily_active_users
+from gold_company_daily_activity group by all"""
 
 for _t, _pk in [("companies", "company_id"), ("users", "user_id"), ("events", "event_id"),
                 ("subscription_plans", "plan_id"), ("subscriptions", "subscription_id"),

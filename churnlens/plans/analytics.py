@@ -14,6 +14,11 @@ ACTIVATION_DAYS = 7
 PAID_DAYS = 30
 
 
+def _mean(total, n) -> F.Column:
+    """Money divided by a count, as an exact decimal with at least ten places."""
+    return total.cast("decimal(28,2)") / n.cast("decimal(10,0)")
+
+
 def _ratio(num, den, digits: int) -> F.Column:
     """Exact integer/decimal sum divided as DOUBLE, then rounded (HALF_UP)."""
     return F.round(num.cast("double") / F.nullif(den, F.lit(0)).cast("double"), digits)
@@ -71,12 +76,12 @@ def retention_cohorts(companies: DataFrame, monthly_metrics: DataFrame) -> DataF
 
 
 def mrr_trend_breakdown(company_mrr: DataFrame, companies: DataFrame) -> DataFrame:
-    """MRR per month x acquisition channel x plan."""
+    """MRR per month x acquisition channel x plan (a company has one row a month)."""
     j = company_mrr.join(companies.select("company_id", "acquisition_channel"), "company_id")
     return (j.groupBy("month_start", "acquisition_channel", "plan_name")
             .agg(F.sum("mrr").alias("total_mrr"),
-                 F.count_distinct("company_id").alias("companies"),
-                 _ratio(F.sum("mrr"), F.count("mrr"), 6).alias("avg_mrr_per_company")))
+                 F.count(F.lit(1)).alias("companies"),
+                 _mean(F.sum("mrr"), F.count("mrr")).alias("avg_mrr_per_company")))
 
 
 def company_ltv(company_mrr: DataFrame, churn_label: DataFrame, as_of: _dt.date) -> DataFrame:
@@ -90,11 +95,10 @@ def company_ltv(company_mrr: DataFrame, churn_label: DataFrame, as_of: _dt.date)
                  month_start("churn_date")).otherwise(month_start(lit_date(as_of)))
     j = b.join(churn_label.select("company_id", "churn_flag", "churn_date"), "company_id")
     life = (whole_month_diff(end, "first_month") + 1).cast("int")
-    avg = F.col("_sum").cast("double") / F.col("_n").cast("double")
     return j.select("company_id", "first_month", end.alias("end_month"),
                     life.alias("lifetime_months"),
-                    F.round(avg, 6).alias("avg_mrr_lifetime"),
-                    F.round(avg * life, 6).alias("ltv_est"))
+                    _mean(F.col("_sum"), F.col("_n")).alias("avg_mrr_lifetime"),
+                    _mean(F.col("_sum") * life, F.col("_n")).alias("ltv_est"))
 
 
 def revenue_at_risk_skeleton(company_mrr: DataFrame) -> DataFrame:

@@ -19,9 +19,12 @@ GOLD_KEYS = {
 }
 
 
-def primary_keys(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
-    """C1 over the 7 silver and 7 keyed gold tables."""
-    frames = [q.primary_key_check(silver[t], f"silver.{t}", pk) for t, pk in PRIMARY_KEYS.items()]
+def primary_keys(silver: dict[str, DataFrame], gold: dict[str, DataFrame],
+                 typed: dict[str, DataFrame]) -> DataFrame:
+    """C1 over the typed rows before cleaning drops any, and over the 7
+    silver and 7 keyed gold tables."""
+    frames = [q.primary_key_check(typed[t], f"typed.{t}", pk) for t, pk in PRIMARY_KEYS.items()]
+    frames += [q.primary_key_check(silver[t], f"silver.{t}", pk) for t, pk in PRIMARY_KEYS.items()]
     frames += [q.primary_key_check(gold[t], f"gold.{t}", pk) for t, pk in GOLD_KEYS.items()
                if t in gold]
     return q.union_all(frames)
@@ -42,22 +45,23 @@ def sanity_checks(companies: DataFrame, label: DataFrame, mrr: DataFrame, daily:
             .join(label.select("company_id", "churn_date"), "company_id")
             .where(F.col("churn_date") <= F.col("as_of_date")))
     return q.union_all([
-        q.count_where(companies, F.col("company_id").isNull(), "null_company_id"),
-        q.count_where(companies, F.col("company_name").isNull(), "null_company_name"),
-        q.count_where(label, F.col("churn_flag").isNull(), "null_churn_flag"),
-        q.count_where(mrr, F.col("mrr") < 0, "negative_mrr"),
-        q.count_where(mrr, F.col("active_user_count") < 0, "negative_active_user_count"),
-        q.count_where(mrr, F.col("price_per_user") < 0, "negative_price_per_user"),
-        q.count_where(label, churned & F.col("churn_date").isNull(), "churned_without_date"),
-        q.count_where(label, (F.col("churn_flag") == F.lit(False)) & F.col("churn_date").isNotNull(),
-                      "not_churned_with_date"),
-        q.count_where(label, churned & (F.col("churn_reason").isNull()
-                                        | (F.col("churn_reason") == "")), "churned_without_reason"),
-        q.count_where(daily, (F.col("active_users") < 0) | (F.col("total_events") < 0),
-                      "negative_daily_activity"),
-        q.count_where(monthly, F.col("month_start").isNull(), "monthly_null_month"),
-        q.count_where(monthly, (F.col("active_users_monthly") == 0) & (F.col("total_events") > 0),
-                      "monthly_events_without_users"),
+        q.count_each(companies, {
+            "null_company_id": F.col("company_id").isNull(),
+            "null_company_name": F.col("company_name").isNull()}),
+        q.count_each(label, {
+            "null_churn_flag": F.col("churn_flag").isNull(),
+            "churned_without_date": churned & F.col("churn_date").isNull(),
+            "not_churned_with_date": (F.col("churn_flag") == F.lit(False)) & F.col("churn_date").isNotNull(),
+            "churned_without_reason": churned & (F.col("churn_reason").isNull() | (F.col("churn_reason") == ""))}),
+        q.count_each(mrr, {
+            "negative_mrr": F.col("mrr") < 0,
+            "negative_active_user_count": F.col("active_user_count") < 0,
+            "negative_price_per_user": F.col("price_per_user") < 0}),
+        q.count_each(daily, {
+            "negative_daily_activity": (F.col("active_users") < 0) | (F.col("total_events") < 0)}),
+        q.count_each(monthly, {
+            "monthly_null_month": F.col("month_start").isNull(),
+            "monthly_events_without_users": (F.col("active_users_monthly") == 0) & (F.col("total_events") > 0)}),
         leak.agg(F.lit("label_leakage").alias("check_name"), F.count(F.lit(1)).alias("bad_rows")),
     ])
 

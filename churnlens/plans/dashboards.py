@@ -55,8 +55,8 @@ def tercile_edges(df: DataFrame, col: str = "logins_30d",
                   labels=("low", "medium", "high")) -> tuple:
     """Q23 alternative to fixed edges: tiers cut at the exact 1/3 and 2/3
     quantiles of ``col`` (numpy linear), from the distributed summary."""
-    from .evaluate import exact_quantile
-    q1, q2 = exact_quantile(df, col, 1 / 3), exact_quantile(df, col, 2 / 3)
+    from .evaluate import exact_quantiles
+    q1, q2 = exact_quantiles(df, col, [1 / 3, 2 / 3])
     return ((float("-inf"), labels[0]), (q1, labels[1]), (q2, labels[2]))
 
 

@@ -2,12 +2,11 @@
 
 Everything is derived from one summary with a row per *distinct* score:
 positives, negatives and running counts. Running sums never use an
-unpartitioned window: distinct scores are cut into ~equal-count buckets
-(approximate quantiles of the distinct scores, so even a heavily
-concentrated score distribution gives balanced buckets), running sums
-are computed inside each bucket by a bucket-partitioned window, and the
-offsets come from a per-bucket total table whose size is bounded by the
-bucket count (broadcast with a proven bound).
+unpartitioned window over data: distinct scores are range-partitioned
+(as many ranges as shuffle partitions, equal in rows), running sums are
+computed inside each range, and the offsets come from a table with one
+row per range. Thresholds and hits are conditional sums over the summary
+in one pass, not joins.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +24,6 @@ TOP_K_FRACTIONS = (0.02, 0.05, 0.10, 0.20)
 PRECISION_CURVE_POINTS = tuple(float(x) for x in np.linspace(0.01, 0.50, 20))
 HIST_BINS = 50
 EPS = 1e-9
-MAX_BUCKETS = 512
 
 
 def _nz(c: F.Column) -> F.Column:
@@ -35,33 +32,24 @@ def _nz(c: F.Column) -> F.Column:
     return F.nullif(c, F.lit(0))
 
 
-def score_summary(scored: DataFrame, score: str = "score", label: str = "label",
-                  buckets: int | None = None) -> DataFrame:
+def score_summary(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Per distinct score s: pos, neg, n and the inclusive running counts
     pos_le, neg_le, n_le (rows with score <= s), plus totals total_pos,
-    total_neg."""
+    total_neg. NULL and NaN scores are left out."""
+    spark = scored.sparkSession
+    ensure_checkpoint_dir(spark)
+    s = F.col("s")
     g = (scored.select(F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y"))
-         .where(F.col("s").isNotNull())
+         .where(s.isNotNull() & ~F.isnan(s))
          .groupBy("s").agg(F.sum("y").cast("bigint").alias("pos"),
                            F.count(F.lit(1)).alias("n")))
-    g = g.withColumn("neg", F.col("n") - F.col("pos"))
-    # Used twice (bucket cut points, then the running sums): write it once
-    # to the shared checkpoint folder instead of aggregating the scores twice.
-    ensure_checkpoint_dir(g.sparkSession)
-    g = g.checkpoint(eager=True)
-    nb = buckets or max(1, min(MAX_BUCKETS, int(g.sparkSession.conf.get(
-        "spark.sql.shuffle.partitions")) * 4))
-    if nb > 1:
-        qs = [i / nb for i in range(1, nb)]
-        cuts = sorted(set(g.approxQuantile("s", qs, 1.0 / (4 * nb))))
-        splits = [-float("inf")] + [c for c in cuts if np.isfinite(c)] + [float("inf")]
-        splits = sorted(set(splits))
-    else:
-        splits = [-float("inf"), float("inf")]
-    g = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(g)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Written once: the range number must stay what it was when the rows were dealt.
+    g = (g.withColumn("neg", F.col("n") - F.col("pos")).repartitionByRange(ranges, "s")
+         .withColumn("b", F.spark_partition_id()).checkpoint(eager=True))
     tot = g.groupBy("b").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"),
                              F.sum("n").alias("bt"))
-    # <= MAX_BUCKETS rows: a global window here is over a bounded table.
+    # one row per range: a global window here is over that small table
     w_all = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("b",
                       F.coalesce(F.sum("bp").over(w_all), F.lit(0)).alias("op"),
@@ -115,53 +103,54 @@ def roc_curve(summary: DataFrame) -> DataFrame:
                     F.round(F.col("pos_ge") / _nz(F.col("total_pos")), 6).alias("tpr"))
 
 
-def _thresholds(summary: DataFrame, fractions: Sequence[float]) -> DataFrame:
-    """np.quantile(scores, 1 - k) with linear interpolation, reproduced
-    term by term (virtual index n*q + (1 - q) - 1, lerp from the nearer
-    side) so the threshold equals numpy's bit for bit."""
-    spark = summary.sparkSession
-    ks = spark.createDataFrame([(float(k), float(1.0 - k)) for k in fractions], "k double, q double")
-    n = summary.agg(F.max("n_le").alias("cnt"))
-    h = (ks.crossJoin(F.broadcast(n))
-         .withColumn("h", F.col("cnt") * F.col("q") + (F.lit(1.0) - F.col("q")) - F.lit(1.0))
-         .withColumn("r_lo", F.floor("h").cast("bigint"))
-         .withColumn("t", F.col("h") - F.col("r_lo"))
-         .withColumn("r_hi", F.least(F.col("r_lo") + 1, F.col("cnt") - 1)))
-    # value at 0-based rank r: the distinct score with n_le - n <= r < n_le
-    ranks = summary.select("s", (F.col("n_le") - F.col("n")).alias("lo"), F.col("n_le").alias("hi"))
-
-    def at(rc: str, name: str) -> DataFrame:
-        return (F.broadcast(h.select("k", rc)).join(
-            ranks, (F.col(rc) >= F.col("lo")) & (F.col(rc) < F.col("hi")))
-            .select("k", F.col("s").alias(name)))
-    j = h.join(at("r_lo", "a"), "k").join(at("r_hi", "b"), "k")
-    d = F.col("b") - F.col("a")
-    thr = F.when(F.col("t") >= 0.5, F.col("b") - d * (F.lit(1.0) - F.col("t"))).otherwise(
-        F.col("a") + d * F.col("t"))
-    return j.select("k", thr.alias("threshold"))
+def _thresholds(summary: DataFrame, quantiles: Sequence[float]) -> list[float] | None:
+    """np.quantile(scores, q) with linear interpolation, reproduced term by
+    term (virtual index n*q + (1 - q) - 1, lerp from the nearer side) so each
+    equals numpy's bit for bit; None without scores. One aggregate finds the
+    scores at all wanted ranks: rank r (from 0) is at n_le - n <= r < n_le."""
+    n = summary.agg(F.max("n_le")).first()[0]
+    if not n:
+        return None
+    at = [n * q + (1.0 - q) - 1.0 for q in quantiles]
+    ranks = sorted({r for h in at for r in (int(np.floor(h)), min(int(np.floor(h)) + 1, n - 1))})
+    lo, hi = F.col("n_le") - F.col("n"), F.col("n_le")
+    row = summary.agg(*[F.max(F.when((lo <= r) & (hi > r), F.col("s"))) for r in ranks]).first()
+    value = dict(zip(ranks, row))
+    out = []
+    for h in at:
+        a, b, t = value[int(np.floor(h))], value[min(int(np.floor(h)) + 1, n - 1)], h - np.floor(h)
+        out.append(float(b - (b - a) * (1.0 - t) if t >= 0.5 else a + (b - a) * t))
+    return out
+
+
+def exact_quantiles(df: DataFrame, col: str, quantiles: Sequence[float]) -> list[float] | None:
+    """numpy-exact linear quantiles of one column (NULLs and NaNs ignored),
+    from the distinct-value summary, written once."""
+    vals = df.select(F.col(col).cast("double").alias("s"), F.lit(0).alias("y"))
+    return _thresholds(score_summary(vals, "s", "y").checkpoint(eager=True), quantiles)
 
 
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
-    """numpy-exact linear quantile of one column (NULLs ignored), computed
-    with the distributed distinct-value summary; returns one scalar."""
-    vals = df.select(F.col(col).cast("double").alias("s"), F.lit(0).alias("y"))
-    summary = score_summary(vals, "s", "y")
-    row = _thresholds(summary, [1.0 - q]).first()
-    return None if row is None else row["threshold"]
+    """One of ``exact_quantiles``."""
+    found = exact_quantiles(df, col, [q])
+    return None if found is None else found[0]
 
 
 def top_k_report(summary: DataFrame, fractions: Sequence[float] = TOP_K_FRACTIONS) -> DataFrame:
     """M12 + M13: flag scores >= the (1-k) quantile; precision, recall,
     flagged count and lift over the base rate (1e-9 guards as in source)."""
-    th = _thresholds(summary, fractions)
-    hit = (F.broadcast(th).join(summary, summary["s"] >= th["threshold"])
-           .groupBy("k", "threshold")
-           .agg(F.sum("pos").alias("tp"), F.sum("neg").alias("fp"),
-                F.max("total_pos").alias("total_pos"), F.max("total_neg").alias("total_neg")))
-    tot = summary.agg(F.max("total_pos").alias("P0"), F.max("total_neg").alias("N0"))
-    r = F.broadcast(th).crossJoin(F.broadcast(tot)).join(hit.drop("total_pos", "total_neg"), ["k", "threshold"], "left")
-    tp = F.coalesce("tp", F.lit(0)).cast("bigint")
-    fp = F.coalesce("fp", F.lit(0)).cast("bigint")
+    spark = summary.sparkSession
+    cuts = _thresholds(summary, [1.0 - k for k in fractions])
+    pairs = list(zip(map(float, fractions), cuts)) if cuts else []
+    hits = [F.struct(F.lit(k).alias("k"), F.lit(t).alias("threshold"),
+                     F.sum(F.when(F.col("s") >= t, F.col("pos")).otherwise(0)).alias("tp"),
+                     F.sum(F.when(F.col("s") >= t, F.col("neg")).otherwise(0)).alias("fp")) for k, t in pairs]
+    if not hits:
+        return spark.createDataFrame([], "top_fraction double, threshold double, flagged bigint, tp bigint, fp bigint, "
+                                         "fn bigint, precision double, recall double, baseline_rate double, lift double")
+    one = summary.agg(F.array(*hits).alias("hits"), F.max("total_pos").alias("P0"), F.max("total_neg").alias("N0"))
+    r = one.select("P0", "N0", F.inline("hits"))
+    tp, fp = F.col("tp").cast("bigint"), F.col("fp").cast("bigint")
     base = F.col("P0").cast("double") / _nz((F.col("P0") + F.col("N0")).cast("double"))
     prec = tp / (tp + fp + F.lit(EPS))
     return r.select(

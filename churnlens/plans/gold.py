@@ -45,12 +45,14 @@ def user_day_activity(events: DataFrame, users: DataFrame) -> DataFrame:
     """Shared grain for every activity metric: one row per (company, user,
     day) with per-type event counts.
 
-    Events are partially aggregated to (user, day) on the map side *before*
-    the join to users, so the largest table is shuffled once, already
-    shrunk; the inner join then drops events whose user is unknown.
+    Events are aggregated to (user, day), partially on the map side, before
+    they meet the users: one shuffle by (user, day), one of the smaller
+    result by user. Events without a parsable time have no day and are left
+    out (the rejected-rows report counts them).
     """
     et = F.col("event_type")
-    per = (events.select("user_id", F.col("event_timestamp").cast("date").alias("activity_date"),
+    per = (events.where("event_timestamp is not null")
+           .select("user_id", F.col("event_timestamp").cast("date").alias("activity_date"),
                          "event_type")
            .groupBy("user_id", "activity_date")
            .agg(F.count(F.lit(1)).alias("n_events"),
@@ -83,8 +85,7 @@ def monthly_activity(daily: DataFrame) -> DataFrame:
                  F.sum("invites_sent").alias("total_invites"),
                  F.sum("files_uploaded").alias("total_files"),
                  F.sum("pages_created").alias("total_pages_created"),
-                 F.count_distinct(F.when(F.col("active_users") > 0, F.col("activity_date")))
-                 .alias("active_days"),
+                 F.count_if(F.col("active_users") > 0).alias("active_days"),
                  F.max("active_users").alias("peak_daily_active_users")))
 
 

@@ -95,6 +95,26 @@ def impute(train: DataFrame, others: list[DataFrame],
     return apply(train), [apply(d) for d in others]
 
 
+def imputer_statistics(features: DataFrame, cutoff: _dt.date) -> DataFrame:
+    """M3/M4 on columns with NULLs or ties: the training split's median of
+    ``days_to_first_invite`` and its most frequent plan (ties by name)."""
+    from .evaluate import exact_quantile
+    train, _ = time_split(model_input(features), cutoff)
+    median = exact_quantile(train, "days_to_first_invite", 0.5)
+    plans = train.where(F.col("plan_type").isNotNull()).groupBy("plan_type").count()
+    top = plans.orderBy(F.col("count").desc(), "plan_type").limit(1)
+    return top.select(F.lit(median).alias("median_days_to_first_invite"),
+                      F.col("plan_type").alias("most_frequent_plan"))
+
+
+def training_summary(features: DataFrame, cutoff: _dt.date) -> DataFrame:
+    """Rows, positives and balanced class weights of the training split."""
+    train, _ = time_split(model_input(features), cutoff)
+    n, p = F.count(F.lit(1)), F.sum(F.col(LABEL)).cast("bigint")
+    return train.agg(n.alias("rows"), p.alias("positives"), F.round(n / (2.0 * p), 6).alias("weight_positive"),
+                     F.round(n / (2.0 * (n - p)), 6).alias("weight_negative"))
+
+
 def class_weights(train: DataFrame, with_count: bool = False, stats=None):
     """Balanced weights n / (2 * n_class); fails clearly without both
     classes. One aggregate pass (or precomputed ``train_stats``);
@@ -148,8 +168,8 @@ def predictions(model: PipelineModel, test: DataFrame) -> DataFrame:
     return score(model, test).select(*ID_COLS, "churn_probability")
 
 
-def coefficients(model: PipelineModel, top: int | None = 10) -> DataFrame:
-    """Coefficient per feature name, largest first (``top`` rows)."""
+def coefficients(model: PipelineModel, top: int | None = None) -> DataFrame:
+    """Coefficient per feature name, largest first (H5: the ``top`` first)."""
     idx_model, lr = model.stages[0], model.stages[-1]
     names = list(NUMERIC_FEATURES) + [f"plan_type_{v}" for v in idx_model.labels]
     rows = [(n, float(c)) for n, c in zip(names, lr.coefficients.toArray())]

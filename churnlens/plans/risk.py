@@ -43,8 +43,9 @@ def company_revenue_at_risk(company_mrr: DataFrame, rar: DataFrame) -> DataFrame
 
 
 def companies_per_month(crar: DataFrame) -> DataFrame:
-    """Distinct companies per month in the risk table."""
-    return crar.groupBy("month_start").agg(F.count_distinct("company_id").alias("companies"))
+    """Companies per month in the risk table (its rows are unique by
+    company and month, so counting rows is enough)."""
+    return crar.groupBy("month_start").agg(F.count(F.lit(1)).alias("companies"))
 
 
 def company_risk_monitor(crar: DataFrame, features: DataFrame) -> DataFrame:
@@ -55,3 +56,14 @@ def company_risk_monitor(crar: DataFrame, features: DataFrame) -> DataFrame:
             .select("company_id", "month_start", "plan_type", "months_since_signup",
                     "logins_30d", "failed_payments_60d", "mrr", "churn_probability",
                     "revenue_at_risk"))
+
+
+def monitor_by_month(monitor: DataFrame) -> DataFrame:
+    """What must hold of the monitor each month: its rows and MRR, rows with
+    a prediction (probability above 0; 0 stands for none), and counts
+    of rows with a probability outside [0, 1] or a risk that isn't mrr x p."""
+    p, product = F.col("churn_probability"), F.col("mrr").cast("double") * F.col("churn_probability")
+    return monitor.groupBy("month_start").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("mrr").cast("double"), 2).alias("total_mrr"),
+        F.count_if(p > 0).alias("predicted_rows"), F.count_if((p < 0) | (p > 1)).alias("outside_0_1"),
+        F.count_if(F.abs(F.col("revenue_at_risk") - product) > 1e-9 * F.greatest(F.abs(product), F.lit(1.0))).alias("wrong_products"))

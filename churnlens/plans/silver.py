@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..operators import clean
+from ..operators.quality import union_all
+from ..sources import io
 from ..sources.schemas import PRIMARY_KEYS, SILVER
 
 
@@ -18,9 +20,8 @@ def _typed(df: DataFrame, name: str, parser) -> DataFrame:
 
 
 def _finish(df: DataFrame, table: str) -> DataFrame:
-    schema = SILVER[table]
-    df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return clean.dedupe_by_key(df, PRIMARY_KEYS[table])
+    """The table's columns and types (rows as they came)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER[table].fields])
 
 
 def clean_companies(raw: DataFrame) -> DataFrame:
@@ -97,6 +98,7 @@ FK_PARENTS = {
 
 
 FK_OK = "_fk_ok"
+PK_OK = "_ok_pk"
 
 
 def fk_flag(fk: str) -> str:
@@ -105,12 +107,15 @@ def fk_flag(fk: str) -> str:
 
 def build_silver_table(table: str, raw: DataFrame, parents: dict[str, DataFrame],
                        enforce_fk: bool = True) -> DataFrame:
-    """Type and de-duplicate one table, then flag each foreign key
-    (``_ok_<fk>``) and the conjunction (``_fk_ok``) against the parents'
-    finished silver tables. Silver keeps flagged rows, the quarantine the
-    rest (C2 checks report both)."""
-    df = CLEANERS[table](raw)
-    ok = F.lit(True)
+    """Type and de-duplicate one table, then flag the key (``_ok_pk``), each
+    foreign key (``_ok_<fk>``) and their conjunction (``_fk_ok``). Silver
+    keeps flagged rows, the quarantine the rest: rows without a key, and
+    rows whose foreign key is not among the parents' finished silver keys."""
+    typed = CLEANERS[table](raw)
+    keyed = clean.has_key(PRIMARY_KEYS[table])
+    df = clean.dedupe_by_key(typed, PRIMARY_KEYS[table]).withColumn(PK_OK, F.lit(True))
+    df = df.unionByName(typed.where(~keyed).withColumn(PK_OK, F.lit(False)))
+    ok = F.col(PK_OK)
     if enforce_fk:
         for fk, parent, pk in FK_PARENTS.get(table, []):
             # silver parents are de-duplicated on their key already
@@ -141,13 +146,54 @@ def build_silver(raw: dict[str, DataFrame], enforce_fk: bool = True,
 
 
 def quarantine_counts(flagged: dict[str, DataFrame]) -> DataFrame:
-    """B7 report: rows dropped per relationship (an orphan of a parent row
-    that was itself dropped counts too)."""
-    from ..operators.quality import union_all
+    """B7 report: rows with a key dropped per relationship (an orphan of a
+    parent row that was itself dropped counts too)."""
     frames = []
     for child, rels in FK_PARENTS.items():
         for fk, _parent, _pk in rels:
             frames.append(flagged[child].agg(
                 F.lit(f"{child}.{fk}").alias("relationship"),
-                F.count_if(~F.col(fk_flag(fk))).alias("quarantined_rows")))
+                F.count_if(F.col(PK_OK) & ~F.col(fk_flag(fk))).alias("quarantined_rows")))
+    return union_all(frames)
+
+
+def typed_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All rows of the seven tables, typed, before any is dropped."""
+    return {t: CLEANERS[t](raw[t]) for t in BUILD_ORDER}
+
+
+# Columns that arrive as text and must parse.
+PARSED = {"users": ["join_date", "last_active_date", "is_active"], "events": ["event_timestamp"],
+          "payments": ["amount"], "subscriptions": ["start_date", "end_date"],
+          "support_tickets": ["satisfaction_score"]}
+
+
+def rejected_rows(raw: dict[str, DataFrame], flagged: dict[str, DataFrame]) -> DataFrame:
+    """What cleaning turned away: (table_name, reason, rows) for rows without
+    a key, further rows of a key, values that don't parse (non-blank text,
+    NULL in silver; the row stays), and orphans for each foreign key. One
+    aggregate over each raw and each flagged table."""
+    frames = []
+    for t in BUILD_ORDER:
+        given = clean.blank_strings_to_null(raw[t].select(
+            *PRIMARY_KEYS[t], *[F.col(c).alias(f"_{c}") for c in PARSED.get(t, [])]))
+        typed = CLEANERS[t](raw[t]).select(*PARSED.get(t, []), *PRIMARY_KEYS[t])
+        keyed = clean.has_key(PRIMARY_KEYS[t])
+        kept = flagged[t].agg(F.count_if(PK_OK).alias("_kept"),
+                              *[F.count_if(F.col(PK_OK) & ~F.col(fk_flag(fk))).alias(f"orphan_{fk}")
+                                for fk, _, _ in FK_PARENTS.get(t, [])])
+        filled = given.agg(F.count_if(~keyed).alias("null_key"), F.count_if(keyed).alias("_keyed"),
+                           *[F.count(f"_{c}").alias(f"_given_{c}") for c in PARSED.get(t, [])])
+        parsed = typed.agg(*[F.count(c).alias(f"_parsed_{c}") for c in PARSED.get(t, [])], F.count(F.lit(1)).alias("_all"))
+        row = filled.crossJoin(parsed).crossJoin(kept)  # three one-row aggregates
+        reasons = {"null_key": F.col("null_key"), "duplicate": F.col("_keyed") - F.col("_kept")}
+        reasons |= {f"unparsed_{c}": F.col(f"_given_{c}") - F.col(f"_parsed_{c}") for c in PARSED.get(t, [])}
+        reasons |= {f"orphan_{fk}": F.col(f"orphan_{fk}") for fk, _, _ in FK_PARENTS.get(t, [])}
+        if io.CORRUPT in raw[t].columns:
+            # grouped by a value's presence: Spark wants a further column beside the corrupt line
+            some = raw[t].groupBy(F.col(PRIMARY_KEYS[t][0]).isNull()).agg(F.count(io.CORRUPT).alias("n"))
+            row = row.crossJoin(some.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_corrupt")))
+            reasons["corrupt_line"] = F.col("_corrupt")
+        pairs = F.array(*[F.struct(F.lit(k).alias("reason"), v.alias("rows")) for k, v in reasons.items()])
+        frames.append(row.select(F.lit(t).alias("table_name"), F.inline(pairs)))
     return union_all(frames)

@@ -37,7 +37,7 @@ class Warehouse:
         self._raw_fn = raw
         self.root = root or f"{ensure_checkpoint_dir(spark)}/churnlens-{uuid.uuid4().hex[:8]}"
         self.materialize = materialize
-        self.cutoff = cutoff or model.FIXTURE_CUTOFF
+        self.cutoff = cutoff or model.DEFAULT_CUTOFF
         self.partition_months = partition_months
         self._memo: dict[str, object] = {}
         # Re-entrant: builders call other memoised builders. Concurrent
@@ -51,6 +51,7 @@ class Warehouse:
         with _REGISTRY_LOCK:
             wh = _REGISTRY.get(key)
             if wh is None:
+                kw = {"cutoff": model.FIXTURE_CUTOFF} | kw
                 wh = cls(spark, lambda: fixtures.raw_tables(spark, sf_dir), **kw)
                 _REGISTRY[key] = wh
         return wh

@@ -8,22 +8,33 @@ from pyspark.sql import functions as F
 from .schemas import RAW, SILVER, TABLES
 
 
+#: Where a CSV line that doesn't fit the header is kept as it came.
+CORRUPT = "_corrupt_line"
+
+
 def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
     """A1: ingest one raw table unmodified.
 
-    CSV is read with the declared column list as text (no inference pass
-    over the data, PERMISSIVE mode): the raw layer keeps the source's
-    formatting for traceability and a malformed value can never fail a
-    100 TB load; silver parses every typed column with its multi-layout
-    ``try_`` parsers. Typed formats (Parquet, ORC) are cast to the raw
-    schema.
+    CSV columns are found by the header's names, in any order; a declared
+    column that the header lacks is an error, further columns are ignored.
+    All values stay text (no inference pass): the raw layer keeps the
+    source's formatting and a malformed value never fails a load; silver
+    parses with its multi-layout ``try_`` parsers. Quoted line breaks are
+    part of a value. A line with too many or too few values is kept in
+    ``_corrupt_line`` and counted by the rejected-rows report. Typed formats
+    (Parquet, ORC) are cast to the raw schema.
     """
     schema = RAW[table]
     if fmt == "csv":
-        text_schema = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
-        return (spark.read.schema(text_schema)
-                .option("header", "true").option("mode", "PERMISSIVE")
-                .option("multiLine", "false").csv(path))
+        options = {"header": "true", "multiLine": "true", "escape": '"'}
+        names = spark.read.options(**options).csv(path).columns
+        missing = [f.name for f in schema.fields if f.name not in names]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)} in the header {names}")
+        text = ", ".join(f"`{n}` STRING" for n in [*names, CORRUPT])
+        rows = (spark.read.schema(text).options(**options, mode="PERMISSIVE", enforceSchema="false",
+                                                columnNameOfCorruptRecord=CORRUPT).csv(path))
+        return rows.select(*schema.fieldNames(), CORRUPT)
     df = spark.read.format(fmt).load(path)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 

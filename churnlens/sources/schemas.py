@@ -21,9 +21,9 @@ RAW = {
                     ("industry", StringType()), ("company_size", IntegerType()),
                     ("country", StringType()), ("status", StringType())),
     "events": _s(("event_id", StringType()), ("user_id", StringType()),
-                 ("event_type", StringType()), ("event_timestamp", TimestampNTZType())),
+                 ("event_type", StringType()), ("event_timestamp", StringType())),
     "payments": _s(("payment_id", StringType()), ("company_id", StringType()),
-                   ("amount", MONEY), ("payment_date", DateType()), ("payment_status", StringType())),
+                   ("amount", StringType()), ("payment_date", DateType()), ("payment_status", StringType())),
     "subscription_plans": _s(("plan_id", StringType()), ("plan_name", StringType()),
                              ("price_per_user", MONEY), ("billing_cycle", StringType())),
     "subscriptions": _s(("subscription_id", StringType()), ("company_id", StringType()),
@@ -43,8 +43,10 @@ SILVER = {
                     ("industry", StringType()), ("company_size", IntegerType()),
                     ("country", StringType()), ("status", StringType()),
                     ("company_size_bucket", StringType())),
-    "events": RAW["events"],
-    "payments": RAW["payments"],
+    "events": _s(("event_id", StringType()), ("user_id", StringType()),
+                 ("event_type", StringType()), ("event_timestamp", TimestampNTZType())),
+    "payments": _s(("payment_id", StringType()), ("company_id", StringType()),
+                   ("amount", MONEY), ("payment_date", DateType()), ("payment_status", StringType())),
     "subscription_plans": RAW["subscription_plans"],
     "subscriptions": _s(("subscription_id", StringType()), ("company_id", StringType()),
                         ("plan_id", StringType()), ("start_date", DateType()),

@@ -5,6 +5,8 @@ import os
 import tempfile
 from decimal import Decimal
 
+import pytest
+
 from churnlens.operators import clean
 from churnlens.plans import silver
 from churnlens.sources import io
@@ -74,7 +76,7 @@ def test_csv_ingest_and_silver(spark):
         with open(f"{d}/{t}.csv/part-0.csv", "w") as fh:
             fh.write(body)
     raw = io.read_raw_dir(spark, d, "csv")
-    assert [f.name for f in raw["users"].schema.fields] == RAW["users"].fieldNames()
+    assert [f.name for f in raw["users"].schema.fields] == [*RAW["users"].fieldNames(), io.CORRUPT]
     s, flagged = silver.build_silver(raw)
     comps = {r.company_id: r for r in s["companies"].collect()}
     assert comps["c1"].company_name == "Acme" and comps["c1"].status is None  # first row wins
@@ -91,3 +93,24 @@ def test_csv_ingest_and_silver(spark):
     assert pay["p2"].amount is None and pay["p2"].payment_date is None
     q = {r.relationship: r.quarantined_rows for r in silver.quarantine_counts(flagged).collect()}
     assert q["users.company_id"] == 1 and q["events.user_id"] == 0
+    gone = {(r.table_name, r.reason): r.rows for r in silver.rejected_rows(raw, flagged).collect()}
+    assert gone["users", "orphan_company_id"] == 1 and gone["payments", "unparsed_amount"] == 1
+    assert gone["companies", "duplicate"] == 1 and gone["companies", "corrupt_line"] == 0
+
+
+def test_csv_columns_by_name_and_broken_lines(spark, tmp_path):
+    """Columns in another order and one more; a quoted line break; a line too short."""
+    path = tmp_path / "plans.csv"
+    path.write_text('plan_name,extra,plan_id,billing_cycle,price_per_user\n"Ba\nsic",x,p1,monthly,10\nPro,p2\n')
+    rows = {r.plan_name: r for r in io.read_raw(spark, f"file://{path}", "subscription_plans").collect()}
+    assert rows["Ba\nsic"].plan_id == "p1" and rows["Ba\nsic"].price_per_user == "10" and rows["Ba\nsic"][io.CORRUPT] is None
+    assert rows["Pro"][io.CORRUPT] == "Pro,p2"
+    path.write_text("plan_name,billing_cycle,price_per_user\n")
+    with pytest.raises(ValueError, match="plan_id"):
+        io.read_raw(spark, f"file://{path}", "subscription_plans")
+
+
+@pytest.mark.parametrize("text", ["2024-01-04T10:00:00Z", "2024-01-04T12:00:00+02:00", "2024-01-04 10:00", "2024-01-04T10:00"])
+def test_time_layouts(spark, text):
+    row = spark.createDataFrame([(text,)], "t string").select(clean.parse_timestamp("t").alias("t")).first()
+    assert row.t == dt.datetime(2024, 1, 4, 10)

@@ -22,7 +22,7 @@ def data():
 
 def test_auc_ap_exact(spark, data):
     s, y = data
-    summ = ev.score_summary(_frame(spark, s, y), buckets=16)
+    summ = ev.score_summary(_frame(spark, s, y))
     r = ev.auc_ap(summ).first()
     pos, neg = s[y == 1], s[y == 0]
     gt = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
@@ -40,7 +40,7 @@ def test_auc_ap_exact(spark, data):
 
 def test_thresholds_equal_numpy_quantile(spark, data):
     s, y = data
-    summ = ev.score_summary(_frame(spark, s, y), buckets=16)
+    summ = ev.score_summary(_frame(spark, s, y))
     got = {r.top_fraction: r for r in ev.top_k_report(summ).collect()}
     base = y.mean()
     for k in ev.TOP_K_FRACTIONS:
@@ -69,7 +69,7 @@ def test_histogram_matches_numpy_counts(spark, data):
 
 
 def test_single_class_gives_null_metrics_not_errors(spark):
-    summ = ev.score_summary(_frame(spark, [0.1, 0.2, 0.2], [0, 0, 0]), buckets=2)
+    summ = ev.score_summary(_frame(spark, [0.1, 0.2, 0.2], [0, 0, 0]))
     r = ev.auc_ap(summ).first()
     assert r.roc_auc is None and r.average_precision is None and r.positives == 0
     top = ev.top_k_report(summ).collect()

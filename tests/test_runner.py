@@ -21,6 +21,8 @@ def test_build_all_end_to_end(spark):
     fk = spark.read.parquet(f"{out}/checks/foreign_keys").collect()
     assert all(r.bad_rows == 0 for r in fk)
     quarantine = spark.read.parquet(f"{out}/checks/quarantine").collect()
-    assert len(quarantine) == 6 and all(r.quarantined_rows == 0 for r in quarantine)
+    assert len(quarantine) == 6 and sum(r.quarantined_rows for r in quarantine) > 0
+    rejected = {(r.table_name, r.reason): r.rows for r in spark.read.parquet(f"{out}/checks/rejected_rows").collect()}
+    assert rejected["companies", "duplicate"] > 0 and rejected["payments", "null_key"] > 0
     csv = spark.read.option("header", "true").csv(f"{out}/export/company_risk_monitor")
     assert csv.count() == mon.count()
