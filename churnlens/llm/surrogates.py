@@ -235,8 +235,10 @@ def _filled(mention: Column, signs: str, made: Column, skip: Column) -> Column:
 
 
 def _cased(shown: Column, made: Column) -> Column:
-    """Capitals as in the mention: all, the first, or as made."""
-    return (F.when((F.upper(shown) == shown) & (F.char_length(shown) > 1) & (F.lower(shown) != shown), F.upper(made))
+    """Capitals as in the mention: letter by letter where the lengths agree, else all, the first, or as made."""
+    each = F.array_join(F.zip_with(F.split(shown, ""), F.split(made, ""), lambda a, b: F.when(F.lower(a) != a, F.upper(b)).otherwise(b)), "")
+    return (F.when(F.char_length(shown) == F.char_length(made), each)
+            .when((F.upper(shown) == shown) & (F.char_length(shown) > 1) & (F.lower(shown) != shown), F.upper(made))
             .when(F.substring(shown, 1, 1).rlike(r"\p{Lu}"), F.concat(F.upper(F.substring(made, 1, 1)), F.substring(made, F.lit(2), F.char_length(made))))
             .otherwise(made))
 

@@ -10,8 +10,8 @@ from tokenizers import Tokenizer
 sys.path.insert(0, str(Path(__file__).parents[2]))
 
 import corpus_pipeline  # noqa: E402
-from test_minhash import brute  # noqa: E402
-from test_packing import check  # noqa: E402
+from .test_minhash import brute  # noqa: E402
+from .test_packing import check  # noqa: E402
 
 
 def stages(spark, docs, folder):
