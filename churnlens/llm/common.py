@@ -6,6 +6,7 @@ import atexit
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,3 +93,20 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def spanning(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Links that connect what the pairs connect, at most n - 1 of them."""
+    parent = list(range(n))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        p, q = root(x), root(y)
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+            out.append((x, y))
+    return out

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components
+from .common import Scratch, components, spanning
 
 COSINE, TREES, LEAF, SPILL, DEPTH = 0.93, 16, 512, 0.1, 40
 #: Vectors of a leaf compared at a time, against all of the leaf.
@@ -100,27 +100,8 @@ def _first_shared(own: list[np.ndarray], mine: tuple[int, str], rows: np.ndarray
     return (held[rows] @ held.T) == 0
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Links that connect what the pairs connect, at most n - 1 of them."""
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = root(x), root(y)
-        if p != q:
-            parent[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
-
-
 def _compare(threshold: float):
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vec", ignore_index=True)
         vec, copies = frame["vec"].to_numpy(), frame["copies"].to_numpy()
         x = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
@@ -136,7 +117,7 @@ def _compare(threshold: float):
             links[rows] = near @ copies
             a, b = np.nonzero(near)
             a += i
-            ends += _forest(a[a < b], b[a < b], n)
+            ends += spanning(a[a < b], b[a < b], n)
         out = [(int(v), int(c), -1) for v, c in zip(vec, links) if c]
         out += [(int(vec[a]), 0, int(vec[b])) for a, b in ends]
         return pd.DataFrame(out, columns=["vec", "links", "other"]).astype("int64")

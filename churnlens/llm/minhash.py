@@ -7,11 +7,12 @@ bound and the collision-corrected estimate from the packed bits, and are
 then confirmed on the full sets.
 
 Documents with equal sets collapse to one class first, so exact copies
-never form pairs. Candidates within a band bucket are generated in two
-linear-size steps instead of all pairs: every member meets the bucket's hub
-(the document with most bucket mates); then only pairs that are still in
-different components, with a sufficient estimate, are tested. Any two
-documents that share a bucket and reach the threshold end in one component.
+never form pairs. Candidates within a band bucket are not all its pairs:
+every member meets the bucket's hub (the document with most bucket mates).
+Then only members that are still in different components are compared, block
+against block within a task, and only links leave it (as many as connect the
+block), so a dense group of any size sends no pairs. Any two documents that
+share a bucket and reach the threshold end in one component.
 At a similarity of 0.8 the bands miss a pair with probability 3e-6.
 """
 
@@ -25,11 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, slices
+from .common import Scratch, components, slices, spanning
 
 BANDS, ROWS, HASHES, BITS = 42, 6, 256, 2
 #: Below the threshold by this much the estimate rejects (over five standard deviations).
 SLACK = 0.16
+#: Members of an open bucket that are compared at a time, against as many others
+#: (a few MB of sets; what bounds it are matrices of all pairs of twice as many).
+BLOCK = 1024
+#: Rows of open buckets that a group of them has on average.
+TOGETHER = 2000
 #: Up to this many document ids (8 bytes each) are broadcast to pick texts; beyond it they are joined.
 BROADCAST_IDS = 1_000_000
 SLICE_BYTES = 2_000_000
@@ -94,7 +100,7 @@ def band_keys(low: np.ndarray) -> np.ndarray:
 
 
 def pack(low: np.ndarray) -> np.ndarray:
-    """The low BITS bits of the minima, packed into longs."""
+    """BITS bits of each minimum, packed into longs (bits 40 on: a product's lowest are mixed least)."""
     per = 64 // BITS
     bits = ((low >> np.uint64(40)) & np.uint64(2**BITS - 1)).reshape(len(low), HASHES // per, per)
     return np.bitwise_or.reduce(bits << (np.arange(per, dtype=np.uint64) * np.uint64(BITS)), axis=2)
@@ -160,14 +166,21 @@ def _close(percent: int):
             & (estimate("sketch", "sketch2") >= percent / 100 - SLACK))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b, n, n2) whose full sets reach the threshold."""
-    pairs = scratch.save(pairs, f"{name}-pairs")
-    need = scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-need")
+def _set_table(ids: DataFrame, docs: DataFrame, k: int, scratch: Scratch, name: str) -> DataFrame:
+    """The full sets (node, shingles) of the documents in ``ids`` (doc_id)."""
+    need = scratch.save(ids, f"{name}-need")
     few = need.count() <= BROADCAST_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.join(F.broadcast(need) if few else need, "doc_id", "left_semi")
-    sets = scratch.save(texts.mapInArrow(_sets(k), "node long, shingles array<long>"), f"{name}-sets")
+    sets = texts.mapInArrow(_sets(k), "node long, shingles array<long>")
+    return scratch.save(sets, f"{name}-sets")
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+    pairs = scratch.save(pairs, "pairs")
+    ids = pairs.select("a").union(pairs.select("b")).toDF("doc_id").distinct()
+    sets = _set_table(ids, docs, k, scratch, "star")
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("s2"))
     first = sets.select(F.col("node").alias("a"), "shingles")
     shared = F.size(F.array_intersect("shingles", "s2"))
@@ -175,11 +188,80 @@ def _confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: S
              .withColumn("shared", shared)
              .where((F.col("shared") * 100) >= percent * (F.size("shingles") + F.size("s2") - F.col("shared")))
              .select("a", "b").distinct())
-    links = scratch.save(links, f"{name}-links")
-    scratch.drop(f"{name}-sets")
+    links = scratch.save(links, "links")
+    scratch.drop("star-sets")
     return links
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairs' intersections: over shingles that several sets
+    have, products of the incidence matrix, some columns at a time."""
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    column = np.cumsum(np.r_[0, flat[1:] != flat[:-1]])
+    several = np.bincount(column)[column] > 1
+    column, owner = np.unique(column[several], return_inverse=True)[1], owner[several]
+    total = np.zeros((len(sets), len(sets)), np.float64)
+    for begin in range(0, int(column.max(initial=-1)) + 1, 4096):
+        inside = slice(*np.searchsorted(column, [begin, begin + 4096]))
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[inside], column[inside] - begin] = 1
+        total += part @ part.T
+    return total
+
+
+def _links_across(percent: int, band: int, crossing: bool, columns: dict, rows: np.ndarray) -> list[tuple[int, int]]:
+    """Links between the components of one bucket's members (``rows`` of the
+    columns), within a block or ``crossing`` two: as many as connect them.
+
+    A pair is tested in the first band that it shares, so in one bucket only;
+    size bound and estimate come before the full sets."""
+    root, block, size = columns["root"][rows], columns["block"][rows], columns["n"][rows]
+    test = np.triu(root[:, None] != root[None, :], 1)
+    if crossing:
+        test &= block[:, None] != block[None, :]
+    test &= 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
+    bands, packed = columns["bands"][rows], columns["sketch"][rows]
+    least = (percent / 100 - SLACK) * (1 - 2.0**-BITS) + 2.0**-BITS
+    for i in np.flatnonzero(test.any(axis=1)):
+        test[i] &= ~(bands[:, :band] == bands[i, :band]).any(axis=1)
+        x = packed[i] ^ packed
+        differing = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
+        test[i] &= 1 - differing / HASHES >= least
+    used = np.flatnonzero(test.any(axis=0) | test.any(axis=1))
+    if not len(used):
+        return []
+    shared = shared_counts([columns["shingles"][rows[i]] for i in used])
+    total = size[used][:, None] + size[used][None, :] - shared
+    a, b = np.nonzero(test[np.ix_(used, used)] & (100 * shared >= percent * total))
+    return [(rows[x], rows[y]) for x, y in spanning(used[a], used[b], len(rows))]
+
+
+def _across(percent: int):
+    """``_links_across`` for all buckets (key and pair of blocks) of a group."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates(["key", "i", "j", "node"])
+        columns = {c: frame[c].to_numpy() for c in ("key", "i", "j", "node", "root", "block", "band", "n", "shingles")}
+        columns["bands"] = np.stack(frame["bands"].to_numpy())
+        columns["sketch"] = np.stack(frame["sketch"].to_numpy()).view(np.uint64)
+        order = np.lexsort([columns[c] for c in ("node", "j", "i", "key")])
+        same = np.ones(len(order), bool)
+        for c in ("key", "i", "j"):
+            same[1:] &= columns[c][order[1:]] == columns[c][order[:-1]]
+        same[0] = False
+        links: list[tuple[int, int]] = []
+        for rows in np.split(order, np.flatnonzero(~same)[1:]):
+            if len(rows) > 1:
+                first = rows[0]
+                links += _links_across(percent, int(columns["band"][first]),
+                                       columns["i"][first] != columns["j"][first], columns, rows)
+        node = columns["node"]
+        return pd.DataFrame([(node[x], node[y]) for x, y in links], columns=["a", "b"]).astype("int64")
+    return run
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -198,7 +280,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
     info = classes.select("node", "n", "sketch")
     info2 = info.toDF("node2", "n2", "sketch2")
 
-    rows = classes.select("node", F.explode("bands").alias("key"))
+    rows = classes.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = scratch.save(rows.join(sizes, "key"), "members")
     popularity = members.groupBy("node").agg(F.sum("size").alias("mates"))
@@ -209,20 +291,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
     star = scratch.save(star, "star")
     near = (star.join(info.withColumnRenamed("node", "a"), "a").join(info2.withColumnRenamed("node2", "b"), "b")
             .where(_close(percent)).select("a", "b"))
-    links = _confirm(near, docs, k, percent, scratch, "star")
+    links = _confirm(near, docs, k, percent, scratch)
 
-    # buckets whose members are in several components: test the pairs across
+    # buckets whose members are in several components: all pairs across these, in blocks
     roots = scratch.save(components(links, scratch, "roots"), "roots")
-    labelled = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    open_keys = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    left = scratch.save(labelled.join(open_keys.select("key"), "key").join(info, "node"), "open")
-    right = left.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"),
-                        F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
-    across = (left.join(right, "key").where((F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2"))
-                                            & _close(percent))
-              .select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
-              .join(star, ["a", "b"], "left_anti"))
-    links = links.union(_confirm(across, docs, k, percent, scratch, "across"))
+    labelled = members.join(roots, "node", "left").select("key", "band", "node", F.coalesce("root", "node").alias("root"))
+    open_keys = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                            F.count("*").alias("size")).where("lo < hi")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    left = (labelled.join(open_keys.select("key", blocks.alias("blocks")), "key").withColumn("block", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "band", "block", "node", "root"))
+    left = scratch.save(left, "open")
+    sets = _set_table(left.select(F.col("node").alias("doc_id")).distinct(), docs, k, scratch, "open")
+    groups = 1 + left.count() // TOGETHER
+    found = (left.join(classes, "node").join(sets, "node")
+             .groupBy(F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)).alias("group"))
+             .applyInPandas(_across(percent), "a long, b long"))
+    links = links.union(scratch.save(found.distinct(), "found"))
     roots = components(links, scratch, "final")
     named = scratch.save(classes.select("n", "d1", "d2", "node").join(roots, "node", "left")
                          .select("n", "d1", "d2", F.coalesce("root", "node").alias("root")), "named")

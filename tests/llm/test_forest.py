@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from churnlens.llm import forest
+from churnlens.llm.common import spanning
 
 
 def brute(rows, threshold=0.93):
@@ -67,5 +68,5 @@ def test_recall_over_leaves(spark, monkeypatch):
 def test_forest_spans(n):
     rng = np.random.default_rng(1)
     a, b = rng.integers(0, n, 3 * n), rng.integers(0, n, 3 * n)
-    links = forest._forest(a, b, n)
+    links = spanning(a, b, n)
     assert len(links) <= n - 1
