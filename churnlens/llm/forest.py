@@ -1,12 +1,15 @@
 """Operator 6: embedding near-duplicates by a forest of random-projection trees.
 
-In every tree each node splits its vectors at quantiles of their projection
-on a random direction; the middle ``SPILL`` part goes to both sides. Nodes
-of at most ``LEAF`` vectors are leaves. Vectors are compared within leaves
-by exact cosine, and links are united into components.
+In every tree each node splits its vectors by their projection on a random
+direction, where the split leaves the fewest pairs; those within a margin of
+the cut, taken from the threshold, go to both sides. Nodes of at most
+``LEAF`` vectors are leaves, and so are nodes that no split makes much
+smaller: their vectors are all near, however many. Vectors are compared
+within leaves by exact cosine (large leaves in pairs of parts, each pair a
+group of its own), and links are united into components.
 
-Labels grow trees of their own. Equal vectors collapse to one first, so
-exact copies cost nothing. No pairs leave a leaf: a pair that shares several
+Labels grow trees of their own. Vectors of one direction collapse to one
+first, so exact copies cost nothing. No pairs leave a leaf: a pair that shares several
 leaves belongs to the first of them (each vector knows all its leaves), the
 leaf sends a count of links for each vector and the links of a spanning
 forest. Both are linear in the leaf, however dense it is.
@@ -14,6 +17,7 @@ forest. Both are linear in the leaf, however dense it is.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, spanning
+from .common import Scratch, components, let
 
-COSINE, TREES, LEAF, SPILL, DEPTH = 0.93, 16, 512, 0.1, 40
+COSINE, TREES, LEAF, DEPTH = 0.93, 16, 512, 40
+#: Width of the margin, in standard deviations of the projected difference of a pair at the threshold.
+MARGIN = 0.75
+#: A node is split if that leaves at most this part of its pairs.
+WORTH = 0.9
+#: Quantiles of a node's projections, of which one is the cut.
+QUANTILES = [i / 50 + 0.01 for i in range(50)]
+#: Vectors of a part of a large leaf (2 MB of 64 components).
+PART = 4096
 #: Vectors of a leaf compared at a time, against all of the leaf.
 BLOCK = 512
 _SEED = 6
@@ -41,6 +53,12 @@ def usable(vector: str):
     return F.coalesce(fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _direction(vector: str):
+    """Equal for vectors of one direction: all components over the largest size of one (and no negative zero)."""
+    return let(F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double")))),
+               lambda top: F.transform(vector, lambda x: x.cast("double") / top + F.lit(0.0)))
+
+
 def _projected(level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,12 +73,24 @@ def _projected(level: int):
     return run
 
 
-def grow(vectors: DataFrame, scratch: Scratch) -> DataFrame:
+def _cut(threshold: float):
+    """Of the quantiles ``q``: (pairs left, as a part; low and high end of the margin) of the best cut."""
+    half = MARGIN * max(0.0, 2 - 2 * threshold) ** 0.5 / 2
+
+    def at(c):
+        left = F.size(F.filter("q", lambda x: x <= c + half)) / len(QUANTILES)
+        right = F.size(F.filter("q", lambda x: x >= c - half)) / len(QUANTILES)
+        return F.struct((left * left + right * right).alias("pairs"), (c - half).alias("low"), (c + half).alias("high"))
+    return F.array_min(F.transform("q", at))
+
+
+def grow(vectors: DataFrame, scratch: Scratch, threshold: float = COSINE) -> DataFrame:
     """Leaves of all trees: vec, grp, tree, leaf (a path as text; '0' and '1' for
     sides). ``vectors``: vec, grp (compared only among equals), embedding.
 
     Level by level; a node's quantiles and size are one grouped aggregate with
-    a map-side part. A group that fits a leaf needs one tree only."""
+    a map-side part. A group that fits a leaf, or is one leaf in some tree,
+    needs that tree only. What is open after ``DEPTH`` levels is a leaf."""
     sizes = vectors.groupBy("grp").agg(F.count("*").alias("n"))
     trees = F.sequence(F.lit(0), F.when(F.col("n") <= LEAF, 0).otherwise(TREES - 1))
     rows = (vectors.join(sizes, "grp").withColumn("tree", F.explode(trees))
@@ -79,51 +109,92 @@ def grow(vectors: DataFrame, scratch: Scratch) -> DataFrame:
         open_rows = rows.join(full, ["grp", "tree", "leaf"]).select(*rows.columns, "n").mapInArrow(
             _projected(level), schema.replace("array<float>", kind))
         open_rows = scratch.save(open_rows, f"at-{level}")
-        cuts = open_rows.groupBy("grp", "tree", "leaf").agg(
-            F.percentile_approx("at", [0.5 - SPILL / 2, 0.5 + SPILL / 2], 2000).alias("cut"))
-        sides = F.array_compact(F.array(F.when(F.col("at") <= F.col("cut")[1], "0"),
-                                        F.when(F.col("at") >= F.col("cut")[0], "1")))
-        rows = (open_rows.join(cuts, ["grp", "tree", "leaf"]).withColumn("side", F.explode(sides))
+        cuts = open_rows.groupBy("grp", "tree", "leaf").agg(F.percentile_approx("at", QUANTILES, 2000).alias("q"))
+        cuts = scratch.save(cuts.select("grp", "tree", "leaf", _cut(threshold).alias("cut")), f"cuts-{level}")
+        dense = cuts.where(F.col("cut.pairs") > WORTH).select("grp", "tree", "leaf")
+        if level == 0:  # a whole group in one leaf: no other tree adds a pair
+            dense = dense.groupBy("grp", "leaf").agg(F.min("tree").alias("tree")).select("grp", "tree", "leaf")
+            open_rows = open_rows.join(dense.select("grp", F.col("tree").alias("only")), "grp", "left").where(
+                "only is null or only = tree").drop("only")
+        done = done.union(open_rows.join(dense, ["grp", "tree", "leaf"]).select(*done.columns))
+        sides = F.array_compact(F.array(F.when(F.col("at") <= F.col("cut.high"), "0"),
+                                        F.when(F.col("at") >= F.col("cut.low"), "1")))
+        rows = (open_rows.join(cuts.where(F.col("cut.pairs") <= WORTH), ["grp", "tree", "leaf"])
+                .withColumn("side", F.explode(sides))
                 .select("vec", "grp", "tree", F.concat("leaf", "side").alias("leaf"), "embedding"))
     return done.union(rows.drop("embedding"))
 
 
-def _first_shared(own: list[np.ndarray], mine: tuple[int, str], rows: np.ndarray) -> np.ndarray:
-    """For ``rows`` against all: whether the pair shares no leaf before ``mine``.
+def _earlier(own: list[np.ndarray], mine: tuple[int, str]) -> np.ndarray:
+    """Which leaves before ``mine`` each vector is in, of those that several are in.
 
     ``own``: each vector's leaves as (tree, path) in order."""
     earlier = [[x for x in leaves if x < mine] for leaves in own]
-    names = {x: i for i, x in enumerate(sorted({x for e in earlier for x in e}))}
-    held = np.zeros((len(own), len(names)), np.float32)
+    held = Counter(x for e in earlier for x in e)
+    names = {x: i for i, x in enumerate(sorted(x for x, n in held.items() if n > 1))}
+    out = np.zeros((len(own), len(names)), np.float32)
     for i, e in enumerate(earlier):
-        held[i, [names[x] for x in e]] = 1
-    return (held[rows] @ held.T) == 0
+        out[i, [names[x] for x in e if x in names]] = 1
+    return out
+
+
+def _unshared(held: np.ndarray, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether a pair of ``rows`` and ``others`` shares none of the leaves ``held``."""
+    return (held[rows] @ held[others].T) == 0
+
+
+def _joined(near: np.ndarray, rows: np.ndarray, others: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Links of ``near`` (rows against others) that connect components not yet
+    connected; ``label`` names each vector's component and is kept up to date."""
+    out = []
+    for i, r in enumerate(rows):
+        mates = others[near[i]]
+        for u, first in zip(*np.unique(label[mates], return_index=True)):
+            if u != label[r]:
+                out.append((int(r), int(mates[first])))
+                label[label == u] = label[r]
+    return out
 
 
 def _compare(threshold: float):
+    """Compares a leaf's vectors, of a large leaf those of part ``a`` with those of part ``b``."""
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vec", ignore_index=True)
-        vec, copies = frame["vec"].to_numpy(), frame["copies"].to_numpy()
+        vec, copies, part = frame["vec"].to_numpy(), frame["copies"].to_numpy(), frame["part"].to_numpy()
         x = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         own = [sorted((int(t), p) for t, p in leaves) for leaves in
                (((s["tree"], s["leaf"]) for s in leaves) for leaves in frame["leaves"])]
-        mine, n = (int(key[1]), key[2]), len(vec)
-        links, ends = np.zeros(n, np.int64), []
-        for i in range(0, n, BLOCK):
-            rows = np.arange(i, min(n, i + BLOCK))
-            near = (x[rows] @ x.T >= threshold) & _first_shared(own, mine, rows)
-            near[rows - i, rows] = False
-            links[rows] = near @ copies
-            a, b = np.nonzero(near)
-            a += i
-            ends += spanning(a[a < b], b[a < b], n)
+        held, n = _earlier(own, (int(key[1]), key[2])), len(vec)
+        left, others = np.flatnonzero(part == key[3]), np.flatnonzero(part == key[4])
+        links, ends, label = np.zeros(n, np.int64), [], np.arange(n)
+        for i in range(0, len(left), BLOCK):
+            rows = left[i:i + BLOCK]
+            near = _unshared(held, rows, others)
+            if not near.any():
+                continue
+            near &= x[rows] @ x[others].T >= threshold
+            if key[3] == key[4]:
+                near[np.arange(len(rows)), np.arange(i, i + len(rows))] = False
+            else:
+                links[others] += copies[rows] @ near
+            links[rows] += near @ copies[others]
+            ends += _joined(near, rows, others, label)
         out = [(int(v), int(c), -1) for v, c in zip(vec, links) if c]
         out += [(int(vec[a]), 0, int(vec[b])) for a, b in ends]
         return pd.DataFrame(out, columns=["vec", "links", "other"]).astype("int64")
     return run
 
 
+def _in_parts(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """``members`` with part, a and b: once for each pair of parts of their leaf that holds theirs."""
+    sizes = scratch.save(members.groupBy("grp", "tree", "leaf").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")), "parts")
+    part = F.pmod(F.xxhash64("vec"), F.col("parts")).cast("int")
+    rows = members.join(sizes, ["grp", "tree", "leaf"]).withColumn("part", part)
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return rows.select(*members.columns, "part", F.least("part", "_other").alias("a"), F.greatest("part", "_other").alias("b"))
+
+
 def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     """One row for each row of ``vectors`` (vec_id, embedding, label).
 
@@ -138,16 +209,16 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     vectors = vectors.select("vec_id", "embedding", F.col("label").cast("string").alias("label"))
     fine = usable("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = scratch.save(vectors.withColumn("grp", F.when(fine, F.concat_ws("/", F.size("embedding"), "label")))
-                        .withColumn("key", F.when(fine, F.sha2(F.to_json(F.struct("embedding")), 256))), "rows")
+                        .withColumn("key", F.when(fine, F.sha2(F.to_json(F.struct(_direction("embedding").alias("d"))), 256))), "rows")
     distinct = (rows.where("key is not null").groupBy("grp", "key")
                 .agg(F.min("vec_id").cast("long").alias("vec"), F.count("*").alias("copies"),
                      F.first("embedding").alias("embedding")))
     distinct = scratch.save(distinct, "distinct")
-    leaves = scratch.save(grow(distinct.select("vec", "grp", "embedding"), scratch), "leaves")
+    leaves = scratch.save(grow(distinct.select("vec", "grp", "embedding"), scratch, threshold), "leaves")
     owned = leaves.groupBy("grp", "vec").agg(F.collect_list(F.struct("tree", "leaf")).alias("leaves"))
     members = (leaves.join(owned, ["grp", "vec"])
                .join(distinct.select("grp", "vec", "copies", "embedding"), ["grp", "vec"]))
-    found = scratch.save(members.groupBy("grp", "tree", "leaf").applyInPandas(
+    found = scratch.save(_in_parts(members, scratch).groupBy("grp", "tree", "leaf", "a", "b").applyInPandas(
         _compare(threshold), "vec long, links long, other long"), "found")
     links = found.where("other >= 0 or links = 0").select(F.col("vec").alias("a"), F.col("other").alias("b"))
     roots = scratch.save(components(links, scratch, "roots"), "roots")

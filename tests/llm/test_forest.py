@@ -1,6 +1,7 @@
 """Operator 6 against brute force: exact in one leaf, recall over many."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from churnlens.llm import forest
@@ -70,3 +71,50 @@ def test_forest_spans(n):
     a, b = rng.integers(0, n, 3 * n), rng.integers(0, n, 3 * n)
     links = spanning(a, b, n)
     assert len(links) <= n - 1
+
+
+def ball(rng, n, spread=0.22, size=64):
+    """Vectors around one direction, whose pairs are mostly linked."""
+    centre = rng.normal(0, 1, size)
+    return centre / np.linalg.norm(centre) + rng.normal(0, spread / size**0.5, (n, size))
+
+
+def exact(x, threshold=0.93):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return np.concatenate([(x[i:i + 1000] @ x.T >= threshold).sum(axis=1) - 1 for i in range(0, len(x), 1000)])
+
+
+def links_of(spark, x):
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x), "label": 0}),
+                                  "vec_id long, embedding array<double>, label int")
+    found = forest.near_duplicates(spark, table).select("vec_id", "n_links").toPandas().sort_values("vec_id")
+    return found["n_links"].to_numpy()
+
+
+@pytest.mark.parametrize("n", [5_000, 20_000])
+def test_a_dense_ball_loses_no_link(spark, n):
+    """Production parameters; a group far beyond a leaf, and of several parts."""
+    x = ball(np.random.default_rng(n), n)
+    expected = exact(x)
+    assert expected.mean() > 0.5 * n
+    assert (links_of(spark, x) == expected).all()
+
+
+def test_dense_balls_among_others(spark):
+    """Production parameters: balls that share their label with each other and with strangers."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([ball(rng, 2_000), ball(rng, 1_500), rng.normal(0, 1, (3_000, 64))])
+    expected, got = exact(x), links_of(spark, x)
+    assert (got <= expected).all() and got.sum() >= 0.99 * expected.sum()
+
+
+def test_one_direction_collapses(spark, monkeypatch):
+    """Multiples of a vector are one vector: 900 of them and leaves of 4 grow no tree."""
+    monkeypatch.setattr(forest, "LEAF", 4)
+    seen, grow = [], forest.grow
+    monkeypatch.setattr(forest, "grow", lambda vectors, *rest: (seen.append(vectors.count()), grow(vectors, *rest))[1])
+    rows = [(i, [0.1 * (i % 300 + 1) if j == 2 else 0.0 for j in range(4)], 0) for i in range(900)]
+    rows += [(i, [float(i), -2.0 * i, 0.0, 3.0 * i], 0) for i in range(901, 1000)]
+    found = {r.vec_id: r for r in forest.near_duplicates(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert seen == [2]
+    assert {r.n_links for v, r in found.items() if v < 900} == {899} and {r.n_links for v, r in found.items() if v > 900} == {98}
