@@ -62,7 +62,7 @@ def shingle_sets(texts: list[bytes | None], k: int) -> list[np.ndarray]:
         return [np.empty(0, np.uint64)] * len(texts)
     hashes = pd.util.hash_array(np.array(flat, dtype=object), categorize=True)
     rolled = hashes.copy()
-    for j in range(1, k):
+    for j in range(1, min(k, len(flat))):
         rolled[: len(flat) - j] = _mix(rolled[: len(flat) - j]) + hashes[j:] * np.uint64(2 * j + 1)
     rolled = _mix(rolled)
     out, at = [], 0

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from churnlens.llm import minhash
 
 
@@ -77,3 +79,13 @@ def test_groups_of_near_copies(spark):
     for k in (2, 5):
         found = minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), k, 80).collect()
         check(rows, found, k)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6])
+def test_slices_of_few_words(n):
+    """All words of a slice together may be fewer than a shingle's; a text's set never depends on its slice."""
+    text = " ".join("abcdef"[:n]).encode()
+    (alone,) = minhash.shingle_sets([text], 5)
+    assert len(alone) == max(1, n - 4)
+    among = minhash.shingle_sets([b"some other words that fill up the slice", text, None, b""], 5)
+    assert (among[1] == alone).all() and len(among[2]) == len(among[3]) == 0
