@@ -11,6 +11,10 @@ order, the first ``SAMPLE_CHARS`` characters of each, ``MODEL_SYMBOLS``
 symbols for all languages together. Prediction reads whole texts; they are
 parsed in blocks of ``BLOCK`` symbols (all blocks side by side), each block
 starting a new phrase. Only the text is used.
+
+The most frequent letters are a symbol each; every other letter of a sample
+is written as digits, so it matches as well. Only letters that no sample
+holds match nothing.
 """
 
 from __future__ import annotations
@@ -29,8 +33,8 @@ from .common import slices
 
 SAMPLE_DOCS, SAMPLE_CHARS, MODEL_SYMBOLS = 200, 1000, 120_000
 BLOCK, SLICE_CHARS = 512, 1_000_000
-#: Symbols: 0 letters outside the alphabet, 1 any run of other characters, then the alphabet, PAD after a block's end.
-OTHER, GAP, ALPHABET, PAD, WIDTH = 0, 1, 61, 63, 64
+#: Symbols: 0 letters in no sample, 1 any run of other characters, then the alphabet, digits of further letters, PAD after a block's end.
+OTHER, GAP, ALPHABET, DIGIT, DIGITS, PAD, WIDTH = 0, 1, 61, 63, 16, 79, 80
 UNDETERMINED = "und"
 
 
@@ -96,37 +100,65 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return move
 
 
+def _further(model: Model) -> str:
+    """Letters of the samples that aren't in the alphabet, by code point; each is written as its number's digits."""
+    return "".join(sorted({c for s in model.samples for c in s if c.isalpha()}.difference(model.alphabet)))
+
+
+def _written(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols for ``codes`` (from WIDTH on: WIDTH + a letter's number, as ``size`` digits), and how many each has."""
+    far = codes >= WIDTH
+    counts = np.where(far, size, 1)
+    if not far.any():
+        return codes, counts
+    out = np.repeat(codes, counts)
+    begin = (np.cumsum(counts) - counts)[far]
+    for i in range(size):
+        out[begin + i] = DIGIT + (codes[far] - WIDTH) // DIGITS ** (size - 1 - i) % DIGITS
+    return out, counts
+
+
 @functools.lru_cache(maxsize=2)
-def _tables(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Symbol of each code point, the moves of all automata, their starts, log2 of sample sizes.
+def _tables(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Code of each code point (see ``_written``), the moves of all automata, their starts, log2 of sample sizes, digits of a letter.
 
-    A move is (next state * WIDTH) + 1 if a phrase ended before the symbol."""
-    symbol = np.full(0x110000, GAP, np.uint8)
+    A move is (next state * WIDTH) + 1 if a phrase ended before the symbol. A symbol
+    that the sample doesn't hold is a phrase of its own: it leads to an added last
+    state, which every symbol leaves for a new phrase."""
+    symbol = np.full(0x110000, GAP, np.int32)
     symbol[[i for i in range(0x110000) if chr(i).isalpha()]] = OTHER
     for i, c in enumerate(model.alphabet):
         symbol[ord(c)] = 2 + i
-    parts, starts, at = [], [], 0
+    further, size = _further(model), 1
+    while DIGITS ** size < len(further):
+        size += 1
+    for i, c in enumerate(further):
+        symbol[ord(c)] = WIDTH + i
+    parts, starts, lengths, at = [], [], [], 0
     for sample in model.samples:
-        codes = symbol[np.frombuffer(sample.encode("utf-32-le"), np.uint32)]
+        codes, _ = _written(symbol[np.frombuffer(sample.encode("utf-32-le"), np.uint32)], size)
+        lengths.append(len(codes))
         move = suffix_automaton(codes.tolist())
         move[0].pop(OTHER, None)
-        fresh = np.full(WIDTH, at * WIDTH + 1, np.int32)
+        move.append({})
+        fresh = np.full(WIDTH, (at + len(move) - 1) * WIDTH + 1, np.int32)
         for c, s in move[0].items():
             fresh[c] = (at + s) * WIDTH + 1
         table = np.tile(fresh, (len(move), 1))
+        table[0] -= 1  # a block's first phrase is counted already
         state, c, to = np.array([(s, c, t) for s, m in enumerate(move) for c, t in m.items() if c != OTHER]).T
         table[state, c] = (at + to) * WIDTH
         table[:, PAD] = at * WIDTH
         parts.append(table)
         starts.append(at * WIDTH)
         at += len(move)
-    sizes = np.log2([max(2, len(s)) for s in model.samples])
-    return symbol, np.concatenate(parts).reshape(-1), np.array(starts, np.int32), sizes
+    sizes = np.log2([max(2, n) for n in lengths])
+    return symbol, np.concatenate(parts).reshape(-1), np.array(starts, np.int32), sizes, size
 
 
 def entropies(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bits a symbol of each text (rows) under each language, and whether it has a letter."""
-    symbol, table, starts, logs = _tables(model)
+    symbol, table, starts, logs, size = _tables(model)
     lower = [t.lower() for t in texts]
     codes = symbol[np.frombuffer(" ".join([*lower, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)]
     owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lower])
@@ -134,7 +166,8 @@ def entropies(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     first[1:] = owner[1:] != owner[:-1]
     keep = codes != GAP
     keep[1:] |= (codes[:-1] != GAP) & ~first[1:]  # one gap after letters; none at a text's start
-    codes, owner = codes[keep], owner[keep]
+    codes, counts = _written(codes[keep], size)
+    owner = np.repeat(owner[keep], counts)
     sizes = np.bincount(owner, minlength=len(texts))
     letters = np.bincount(owner, weights=codes != GAP, minlength=len(texts)) > 0
     blocks = -(-sizes // BLOCK)

@@ -62,3 +62,23 @@ def test_odd_rows(spark, odd, none, documents):
     assert langid.predict(none, model).count() == 0
     unlabelled = langid.fit(documents.withColumn("lang", F.lit(None).cast("string")), F.lit(True))
     assert {r.lang_pred for r in langid.predict(odd, unlabelled).collect()} == {"und"}
+
+
+def test_letters_beyond_the_alphabet_match():
+    """Many scripts at once, two languages in each: letters outside the alphabet tell them apart as well."""
+    rng = random.Random(5)
+    scripts = {"latin": "abcdefghijklmnopqrstuvwxyzàâäçéèêëîïñóôöùûüß", "greek": "αβγδεζηθικλμνξοπρστυφχψωάέήίόύώ",
+               "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "chinese": "".join(chr(0x4E00 + 7 * i) for i in range(600))}
+    words = {f"{s}-{i}": ["".join(rng.choice(letters) for _ in range(rng.randint(2, 5))) for _ in range(150)]
+             for s, letters in scripts.items() for i in (1, 2)}
+    names = tuple(sorted(words))
+    samples = tuple(" ".join(rng.choice(words[n]) for _ in range(800)) for n in names)
+    counts = {}
+    for c in "".join(samples).replace(" ", ""):
+        counts[c] = counts.get(c, 0) + 1
+    alphabet = "".join(sorted(counts, key=lambda c: (-counts[c], c))[:langid.ALPHABET])
+    model = langid.Model(names, samples, alphabet)
+    assert len(counts) > 256 + langid.ALPHABET
+    texts = [(n, " ".join(rng.choice(words[n]) for _ in range(30))) for n in names for _ in range(5)]
+    bits, letters = langid.entropies(model, [t for _, t in texts])
+    assert letters.all() and [names[i] for i in bits.argmin(axis=1)] == [n for n, _ in texts]
