@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, forest, langid, lm_score, minhash, packing, sharding, surrogates
+from . import bpe, chat, fingerprints, forest, langid, lm_score, minhash, packing, runs, sharding, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pseudo_likelihood": lm_score.op1_pseudo_likelihood,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_windows": chat.op8_chat_windows,
     "op9_extendible_shards": sharding.op9_extendible_shards,
     "op10_language_id": langid.op10_language_id,
+    "op11_periodic_runs": runs.op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
