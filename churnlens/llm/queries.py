@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, forest, langid, lm_score, minhash, packing, runs, sharding, surrogates
+from . import bpe, chat, fingerprints, forest, langid, licenses, lm_score, minhash, packing, runs, sharding, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pseudo_likelihood": lm_score.op1_pseudo_likelihood,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_extendible_shards": sharding.op9_extendible_shards,
     "op10_language_id": langid.op10_language_id,
     "op11_periodic_runs": runs.op11_periodic_runs,
+    "op12_license_scan": licenses.op12_license_scan,
 }
 
 ORACLE: dict[str, str] = {
@@ -27,4 +28,5 @@ ORACLE: dict[str, str] = {
     "op6_projection_forest": forest.ORACLE,
     "op8_chat_windows": chat.ORACLE,
     "op9_extendible_shards": sharding.ORACLE,
+    "op12_license_scan": licenses.ORACLE,
 }
