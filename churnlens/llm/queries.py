@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, fingerprints, forest, langid, licenses, lm_score, minhash, packing, runs, sharding, surrogates
+from . import bpe, chat, fingerprints, forest, langid, licenses, lm_score, minhash, packing, repair, runs, sharding, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pseudo_likelihood": lm_score.op1_pseudo_likelihood,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": langid.op10_language_id,
     "op11_periodic_runs": runs.op11_periodic_runs,
     "op12_license_scan": licenses.op12_license_scan,
+    "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
