@@ -4,14 +4,15 @@ Texts are tokenised and cut into pieces of at most ``CAPACITY`` tokens. The
 driver sees only the histogram of piece lengths (at most ``CAPACITY``
 counts): best-fit decreasing places counts, so all sequences with equal
 contents are one entry of the plan. Pieces then take planned slots by
-joining on (length, rank within length). Ranks are formed in ``SALTS``
-parts of each length, so a length that many pieces share is spread out.
+joining on (length, rank within length). Ranks are formed in parts of each
+length, more of them for more pieces, so a length that many share is spread out.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 from .common import Scratch
 from .pretokens import BYTE_LEVEL, byte_alphabet
 
-CAPACITY, END_ID, SALTS = 2048, 0, 64
+CAPACITY, END_ID = 2048, 0
+#: Ranks are formed in at least ``SALTS`` parts of each length, of about ``PART`` pieces at most.
+SALTS, PART = 64, 200_000
 
 
 @functools.lru_cache(maxsize=2)
@@ -41,9 +44,30 @@ def _encoding(path: str):
     return tiktoken.Encoding(path, pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens=special)
 
 
+#: Characters that the pattern's ``\s`` takes (Unicode White_Space), and runs of them that are cut out of a text.
+_WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LONG_WHITE = 10_000
+_white_runs = re.compile(_WHITE + "{50,}").finditer
+
+
 def token_ids(path: str, text: str) -> np.ndarray:
-    """Ids of a text as the tokenizers library gives them (special strings become their ids)."""
-    return _encoding(path).encode_to_numpy(text, allowed_special="all")
+    """Ids of a text as the tokenizers library gives them (special strings become their ids).
+
+    The pattern's look-ahead steps back through a run of white space and fails
+    on very long ones. By the pattern such a run is one piece: all of it at the
+    end of the text or before a special string, else all but its last
+    character. So long runs are merged by themselves."""
+    encoding = _encoding(path)
+    runs = [m.span() for m in _white_runs(text) if m.end() - m.start() >= LONG_WHITE] if len(text) >= LONG_WHITE else []
+    parts, begin = [], 0
+    for start, end in runs:
+        alone = end == len(text) or text.startswith(tuple(encoding.special_tokens_set), end)
+        stop = end if alone else end - 1
+        parts += [encoding.encode_to_numpy(text[begin:start], allowed_special="all"),
+                  np.array(encoding._encode_single_piece(text[start:stop]), np.uint32)]
+        begin = stop
+    rest = encoding.encode_to_numpy(text[begin:], allowed_special="all")
+    return np.concatenate([*parts, rest]) if parts else rest
 
 
 def _pieces(path: str, capacity: int):
@@ -108,7 +132,8 @@ def ranked(pieces: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict[int, in
 
     The rank is the rank within (length, salt) after the counts of the
     length's earlier salts."""
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
+    salts = max(SALTS, pieces.count() // PART)
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
     counts = scratch.save(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = counts.withColumn("before", F.sum("n").over(

@@ -71,3 +71,21 @@ def test_plan_places_all_and_is_best_fit():
                 free.remove(fit)
             free.append((100 if fit is None else fit) - size)
         assert sorted(100 - sum(l for _, l in p) for p in contents.values()) == sorted(free)
+
+
+def test_long_white_space():
+    """Runs of white space beyond what the pattern's look-ahead can step back through."""
+    library = Tokenizer.from_file(PATH)
+    end = "<|endoftext|>"
+    texts = [w * 1_000_000 for w in (" ", "\t", "\n", "\u2003")] + [" " * 5_000_000, "\n" * 5_000_000, "\t" * 5_000_000]
+    texts += ["a" + w * 1_000_000 + "b" for w in (" ", "\t", "\n")] + ["one " + " \n" * 600_000 + "two  three " + " " * 20_000 + "'s"]
+    texts += ["x" + " " * 20_000 + end + " " * 20_000 + "y" + end + "\n" * 20_000, " " * 9_999 + "b", " " * 10_000 + "b", "\u200b" * 12_000,
+              "\x1c" * 12_000 + "q", "\u3000" * 10_001 + "\u3042", "z" * 30_000 + " " * 30_000]
+    for text in texts:
+        assert packing.token_ids(PATH, text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_ranks_in_many_parts(spark, documents, monkeypatch):
+    monkeypatch.setattr(packing, "PART", 2)  # more parts than the least number
+    rows = packing.pack(spark, documents, PATH).collect()
+    check(rows, [(r.doc_id, r.text) for r in documents.collect()], Tokenizer.from_file(PATH), 2048)
