@@ -7,16 +7,20 @@ next one's ``docs``. Each stage works on all rows that its predecessor kept.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.llm import langid, minhash, packing, surrogates
+from churnlens.llm.common import Scratch
 from churnlens.session import ensure_checkpoint_dir
 
 #: Five-word shingles; similarity of 0.8, in percent.
 SHINGLE_WORDS, SIMILARITY = 5, 80
+#: The setting that holds the secret of a production run's surrogates.
+SURROGATE_KEY = "spark.churnlens.surrogate.secret"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,21 +39,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one of smallest doc_id.
 
-    Rows of equal doc_id are one document and one of them stays (the first in
-    the order of its other columns); rows without a doc_id stay."""
+    Every row has a number of its own and is judged by it, so rows of equal
+    doc_id go only as copies of each other's texts; among them the first row
+    stays. Rows without a doc_id stay. The numbered rows are written first:
+    numbers must not change when a lost executor's rows are read again."""
     del sf_dir
-    found = minhash.near_duplicates(spark, docs, SHINGLE_WORDS, SIMILARITY)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(*[c for c in docs.columns if c != "doc_id"])
-    number = "_row_of_id"
-    left = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").withColumn(number, F.row_number().over(order))
-    return left.where(F.col(number) == 1).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    scratch = Scratch(spark, "near-dedup")
+    row = next(name for i in itertools.count() if (name := f"_row{i}") not in docs.columns)
+    rows = scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    number = F.when(F.col("doc_id").isNotNull(), F.col(row))
+    found = minhash.near_duplicates(spark, rows.select(number.alias("doc_id"), "text"), SHINGLE_WORDS, SIMILARITY)
+    groups = (found.where("doc_id is not null").select(F.col("doc_id").alias(row), "component_id")
+              .join(rows.select(row, "doc_id"), row))
+    first = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", row)).alias("first"))
+    gone = groups.select(row).join(first.select(f"first.{row}"), row, "left_anti")
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Surrogates for personal data in every text; all rows stay."""
+    """Surrogates for personal data in every text; all rows stay. The key is
+    the session's ``SURROGATE_KEY``, a public one (for tests) where it is unset."""
     del sf_dir
-    return surrogates.replace_entities(spark, docs, surrogates.QUERY_KEY).select(*docs.columns)
+    key = spark.conf.get(SURROGATE_KEY, surrogates.QUERY_KEY)
+    return surrogates.replace_entities(spark, docs, key).select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
