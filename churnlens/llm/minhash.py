@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ BLOCK = 1024
 TOGETHER = 2000
 #: Up to this many document ids (8 bytes each) are broadcast to pick texts; beyond it they are joined.
 BROADCAST_IDS = 1_000_000
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _ODD = np.random.default_rng(20).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = np.random.default_rng(21).integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2)
@@ -112,12 +113,19 @@ def _lists(matrix: np.ndarray) -> pa.Array:
                                     pa.array(matrix.reshape(-1).view(np.int64)))
 
 
+def _text_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """A batch's texts, a slice at a time (never all as Python values)."""
+    column = batch.column("text").cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for i, j in slices(sizes, SLICE_BYTES, lambda n: n + 50):
+        yield i, j, column.slice(i, j - i).to_pylist()
+
+
 def _signatures(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for i, j in slices(texts, SLICE_BYTES, lambda t: len(t or b"") + 50):
-                sets = shingle_sets(texts[i:j], k)
+            for i, j, texts in _text_slices(batch):
+                sets = shingle_sets(texts, k)
                 low = np.array([minima(s) for s in sets])
                 keys = [(int(_mix(s).sum()), int(_mix(s ^ np.uint64(0x9E3779B97F4A7C15)).sum())) for s in sets]
                 digest = np.array(keys, np.uint64).view(np.int64).reshape(-1, 2)
@@ -138,9 +146,8 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for i, j in slices(texts, SLICE_BYTES, lambda t: len(t or b"") + 50):
-                sets = shingle_sets(texts[i:j], k)
+            for i, j, texts in _text_slices(batch):
+                sets = shingle_sets(texts, k)
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id")[i:j],
