@@ -26,6 +26,7 @@ from .plans import model as _md
 from .plans import risk as _rk
 from .plans import silver as _sv
 from .plans.warehouse import Warehouse
+from .sources.schemas import FOREIGN_KEYS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -299,6 +300,17 @@ select company_id, month_start, plan_type, months_since_signup, logins_30d, fail
     lambda wh: wh.risk_monitor("heuristic"))
 
 
+# -- files in and out: written as CSV and read back ---------------------------
+register("ingest_events_csv", """
+select event_id, user_id, case when event_id like '%-4' then event_type || chr(10) || '"' || event_id || '", again'
+  else event_type end as event_type, event_timestamp from raw_events""")(lambda wh: wh.ingested_events())
+
+register("export_company_risk_monitor", """
+select company_id, month_start, plan_type, months_since_signup, logins_30d, failed_payments_60d,
+  cast(mrr as double) as mrr, churn_probability, revenue_at_risk from company_risk_monitor_t""")(
+    lambda wh: wh.exported_monitor("heuristic"))
+
+
 # -- dashboards over the monitor ---------------------------------------------
 def _mon(wh: Warehouse) -> DataFrame:
     return wh.risk_monitor("heuristic")
@@ -420,6 +432,12 @@ register("dq_orphans_quarantined", "\nunion all\n".join(
     for c, rels in _sv.FK_PARENTS.items() for fk, p, pk in rels))(_quarantine)
 
 
+register("dq_foreign_keys_typed", "\nunion all\n".join(
+    f"select 'orphan_typed.{c}.{fk}' as check_name, count(*) as bad_rows from ({oracle._TYPED[c]}) x "
+    f"where {fk} is null or {fk} not in (select {pk} from ({oracle._TYPED[p]}) where {pk} is not null)"
+    for c, fk, p, pk in FOREIGN_KEYS))(lambda wh: _ck.foreign_keys(_sv.typed_tables(wh.raw()), "typed."))
+
+
 def _rejected_sql() -> str:
     parts = []
     for t in _sv.BUILD_ORDER:

@@ -30,10 +30,11 @@ def primary_keys(silver: dict[str, DataFrame], gold: dict[str, DataFrame],
     return q.union_all(frames)
 
 
-def foreign_keys(silver: dict[str, DataFrame]) -> DataFrame:
-    """Orphan counts for the six relationships."""
+def foreign_keys(tables: dict[str, DataFrame], layer: str = "") -> DataFrame:
+    """Orphan counts for the six relationships, of silver tables
+    or (named by ``layer``) of typed rows before cleaning drops any."""
     return q.union_all([
-        q.orphan_count(silver[c], fk, silver[p], pk, f"orphan_{c}.{fk}")
+        q.orphan_count(tables[c], fk, tables[p], pk, f"orphan_{layer}{c}.{fk}")
         for c, fk, p, pk in FOREIGN_KEYS])
 
 

@@ -75,6 +75,19 @@ class Warehouse:
               partition_by: list[str] | None = None) -> DataFrame:
         return self.memo(name, lambda: self._keep(name, build(), partition_by))
 
+    # -- files ----------------------------------------------------------------
+    def ingested_events(self) -> DataFrame:
+        """A1 on CSV files of raw events, some with line breaks inside quoted values."""
+        path = self.memo("csv/events", lambda: io.export_csv(
+            fixtures.events_with_breaks(self.raw()["events"]), f"{self.root}/csv/events"))
+        return io.read_raw(self.spark, path, "events").drop(io.CORRUPT)
+
+    def exported_monitor(self, source: str = "heuristic") -> DataFrame:
+        """The risk monitor's export, read back."""
+        monitor = self.risk_monitor(source)
+        path = self.memo(f"export/{source}", lambda: io.export_csv(monitor, f"{self.root}/export/{source}"))
+        return io.read_export(self.spark, path, monitor)
+
     # -- layers ---------------------------------------------------------------
     def raw(self) -> dict[str, DataFrame]:
         return self.memo("raw", self._raw_fn)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quoted_csv
 from .schemas import RAW, SILVER, TABLES
 
 
@@ -12,7 +13,7 @@ from .schemas import RAW, SILVER, TABLES
 CORRUPT = "_corrupt_line"
 
 
-def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
+def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv", quoted_breaks: bool = True) -> DataFrame:
     """A1: ingest one raw table unmodified.
 
     CSV columns are found by the header's names, in any order; a declared
@@ -20,13 +21,17 @@ def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> Da
     All values stay text (no inference pass): the raw layer keeps the
     source's formatting and a malformed value never fails a load; silver
     parses with its multi-layout ``try_`` parsers. Quoted line breaks are
-    part of a value. A line with too many or too few values is kept in
-    ``_corrupt_line`` and counted by the rejected-rows report. Typed formats
-    (Parquet, ORC) are cast to the raw schema.
+    part of a value, and files are split all the same (``quoted_csv``);
+    sources that have none may be read without that by ``quoted_breaks=False``
+    (one scan, one header for the path). A line with too many or too few
+    values is kept in ``_corrupt_line`` and counted by the rejected-rows
+    report. Typed formats (Parquet, ORC) are cast to the raw schema.
     """
     schema = RAW[table]
+    if fmt == "csv" and quoted_breaks:
+        return quoted_csv.read(spark, path, schema.fieldNames(), CORRUPT)
     if fmt == "csv":
-        options = {"header": "true", "multiLine": "true", "escape": '"'}
+        options = {"header": "true", "escape": '"'}
         names = spark.read.options(**options).csv(path).columns
         missing = [f.name for f in schema.fields if f.name not in names]
         if missing:
@@ -79,6 +84,12 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | N
 
 
 def export_csv(df: DataFrame, path: str) -> str:
-    """BI export of the risk monitor (header CSV, one folder of parts)."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    """BI export of the risk monitor (header CSV, one folder of parts;
+    quotes are doubled inside quoted values)."""
+    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
     return path
+
+
+def read_export(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """An export's rows, with the columns and types of the table it was made from."""
+    return spark.read.schema(like.schema).option("header", "true").option("escape", '"').csv(path)
