@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +51,53 @@ def read_raw_dir(spark: SparkSession, root: str, fmt: str = "csv") -> dict[str,
     return {t: read_raw(spark, f"{root}/{t}.{fmt}", t, fmt) for t in TABLES}
 
 
+#: In a table's folder: names its current version's folder, then the one before.
+POINTER = "_current"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as Hadoop's."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    """The pointer's lines: the current version, and the one before if there was one."""
+    fs, pointer = _file_system(spark, f"{folder}/{POINTER}")
+    if not fs.exists(pointer):
+        return []
+    stream = fs.open(pointer)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
+    finally:
+        stream.close()
+
+
+def _switch(spark: SparkSession, folder: str, versions: list[str]) -> None:
+    """Replace the pointer: a new file is renamed over the old one, which file systems do in one step."""
+    fs, new = _file_system(spark, f"{folder}/_next-{uuid.uuid4().hex}")
+    out = fs.create(new)
+    out.write(bytearray("\n".join(versions), "utf-8"))
+    out.close()
+    jvm = spark._jvm
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), fs.getConf())
+    context.rename(new, jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}"), how)
+
+
+def table_path(spark: SparkSession, root: str, name: str) -> str:
+    """The folder that holds a table's current rows."""
+    versions = _versions(spark, f"{root}/{name}")
+    if not versions:
+        raise FileNotFoundError(f"no table {name} in {root}")
+    return f"{root}/{name}/{versions[0]}"
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A2: scan of a silver/gold table written by ``write_table``."""
-    return spark.read.parquet(f"{root}/{name}")
+    return spark.read.parquet(table_path(spark, root, name))
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -61,26 +107,47 @@ def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
             .select(*SILVER[t].fieldNames()) for t in TABLES}
 
 
-def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> str:
-    """A3/A5: DROP + CREATE TABLE AS -> overwrite a Parquet table (static
-    overwrite: the whole table is replaced, months that disappeared from
-    the data disappear from the table).
+def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None) -> str:
+    """A3/A5: DROP + CREATE TABLE AS -> replace a Parquet table as a whole, in
+    one step (months that disappeared from the data disappear from the table).
+
+    The rows go to a new folder; when all are written, the table's pointer is
+    switched to it. A job that is lost before leaves the old table as it was,
+    readers see either the old rows or the new ones, and ``df`` may read the
+    table that it replaces. The version before stays for readers that have
+    begun; the one before that is deleted.
 
     Month-keyed gold tables are partitioned by month so dashboard reads
     prune partitions.
     """
-    path = f"{root}/{name}"
+    spark, folder, version = df.sparkSession, f"{root}/{name}", f"v-{uuid.uuid4().hex}"
     if partition_by:
         # One writer per month instead of every task writing into every
         # month folder (tasks x months small files); AQE's rebalance splits
         # an oversized month and coalesces small ones.
         df = df.hint("rebalance", *partition_by)
-    w = df.write.mode(mode).option("compression", "zstd")
+    w = df.write.option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    w.parquet(f"{folder}/{version}")
+    before = _versions(spark, folder)
+    _switch(spark, folder, [version, *before[:1]])
+    for old in before[1:]:
+        fs, path = _file_system(spark, f"{folder}/{old}")
+        fs.delete(path, True)
+    return f"{folder}/{version}"
+
+
+def remove_unfinished(spark: SparkSession, root: str, name: str) -> int:
+    """Delete what lost jobs left in a table's folder (while no job writes it); how many versions."""
+    kept, removed = _versions(spark, f"{root}/{name}"), 0
+    fs, folder = _file_system(spark, f"{root}/{name}")
+    for status in fs.listStatus(folder):
+        found = status.getPath().getName()
+        if found not in kept and (found.startswith("v-") or found.startswith("_next-")):
+            fs.delete(status.getPath(), True)
+            removed += found.startswith("v-")
+    return removed
 
 
 def export_csv(df: DataFrame, path: str) -> str:
