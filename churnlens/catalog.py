@@ -24,6 +24,7 @@ from .plans import features as _fe
 from .plans import gold as _gd
 from .plans import model as _md
 from .plans import risk as _rk
+from .plans import scoring as _sc
 from .plans import silver as _sv
 from .plans.warehouse import Warehouse
 from .sources.schemas import FOREIGN_KEYS
@@ -524,6 +525,27 @@ select month_start, count(*) as rows, round(cast(sum(mrr) as double), 2) as tota
 from gold_company_mrr group by month_start""")(
     lambda wh: _rk.monitor_by_month(wh.risk_monitor("model")))
 
+register("model_input", f"""
+select company_id, as_of_date, {", ".join(oracle.NUMERIC)}, days_to_first_invite, plan_type, churn_in_next_30d
+from gold_company_features_for_model where as_of_date is not null""")(lambda wh: _md.model_input(wh.features()))
+
+register("model_discriminant_coefficients", "select feature, round(coef, 6) as coef from coefficients_t")(
+    lambda wh: wh.coefficients().withColumn("coef", F.round("coef", 6)))
+
+register("model_discriminant_top_coefficients", """
+select feature, round(coef, 6) as coef from coefficients_t where feature <> '(intercept)'
+order by coefficients_t.coef desc, feature limit 10""")(
+    lambda wh: _sc.largest(wh.coefficients()).withColumn("coef", F.round("coef", 6)))
+
+register("model_discriminant_predictions", """
+select company_id, as_of_date, label, round(churn_probability, 6) as churn_probability from scored_t""")(
+    lambda wh: wh.scored().withColumn("churn_probability", F.round("churn_probability", 6)))
+
+register("model_fit_residuals", f"""
+select unnest({oracle.NUMERIC + ["(intercept)"]!r}) as feature, true as within_tolerance
+union all select distinct 'plan_type_' || plan_type, true from {_TRAIN}""")(
+    lambda wh: wh.fit_residuals().select("feature", "within_tolerance"))
+
 # -- L7 / L8 in their counter form (F8) ---------------------------------------
 
 register("dq_company_critical_nulls", """

@@ -352,6 +352,30 @@ select company_id, as_of_date, churn_in_next_30d as label,
            as double) as churn_probability
 from gold_company_features_for_model where as_of_date >= {FIXTURE_CUTOFF_SQL}"""
 
+# a discriminant of independent columns, its scores from the coefficient table
+NUMERIC = ["active_users_30d", "logins_30d", "invites_30d", "uploads_30d", "tickets_60d", "failed_payments_60d", "months_since_signup"]
+
+GOLD["train_t"] = f"select * from gold_company_features_for_model where as_of_date < {FIXTURE_CUTOFF_SQL}"
+
+GOLD["train_values"] = "\nunion all\n".join(
+    [f"select '{c}' as feature, cast({c} as double) as x, churn_in_next_30d as y from train_t" for c in NUMERIC]
+    + ["select 'plan_type_' || level, cast(plan_type = level as int), churn_in_next_30d "
+       "from train_t, (select distinct plan_type as level from train_t)"])
+
+GOLD["coefficients_t"] = """
+with moments as (
+  select feature, avg(x) filter (y = 1) as m1, avg(x) filter (y <> 1) as m0, count_if(y = 1) as n1, count_if(y <> 1) as n0,
+    var_pop(x) filter (y = 1) * n1 + var_pop(x) filter (y <> 1) * n0 as spread from train_values group by feature),
+slopes as (select feature, case when spread > 0 then (m1 - m0) * (n1 + n0) / spread else 0 end as coef, (m1 + m0) / 2 as middle from moments)
+select feature, coef from slopes union all select '(intercept)', -sum(coef * middle) from slopes"""
+
+GOLD["scored_t"] = f"""
+select company_id, as_of_date, churn_in_next_30d as label, 1 / (1 + exp(-({" + ".join(
+    f"{c} * (select coef from coefficients_t where feature = '{c}')" for c in NUMERIC)}
+  + coalesce(level.coef, 0) + (select coef from coefficients_t where feature = '(intercept)')))) as churn_probability
+from gold_company_features_for_model left join coefficients_t level on level.feature = 'plan_type_' || plan_type
+where as_of_date >= {FIXTURE_CUTOFF_SQL}"""
+
 GOLD["score_summary"] = """
 select s, pos, neg, n,
   sum(pos) over (order by s rows between unbounded preceding and current row) as pos_le,

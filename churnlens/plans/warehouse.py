@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures, io
-from . import analytics, features, gold, model, risk
+from . import analytics, features, gold, model, risk, scoring
 from .silver import build_silver
 
 _REGISTRY: dict[tuple, "Warehouse"] = {}
@@ -173,6 +173,25 @@ class Warehouse:
         return self.table("gold/company_churn_predictions",
                           lambda: self.scored_test().select(*model.ID_COLS, "churn_probability"))
 
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        """M1-M4: imputed training and test snapshots."""
+        train, test = model.time_split(model.model_input(self.features()), self.cutoff)
+        train, (test,) = model.impute(train, [test])
+        return train, test
+
+    def coefficients(self, source: str = "discriminant") -> DataFrame:
+        """A model's coefficient table (``discriminant``, or ``model`` for the MLlib fit)."""
+        return self.table(f"gold/coefficients_{source}", lambda: (
+            scoring.coefficient_table(self.model()[0]) if source == "model" else scoring.discriminant(self.split()[0])))
+
+    def scored(self, source: str = "discriminant") -> DataFrame:
+        """M8/A5: the test snapshots scored from a coefficient table, written and read back."""
+        return self.table(f"gold/scored_{source}", lambda: scoring.score(self.split()[1], self.coefficients(source)))
+
+    def fit_residuals(self) -> DataFrame:
+        """M7: first-order residuals of the MLlib fit."""
+        return scoring.residuals(self.model()[1], self.coefficients("model"))
+
     def _preds(self, source: str) -> DataFrame:
         return self.heuristic() if source == "heuristic" else self.predictions()
 

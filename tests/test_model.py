@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnlens.plans import model as md
+from churnlens.plans import scoring
 from churnlens.plans.warehouse import Warehouse
 from conftest import SMOKE_DIR
 
@@ -68,3 +69,49 @@ def test_impute_median_and_most_frequent_fitted_on_train(spark):
     r = te.first()
     assert r[md.NUMERIC_FEATURES[0]] == 3.0 and r.plan_type == "Basic"
     assert tr.where(tr[md.NUMERIC_FEATURES[0]].isNull()).count() == 0
+
+
+def test_scores_from_the_coefficient_table_equal_mllib(spark):
+    """The table alone gives MLlib's probabilities; an unseen or missing level adds nothing to the others."""
+    wh = Warehouse.for_testdata(spark, SMOKE_DIR)
+    fitted, _, test = wh.model()
+    table = scoring.coefficient_table(fitted)
+    assert table.count() == len(md.NUMERIC_FEATURES) + len(fitted.stages[0].labels) + 1
+    odd = test.limit(3).withColumn("plan_type", F.lit("Platinum"))
+    for rows in (test, odd):
+        both = (md.score(fitted, rows).withColumnRenamed("churn_probability", "p")
+                .join(scoring.score(rows, table).select(*md.ID_COLS, "churn_probability"), md.ID_COLS))
+        r = both.agg(F.count("*").alias("n"), F.max(F.abs(F.col("p") - F.col("churn_probability"))).alias("d")).first()
+        assert r.n == rows.count() and r.d < 1e-9
+    missing = odd.withColumn("plan_type", F.lit(None).cast("string"))
+    assert sorted(scoring.score(odd, table).collect()) == sorted(scoring.score(missing, table).collect())
+
+
+def test_residuals_tell_a_fit_from_others(spark):
+    wh = Warehouse.for_testdata(spark, SMOKE_DIR)
+    fitted, train, _ = wh.model()
+    table = scoring.coefficient_table(fitted)
+    found = {r.feature: r for r in scoring.residuals(train, table).collect()}
+    assert found.keys() == {r.feature for r in table.collect()} and all(r.within_tolerance for r in found.values())
+    moved = table.withColumn("coef", F.col("coef") + F.when(F.col("feature") == "logins_30d", 0.05).otherwise(0.0))
+    assert not all(r.within_tolerance for r in scoring.residuals(train, moved).collect())
+    # one coefficient's by itself
+    coef = {r.feature: r.coef for r in table.collect()}["logins_30d"]
+    data = train.crossJoin(table.agg(F.map_from_entries(F.collect_list(F.struct("feature", "coef"))).alias("_coefficients")))
+    data = data.agg(F.sum(F.col("weight") * (scoring.probability(scoring.margin()) - F.col(md.LABEL)) * F.col("logins_30d"))).first()[0]
+    assert found["logins_30d"].residual == pytest.approx(md.C * data + coef)
+
+
+def test_discriminant(spark):
+    """Closed form on a hand-made split: means, variances inside the classes, levels as 0/1 columns."""
+    values = [(1, 4.0, "A"), (1, 6.0, "B"), (0, 1.0, "A"), (0, 3.0, "A"), (0, 2.0, "A")]
+    rows = [("c", dt.date(2024, 1, 31), x, *([2.0] * 6), None, plan, y) for y, x, plan in values]
+    schema = ", ".join(["company_id string", "as_of_date date"] + [f"{c} double" for c in md.NUMERIC_FEATURES]
+                       + ["days_to_first_invite int", "plan_type string", f"{md.LABEL} int"])
+    coef = {r.feature: r.coef for r in scoring.discriminant(spark.createDataFrame(rows, schema)).collect()}
+    first = md.NUMERIC_FEATURES[0]
+    inside = (2 * 1.0 + 3 * (2 / 3)) / 5
+    level = (0.5 - 1.0) / (2 * 0.25 / 5), (0.5 - 0.0) / (2 * 0.25 / 5)
+    assert coef[first] == pytest.approx(3 / inside) and coef[md.NUMERIC_FEATURES[1]] == 0
+    assert (coef["plan_type_A"], coef["plan_type_B"]) == pytest.approx(level)
+    assert coef[scoring.INTERCEPT] == pytest.approx(-(3 / inside * 3.5 + level[0] * 0.75 + level[1] * 0.25))
