@@ -151,7 +151,7 @@ def _pk_all_sql() -> str:
 
 
 register("dq_primary_keys", _pk_all_sql())(
-    lambda wh: _ck.primary_keys(wh.silver(), _gold_tables(wh), _sv.typed_tables(wh.raw())))
+    lambda wh: _ck.primary_keys(wh.silver(), _gold_tables(wh), wh.silver_flagged()))
 
 
 def _fk_sql() -> str:
@@ -458,7 +458,7 @@ def _rejected_sql() -> str:
 
 
 register("dq_rejected_rows", _rejected_sql())(
-    lambda wh: _sv.rejected_rows(wh.raw(), wh.silver_flagged()))
+    lambda wh: _sv.rejected_rows(wh.silver_flagged()))
 
 
 # -- H2: violator samples (L9-L12 row forms) ---------------------------------

@@ -6,7 +6,8 @@ parse goes through a ``try_`` function and yields NULL for malformed input.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,16 +42,40 @@ def blank_strings_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> D
                        for n in df.columns])
 
 
+def _shape(layout: str) -> str:
+    """A pattern of the texts of a layout: digits for its letters, its other characters as they are."""
+    fixed = {"y": r"\d{4}", "X": r"(?:Z|[+-]\d\d:\d\d)"}
+    out = ""
+    for part in re.findall(r"'[^']*'|y+|M+|d+|H+|m+|s+|S+|X+|.", layout):
+        if part[0] == "S":
+            out += rf"\d{{1,{len(part)}}}"
+        elif part[0] in fixed:
+            out += fixed[part[0]]
+        else:
+            out += r"\d\d" if part[0] in "MdHms" else re.escape(part.strip("'"))
+    return f"^{out}$"
+
+
+def _by_layout(t: Column, layouts: Sequence[str], parse: Callable[[str], Column]) -> Column:
+    """``parse`` of the one layout that a text has the shape of: a layout that
+    doesn't fit costs an exception inside the parser. Other texts that begin
+    as some layout could are tried with all of them in order."""
+    out = F.when(t.isNull(), parse(layouts[0]))
+    for layout in layouts:
+        out = out.when(t.rlike(_shape(layout)), parse(layout))
+    return out.when(t.rlike("^[-+0-9]"), F.coalesce(*[parse(layout) for layout in layouts]))
+
+
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Text -> DATE over a list of layouts; malformed -> NULL."""
     t = blank_to_null(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"))
-    return F.coalesce(*[F.try_to_date(t, f) for f in formats])
+    return _by_layout(t, formats, lambda f: F.try_to_date(t, f))
 
 
 def parse_timestamp(c, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """B1: text (or any timestamp) -> TIMESTAMP_NTZ over a list of layouts."""
     t = blank_to_null(_c(c).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    return _by_layout(t, formats, lambda f: F.try_to_timestamp(t, F.lit(f))).cast("timestamp_ntz")
 
 
 def standardise_timestamp(df: DataFrame, name: str) -> DataFrame:
@@ -114,6 +139,48 @@ def dedupe_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str] | None
             .where(F.col("_rn") == 1).drop("_rn"))
 
 
+def collapse_by_key(df: DataFrame, key: Sequence[str], sums: Sequence[str] = (), copies: str = "_copies",
+                    keyed: str = "_ok_pk") -> DataFrame:
+    """B8 with its counts, in one pass: of each primary key the first row in
+    ascending order of the other columns (NULL first; as ``dedupe_by_key``),
+    how many rows had the key (``copies``), and over all of them the totals
+    of the columns ``sums``. Rows without a key stay, equal ones as one row
+    with their number, and are not ``keyed``.
+
+    One grouped aggregate: each task combines a key's rows before they move,
+    so copies of a hot key or equal rows without one never meet as rows."""
+    key = list(key)
+    others = [c for c in df.columns if c not in key and c not in sums]
+    row = F.struct(*others)
+    groups = df.groupBy(*key, F.when(~has_key(key), row).alias("_none")).agg(
+        F.min(row).alias("_first"), F.count(F.lit(1)).alias(copies), *[F.sum(c).alias(c) for c in sums])
+    columns = [c if c in key else f"_first.{c}" for c in df.columns if c not in sums]
+    return groups.select(*columns, copies, *sums, has_key(key).alias(keyed))
+
+
+#: Up to this many orphan keys are broadcast (tens of MB); more are joined.
+BROADCAST_KEYS = 500_000
+
+
+def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """The distinct non-NULL keys of the child that no parent has. Keys are
+    made distinct inside tasks first, so this moves keys, not rows: neither
+    NULLs nor a key that a third of the rows have weigh more than one row a task."""
+    keys = child.select(F.col(fk).alias("_fk")).where("_fk is not null").distinct()
+    return keys.join(parent.select(F.col(pk).alias("_pk")), F.col("_fk") == F.col("_pk"), "left_anti")
+
+
+def flag_orphans(child: DataFrame, fk: str, orphans: DataFrame, flag: str) -> DataFrame:
+    """B7 by the keys that have no parent (``orphan_keys``, written): a boolean
+    ``flag``, true when the FK is NULL or none of them. Orphans are few where
+    data is sound, so the child's rows don't move; their number is checked."""
+    keys = orphans.select("_fk", F.lit(True).alias("_orphan"))
+    if orphans.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return (child.join(keys, F.col(fk) == F.col("_fk"), "left")
+            .withColumn(flag, F.col("_orphan").isNull()).drop("_fk", "_orphan"))
+
+
 def keep_referenced(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Keep child rows whose FK is NULL or present in the parent's key
     (FOREIGN KEY semantics: NULL passes). Parent keys are unique, so the

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as q
 from ..sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
+from .silver import typed_key_check
 
 GOLD_KEYS = {
     "company_daily_activity": ["company_id", "activity_date"],
@@ -20,10 +21,10 @@ GOLD_KEYS = {
 
 
 def primary_keys(silver: dict[str, DataFrame], gold: dict[str, DataFrame],
-                 typed: dict[str, DataFrame]) -> DataFrame:
-    """C1 over the typed rows before cleaning drops any, and over the 7
-    silver and 7 keyed gold tables."""
-    frames = [q.primary_key_check(typed[t], f"typed.{t}", pk) for t, pk in PRIMARY_KEYS.items()]
+                 flagged: dict[str, DataFrame]) -> DataFrame:
+    """C1 over the typed rows before cleaning drops any (counted while the
+    flagged tables were written), and over the 7 silver and 7 keyed gold tables."""
+    frames = [typed_key_check(flagged[t], t) for t in PRIMARY_KEYS]
     frames += [q.primary_key_check(silver[t], f"silver.{t}", pk) for t, pk in PRIMARY_KEYS.items()]
     frames += [q.primary_key_check(gold[t], f"gold.{t}", pk) for t, pk in GOLD_KEYS.items()
                if t in gold]

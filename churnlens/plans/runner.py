@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from ..sources import fixtures, io
 from . import checks, model
-from .silver import quarantine_counts, rejected_rows, typed_tables
+from .silver import quarantine_counts, rejected_rows
 from .warehouse import Warehouse
 
 
@@ -59,10 +59,10 @@ def build_all(spark: SparkSession, out_root: str, raw_root: str | None = None,
                 "company_monthly_metrics": wh.monthly_metrics(), "company_mrr": wh.company_mrr(),
                 "company_churn_label": wh.churn_label(), "funnel_company": wh.funnel(),
                 "company_ltv": wh.ltv(), "company_features_for_model": wh.features()}
-        io.write_table(checks.primary_keys(wh.silver(), gold, typed_tables(wh.raw())), out_root, "checks/primary_keys")
+        io.write_table(checks.primary_keys(wh.silver(), gold, wh.silver_flagged()), out_root, "checks/primary_keys")
         io.write_table(checks.foreign_keys(wh.silver()), out_root, "checks/foreign_keys")
         io.write_table(quarantine_counts(wh.silver_flagged()), out_root, "checks/quarantine")
-        io.write_table(rejected_rows(wh.raw(), wh.silver_flagged()), out_root, "checks/rejected_rows")
+        io.write_table(rejected_rows(wh.silver_flagged()), out_root, "checks/rejected_rows")
         io.write_table(checks.sanity_checks(wh.s("companies"), wh.churn_label(), wh.company_mrr(),
                                             wh.daily_activity(), wh.monthly_metrics(),
                                             wh.features()), out_root, "checks/sanity")

@@ -12,6 +12,12 @@ from ..sources import io
 from ..sources.schemas import PRIMARY_KEYS, SILVER
 
 
+#: Prefixes of a raw column's text as given, and of the number of a key's rows in which it didn't parse.
+GIVEN, UNPARSED = "_given_", "_unparsed_"
+#: How many raw rows a row stands for, and how many of them were lines that don't fit the header.
+COPIES, BROKEN = "_copies", "_broken"
+
+
 def _typed(df: DataFrame, name: str, parser) -> DataFrame:
     """Apply a text parser only when the column arrives as text."""
     if isinstance(df.schema[name].dataType, StringType):
@@ -20,8 +26,9 @@ def _typed(df: DataFrame, name: str, parser) -> DataFrame:
 
 
 def _finish(df: DataFrame, table: str) -> DataFrame:
-    """The table's columns and types (rows as they came)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER[table].fields])
+    """The table's columns and types (rows as they came), and texts as given that a report counts."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER[table].fields],
+                     *[c for c in df.columns if c.startswith(GIVEN)])
 
 
 def clean_companies(raw: DataFrame) -> DataFrame:
@@ -97,6 +104,8 @@ FK_PARENTS = {
 }
 
 
+#: Foreign keys that are checked by their orphan keys instead of a join of all rows.
+BY_ORPHANS = {("events", "user_id")}
 FK_OK = "_fk_ok"
 PK_OK = "_ok_pk"
 
@@ -105,30 +114,49 @@ def fk_flag(fk: str) -> str:
     return f"_ok_{fk}"
 
 
-def build_silver_table(table: str, raw: DataFrame, parents: dict[str, DataFrame],
-                       enforce_fk: bool = True) -> DataFrame:
+def counted(table: str, raw: DataFrame) -> DataFrame:
+    """Typed rows with a 0/1 column for each text that doesn't parse, and for a line that doesn't fit."""
+    texts = PARSED.get(table, [])
+    given = {f"{GIVEN}{c}": F.col(c).cast("string") for c in texts}
+    if io.CORRUPT in raw.columns:
+        given[f"{GIVEN}{BROKEN}"] = F.col(io.CORRUPT).isNotNull().cast("long")
+    df = CLEANERS[table](raw.withColumns(given))
+    counts = [(F.col(f"{GIVEN}{c}").isNotNull() & F.col(c).isNull()).cast("long").alias(f"{UNPARSED}{c}") for c in texts]
+    if io.CORRUPT in raw.columns:
+        counts.append(F.col(f"{GIVEN}{BROKEN}").alias(BROKEN))
+    return df.select(*SILVER[table].fieldNames(), *counts)
+
+
+def build_silver_table(table: str, raw: DataFrame, parents: dict[str, DataFrame], enforce_fk: bool = True,
+                       keep=lambda name, df: df) -> DataFrame:
     """Type and de-duplicate one table, then flag the key (``_ok_pk``), each
     foreign key (``_ok_<fk>``) and their conjunction (``_fk_ok``). Silver
     keeps flagged rows, the quarantine the rest: rows without a key, and
-    rows whose foreign key is not among the parents' finished silver keys."""
-    typed = CLEANERS[table](raw)
-    keyed = clean.has_key(PRIMARY_KEYS[table])
-    df = clean.dedupe_by_key(typed, PRIMARY_KEYS[table]).withColumn(PK_OK, F.lit(True))
-    df = df.unionByName(typed.where(~keyed).withColumn(PK_OK, F.lit(False)))
+    rows whose foreign key is not among the parents' finished silver keys.
+
+    Each row carries how many raw rows it stands for and how many of them had
+    texts that don't parse, so the reports read no raw table again. Events,
+    the largest table, move once (by event): their foreign key is checked by
+    the orphan keys, found over the key column alone beforehand."""
+    rows = counted(table, raw)
+    sums = [c for c in rows.columns if c not in SILVER[table].fieldNames()]
+    df = clean.collapse_by_key(rows, PRIMARY_KEYS[table], sums, COPIES, PK_OK)
     ok = F.col(PK_OK)
     if enforce_fk:
         for fk, parent, pk in FK_PARENTS.get(table, []):
-            # silver parents are de-duplicated on their key already
-            df = clean.flag_referenced(df, fk, parents[parent], pk, fk_flag(fk),
-                                       parent_unique=True)
+            if (table, fk) in BY_ORPHANS:
+                keys = raw.select(clean.blank_to_null(F.col(fk)).alias(fk))
+                orphans = keep(f"_orphans_{table}", clean.orphan_keys(keys, fk, parents[parent], pk))
+                df = clean.flag_orphans(df, fk, orphans, fk_flag(fk))
+            else:  # silver parents are de-duplicated on their key already
+                df = clean.flag_referenced(df, fk, parents[parent], pk, fk_flag(fk), parent_unique=True)
             ok = ok & F.col(fk_flag(fk))
     return df.withColumn(FK_OK, ok)
 
 
 def accepted(flagged: DataFrame) -> DataFrame:
     """Silver rows: every foreign key satisfied (flags dropped)."""
-    return flagged.where(F.col(FK_OK)).select(
-        *[c for c in flagged.columns if c != FK_OK and not c.startswith("_ok_")])
+    return flagged.where(F.col(FK_OK)).select(*[c for c in flagged.columns if not c.startswith("_")])
 
 
 def build_silver(raw: dict[str, DataFrame], enforce_fk: bool = True,
@@ -140,7 +168,7 @@ def build_silver(raw: dict[str, DataFrame], enforce_fk: bool = True,
     out: dict[str, DataFrame] = {}
     flagged: dict[str, DataFrame] = {}
     for t in BUILD_ORDER:
-        flagged[t] = keep(t, build_silver_table(t, raw[t], out, enforce_fk))
+        flagged[t] = keep(t, build_silver_table(t, raw[t], out, enforce_fk, keep))
         out[t] = accepted(flagged[t])
     return out, flagged
 
@@ -168,32 +196,31 @@ PARSED = {"users": ["join_date", "last_active_date", "is_active"], "events": ["e
           "support_tickets": ["satisfaction_score"]}
 
 
-def rejected_rows(raw: dict[str, DataFrame], flagged: dict[str, DataFrame]) -> DataFrame:
+def rejected_rows(flagged: dict[str, DataFrame]) -> DataFrame:
     """What cleaning turned away: (table_name, reason, rows) for rows without
     a key, further rows of a key, values that don't parse (non-blank text,
-    NULL in silver; the row stays), and orphans for each foreign key. One
-    aggregate over each raw and each flagged table."""
+    NULL in silver; the row stays), orphans for each foreign key, and lines
+    that don't fit their header. One aggregate over the counts that each
+    flagged table carries; no raw table is read."""
     frames = []
     for t in BUILD_ORDER:
-        given = clean.blank_strings_to_null(raw[t].select(
-            *PRIMARY_KEYS[t], *[F.col(c).alias(f"_{c}") for c in PARSED.get(t, [])]))
-        typed = CLEANERS[t](raw[t]).select(*PARSED.get(t, []), *PRIMARY_KEYS[t])
-        keyed = clean.has_key(PRIMARY_KEYS[t])
-        kept = flagged[t].agg(F.count_if(PK_OK).alias("_kept"),
-                              *[F.count_if(F.col(PK_OK) & ~F.col(fk_flag(fk))).alias(f"orphan_{fk}")
-                                for fk, _, _ in FK_PARENTS.get(t, [])])
-        filled = given.agg(F.count_if(~keyed).alias("null_key"), F.count_if(keyed).alias("_keyed"),
-                           *[F.count(f"_{c}").alias(f"_given_{c}") for c in PARSED.get(t, [])])
-        parsed = typed.agg(*[F.count(c).alias(f"_parsed_{c}") for c in PARSED.get(t, [])], F.count(F.lit(1)).alias("_all"))
-        row = filled.crossJoin(parsed).crossJoin(kept)  # three one-row aggregates
-        reasons = {"null_key": F.col("null_key"), "duplicate": F.col("_keyed") - F.col("_kept")}
-        reasons |= {f"unparsed_{c}": F.col(f"_given_{c}") - F.col(f"_parsed_{c}") for c in PARSED.get(t, [])}
-        reasons |= {f"orphan_{fk}": F.col(f"orphan_{fk}") for fk, _, _ in FK_PARENTS.get(t, [])}
-        if io.CORRUPT in raw[t].columns:
-            # grouped by a value's presence: Spark wants a further column beside the corrupt line
-            some = raw[t].groupBy(F.col(PRIMARY_KEYS[t][0]).isNull()).agg(F.count(io.CORRUPT).alias("n"))
-            row = row.crossJoin(some.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_corrupt")))
-            reasons["corrupt_line"] = F.col("_corrupt")
+        keyed, total = F.col(PK_OK), lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long"))
+        reasons = {"null_key": total(F.when(~keyed, F.col(COPIES))), "duplicate": total(F.when(keyed, F.col(COPIES) - 1))}
+        reasons |= {f"unparsed_{c}": total(f"{UNPARSED}{c}") for c in PARSED.get(t, [])}
+        reasons |= {f"orphan_{fk}": F.count_if(keyed & ~F.col(fk_flag(fk))) for fk, _, _ in FK_PARENTS.get(t, [])}
+        if BROKEN in flagged[t].columns:
+            reasons["corrupt_line"] = total(BROKEN)
         pairs = F.array(*[F.struct(F.lit(k).alias("reason"), v.alias("rows")) for k, v in reasons.items()])
-        frames.append(row.select(F.lit(t).alias("table_name"), F.inline(pairs)))
+        frames.append(flagged[t].agg(pairs.alias("pairs")).select(F.lit(t).alias("table_name"), F.inline("pairs")))
     return union_all(frames)
+
+
+def typed_key_check(flagged: DataFrame, table: str) -> DataFrame:
+    """C1 of the typed rows before cleaning dropped any, from the counts a flagged table
+    carries: rows, keys that occur more than once (NULL is one key), rows without a key."""
+    keyed, copies = F.col(PK_OK), F.col(COPIES)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long"))
+    without = total(F.when(~keyed, copies))
+    return flagged.agg(F.lit(f"typed.{table}").alias("table_name"), total(copies).alias("rows"),
+                       (F.count_if(keyed & (copies > 1)) + F.when(without > 1, 1).otherwise(0)).alias("duplicate_keys"),
+                       without.alias("null_key_rows"))

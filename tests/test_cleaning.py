@@ -93,7 +93,7 @@ def test_csv_ingest_and_silver(spark):
     assert pay["p2"].amount is None and pay["p2"].payment_date is None
     q = {r.relationship: r.quarantined_rows for r in silver.quarantine_counts(flagged).collect()}
     assert q["users.company_id"] == 1 and q["events.user_id"] == 0
-    gone = {(r.table_name, r.reason): r.rows for r in silver.rejected_rows(raw, flagged).collect()}
+    gone = {(r.table_name, r.reason): r.rows for r in silver.rejected_rows(flagged).collect()}
     assert gone["users", "orphan_company_id"] == 1 and gone["payments", "unparsed_amount"] == 1
     assert gone["companies", "duplicate"] == 1 and gone["companies", "corrupt_line"] == 0
 
@@ -114,3 +114,70 @@ def test_csv_columns_by_name_and_broken_lines(spark, tmp_path):
 def test_time_layouts(spark, text):
     row = spark.createDataFrame([(text,)], "t string").select(clean.parse_timestamp("t").alias("t")).first()
     assert row.t == dt.datetime(2024, 1, 4, 10)
+
+
+def test_layout_by_shape_equals_trying_all(spark):
+    """Texts of every layout, of none, and near to them: as the first of all layouts that parses."""
+    import random
+
+    from pyspark.sql import functions as F
+    r = random.Random(3)
+    stamp = [dt.datetime(r.randrange(1, 9999), r.randrange(1, 13), r.randrange(1, 29), r.randrange(24), r.randrange(60), r.randrange(60),
+                         r.randrange(10**6)) for _ in range(60)]
+    texts = [x.strftime(f).replace("%04Y", f"{x.year:04d}") for x in stamp for f in (
+        "%04Y-%m-%d %H:%M:%S", "%04Y-%m-%dT%H:%M:%S", "%04Y-%m-%d %H:%M:%S.%f", "%04Y-%m-%dT%H:%M:%S.%f", "%04Y-%m-%dT%H:%M:%SZ",
+        "%04Y-%m-%dT%H:%M:%S+02:00", "%04Y-%m-%d %H:%M:%S-11:30", "%04Y/%m/%d %H:%M:%S", "%m/%d/%04Y %H:%M:%S", "%04Y-%m-%d %H:%M",
+        "%04Y-%m-%dT%H:%M", "%04Y-%m-%d", "%04Y/%m/%d", "%m/%d/%04Y", "%d.%m.%04Y", "%04Y%m%d")]
+    for t in list(texts):
+        at = r.randrange(len(t))
+        texts.append(t[:at] + r.choice("0123456789 -/.:TZ+") + t[at + r.randrange(2):])
+    texts += ["2024-02-30", "2024-13-01 00:00:00", "+12024-01-05", "12024-01-05", "-2024-01-05", "2024-1-5", "2024-01-05 10:11:12.5",
+              "2024-01-05T10:11:12.123456789", "2024-01-05t10:11:12", "2024-01-05T10:11:12.5Z", "٢٠٢٤-٠١-٠٥", "20240105 ", "n/a", "", None, "5",
+              "2024-01-05T24:00:00", "2024-01-05 23:59:60", "2024-01-05T10:11:12+0200", "2024-01-05T10:11:12+02"]
+    t = clean.blank_to_null("t")
+    df = spark.createDataFrame([(x,) for x in texts], "t string").select(
+        "t", clean.parse_timestamp("t").alias("a"),
+        F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in clean.TIMESTAMP_FORMATS]).cast("timestamp_ntz").alias("b"),
+        clean.parse_date("t").alias("c"), F.coalesce(*[F.try_to_date(t, f) for f in clean.DATE_FORMATS]).alias("d"))
+    rows = df.selectExpr("t", "cast(a as string) a", "cast(b as string) b", "cast(c as string) c", "cast(d as string) d").collect()
+    assert [x for x in rows if (x.a, x.c) != (x.b, x.d)] == []
+    assert sum(x.a is not None for x in rows) > 600 and sum(x.c is not None for x in rows) > 250
+
+
+def test_collapse_equals_dedupe_and_counts(spark):
+    """The same rows as ``dedupe_by_key``, with copies and totals; rows without a key stay, counted."""
+    import random
+    r = random.Random(9)
+    rows = [(r.choice(["a", "b", "c", "d", None]), r.choice([None, "x", "y"]), r.choice([None, 1, 2, 3]), r.randrange(2)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "k string, s string, n int, lost long")
+    out = clean.collapse_by_key(df, ["k"], ["lost"]).collect()
+    kept = {(x.k, x.s, x.n) for x in out if x._ok_pk}
+    assert kept == {tuple(x) for x in clean.dedupe_by_key(df.drop("lost"), ["k"]).collect()}
+    for x in out:
+        same = [y for y in rows if (y[0] == x.k if x._ok_pk else y[:3] == (None, x.s, x.n))]
+        assert (x._copies, x.lost) == (len(same), sum(y[3] for y in same))
+    assert sum(x._copies for x in out) == len(rows)
+
+
+def test_events_move_once_whatever_the_keys(spark, tmp_path):
+    """A third of the events on one user, a third on NULL: one exchange of events, and it is by event;
+    flags as by a join of all rows."""
+    from pyspark.sql import functions as F
+    users = spark.createDataFrame([(f"u{i}", "c") for i in range(50)], "user_id string, company_id string")
+    n = F.col("id")
+    raw = spark.range(3000).select(
+        F.concat(F.lit("e"), n).alias("event_id"),
+        F.when(n % 3 == 0, "u1").when(n % 3 == 1, None).otherwise(F.concat(F.lit("u"), n % 70)).alias("user_id"),
+        F.lit("login").alias("event_type"), F.lit("2024-01-04 10:00:00").alias("event_timestamp"))
+
+    def keep(name, df):
+        io.write_table(df, str(tmp_path), name)
+        return io.read_table(spark, str(tmp_path), name)
+    df = silver.build_silver_table("events", raw, {"users": users}, keep=keep)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    assert len(exchanges) == 1 and "hashpartitioning(event_id" in exchanges[0]
+    assert "partial_min" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    joined = clean.flag_referenced(raw, "user_id", users, "user_id", "ok")
+    assert sorted((r.event_id, r._fk_ok) for r in df.collect()) == sorted((r.event_id, r.ok) for r in joined.collect())
+    assert df.where("not _fk_ok").count() == sum(i % 3 == 2 and i % 70 >= 50 for i in range(3000))

@@ -56,7 +56,7 @@ def test_all_checks_are_zero(wh):
          "company_monthly_metrics": wh.monthly_metrics(), "company_mrr": wh.company_mrr(),
          "company_churn_label": wh.churn_label(), "funnel_company": wh.funnel(),
          "company_ltv": wh.ltv(), "company_features_for_model": wh.features()}
-    pk = checks.primary_keys(wh.silver(), g, silver.typed_tables(wh.raw())).collect()
+    pk = checks.primary_keys(wh.silver(), g, wh.silver_flagged()).collect()
     assert all(r.duplicate_keys == 0 and r.null_key_rows == 0 for r in pk if not r.table_name.startswith("typed."))
     dirty = {r.table_name: (r.duplicate_keys, r.null_key_rows) for r in pk if r.table_name.startswith("typed.")}
     assert dirty["typed.companies"][0] > 0 and dirty["typed.events"][0] > 0 and dirty["typed.payments"][1] > 0
