@@ -3,41 +3,53 @@
 The network predicts a token from ``SIDE`` tokens on each side: each context
 place has its own input table, their rows are summed into a hidden layer
 (tanh), and a two-level softmax (class, then token within class) gives the
-token's probability. A document's score is the sum of its tokens' log
-probabilities, each given its neighbours on both sides.
-
-Everything comes from the corpus and grows with it: word counts of all
-texts choose the vocabulary, and every text is trained on. Training is
-synchronous averaging: in a round every task runs Adagrad in numpy over all
-its texts from the shared weights and sends its weights; the average,
-weighted by tokens, is formed in a grouped aggregate over parameter rows.
+token's probability. The most frequent words are tokens of their own. All
+others share ``RARE`` tokens, by ending and length, and a word's probability is
+its token's times its share of the token's words in the corpus. So the
+vocabulary is that of the corpus, a Spark table of all its words, and a
+document's score is the sum of its words' log probabilities, each given its
+neighbours on both sides.
+
+Texts are split into words once. Every task numbers the words of a block of
+texts (``_blocks``); the blocks' distinct words are counted and joined with the
+vocabulary, and the blocks are written again as tokens (``encode``), which
+training and scoring read. All texts are trained on. Training is synchronous
+averaging: in a round every task runs Adagrad in numpy over all its blocks from
+the shared weights and sends its weights; the average, weighted by words, is
+formed in a grouped aggregate over parameter rows. So the weights, of fixed
+size, depend on how the table is dealt to tasks as well as on its rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices
 
 SIDE, HIDDEN, CLASSES, ROUNDS = 2, 24, 32, 2
-#: Tokens of the vocabulary; the last RARE stand for all other words, by their ending and length.
+#: Tokens; the last RARE stand for all words that have none of their own, by their ending and length.
 VOCABULARY, RARE, EDGE = CLASSES * CLASSES, 256, 0
-HELD_WORDS, SLICE_CHARS, BATCH, RATE = 300_000, 1_500_000, 4096, 0.1
+KNOWN = VOCABULARY - RARE - 1
+#: A block ends at about so many distinct words, or words; batches are what a slice's texts are read in.
+BLOCK_WORDS, BLOCK_LENGTH, SLICE_CHARS, BATCH, RATE = 400_000, 4_000_000, 1_500_000, 4096, 0.1
 _SEED = 1
 
 
 @dataclass(frozen=True)
 class Model:
-    """The known words in order of their tokens (1 on), and the weights by name."""
+    """The corpus's words (word, token, log_share), and the weights by name."""
 
-    words: tuple[bytes, ...]
+    vocabulary: DataFrame
     weights: dict[str, np.ndarray]
 
 
@@ -51,20 +63,6 @@ def start() -> dict[str, np.ndarray]:
             "word": rng.normal(0, 0.1, (VOCABULARY, HIDDEN + 1)).astype(np.float32)}
 
 
-def tokens(lookup: dict[bytes, int], texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of all texts, each between SIDE edge tokens, and each text's number of words.
-
-    Words are runs without ASCII white space, A-Z lower-cased."""
-    split = [t.lower().split() if t else [] for t in texts]
-    edge = [EDGE] * SIDE
-    flat: list[int] = []
-    for words in split:
-        flat += edge
-        flat += [lookup.get(w) or VOCABULARY - RARE + (w[-1] * 31 + len(w) * 7 + w[-2:][0]) % RARE for w in words]
-        flat += edge
-    return np.array(flat, np.int64), np.array([len(w) for w in split], np.int64)
-
-
 def centres(sizes: np.ndarray) -> np.ndarray:
     """Where the words of each text are among its tokens."""
     begin = np.cumsum(sizes + 2 * SIDE) - sizes - SIDE
@@ -72,9 +70,11 @@ def centres(sizes: np.ndarray) -> np.ndarray:
 
 
 def _context(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Rows of the input tables for each centre: (centres, places)."""
-    offsets = [*range(-SIDE, 0), *range(1, SIDE + 1)]
-    return np.stack([stream[at + o] + i * VOCABULARY for i, o in enumerate(offsets)], axis=1)
+    """Rows of the input tables for each centre: (centres, places), small enough for 16 bits."""
+    out = np.empty((len(at), 2 * SIDE), np.int16)
+    for i, o in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
+        out[:, i] = stream[at + o] + i * VOCABULARY
+    return out
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -84,97 +84,217 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each class and the rows whose target is in it."""
-    order = np.argsort(targets // CLASSES, kind="stable")
-    edges = np.searchsorted(targets[order] // CLASSES, np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c]:edges[c + 1]]
+def _by_class(stream: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """The centres in the order of their tokens' classes: their order, the
+    classes, and (class, begin, end) of the classes that occur."""
+    classes = (stream[at] // CLASSES).astype(np.uint8)
+    order = np.argsort(classes, kind="stable")
+    classes = classes[order]
+    edges = np.searchsorted(classes, np.arange(CLASSES + 1)).tolist()
+    return order, classes, [(c, a, b) for c, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
 
 
 def _hidden(w: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
     total = w["context"][context[:, 0]]
     for i in range(1, context.shape[1]):
         total += w["context"][context[:, i]]
-    out = np.ones((len(context), HIDDEN + 1), np.float32)
+    out = np.ones((len(context), HIDDEN + 1), total.dtype)
     np.tanh(total + w["hidden"], out=out[:, :HIDDEN])
     return out
 
 
+def _forward(w: dict[str, np.ndarray], hidden: np.ndarray, ranges: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of the classes, and of the tokens in each centre's own class."""
+    inner = np.empty((len(hidden), CLASSES), hidden.dtype)
+    words = w["word"].reshape(CLASSES, CLASSES, HIDDEN + 1)
+    for c, a, b in ranges:
+        np.matmul(hidden[a:b], words[c].T, out=inner[a:b])
+    return _softmax(hidden @ w["class"].T), _softmax(inner)
+
+
 def log_probabilities(w: dict[str, np.ndarray], stream: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log probability of the token at each centre given both sides."""
     out = np.empty(len(at))
-    for i in range(0, len(at), 1 << 15):
-        own = at[i:i + (1 << 15)]
-        hidden, targets = _hidden(w, _context(stream, own)), stream[own]
-        top = _softmax(hidden @ w["class"].T)
-        p = top[np.arange(len(own)), targets // CLASSES]
-        for c, rows in _by_class(targets):
-            inner = _softmax(hidden[rows] @ w["word"][c * CLASSES:(c + 1) * CLASSES].T)
-            p[rows] *= inner[np.arange(len(rows)), targets[rows] % CLASSES]
-        out[i:i + len(own)] = np.log(np.maximum(p, 1e-30))
+    for i in range(0, len(at), BATCH):
+        own = at[i:i + BATCH]
+        order, classes, ranges = _by_class(stream, own)
+        own = own[order]
+        top, inner = _forward(w, _hidden(w, _context(stream, own)), ranges)
+        rows = np.arange(len(own))
+        p = top[rows, classes] * inner[rows, stream[own] % CLASSES]
+        out[i + order] = np.log(np.maximum(p, 1e-30))
     return out
 
 
+def gradients(w: dict[str, np.ndarray], stream: np.ndarray, at: np.ndarray) -> dict[str, tuple]:
+    """Of minus the centres' summed log probability: name -> (rows, gradient of these rows)."""
+    order, classes, ranges = _by_class(stream, at)
+    at = at[order]
+    context = _context(stream, at)
+    hidden = _hidden(w, context)
+    top, inner = _forward(w, hidden, ranges)
+    rows = np.arange(len(at))
+    top[rows, classes] -= 1
+    inner[rows, stream[at] % CLASSES] -= 1
+    back = top @ w["class"]
+    words = w["word"].reshape(CLASSES, CLASSES, HIDDEN + 1)
+    word = np.zeros_like(words)
+    for c, a, b in ranges:
+        np.matmul(inner[a:b].T, hidden[a:b], out=word[c])
+        back[a:b] += inner[a:b] @ words[c]
+    back = back[:, :HIDDEN] * (1 - hidden[:, :HIDDEN] ** 2)
+    # equal input rows are summed: sorted by row, added up by runs
+    flat = context.reshape(-1)
+    order = np.argsort(flat, kind="stable")
+    flat = flat[order]
+    first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    everything = slice(None)
+    return {"class": (everything, top.T @ hidden), "word": (everything, word.reshape(VOCABULARY, HIDDEN + 1)),
+            "hidden": (everything, back.sum(axis=0, keepdims=True)),
+            "context": (flat[first], np.add.reduceat(back[order // context.shape[1]], first, axis=0))}
+
+
 def train(w: dict[str, np.ndarray], squares: dict[str, np.ndarray], stream: np.ndarray, at: np.ndarray) -> None:
     """One Adagrad pass over the centres, in place."""
-    def move(name: str, rows, gradient: np.ndarray) -> None:
-        squares[name][rows] += gradient * gradient
-        w[name][rows] -= RATE * gradient / np.sqrt(squares[name][rows])
-
     for i in range(0, len(at), BATCH):
-        own = at[i:i + BATCH]
-        context, targets = _context(stream, own), stream[own]
-        hidden = _hidden(w, context)
-        top = _softmax(hidden @ w["class"].T)
-        top[np.arange(len(own)), targets // CLASSES] -= 1
-        back = top @ w["class"]
-        move("class", slice(None), top.T @ hidden)
-        for c, rows in _by_class(targets):
-            block = slice(c * CLASSES, (c + 1) * CLASSES)
-            inner = _softmax(hidden[rows] @ w["word"][block].T)
-            inner[np.arange(len(rows)), targets[rows] % CLASSES] -= 1
-            back[rows] += inner @ w["word"][block]
-            move("word", block, inner.T @ hidden[rows])
-        back = back[:, :HIDDEN] * (1 - hidden[:, :HIDDEN] ** 2)
-        move("hidden", slice(None), back.sum(axis=0, keepdims=True))
-        # equal input rows are summed first: sorted by row, added up by runs
-        flat = context.reshape(-1)
-        order = np.argsort(flat, kind="stable")
-        used, first = np.unique(flat[order], return_index=True)
-        move("context", used, np.add.reduceat(back[order // context.shape[1]], first, axis=0))
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
-
-    def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())],
-                                          names=["word", "n"])
-
-    for batch in batches:
-        for text in batch.column("text").cast(pa.binary()).to_pylist():
-            held.update(text.lower().split() if text else ())
-            if len(held) > HELD_WORDS:
-                yield rows()
-                held.clear()
-    yield rows()
-
-
-def _lookup(words: tuple[bytes, ...]) -> dict[bytes, int]:
-    return {w: i for i, w in enumerate(words, 1)}
-
-
-def _train_task(model: Model):
+        for name, (rows, gradient) in gradients(w, stream, at[i:i + BATCH]).items():
+            total = squares[name][rows] + gradient * gradient
+            squares[name][rows] = total
+            w[name][rows] -= RATE * gradient / np.sqrt(total)
+
+
+def bucket(word: bytes) -> int:
+    """Which of the shared tokens a word has that has none of its own."""
+    return (word[-1] * 31 + len(word) * 7 + word[-2:][0]) % RARE
+
+
+def _blocks(kind: str):
+    """Rows of two sorts: a block's texts as numbers of its words, and each of its distinct words.
+
+    Words are runs without ASCII white space, A-Z lower-cased."""
+    types = {"block": pa.int64(), "at": pa.int32(), "word": pa.binary(), "n": pa.int64(), "bucket": pa.int32(),
+             "stream": pa.binary(), "sizes": pa.list_(pa.int32()), "ids": None}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, seen = _lookup(model.words), 0
-        w = {k: v.copy() for k, v in model.weights.items()}
+        task, made = TaskContext.get().partitionId(), 0
+        ids, sizes, parts, docs = defaultdict(count().__next__), [], [], []
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            block = task << 32 | made
+            stream = np.concatenate([np.empty(0, np.int32), *parts])
+            words, own = list(ids), pa.chunked_array(docs).combine_chunks()
+            n = np.bincount(stream, minlength=len(words))
+            no = lambda k, size: pa.nulls(size, k)
+            one = {"block": pa.array([block], pa.int64()), "stream": pa.array([stream.tobytes()], pa.binary()),
+                   "sizes": pa.array([sizes], types["sizes"]),
+                   "ids": pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)}
+            types["ids"] = one["ids"].type
+            yield pa.RecordBatch.from_arrays([one.get(k, no(t, 1)) for k, t in types.items()], names=list(types))
+            for a in range(0, len(words), 50_000):
+                some = words[a:a + 50_000]
+                many = {"block": pa.array([block] * len(some), pa.int64()), "at": pa.array(np.arange(a, a + len(some), dtype=np.int32)),
+                        "word": pa.array(some, pa.binary()), "n": pa.array(n[a:a + len(some)]),
+                        "bucket": pa.array([bucket(w) for w in some], pa.int32())}
+                yield pa.RecordBatch.from_arrays([many.get(k, no(t, len(some))) for k, t in types.items()], names=list(types))
+
+        for batch in batches:
+            column = batch.column("text").cast(pa.binary())
+            lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+            for i, j in slices(lengths, SLICE_CHARS, lambda n: n + 50):
+                split = [t.lower().split() if t else [] for t in column.slice(i, j - i).to_pylist()]
+                sizes += map(len, split)
+                parts += [np.fromiter(map(ids.__getitem__, words), np.int32, len(words)) for words in split]
+                docs.append(batch.column("doc_id").slice(i, j - i))
+                if len(ids) >= BLOCK_WORDS or sum(map(len, parts)) >= BLOCK_LENGTH:
+                    yield from rows()
+                    made += 1
+                    ids, sizes, parts, docs = defaultdict(count().__next__), [], [], []
+        if docs:
+            yield from rows()
+    return run, (f"block long, at int, word binary, n long, bucket int, stream binary, sizes array<int>, ids array<{kind}>")
+
+
+def read_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The blocks of ``docs`` (doc_id, text), written."""
+    run, schema = _blocks(docs.schema["doc_id"].dataType.simpleString())
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return scratch.save(rows, "blocks")
+
+
+def learn_words(blocks: DataFrame, scratch: Scratch) -> DataFrame:
+    """The corpus's vocabulary, written: word, token, log_share (0 for words with a token of their
+    own). One row more for each shared token, without a word: the share of a word not seen."""
+    spark = blocks.sparkSession
+    counts = scratch.save(blocks.where("word is not null").groupBy("word").agg(
+        F.sum("n").alias("n"), F.first("bucket").alias("bucket")), "counts")
+    # the most frequent ones are sought among words at least as frequent as a power of two that enough reach
+    powers = counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count("*").alias("words")).collect()
+    reached, least = 0, 0
+    for r in sorted(powers, key=lambda r: -r.power):
+        reached, least = reached + r.words, r.power
+        if reached >= KNOWN:
+            break
+    top = counts.where(F.col("n") >= 2 ** least).orderBy(F.desc("n"), "word").limit(KNOWN).select("word").collect()
+    known = spark.createDataFrame([(bytes(r.word), i) for i, r in enumerate(top, 1)], "word binary, own int")
+    rows = counts.join(F.broadcast(known), "word", "left")
+    shared = F.col("bucket") + VOCABULARY - RARE
+    totals = rows.where("own is null").groupBy(shared.alias("token")).agg(F.sum("n").alias("total"))
+    totals = spark.range(VOCABULARY - RARE, VOCABULARY).select(F.col("id").cast("int").alias("token")).join(totals, "token", "left")
+    totals = totals.select("token", (F.coalesce("total", F.lit(0)) + 1).alias("total"))
+    own = rows.where("own is not null").select("word", F.col("own").alias("token"), F.lit(0.0).alias("log_share"))
+    rest = rows.where("own is null").select("word", "n", shared.alias("token")).join(F.broadcast(totals), "token").select(
+        "word", "token", F.log(F.col("n") / F.col("total")).alias("log_share"))
+    unseen = totals.select(F.lit(None).cast("binary").alias("word"), "token", (-F.log("total")).alias("log_share"))
+    return scratch.save(own.unionByName(rest).unionByName(unseen), "vocabulary")
+
+
+def _tokens(stream: np.ndarray, sizes: np.ndarray, token: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A block's tokens, each text between SIDE edge tokens, and each text's summed log shares."""
+    out = np.full(len(stream) + 2 * SIDE * len(sizes), EDGE, np.int16)
+    out[centres(sizes)] = token[stream]
+    return out, np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=share[stream], minlength=len(sizes))
+
+
+def _encode(block: pa.Table, words: pa.Table) -> pa.Table:
+    at = words.column("at").to_numpy()
+    token, share = np.empty(len(at), np.int16), np.empty(len(at))
+    token[at], share[at] = words.column("token").to_numpy(), words.column("log_share").to_numpy()
+    row = block.slice(0, 1)
+    sizes = np.array(row.column("sizes")[0].as_py(), np.int64)
+    stream, shares = _tokens(np.frombuffer(row.column("stream")[0].as_py(), np.int32), sizes, token, share)
+    return pa.table({"tokens": pa.array([stream.tobytes()], pa.binary()), "sizes": row.column("sizes"), "ids": row.column("ids"),
+                     "shares": pa.array([shares], pa.list_(pa.float64()))})
+
+
+def encode(blocks: DataFrame, vocabulary: DataFrame, scratch: Scratch) -> DataFrame:
+    """The blocks as tokens, written: tokens (16 bits each), sizes, ids, shares. A word that
+    the vocabulary lacks has its shared token and that token's share of an unseen word."""
+    unseen = vocabulary.where("word is null").select("token", F.col("log_share").alias("least"))
+    known = vocabulary.where("word is not null")
+    words = blocks.where("word is not null").select("block", "at", "word", (F.col("bucket") + VOCABULARY - RARE).alias("shared"))
+    words = (words.join(known, "word", "left").join(F.broadcast(unseen.withColumnRenamed("token", "shared")), "shared")
+             .select(F.col("block").alias("of"), "at", F.coalesce("token", "shared").alias("token"), F.coalesce("log_share", "least").alias("log_share")))
+    texts = blocks.where("stream is not null").select("block", "stream", "sizes", "ids")
+    kind = blocks.schema["ids"].dataType.simpleString()
+    out = texts.groupBy("block").cogroup(words.groupBy("of")).applyInArrow(
+        _encode, f"tokens binary, sizes array<int>, ids {kind}, shares array<double>")
+    return scratch.save(out, "encoded")
+
+
+def _read(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, tokens, sizes) of a batch's blocks."""
+    for i in range(batch.num_rows):
+        yield (i, np.frombuffer(batch.column("tokens")[i].as_py(), np.int16),
+               batch.column("sizes")[i].values.to_numpy().astype(np.int64))
+
+
+def _train_task(weights: dict[str, np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        w = {k: v.copy() for k, v in weights.items()}
         squares = {k: np.full_like(v, 0.1) for k, v in w.items()}
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for i, j in slices(texts, SLICE_CHARS, lambda t: len(t or b"") + 50):
-                stream, sizes = tokens(lookup, texts[i:j])
+            for _, stream, sizes in _read(batch):
                 train(w, squares, stream, centres(sizes))
                 seen += int(sizes.sum())
         if seen:
@@ -187,57 +307,67 @@ def _train_task(model: Model):
     return run
 
 
-def _average(texts: DataFrame, model: Model, scratch: Scratch, name: str) -> dict[str, np.ndarray]:
+def _average(encoded: DataFrame, weights: dict[str, np.ndarray], scratch: Scratch, name: str) -> dict[str, np.ndarray]:
     """The tasks' weights after a pass, averaged by their numbers of tokens."""
-    sent = texts.mapInArrow(_train_task(model), "name string, row int, seen long, value array<float>")
+    sent = encoded.select("tokens", "sizes").mapInArrow(_train_task(weights), "name string, row int, seen long, value array<float>")
     cells = [F.sum(F.get("value", F.lit(i)) * F.col("seen")) / F.sum(F.when(F.get("value", F.lit(i)).isNotNull(), F.col("seen")))
              for i in range(HIDDEN + 1)]
     mean = sent.groupBy("name", "row").agg(*[c.alias(f"c{i}") for i, c in enumerate(cells)])
-    out = {k: v.copy() for k, v in model.weights.items()}
+    out = {k: v.copy() for k, v in weights.items()}
     for r in scratch.save(mean, name).collect():  # as many rows as the network has
         row = out[r.name]
         row[r.row] = r[2:2 + row.shape[1]]
     return out
 
 
-def fit(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> Model:
-    """Vocabulary and weights from all texts of ``docs``."""
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    counts = texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    known = VOCABULARY - RARE - 1
-    words = tuple(bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(known).collect())
-    model = Model(words, start())
+def learn_weights(encoded: DataFrame, scratch: Scratch) -> dict[str, np.ndarray]:
+    """The network's weights after ``ROUNDS`` rounds over all blocks."""
+    weights = start()
     for i in range(ROUNDS):
-        model = Model(words, _average(texts, model, scratch, f"weights-{i}"))
-    return model
+        weights = _average(encoded, weights, scratch, f"weights-{i}")
+    return weights
 
 
-def _score_rows(model: Model):
+def fit(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> Model:
+    """Vocabulary and weights from all texts of ``docs`` (doc_id, text)."""
+    blocks = read_blocks(docs, scratch)
+    vocabulary = learn_words(blocks, scratch)
+    return Model(vocabulary, learn_weights(encode(blocks, vocabulary, scratch), scratch))
+
+
+def _score_rows(weights: dict[str, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = _lookup(model.words)
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for i, j in slices(texts, SLICE_CHARS, lambda t: len(t or b"") + 50):
-                stream, sizes = tokens(lookup, texts[i:j])
-                logs = log_probabilities(model.weights, stream, centres(sizes))
+            for i, stream, sizes in _read(batch):
+                logs = log_probabilities(weights, stream, centres(sizes))
                 sums = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=logs, minlength=len(sizes))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i:j], pa.array(sizes, pa.int64()), pa.array(sums.astype(np.float64))],
-                                                 names=["doc_id", "n_tokens", "log_likelihood"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("ids")[i].values, pa.array(sizes), pa.array(sums + batch.column("shares")[i].values.to_numpy())],
+                    names=["doc_id", "n_tokens", "log_likelihood"])
     return run
 
 
-def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (sum over tokens) and its mean, one row
-    for each row of ``docs``. Texts that are null or blank have no tokens,
-    likelihood 0 and a null mean. An empty table gives no rows."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        _score_rows(model), f"doc_id {kind}, n_tokens long, log_likelihood double")
+def score_encoded(encoded: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood and its mean of the encoded texts."""
+    kind = encoded.schema["ids"].dataType.elementType.simpleString()
+    rows = encoded.mapInArrow(_score_rows(weights), f"doc_id {kind}, n_tokens long, log_likelihood double")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return rows.withColumn("mean_log_likelihood", mean)
 
 
+def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (sum over words) and its mean, one row
+    for each row of ``docs``. Texts that are null or blank have no words,
+    likelihood 0 and a null mean. An empty table gives no rows."""
+    scratch = Scratch(spark, "lm-score")
+    return score_encoded(encode(read_blocks(docs, scratch), model.vocabulary, scratch), model.weights)
+
+
 def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked pseudo-likelihood of every document, by a network trained on all of them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return score(spark, docs, fit(spark, docs, Scratch(spark, "lm")))
+    scratch = Scratch(spark, "lm")
+    blocks = read_blocks(docs, scratch)
+    encoded = encode(blocks, learn_words(blocks, scratch), scratch)
+    scratch.drop("blocks")
+    return score_encoded(encoded, learn_weights(encoded, scratch))

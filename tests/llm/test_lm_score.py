@@ -1,4 +1,7 @@
-"""Operator 1: the score against a direct evaluation, gradients, and what training gains."""
+"""Operator 1: the score against a direct evaluation, gradients against differences, and what training gains."""
+
+import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -13,6 +16,29 @@ def model(spark, documents):
     return lm.fit(spark, documents, Scratch(spark, "lm-test"))
 
 
+@pytest.fixture(scope="module")
+def table(model):
+    """word -> (token, log share); None -> that of unseen words by token."""
+    rows = model.vocabulary.collect()
+    known = {bytes(r.word): (r.token, r.log_share) for r in rows if r.word is not None}
+    return known, {r.token: r.log_share for r in rows if r.word is None}
+
+
+def words_of(text):
+    return (text or "").encode().lower().split()
+
+
+def look_up(table, word):
+    known, unseen = table
+    shared = lm.VOCABULARY - lm.RARE + lm.bucket(word)
+    return known.get(word, (shared, unseen[shared]))
+
+
+def stream_of(table, words):
+    edge = [lm.EDGE] * lm.SIDE
+    return np.array([*edge, *(look_up(table, w)[0] for w in words), *edge], np.int16)
+
+
 def direct(w, stream, at):
     """The log probability of one token, term by term."""
     total = w["hidden"][0].astype(float).copy()
@@ -26,28 +52,65 @@ def direct(w, stream, at):
     return (classes[target] - np.log(np.exp(classes).sum())) + (inner[block] - np.log(np.exp(inner).sum()))
 
 
-def test_scores_are_sums_of_conditionals(spark, odd, model):
-    lookup = lm._lookup(model.words)
-    for r in lm.score(spark, odd, model).collect():
-        text = next(x.text for x in odd.collect() if x.doc_id == r.doc_id)
-        n = len((text or "").split())
-        assert r.n_tokens == n and (r.mean_log_likelihood is None) == (n == 0)
-        if 0 < n < 100:
-            stream, sizes = lm.tokens(lookup, [text.encode()])
-            assert abs(sum(direct(model.weights, stream, a) for a in lm.centres(sizes)) - r.log_likelihood) < 1e-3
-
-
-def test_training_beats_word_frequencies(model, documents):
-    texts = [r.text.encode() for r in documents.collect()]
-    stream, sizes = lm.tokens(lm._lookup(model.words), texts)
-    at = lm.centres(sizes)
-    counts = np.bincount(stream[at], minlength=lm.VOCABULARY) + 1
-    frequencies = np.log(counts[stream[at]] / counts.sum()).mean()
-    assert lm.log_probabilities(model.weights, stream, at).mean() > frequencies + 0.2
+def test_scores_are_sums_of_conditionals(spark, odd, model, table):
+    rows = lm.score(spark, odd, model).collect()
+    assert len(rows) == odd.count()
+    texts = {r.doc_id: r.text for r in odd.collect()}
+    for r in rows:
+        words = words_of(texts[r.doc_id])
+        assert r.n_tokens == len(words) and (r.mean_log_likelihood is None) == (not words)
+        if 0 < len(words) < 100:
+            stream = stream_of(table, words)
+            expected = sum(direct(model.weights, stream, lm.SIDE + i) + look_up(table, w)[1] for i, w in enumerate(words))
+            assert abs(expected - r.log_likelihood) < 1e-3
+
+
+def test_vocabulary_is_the_corpus(documents, table):
+    """Every word is there; its share is its part of the words that share its token."""
+    known, unseen = table
+    counts = Counter(w for r in documents.select("text").collect() for w in words_of(r.text))
+    assert known.keys() == counts.keys()
+    own = {w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:lm.KNOWN]}
+    totals = Counter()
+    for w, n in counts.items():
+        if w not in own:
+            totals[lm.VOCABULARY - lm.RARE + lm.bucket(w)] += n
+    for w, (token, share) in known.items():
+        expected = 0.0 if w in own else math.log(counts[w] / (totals[token] + 1))
+        assert share == pytest.approx(expected) and (0 < token <= lm.KNOWN) == (w in own)
+    assert sorted(t for t, _ in (known[w] for w in own)) == list(range(1, len(own) + 1))
+    assert all(unseen[t] == pytest.approx(-math.log(totals[t] + 1)) for t in range(lm.VOCABULARY - lm.RARE, lm.VOCABULARY))
+
+
+def test_training_beats_word_frequencies(spark, model, documents):
+    """Over words, not shared tokens: better than each word's frequency by itself."""
+    counts = Counter(w for r in documents.select("text").collect() for w in words_of(r.text))
+    total = sum(counts.values())
+    plain = sum(n * math.log(n / total) for n in counts.values()) / total
+    found = lm.score(spark, documents, model).agg(F.sum("log_likelihood"), F.sum("n_tokens")).first()
+    assert found[1] == total and found[0] / found[1] > plain + 0.2
+
+
+def test_gradients_are_differences():
+    rng = np.random.default_rng(3)
+    w = {k: (v + rng.normal(0, 0.3, v.shape)).astype(np.float64) for k, v in lm.start().items()}
+    stream = np.array([0, 0, 5, 9, 900, 5, 5, 33, 1023, 0, 0], np.int16)
+    at = np.arange(lm.SIDE, len(stream) - lm.SIDE)
+    for name, (rows, gradient) in lm.gradients(w, stream, at).items():
+        whole = np.zeros_like(w[name])
+        whole[rows] = gradient
+        places = np.argwhere(whole != 0)
+        for r, c in [*places[rng.choice(len(places), min(25, len(places)), replace=False)], (0, 0)]:
+            values = []
+            for step in (1e-5, -1e-5):
+                moved = {k: v.copy() for k, v in w.items()}
+                moved[name][r, c] += step
+                values.append(-lm.log_probabilities(moved, stream, at).sum())
+            assert whole[r, c] == pytest.approx((values[0] - values[1]) / 2e-5, rel=1e-4, abs=1e-7)
 
 
 def test_probabilities_sum_to_one(model):
-    stream = np.array([0, 0, 5, 9, 40, 0, 0])
+    stream = np.array([0, 0, 5, 9, 40, 0, 0], np.int16)
     total = 0.0
     for token in range(lm.VOCABULARY):
         stream[3] = token
@@ -58,18 +121,30 @@ def test_probabilities_sum_to_one(model):
 def test_empty_table_and_ties(spark, none, model):
     assert lm.score(spark, none, model).count() == 0
     fresh = lm.fit(spark, none, Scratch(spark, "lm-none"))
-    assert fresh.words == () and all((fresh.weights[k] == v).all() for k, v in lm.start().items())
+    assert fresh.vocabulary.where("word is not null").count() == 0
+    assert all((fresh.weights[k] == v).all() for k, v in lm.start().items())
     twice = spark.createDataFrame([(1, "a b c"), (1, "a b c")], "doc_id long, text string")
     assert lm.score(spark, twice, model).select(F.count_distinct("log_likelihood"), F.count("*")).first() == (1, 2)
 
 
+def test_small_blocks_and_other_ids(spark, documents, model, monkeypatch):
+    """Blocks of a few texts give the same scores; ids of any type come back."""
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 300)
+    monkeypatch.setattr(lm, "SLICE_CHARS", 5000)
+    assert lm.read_blocks(documents.coalesce(1), Scratch(spark, "lm-blocks")).where("stream is not null").count() > 10
+    whole = {r.doc_id: r.log_likelihood for r in lm.score(spark, documents, model).collect()}
+    named = documents.select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text").repartition(7)
+    parts = {r.doc_id: r.log_likelihood for r in lm.score(spark, named, model).collect()}
+    assert len(parts) == len(whole) and all(parts[f"d{k}"] == pytest.approx(v, abs=1e-4) for k, v in whole.items())
+
+
 def test_tasks_train_on_from_the_average(spark, documents, monkeypatch):
     """Every pass after the first begins with the weights that the one before gave."""
     given, made, average = [], [], lm._average
 
-    def kept(texts, model, *rest):
-        given.append(model.weights)
-        made.append(average(texts, model, *rest))
+    def kept(encoded, weights, *rest):
+        given.append(weights)
+        made.append(average(encoded, weights, *rest))
         return made[-1]
 
     monkeypatch.setattr(lm, "_average", kept)
