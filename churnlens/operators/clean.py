@@ -198,11 +198,18 @@ def flag_referenced(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag:
     NULL or found in the parent. Writing the flagged table once yields both
     the silver rows (flag true) and the quarantine (flag false) without a
     second scan of the child. ``parent_unique`` skips de-duplicating the
-    parent keys when the parent is already unique on ``pk``."""
+    parent keys when the parent is already unique on ``pk``.
+
+    Text keys that are NULL join as a text that no key is, made from the row,
+    so that they are dealt to all tasks and not to one. A heavy key's rows
+    are split by AQE's skew join (the parent has one row a key)."""
     keys = parent.select(F.col(pk).alias("_fk"), F.lit(True).alias("_ref"))
     if not parent_unique:
         keys = keys.distinct()
-    return (child.join(keys, F.col(fk) == F.col("_fk"), "left")
+    key = F.col(fk)
+    if isinstance(child.schema[fk].dataType, StringType):
+        key = F.coalesce(key, F.concat(F.lit("\u0000"), F.xxhash64(*child.columns).cast("string")))
+    return (child.join(keys, key == F.col("_fk"), "left")
             .withColumn(flag, F.col(fk).isNull() | F.coalesce(F.col("_ref"), F.lit(False)))
             .drop("_fk", "_ref"))
 

@@ -47,7 +47,8 @@ class Warehouse:
     # -- construction helpers -------------------------------------------------
     @classmethod
     def for_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
-        key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
+        # built again when the files under it are others than they were
+        key = (spark.sparkContext.applicationId, sf_dir, io.listing(spark, sf_dir), tuple(sorted(kw.items())))
         with _REGISTRY_LOCK:
             wh = _REGISTRY.get(key)
             if wh is None:

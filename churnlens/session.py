@@ -21,6 +21,7 @@ BASE_CONF = {
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # checkpoint files go with their DataFrame
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -87,6 +87,12 @@ def _switch(spark: SparkSession, folder: str, versions: list[str]) -> None:
     context.rename(new, jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}"), how)
 
 
+def listing(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the files right in a folder, and of its folders: changes when the data does."""
+    fs, at = _file_system(spark, folder)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(at)))
+
+
 def table_path(spark: SparkSession, root: str, name: str) -> str:
     """The folder that holds a table's current rows."""
     versions = _versions(spark, f"{root}/{name}")

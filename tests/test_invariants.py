@@ -75,3 +75,17 @@ def test_rebuild_is_identical(spark, wh):
         other.s("support_tickets"), other.s("payments"), other.s("subscriptions"),
         other.s("subscription_plans"), other.churn_label(), other.as_of())
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_layers_follow_the_files(spark, tmp_path):
+    """Test tables that change are read anew; unchanged ones keep their built layers."""
+    import shutil
+    for f in ("customer", "nation", "orders", "lineitem", "part"):
+        shutil.copy(f"{SMOKE_DIR}/{f}.parquet", tmp_path)
+    first = Warehouse.for_testdata(spark, str(tmp_path))
+    assert Warehouse.for_testdata(spark, str(tmp_path)) is first
+    n = first.s("companies").count()
+    some = spark.read.parquet(f"{SMOKE_DIR}/customer.parquet").where("c_custkey % 2 = 0").toPandas()
+    some.to_parquet(tmp_path / "customer.parquet")
+    second = Warehouse.for_testdata(spark, str(tmp_path))
+    assert second is not first and second.s("companies").count() < n
