@@ -2,14 +2,18 @@ r"""Operator 3: personal data replaced by keyed surrogates.
 
 Entities are found by patterns: e-mail addresses, IPv4 addresses, phone
 numbers, card numbers, social security numbers, IBANs, access keys and
-passwords, and names after a form of address (which tells the gender).
+passwords, and names after forms of address (most of which tell the gender):
+all capitalised words that follow, with particles and initials among them. The
+last word is the surname, the others are given names; particles stay, initials
+become other initials.
 Each distinct entity of the corpus gets one surrogate, made from a keyed
 hash: same type, length, script, letter case and punctuation; cards keep
 their first digit and a valid check digit, names their gender's ending.
 
 So mentions of one entity agree in all documents. Collisions are checked
 over the whole corpus: no two entities of a kind share a surrogate, and no
-surrogate is an entity that occurs; a candidate that fails is made anew.
+surrogate is an entity that occurs; a candidate that fails is made anew, from
+some attempt on longer (``assign`` says where that ends).
 DataFrame operations and SQL functions only.
 """
 
@@ -23,6 +27,10 @@ from .common import Scratch, let
 #: Forms of address.
 WOMEN = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "Госпожа", "госпожа", "г-жа", "κυρία", "κα")
 MEN = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "Господин", "господин", "г-н", "κύριος", "κ")
+#: Titles of anyone, and small words inside names.
+TITLES = ("Dr", "Prof", "Professor", "Doktor", "Docteur", "Doctor", "Доктор", "доктор", "Δρ")
+PARTICLES = ("van", "von", "vom", "der", "den", "de", "del", "della", "di", "da", "dos", "das", "du", "des", "la", "le", "zu", "zum",
+             "zur", "ten", "ter", "af", "av", "bin", "ibn", "al", "el", "y")
 #: Letters by script, vowels then consonants.
 LETTERS = {
     "latin": ("aeiou", "bcdfghjklmnprstvz"),
@@ -32,8 +40,12 @@ LETTERS = {
 #: Last letters of given names by script: women, men.
 ENDINGS = {"latin": ("a", "n"), "cyrillic": ("а", "н"), "greek": ("α", "ς")}
 
-_TITLE = "|".join(sorted(WOMEN + MEN, key=len, reverse=True))
-_NAME = r"\p{Lu}[\p{L}\p{M}]++(?:['’-]\p{Lu}[\p{L}\p{M}]++)*"
+_any = lambda words: "|".join(sorted(words, key=len, reverse=True))
+_TITLE = _any(WOMEN + MEN + TITLES)
+_ADDRESS = rf"(?:(?:{_TITLE})\.? )++"
+_INITIAL = r"(?:\p{Lu}\.)++"
+_NAME = r"\p{Lu}[\p{L}\p{M}]++(?:['’-]\p{Lu}[\p{L}\p{M}]++)*+"
+_PART = rf"(?:(?:{_any(PARTICLES)}) )*+{_NAME}"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-]++(?:\.[\p{L}\p{N}_%+-]++)*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\p{L}\p{N}]|\.\d)",
@@ -44,13 +56,13 @@ PATTERNS = {
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "access": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![\p{L}\p{N}])",
     "secret": r"(?<![\p{L}\p{N}])(?i:password|passwd|pwd|secret|token|api[_-]?key) ?[=:] ?[\"']?[\p{L}\p{N}+/_-]{8,}+",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
+    "person": rf"(?<![\p{{L}}\p{{N}}]){_ADDRESS}(?:{_INITIAL} )*+{_PART}(?: (?:{_INITIAL}|{_PART}))*+",
 }
 _ALL = "|".join(PATTERNS.values())
 #: What every entity has; cheap to test, and true of few texts.
-_GATE = rf"\d|@|(?i:password|passwd|pwd|secret|token|api[_-]?key)|(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}"
-#: From this attempt on a surrogate may be longer than its entity.
-LONGER = 6
+_GATE = rf"\d|@|(?i:password|passwd|pwd|secret|token|api[_-]?key)|(?<!\p{{L}})(?:{_TITLE})\.? \p{{L}}"
+#: From this attempt on a surrogate is longer than its entity, by one character more each time; the last attempt.
+LONGER, ATTEMPTS = 6, 60
 
 
 def _byte(digest: Column, at: Column) -> Column:
@@ -112,13 +124,14 @@ def _card(value: Column, digest: Column) -> Column:
 
 
 def _ip(value: Column, digest: Column, attempt: Column) -> Column:
-    """Octets of as many digits (of any, from a later attempt on)."""
+    """Octets of as many digits (of any, from a later attempt on; still later with a port)."""
     def one(octet: Column, i: Column) -> Column:
         number = F.conv(F.substring(digest, i * 4 + 1, F.lit(4)), 16, 10).cast("int")
         size = F.when(attempt >= LONGER, 3).otherwise(F.char_length(octet))
         return F.when(size == 1, F.pmod(number, F.lit(9)) + 1).when(
             size == 2, F.pmod(number, F.lit(90)) + 10).otherwise(F.pmod(number, F.lit(155)) + 100).cast("string")
-    return F.array_join(F.transform(F.split(value, r"\."), one), ".")
+    port = F.when(attempt > LONGER + 4, F.concat(F.lit(":"), F.pmod(F.conv(F.substring(digest, 33, 4), 16, 10).cast("int"), F.lit(60_000)) + 1024))
+    return F.concat(F.array_join(F.transform(F.split(value, r"\."), one), "."), F.coalesce(port, F.lit("")))
 
 
 def _email(value: Column, digest: Column, domain_digest: Column) -> Column:
@@ -148,29 +161,38 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     domain = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), F.substring_index(value, "@", -1)), 256)
 
     def made(d: Column) -> Column:
-        longer = F.when((attempt >= LONGER) & ~kind.isin("ip", "card"), _pick("bcdfghkmnprst", _byte(d, F.lit(29)))).otherwise("")
+        more = F.greatest(attempt - (LONGER - 1), F.lit(0))
+        longer = F.repeat(F.lit("b"), F.when(kind.isin("ip", "card"), 0).otherwise(more))
         plain = (F.when(kind == "email", _email(F.concat(longer, value), d, domain))
-                 .when(kind == "ip", _ip(value, d, attempt)).when(kind == "card", _card(value, d))
-                 .when(kind.isin("phone", "ssn"), _digits(F.concat(F.when(longer != "", "1").otherwise(""), value), d))
+                 .when(kind == "ip", _ip(value, d, attempt))
+                 .when(kind == "card", _card(F.rpad(value, F.greatest(F.char_length(value), F.least(F.char_length(value) + more, F.lit(19))), "0"), d))
+                 .when(kind.isin("phone", "ssn"), _digits(F.concat(F.repeat(F.lit("1"), more), value), d))
                  .when(kind == "iban", F.concat(F.substring(value, 1, 2), F.upper(_shaped(F.concat(F.substring(value, F.lit(3), F.char_length(value)), longer), d))))
                  .when(kind == "access", F.concat(F.substring(value, 1, 4), F.upper(_shaped(F.concat(F.substring(value, F.lit(5), F.char_length(value)), longer), d))))
-                 .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), _hex(F.concat(value, F.when(longer != "", "0").otherwise("")), d))
+                 .when((kind == "secret") & value.rlike("^[0-9a-f]+$"), _hex(F.concat(value, F.repeat(F.lit("0"), more)), d))
                  .when(kind == "secret", _shaped(F.concat(value, longer), d))
                  .otherwise(_name(F.concat(value, longer), d, kind)))
         return plain
     return let(digest, made)
 
 
+NAMES = ("given_f", "given_m", "given_n", "surname")
+
+
 def _space(kind: Column) -> Column:
     """What entities of several kinds are compared in: names are one space."""
-    return F.when(kind.isin("given_f", "given_m", "surname"), "name").otherwise(kind)
+    return F.when(kind.isin(*NAMES), "name").otherwise(kind)
 
 
 def assign(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(kind, value, surrogate) of distinct entities (kind, value), checked.
 
     Among equal candidates the smallest value keeps its one; the others, and
-    those whose candidate is an entity or taken already, try again."""
+    those whose candidate is an entity or taken already, try again. Texts grow
+    with the attempts, so these find free ones; addresses are four octets of
+    three digits, then with a port (3e13), cards have up to 19 digits. A kind
+    with more entities than that ends in an error after ``ATTEMPTS``, not in
+    surrogates that are shared."""
     given = entities.select(_space(F.col("kind")).alias("space"), F.col("value").alias("made")).distinct()
     left, done, attempt = entities, None, 0
     while True:
@@ -188,31 +210,43 @@ def assign(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         if left.isEmpty():
             return done.select("kind", "value", F.col("made").alias("surrogate"))
         attempt += 1
+        if attempt > ATTEMPTS:
+            raise ValueError(f"no free surrogates left for kinds {sorted(r.kind for r in left.select('kind').distinct().collect())}")
 
 
 def _kind(mention: Column) -> Column:
     anchored = lambda kind: mention.rlike("^(?:" + PATTERNS[kind] + ")$")
-    women = mention.rlike("^(?:" + "|".join(WOMEN) + r")\.? ")
+    address = lambda words: mention.rlike(rf"^(?:(?:{_TITLE})\.? )*(?:{_any(words)})\.? ")
     out = F.when(anchored("email"), "email").when(anchored("ip"), "ip").when(anchored("ssn"), "ssn")
     out = out.when(anchored("phone"), "phone").when(anchored("card"), "card").when(anchored("iban"), "iban")
     out = out.when(anchored("access"), "access").when(anchored("secret"), "secret")
-    return out.when(women, "woman").otherwise("man")
+    return out.when(address(WOMEN), "woman").when(address(MEN), "man").otherwise("anyone")
+
+
+PEOPLE = ("woman", "man", "anyone")
+
+
+def _words(mention: Column) -> Column:
+    """The words of a name without its titles."""
+    return F.split(F.regexp_replace(mention, f"^{_ADDRESS}", ""), " ")
 
 
 def _tokens(kind: Column, mention: Column) -> Column:
-    """The entities in a mention: (kind, value, shown), value the form in which mentions agree."""
-    def entity(k, value: Column, shown: Column) -> Column:
-        return F.struct(k.alias("kind") if isinstance(k, Column) else F.lit(k).alias("kind"), value.alias("value"), shown.alias("shown"))
+    """The entities in a mention: (part, kind, value, shown), value the form in which mentions agree,
+    part the place among a name's words."""
+    def entity(k, value: Column, shown: Column, part: Column | None = None) -> Column:
+        return F.struct((F.lit(0) if part is None else part).alias("part"),
+                        (k if isinstance(k, Column) else F.lit(k)).alias("kind"), value.alias("value"), shown.alias("shown"))
     digits = F.regexp_replace(mention, r"\D", "")
     country = F.length(F.regexp_extract(mention, r"^\+(\d{1,3})[ .(-]", 1))
     national = F.substring(digits, country + 1, F.length(digits))
     spoken = F.regexp_extract(mention, r"([\p{L}\p{N}+/_-]+)$", 1)
-    names = F.split(F.regexp_replace(mention, rf"^(?:{_TITLE})\.? ", ""), " ")
-    given = F.when(kind == "woman", "given_f").otherwise("given_m")
-    person = F.when(F.size(names) > 1, F.array(entity(given, F.lower(F.get(names, F.lit(0))), F.get(names, F.lit(0))),
-                                               entity("surname", F.lower(F.element_at(names, -1)), F.element_at(names, -1)))
-                    ).otherwise(F.array(entity("surname", F.lower(F.get(names, F.lit(0))), F.get(names, F.lit(0)))))
-    return (F.when(kind.isin("woman", "man"), person)
+    given = F.when(kind == "woman", "given_f").when(kind == "man", "given_m").otherwise("given_n")
+    places = F.filter(F.transform(_words(mention), lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
+                      lambda p: p["w"].rlike(f"^{_NAME}$"))
+    person = let(places, lambda names: F.transform(names, lambda p, i: entity(
+        F.when(i == F.size(names) - 1, "surname").otherwise(given), F.lower(p["w"]), p["w"], p["i"])))
+    return (F.when(kind.isin(*PEOPLE), person)
             .when(kind == "phone", F.array(entity(kind, national, national)))
             .when(kind.isin("card", "ssn"), F.array(entity(kind, digits, mention)))
             .when(kind == "email", F.array(entity(kind, F.lower(mention), mention)))
@@ -221,6 +255,15 @@ def _tokens(kind: Column, mention: Column) -> Column:
             .otherwise(F.array(entity(kind, mention, mention))))
 
 
+def _named(mention: Column, parts: Column, key: str) -> Column:
+    """A name with its titles and particles, its words and initials replaced."""
+    def word(w: Column, i: Column) -> Column:
+        new = F.filter(parts, lambda p: p["part"] == i)
+        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("initial"), F.element_at(parts, -1)["new"], w), 256)
+        return F.when(F.size(new) > 0, F.get(new, F.lit(0))["new"]).when(w.rlike(f"^{_INITIAL}$"), _shaped(w, digest)).otherwise(w)
+    return F.concat(F.regexp_extract(mention, f"^{_ADDRESS}", 0), F.array_join(F.transform(_words(mention), word), " "))
+
+
 def _filled(mention: Column, signs: str, made: Column, skip: Column) -> Column:
     """``mention``, its characters of class ``signs`` after the first ``skip`` replaced
     by those of ``made`` in order; what is left of ``made`` goes at the end."""
@@ -250,7 +293,7 @@ def _render(kind: Column, mention: Column, shown: Column, made: Column) -> Colum
             .when(kind.isin("card", "ssn"), _filled(mention, "[0-9]", made, F.lit(0)))
             .when(kind == "iban", _filled(mention, "[A-Z0-9]", made, F.lit(0)))
             .when(kind == "secret", F.concat(F.substring(mention, F.lit(1), F.char_length(mention) - F.char_length(shown)), made))
-            .when(kind.isin("email", "given_f", "given_m", "surname"), _cased(shown, made)).otherwise(made))
+            .when(kind.isin("email", *NAMES), _cased(shown, made)).otherwise(made))
 
 
 def replace_entities(spark: SparkSession, docs: DataFrame, key: str) -> DataFrame:
@@ -267,17 +310,16 @@ def replace_entities(spark: SparkSession, docs: DataFrame, key: str) -> DataFram
     mentions = (docs.where(found).select(F.sha2("text", 256).alias("_pii_key"), F.regexp_extract_all("text", F.lit(_ALL), F.lit(0)).alias("_pii_mentions"))
                 .groupBy("_pii_key").agg(F.first("_pii_mentions").alias("_pii_mentions")).select("_pii_key", F.posexplode("_pii_mentions").alias("pos", "mention")))
     mentions = mentions.withColumn("whole", _kind(F.col("mention")))
-    tokens = mentions.select("_pii_key", "pos", "mention", "whole", F.posexplode(_tokens(F.col("whole"), F.col("mention"))).alias("part", "e"))
-    tokens = scratch.save(tokens.select("_pii_key", "pos", "mention", "whole", "part", "e.*"), "tokens")
+    tokens = mentions.select("_pii_key", "pos", "mention", "whole", F.explode(_tokens(F.col("whole"), F.col("mention"))).alias("e"))
+    tokens = scratch.save(tokens.select("_pii_key", "pos", "mention", "whole", "e.*"), "tokens")
     made = assign(tokens.select("kind", "value").distinct(), key, scratch)
     tokens = (tokens.join(made, ["kind", "value"])
               .withColumn("new", _render(F.col("kind"), F.col("mention"), F.col("shown"), F.col("surrogate"))))
     spans = tokens.groupBy("_pii_key", "pos").agg(
         F.first("whole").alias("whole"), F.first("mention").alias("mention"),
         F.sort_array(F.collect_list(F.struct("part", "shown", "new"))).alias("parts"))
-    named = F.col("whole").isin("woman", "man")
-    title = F.regexp_extract("mention", rf"^(?:{_TITLE})\.? ", 0)
-    spans = spans.withColumn("new", F.when(named, F.concat(title, F.array_join("parts.new", " "))).otherwise(F.get("parts.new", F.lit(0))))
+    named = F.col("whole").isin(*PEOPLE)
+    spans = spans.withColumn("new", F.when(named, _named(F.col("mention"), F.col("parts"), key)).otherwise(F.get("parts.new", F.lit(0))))
     names = F.flatten(F.collect_list(F.when(named, F.transform("parts", lambda p: F.struct(p["shown"], p["new"])))))
     rewritten = scratch.save(spans.groupBy("_pii_key").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda s: s["new"]).alias("_pii_new"),

@@ -1,7 +1,9 @@
 """Operator 3: formats, coreference, distinctness, and texts without entities."""
 
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from churnlens.llm import surrogates
@@ -70,3 +72,93 @@ def test_odd_rows(spark, odd, none):
     assert out.columns == [*odd.columns, "n_entities"]
     assert sorted(map(str, out.drop("n_entities").collect())) == sorted(map(str, odd.collect()))
     assert surrogates.replace_entities(spark, none, "k").count() == 0
+
+
+def find_names(text):
+    """Names after forms of address, word by word: [(begin, end) of the name's words, which of them are entities]."""
+    words, out, i = text.split(" "), [], 0
+    strip = lambda w: w.removesuffix(".")
+    title = lambda w: strip(w) in surrogates.WOMEN + surrogates.MEN + surrogates.TITLES
+    initial = lambda w: bool(re.fullmatch(r"([A-ZÀ-ÞА-ЯΑ-Ω]\.)+", w))
+    name = lambda w: bool(re.match(r"[A-ZÀ-ÞА-ЯΑ-Ω][^\W\d_]", w))
+    while i < len(words):
+        if not title(words[i]):
+            i += 1
+            continue
+        while i < len(words) and title(words[i]):
+            i += 1
+        begin, held, last = i, [], i
+        while i < len(words):
+            if initial(words[i]):
+                i += 1
+                last = i if held else last
+                continue
+            j = i
+            while j < len(words) and words[j] in surrogates.PARTICLES:
+                j += 1
+            if j == len(words) or not name(words[j]):
+                break
+            held.append(j)
+            ended = not words[j][-1].isalpha()  # punctuation after the word ends the name
+            i = last = j + 1
+            if ended:
+                break
+        if held:
+            out.append((begin, last, held))
+        i = max(last, begin)
+    return words, out
+
+
+def test_whole_names(spark):
+    """Any number of parts, initials, particles and titles: what a search word by word finds is replaced, the rest stays."""
+    r = random.Random(11)
+    first = ["Anna", "Maria", "Jean-Paul", "John", "Étienne", "O'Neil", "Иван", "Ελένη"]
+    texts = ["met Mrs. Anna Maria Schmidt today", "met Mr. John A. Smith today", "met Dr. Eva Braun today", "met Mr. van Dyke today",
+             "und Frau Prof. Dr. Anna von der Heide kam", "saw Mr. J.R.R. Tolkien there", "saw Dr. de la Cruz Lopez there", "Mr. nobody, Dr. who"]
+    for _ in range(150):
+        parts = [r.choice(["Mr.", "Mrs", "Dr.", "Prof. Dr.", "Frau", "Herr Dr.", "госпожа"])]
+        for _ in range(r.randrange(1, 5)):
+            parts += r.choice([[], [], ["van"], ["von", "der"], ["B."], ["C.D."]]) + [r.choice(first)]
+        texts.append(" ".join(["word", r.choice(["with", "the"]), *parts, r.choice(["said", "came, and", "1st"]), "again"]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {x.doc_id: x.text for x in surrogates.replace_entities(spark, docs, "k").collect()}
+    given = {}
+    for i, text in enumerate(texts):
+        words, names = find_names(text)
+        entities = {j for _, _, held in names for j in held}
+        inside = {j for a, b, _ in names for j in range(a, b)}
+        new = out[i].split(" ")
+        assert len(new) == len(words), (text, out[i])
+        for j, (a, b) in enumerate(zip(words, new)):
+            if j in entities:
+                kind = "surname" if any(j == held[-1] for _, _, held in names) else "given"
+                bare = (re.sub(r"\W+$", "", a), re.sub(r"\W+$", "", b))
+                assert bare[0].lower() not in out[i].lower().split(" "), (text, out[i])
+                assert [c.isupper() for c in bare[0]] == [c.isupper() for c in bare[1]] and a[len(bare[0]):] == b[len(bare[1]):]
+                given.setdefault((kind, bare[0].lower()), set()).add(bare[1].lower())
+            elif j in inside and re.fullmatch(r"(\w\.)+", a):
+                assert re.fullmatch(r"(\w\.)+", b) and len(a) == len(b) and b.isupper()
+            else:
+                assert a == b, (text, out[i])
+    assert all(len(v) == 1 for (kind, _), v in given.items() if kind == "surname")
+    assert len({v for (k, _), s in given.items() for v in s if k == "surname"}) == sum(k == "surname" for k, _ in given)
+
+
+def test_surrogates_grow(spark):
+    """Later attempts are longer, so there are always free ones; where there are none the end is an error."""
+    kinds = [("surname", "li"), ("phone", "1234"), ("secret", "abcdef01"), ("email", "a@b.com"), ("ip", "1.2.3.4"), ("card", "4111111111111111")]
+    rows = spark.createDataFrame(kinds, "kind string, value string").crossJoin(spark.createDataFrame([(0,), (5,), (9,), (14,)], "attempt int"))
+    made = {(r.kind, r.attempt): r.made for r in rows.select("kind", "attempt", surrogates.surrogate(
+        F.col("kind"), F.col("value"), F.col("attempt"), "k").alias("made")).collect()}
+    for kind, value in kinds[:4]:
+        assert len(made[kind, 0]) == len(made[kind, 5]) < len(made[kind, 9]) < len(made[kind, 14])
+    assert re.fullmatch(r"\d{3}(\.\d{3}){3}:\d{4,5}", made["ip", 14]) and re.fullmatch(r"\d(\.\d){3}", made["ip", 0])
+    assert len(made["card", 14]) == 19 and all(luhn(made["card", a]) for a in (0, 5, 9, 14))
+
+
+def test_no_free_surrogates(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "ATTEMPTS", 2)
+    entities = spark.range(10).select(F.lit("ip").alias("kind"), F.concat(F.lit("1.1.1."), F.col("id").cast("string")).alias("value"))
+    monkeypatch.setattr(surrogates, "surrogate", lambda kind, value, attempt, key: F.lit("9.9.9.9"))
+    with pytest.raises(ValueError, match="ip"):
+        surrogates.assign(entities, "k", Scratch(spark, "pii-none"))
