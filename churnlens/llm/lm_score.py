@@ -11,9 +11,9 @@ document's score is the sum of its words' log probabilities, each given its
 neighbours on both sides.
 
 Texts are split into words once. Every task numbers the words of a block of
-texts (``_blocks``); the blocks' distinct words are counted and joined with the
-vocabulary, and the blocks are written again as tokens (``encode``), which
-training and scoring read. All texts are trained on. Training is synchronous
+texts (``_blocks``); the blocks' distinct words are counted over the corpus
+(``learn_words``), and the blocks are written again as tokens (``encode``),
+which training and scoring read. All texts are trained on. Training is synchronous
 averaging: in a round every task runs Adagrad in numpy over all its blocks from
 the shared weights and sends its weights; the average, weighted by words, is
 formed in a grouped aggregate over parameter rows. So the weights, of fixed
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices
@@ -40,7 +40,7 @@ SIDE, HIDDEN, CLASSES, ROUNDS = 2, 24, 32, 2
 #: Tokens; the last RARE stand for all words that have none of their own, by their ending and length.
 VOCABULARY, RARE, EDGE = CLASSES * CLASSES, 256, 0
 KNOWN = VOCABULARY - RARE - 1
-#: A block ends at about so many distinct words, or words; batches are what a slice's texts are read in.
+#: A block ends at about so many distinct words, or words in all. Its slices have about so many characters.
 BLOCK_WORDS, BLOCK_LENGTH, SLICE_CHARS, BATCH, RATE = 400_000, 4_000_000, 1_500_000, 4096, 0.1
 _SEED = 1
 
@@ -78,9 +78,10 @@ def _context(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+    """Over the first axis: rows of many columns are added and compared at once."""
+    logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits /= logits.sum(axis=0)
     return logits
 
 
@@ -95,21 +96,23 @@ def _by_class(stream: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _hidden(w: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
-    total = w["context"][context[:, 0]]
+    total = np.take(w["context"], context[:, 0], axis=0, mode="clip")
     for i in range(1, context.shape[1]):
-        total += w["context"][context[:, i]]
+        total += np.take(w["context"], context[:, i], axis=0, mode="clip")
+    total += w["hidden"]
     out = np.ones((len(context), HIDDEN + 1), total.dtype)
-    np.tanh(total + w["hidden"], out=out[:, :HIDDEN])
+    np.tanh(total, out=out[:, :HIDDEN])
     return out
 
 
 def _forward(w: dict[str, np.ndarray], hidden: np.ndarray, ranges: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities of the classes, and of the tokens in each centre's own class."""
-    inner = np.empty((len(hidden), CLASSES), hidden.dtype)
+    """Probabilities of the classes, and of the tokens in each centre's own class: (CLASSES, centres)."""
+    columns = np.ascontiguousarray(hidden.T)
+    inner = np.empty((CLASSES, len(hidden)), hidden.dtype)
     words = w["word"].reshape(CLASSES, CLASSES, HIDDEN + 1)
     for c, a, b in ranges:
-        np.matmul(hidden[a:b], words[c].T, out=inner[a:b])
-    return _softmax(hidden @ w["class"].T), _softmax(inner)
+        inner[:, a:b] = words[c] @ columns[:, a:b]
+    return _softmax(w["class"] @ columns), _softmax(inner)
 
 
 def log_probabilities(w: dict[str, np.ndarray], stream: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -121,7 +124,7 @@ def log_probabilities(w: dict[str, np.ndarray], stream: np.ndarray, at: np.ndarr
         own = own[order]
         top, inner = _forward(w, _hidden(w, _context(stream, own)), ranges)
         rows = np.arange(len(own))
-        p = top[rows, classes] * inner[rows, stream[own] % CLASSES]
+        p = top[classes, rows] * inner[stream[own] % CLASSES, rows]
         out[i + order] = np.log(np.maximum(p, 1e-30))
     return out
 
@@ -134,24 +137,25 @@ def gradients(w: dict[str, np.ndarray], stream: np.ndarray, at: np.ndarray) -> d
     hidden = _hidden(w, context)
     top, inner = _forward(w, hidden, ranges)
     rows = np.arange(len(at))
-    top[rows, classes] -= 1
-    inner[rows, stream[at] % CLASSES] -= 1
-    back = top @ w["class"]
+    top[classes, rows] -= 1
+    inner[stream[at] % CLASSES, rows] -= 1
+    back = top.T @ w["class"]
     words = w["word"].reshape(CLASSES, CLASSES, HIDDEN + 1)
     word = np.zeros_like(words)
     for c, a, b in ranges:
-        np.matmul(inner[a:b].T, hidden[a:b], out=word[c])
-        back[a:b] += inner[a:b] @ words[c]
+        part = inner[:, a:b]
+        word[c] = part @ hidden[a:b]
+        back[a:b] += part.T @ words[c]
     back = back[:, :HIDDEN] * (1 - hidden[:, :HIDDEN] ** 2)
     # equal input rows are summed: sorted by row, added up by runs
     flat = context.reshape(-1)
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
     first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    summed = np.add.reduceat(np.take(back, order // (2 * SIDE), axis=0, mode="clip"), first, axis=0)
     everything = slice(None)
-    return {"class": (everything, top.T @ hidden), "word": (everything, word.reshape(VOCABULARY, HIDDEN + 1)),
-            "hidden": (everything, back.sum(axis=0, keepdims=True)),
-            "context": (flat[first], np.add.reduceat(back[order // context.shape[1]], first, axis=0))}
+    return {"class": (everything, top @ hidden), "word": (everything, word.reshape(VOCABULARY, HIDDEN + 1)),
+            "hidden": (everything, back.sum(axis=0, keepdims=True)), "context": (flat[first], summed)}
 
 
 def train(w: dict[str, np.ndarray], squares: dict[str, np.ndarray], stream: np.ndarray, at: np.ndarray) -> None:
@@ -168,49 +172,57 @@ def bucket(word: bytes) -> int:
     return (word[-1] * 31 + len(word) * 7 + word[-2:][0]) % RARE
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Integers as their lowest bytes, then the next ones: small numbers leave planes of zeros, which compress."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _integers(planes: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
 def _blocks(kind: str):
-    """Rows of two sorts: a block's texts as numbers of its words, and each of its distinct words.
+    """Rows of two sorts: a slice of texts as numbers of their block's words, and each distinct word of a block.
 
     Words are runs without ASCII white space, A-Z lower-cased."""
     types = {"block": pa.int64(), "at": pa.int32(), "word": pa.binary(), "n": pa.int64(), "bucket": pa.int32(),
              "stream": pa.binary(), "sizes": pa.list_(pa.int32()), "ids": None}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made = TaskContext.get().partitionId(), 0
-        ids, sizes, parts, docs = defaultdict(count().__next__), [], [], []
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            block = task << 32 | made
-            stream = np.concatenate([np.empty(0, np.int32), *parts])
-            words, own = list(ids), pa.chunked_array(docs).combine_chunks()
-            n = np.bincount(stream, minlength=len(words))
-            no = lambda k, size: pa.nulls(size, k)
-            one = {"block": pa.array([block], pa.int64()), "stream": pa.array([stream.tobytes()], pa.binary()),
-                   "sizes": pa.array([sizes], types["sizes"]),
-                   "ids": pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)}
-            types["ids"] = one["ids"].type
-            yield pa.RecordBatch.from_arrays([one.get(k, no(t, 1)) for k, t in types.items()], names=list(types))
-            for a in range(0, len(words), 50_000):
-                some = words[a:a + 50_000]
-                many = {"block": pa.array([block] * len(some), pa.int64()), "at": pa.array(np.arange(a, a + len(some), dtype=np.int32)),
-                        "word": pa.array(some, pa.binary()), "n": pa.array(n[a:a + len(some)]),
-                        "bucket": pa.array([bucket(w) for w in some], pa.int32())}
-                yield pa.RecordBatch.from_arrays([many.get(k, no(t, len(some))) for k, t in types.items()], names=list(types))
+        task, made, chunk = TaskContext.get().partitionId(), 0, 0
+        ids, n = defaultdict(count().__next__), np.zeros(0, np.int64)
+
+        def batch_of(size: int, **columns: pa.Array) -> pa.RecordBatch:
+            columns["block"] = pa.array([task << 32 | made] * size, pa.int64())
+            return pa.RecordBatch.from_arrays([columns[k] if k in columns else pa.nulls(size, t) for k, t in types.items()], names=list(types))
+
+        def words() -> Iterator[pa.RecordBatch]:
+            every = list(ids)
+            for a in range(0, len(every), 50_000):
+                some = every[a:a + 50_000]
+                yield batch_of(len(some), at=pa.array(np.arange(a, a + len(some), dtype=np.int32)), word=pa.array(some, pa.binary()),
+                               n=pa.array(n[a:a + len(some)]), bucket=pa.array([bucket(w) for w in some], pa.int32()))
 
         for batch in batches:
-            column = batch.column("text").cast(pa.binary())
+            column, own = batch.column("text").cast(pa.binary()), batch.column("doc_id")
+            types["ids"] = pa.list_(own.type)
             lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
             for i, j in slices(lengths, SLICE_CHARS, lambda n: n + 50):
                 split = [t.lower().split() if t else [] for t in column.slice(i, j - i).to_pylist()]
-                sizes += map(len, split)
-                parts += [np.fromiter(map(ids.__getitem__, words), np.int32, len(words)) for words in split]
-                docs.append(batch.column("doc_id").slice(i, j - i))
-                if len(ids) >= BLOCK_WORDS or sum(map(len, parts)) >= BLOCK_LENGTH:
-                    yield from rows()
-                    made += 1
-                    ids, sizes, parts, docs = defaultdict(count().__next__), [], [], []
-        if docs:
-            yield from rows()
+                sizes = [len(w) for w in split]
+                flat = np.fromiter((ids[w] for ws in split for w in ws), np.int32, sum(sizes))
+                n = np.bincount(flat, minlength=len(ids)) + np.pad(n, (0, len(ids) - len(n)))
+                part = own.slice(i, j - i)
+                yield batch_of(1, at=pa.array([chunk], pa.int32()), stream=pa.array([_planes(flat)], pa.binary()),
+                               sizes=pa.array([sizes], types["sizes"]),
+                               ids=pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), pa.concat_arrays([part])))
+                chunk += 1
+                if len(ids) >= BLOCK_WORDS or n.sum() >= BLOCK_LENGTH:
+                    yield from words()
+                    ids, n, made, chunk = defaultdict(count().__next__), np.zeros(0, np.int64), made + 1, 0
+        if ids:
+            yield from words()
     return run, (f"block long, at int, word binary, n long, bucket int, stream binary, sizes array<int>, ids array<{kind}>")
 
 
@@ -221,59 +233,73 @@ def read_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.save(rows, "blocks")
 
 
-def learn_words(blocks: DataFrame, scratch: Scratch) -> DataFrame:
-    """The corpus's vocabulary, written: word, token, log_share (0 for words with a token of their
-    own). One row more for each shared token, without a word: the share of a word not seen."""
+def learn_words(blocks: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The corpus's vocabulary, and its words' places in the blocks (block, at, token, log_share).
+
+    Vocabulary: word, token, log_share (0 for words with a token of their own).
+    One row more for each shared token, without a word: the share of a word
+    not seen. The blocks' words move once, by word: a word has at most one
+    row a block, the first of which stands for it in the vocabulary."""
     spark = blocks.sparkSession
-    counts = scratch.save(blocks.where("word is not null").groupBy("word").agg(
-        F.sum("n").alias("n"), F.first("bucket").alias("bucket")), "counts")
+    same = Window.partitionBy("word")
+    words = blocks.where("word is not null").select("block", "at", "word", "n", "bucket")
+    words = words.withColumns({"total": F.sum("n").over(same), "first": F.min("block").over(same) == F.col("block")})
+    words = scratch.save(words.drop("n"), "words")  # sorted by word, so equal words lie together
+    counts = words.where("first").select("word", "total", "bucket")
     # the most frequent ones are sought among words at least as frequent as a power of two that enough reach
-    powers = counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count("*").alias("words")).collect()
+    powers = counts.groupBy(F.floor(F.log2("total")).alias("power")).agg(F.count("*").alias("words")).collect()
     reached, least = 0, 0
     for r in sorted(powers, key=lambda r: -r.power):
         reached, least = reached + r.words, r.power
         if reached >= KNOWN:
             break
-    top = counts.where(F.col("n") >= 2 ** least).orderBy(F.desc("n"), "word").limit(KNOWN).select("word").collect()
-    known = spark.createDataFrame([(bytes(r.word), i) for i, r in enumerate(top, 1)], "word binary, own int")
-    rows = counts.join(F.broadcast(known), "word", "left")
+    top = counts.where(F.col("total") >= 2 ** least).orderBy(F.desc("total"), "word").limit(KNOWN).select("word").collect()
+    known = F.broadcast(spark.createDataFrame([(bytes(r.word), i) for i, r in enumerate(top, 1)], "word binary, own int"))
     shared = F.col("bucket") + VOCABULARY - RARE
-    totals = rows.where("own is null").groupBy(shared.alias("token")).agg(F.sum("n").alias("total"))
+    totals = counts.join(known, "word", "left_anti").groupBy(shared.alias("token")).agg(F.sum("total").alias("all"))
     totals = spark.range(VOCABULARY - RARE, VOCABULARY).select(F.col("id").cast("int").alias("token")).join(totals, "token", "left")
-    totals = totals.select("token", (F.coalesce("total", F.lit(0)) + 1).alias("total"))
-    own = rows.where("own is not null").select("word", F.col("own").alias("token"), F.lit(0.0).alias("log_share"))
-    rest = rows.where("own is null").select("word", "n", shared.alias("token")).join(F.broadcast(totals), "token").select(
-        "word", "token", F.log(F.col("n") / F.col("total")).alias("log_share"))
-    unseen = totals.select(F.lit(None).cast("binary").alias("word"), "token", (-F.log("total")).alias("log_share"))
-    return scratch.save(own.unionByName(rest).unionByName(unseen), "vocabulary")
+    totals = scratch.save(totals.select("token", (F.coalesce("all", F.lit(0)) + 1).alias("all")), "totals")
+    share = F.when(F.col("own").isNotNull(), 0.0).otherwise(F.log(F.col("total") / F.col("all")))
+    placed = (words.join(known, "word", "left").withColumn("token", shared).join(F.broadcast(totals), "token")
+              .select("block", "at", F.coalesce("own", "token").alias("token"), share.alias("log_share"), "word", "first"))
+    unseen = totals.select(F.lit(None).cast("binary").alias("word"), "token", (-F.log("all")).alias("log_share"))
+    vocabulary = scratch.save(placed.where("first").select("word", "token", "log_share").unionByName(unseen), "vocabulary")
+    return vocabulary, placed.select("block", "at", "token", "log_share")
+
+
+def find_words(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The places of other blocks' words (block, at, token, log_share). A word that the vocabulary
+    lacks has its shared token and that token's share of an unseen word."""
+    unseen = vocabulary.where("word is null").select(F.col("token").alias("shared"), F.col("log_share").alias("least"))
+    words = blocks.where("word is not null").select("block", "at", "word", (F.col("bucket") + VOCABULARY - RARE).alias("shared"))
+    words = words.join(vocabulary.where("word is not null"), "word", "left").join(F.broadcast(unseen), "shared")
+    return words.select("block", "at", F.coalesce("token", "shared").alias("token"), F.coalesce("log_share", "least").alias("log_share"))
 
 
 def _tokens(stream: np.ndarray, sizes: np.ndarray, token: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A block's tokens, each text between SIDE edge tokens, and each text's summed log shares."""
+    """A slice's tokens, each text between SIDE edge tokens, and each text's summed log shares."""
     out = np.full(len(stream) + 2 * SIDE * len(sizes), EDGE, np.int16)
     out[centres(sizes)] = token[stream]
     return out, np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=share[stream], minlength=len(sizes))
 
 
 def _encode(block: pa.Table, words: pa.Table) -> pa.Table:
-    at = words.column("at").to_numpy()
-    token, share = np.empty(len(at), np.int16), np.empty(len(at))
-    token[at], share[at] = words.column("token").to_numpy(), words.column("log_share").to_numpy()
-    row = block.slice(0, 1)
-    sizes = np.array(row.column("sizes")[0].as_py(), np.int64)
-    stream, shares = _tokens(np.frombuffer(row.column("stream")[0].as_py(), np.int32), sizes, token, share)
-    return pa.table({"tokens": pa.array([stream.tobytes()], pa.binary()), "sizes": row.column("sizes"), "ids": row.column("ids"),
-                     "shares": pa.array([shares], pa.list_(pa.float64()))})
-
-
-def encode(blocks: DataFrame, vocabulary: DataFrame, scratch: Scratch) -> DataFrame:
-    """The blocks as tokens, written: tokens (16 bits each), sizes, ids, shares. A word that
-    the vocabulary lacks has its shared token and that token's share of an unseen word."""
-    unseen = vocabulary.where("word is null").select("token", F.col("log_share").alias("least"))
-    known = vocabulary.where("word is not null")
-    words = blocks.where("word is not null").select("block", "at", "word", (F.col("bucket") + VOCABULARY - RARE).alias("shared"))
-    words = (words.join(known, "word", "left").join(F.broadcast(unseen.withColumnRenamed("token", "shared")), "shared")
-             .select(F.col("block").alias("of"), "at", F.coalesce("token", "shared").alias("token"), F.coalesce("log_share", "least").alias("log_share")))
+    place = words.column("place").to_numpy()
+    token, share = np.empty(len(place), np.int16), np.empty(len(place))
+    token[place >> 16], share[place >> 16] = place & 0xFFFF, words.column("log_share").to_numpy()
+    tokens, shares = [], []
+    for planes, sizes in zip(block.column("stream"), block.column("sizes")):
+        stream, summed = _tokens(_integers(planes.as_py(), np.int32), np.array(sizes.as_py(), np.int64), token, share)
+        tokens.append(_planes(stream))
+        shares.append(summed)
+    return pa.table({"tokens": pa.array(tokens, pa.binary()), "sizes": block.column("sizes"), "ids": block.column("ids"),
+                     "shares": pa.array(shares, pa.list_(pa.float64()))})
+
+
+def encode(blocks: DataFrame, places: DataFrame, scratch: Scratch) -> DataFrame:
+    """The blocks' slices as tokens, written: tokens (16 bits each), sizes, ids, shares."""
+    words = places.select(F.col("block").alias("of"), (F.shiftleft(F.col("at").cast("long"), 16) + F.col("token")).alias("place"),
+                          F.col("log_share").cast("float").alias("log_share"))
     texts = blocks.where("stream is not null").select("block", "stream", "sizes", "ids")
     kind = blocks.schema["ids"].dataType.simpleString()
     out = texts.groupBy("block").cogroup(words.groupBy("of")).applyInArrow(
@@ -282,9 +308,9 @@ def encode(blocks: DataFrame, vocabulary: DataFrame, scratch: Scratch) -> DataFr
 
 
 def _read(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, tokens, sizes) of a batch's blocks."""
+    """(row, tokens, sizes) of a batch's slices."""
     for i in range(batch.num_rows):
-        yield (i, np.frombuffer(batch.column("tokens")[i].as_py(), np.int16),
+        yield (i, _integers(batch.column("tokens")[i].as_py(), np.int16),
                batch.column("sizes")[i].values.to_numpy().astype(np.int64))
 
 
@@ -331,8 +357,8 @@ def learn_weights(encoded: DataFrame, scratch: Scratch) -> dict[str, np.ndarray]
 def fit(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> Model:
     """Vocabulary and weights from all texts of ``docs`` (doc_id, text)."""
     blocks = read_blocks(docs, scratch)
-    vocabulary = learn_words(blocks, scratch)
-    return Model(vocabulary, learn_weights(encode(blocks, vocabulary, scratch), scratch))
+    vocabulary, places = learn_words(blocks, scratch)
+    return Model(vocabulary, learn_weights(encode(blocks, places, scratch), scratch))
 
 
 def _score_rows(weights: dict[str, np.ndarray]):
@@ -360,7 +386,8 @@ def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     for each row of ``docs``. Texts that are null or blank have no words,
     likelihood 0 and a null mean. An empty table gives no rows."""
     scratch = Scratch(spark, "lm-score")
-    return score_encoded(encode(read_blocks(docs, scratch), model.vocabulary, scratch), model.weights)
+    blocks = read_blocks(docs, scratch)
+    return score_encoded(encode(blocks, find_words(blocks, model.vocabulary), scratch), model.weights)
 
 
 def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,6 +395,7 @@ def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     scratch = Scratch(spark, "lm")
     blocks = read_blocks(docs, scratch)
-    encoded = encode(blocks, learn_words(blocks, scratch), scratch)
-    scratch.drop("blocks")
+    encoded = encode(blocks, learn_words(blocks, scratch)[1], scratch)
+    for used in ("blocks", "words", "vocabulary"):
+        scratch.drop(used)
     return score_encoded(encoded, learn_weights(encoded, scratch))

@@ -120,6 +120,8 @@ def test_probabilities_sum_to_one(model):
 
 def test_empty_table_and_ties(spark, none, model):
     assert lm.score(spark, none, model).count() == 0
+    blank = spark.createDataFrame([(1, None), (2, ""), (3, " \n")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in lm.score(spark, blank, model).collect()) == [(i, 0, 0.0, None) for i in (1, 2, 3)]
     fresh = lm.fit(spark, none, Scratch(spark, "lm-none"))
     assert fresh.vocabulary.where("word is not null").count() == 0
     assert all((fresh.weights[k] == v).all() for k, v in lm.start().items())
