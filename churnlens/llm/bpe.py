@@ -33,7 +33,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices
+from .common import Scratch, most_frequent, slices
 from .pretokens import WordLevel, byte_alphabet
 
 #: Words in the transducer; words that a worker counts, or keeps merged, at a time; characters handled together.
@@ -280,8 +280,10 @@ def frequent_words(docs: DataFrame, path: str, size: int = LEXICON) -> list[str]
     """The ``size`` most frequent words of all texts, counted over the whole corpus."""
     counts = (docs.select("text").mapInArrow(_count(path), "word binary, n long")
               .groupBy("word").agg(F.sum("n").alias("n")))
-    top = counts.orderBy(F.desc("n"), "word").limit(size).select("word")
-    return [bytes(r.word).decode("utf-8", "surrogatepass") for r in top.collect()]
+    scratch = Scratch(docs.sparkSession, "bpe-words")
+    top = most_frequent(scratch.save(counts, "counts"), "word", "n", size)
+    scratch.drop("counts")
+    return [bytes(w).decode("utf-8", "surrogatepass") for w in top]
 
 
 def publish(spark: SparkSession, lexicon: bytes) -> str:

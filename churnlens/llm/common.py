@@ -48,6 +48,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def most_frequent(counts: DataFrame, value: str, n: str, size: int) -> list:
+    """The ``size`` values of largest ``n``, ties by value, of a written table.
+
+    They are sought among the values whose ``n`` reaches a power of two that
+    enough reach, so a task sends its few of these and not its best ``size``."""
+    powers = counts.groupBy(F.floor(F.log2(n)).alias("power")).agg(F.count("*").alias("values")).collect()  # 64 rows at most
+    reached, least = 0, 0
+    for r in sorted(powers, key=lambda r: -r.power):
+        reached, least = reached + r["values"], r.power
+        if reached >= size:
+            break
+    top = counts.where(F.col(n) >= 2 ** least).orderBy(F.desc(n), value).limit(size)
+    return [r[0] for r in top.select(value).collect()]
+
+
 def slices(values: list, budget: int, weight: Callable = len) -> Iterator[tuple[int, int]]:
     """Index ranges over ``values``, each of about ``budget`` total weight."""
     begin = total = 0

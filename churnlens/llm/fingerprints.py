@@ -88,17 +88,18 @@ def with_next(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Window]:
     """``docs`` (doc_id, text) in ranges of doc_id, and the window in whose
     order the next row is the next document, descending doc_id.
 
-    Ranges are quantiles of doc_id, four for each shuffle partition. Each
-    range ends with a copy of the next range's first document (``copied``;
+    Ranges hold about as many documents each, four for each shuffle partition.
+    Each range ends with a copy of the next range's first document (``copied``;
     after the last range: the first), so one shuffle serves all rows. Null
     ids come last; rows of equal id go by their text."""
     spark = docs.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select(F.col("doc_id").cast("double").alias("_id"))
-    cuts = sorted(set(ids.approxQuantile("_id", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
+    # where Spark's range partitioning of the ids cuts: as many numbers as ranges
+    dealt = docs.where("doc_id is not null").select("doc_id").repartitionByRange(ranges, "doc_id")
+    cuts = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.col("doc_id").cast("double")).alias("least")).collect()
+    cuts = sorted({r.least for r in cuts})[1:]
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-                       F.col("doc_id").cast("double").alias("_id"))
-    docs = docs.withColumn("_id", F.coalesce("_id", F.lit(float("-inf"))))
+                       F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))).alias("_id"))
     if cuts:
         docs = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_id", outputCol="_at").transform(docs)
     else:
@@ -109,13 +110,12 @@ def with_next(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Window]:
     inside = Window.partitionBy("range").orderBy(*order)
     firsts = docs.withColumn("_n", F.row_number().over(inside)).where("_n = 1").drop("_n")
     firsts = scratch.save(firsts, "firsts")
-    # as many rows as ranges: where each range's copy goes
-    numbers = sorted((r[0] for r in firsts.select("range").collect()), reverse=True)
-    goes = dict(zip([*numbers[1:], *numbers[:1]], numbers))
-    if not goes:
-        return docs, inside
-    to = F.create_map(*[F.lit(x) for pair in goes.items() for x in pair])
-    copies = firsts.select(to[F.col("range")].alias("range"), F.lit(True).alias("copied"), "doc_id", "text")
+    # the range before each one, by number, the last one's after the first: one row a range
+    numbers = Window.orderBy("range")
+    goes = firsts.select("range", F.lead("range").over(numbers).alias("_next"), F.min("range").over(
+        numbers.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_least"))
+    copies = firsts.join(goes.select("range", F.coalesce("_next", "_least").alias("_to")), "range")
+    copies = copies.select(F.col("_to").alias("range"), F.lit(True).alias("copied"), "doc_id", "text")
     return docs.unionByName(copies), inside
 
 

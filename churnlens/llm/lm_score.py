@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices
+from .common import Scratch, most_frequent, slices
 
 SIDE, HIDDEN, CLASSES, ROUNDS = 2, 24, 32, 2
 #: Tokens; the last RARE stand for all words that have none of their own, by their ending and length.
@@ -246,15 +246,8 @@ def learn_words(blocks: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFra
     words = words.withColumns({"total": F.sum("n").over(same), "first": F.min("block").over(same) == F.col("block")})
     words = scratch.save(words.drop("n"), "words")  # sorted by word, so equal words lie together
     counts = words.where("first").select("word", "total", "bucket")
-    # the most frequent ones are sought among words at least as frequent as a power of two that enough reach
-    powers = counts.groupBy(F.floor(F.log2("total")).alias("power")).agg(F.count("*").alias("words")).collect()
-    reached, least = 0, 0
-    for r in sorted(powers, key=lambda r: -r.power):
-        reached, least = reached + r.words, r.power
-        if reached >= KNOWN:
-            break
-    top = counts.where(F.col("total") >= 2 ** least).orderBy(F.desc("total"), "word").limit(KNOWN).select("word").collect()
-    known = F.broadcast(spark.createDataFrame([(bytes(r.word), i) for i, r in enumerate(top, 1)], "word binary, own int"))
+    top = most_frequent(counts, "word", "total", KNOWN)
+    known = F.broadcast(spark.createDataFrame([(bytes(w), i) for i, w in enumerate(top, 1)], "word binary, own int"))
     shared = F.col("bucket") + VOCABULARY - RARE
     totals = counts.join(known, "word", "left_anti").groupBy(shared.alias("token")).agg(F.sum("total").alias("all"))
     totals = spark.range(VOCABULARY - RARE, VOCABULARY).select(F.col("id").cast("int").alias("token")).join(totals, "token", "left")

@@ -11,9 +11,10 @@ out to numbered pages.
 
 from __future__ import annotations
 
+import itertools
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -53,17 +54,18 @@ def _split(rows: DataFrame, base: int, depth: int, limit: int, scratch: Scratch,
     return chosen, cells.join(chosen, ["stem", "cell"], "left_anti").select("stem", "cell")
 
 
-def assign(spark: SparkSession, docs: DataFrame, limit: int = LIMIT, key: str = "doc_id") -> DataFrame:
+def assign(spark: SparkSession, docs: DataFrame, limit: int = LIMIT, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """The shard of each row of ``docs`` (doc_id, text).
 
     doc_id, bytes (of the text in UTF-8; null: 0), shard (hash bits as text;
     after ``/`` those of the text's hash, after ``#`` a page), depth (bits),
     shard_bytes, shard_docs. Every shard has at most ``limit`` bytes or one
     document. Rows of equal id part only where they don't fit together.
-    An empty table gives no rows."""
+    An empty table gives no rows. Columns ``keep`` come along (names other
+    than those above and stem, bits, content, cell)."""
     scratch = Scratch(spark, "sharding")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col(key).alias("doc_id"), hash_bits(F.col(key)).alias("bits"),
+    rows = docs.select(*keep, F.col(key).alias("doc_id"), hash_bits(F.col(key)).alias("bits"),
                        F.xxhash64(text).alias("content"), F.octet_length(text).cast("long").alias("bytes"))
     rows = scratch.save(rows.withColumn("stem", F.lit("")), "rows")
     total = rows.agg(F.sum("bytes")).first()[0] or 0
@@ -72,8 +74,8 @@ def assign(spark: SparkSession, docs: DataFrame, limit: int = LIMIT, key: str =
     while True:
         shards, rest = _split(rows, base, depth, limit, scratch, f"{stage}-{depth}")
         cell = _prefix("bits", BITS, F.lit(depth)).alias("cell")
-        placed = (rows.select("doc_id", "bytes", "stem", cell).join(shards, ["stem", "cell"])
-                  .select("doc_id", "bytes", "shard", F.lit(0).alias("page"), "depth", "shard_bytes", "shard_docs"))
+        placed = (rows.select(*keep, "doc_id", "bytes", "stem", cell).join(shards, ["stem", "cell"])
+                  .select(*keep, "doc_id", "bytes", "shard", F.lit(0).cast("long").alias("page"), "depth", "shard_bytes", "shard_docs"))
         out = placed if out is None else out.union(placed)
         if rest.isEmpty():
             break
@@ -82,27 +84,25 @@ def assign(spark: SparkSession, docs: DataFrame, limit: int = LIMIT, key: str =
             base, depth = depth + 1, min(BITS, depth + STEP)
         elif stage == "key":
             stage, base, depth = "text", 0, STEP
-            rows = rows.select("doc_id", F.expr(f"shiftrightunsigned(content, {64 - BITS})").alias("bits"), "content", "bytes",
+            rows = rows.select(*keep, "doc_id", F.expr(f"shiftrightunsigned(content, {64 - BITS})").alias("bits"), "content", "bytes",
                                F.concat("stem", F.lpad(F.bin("bits"), BITS, "0"), F.lit("/")).alias("stem"))
         else:
-            out = out.union(_pages(rows, limit))
+            out = out.union(_pages(rows, limit, keep))
             break
-    return out.select("doc_id", "bytes", "shard", "page", "depth", "shard_bytes", "shard_docs")
+    return out.select(*keep, "doc_id", "bytes", "shard", "page", "depth", "shard_bytes", "shard_docs")
 
 
-def _pages(rows: DataFrame, limit: int) -> DataFrame:
+def _pages(rows: DataFrame, limit: int, keep: tuple[str, ...] = (), part: Column | None = None) -> DataFrame:
     """Rows equal in id and text, dealt out: as many pages as needed by a hash of
     their place in the file, in each as many as fit (``page`` counts on)."""
-    from pyspark.sql import Window
-
     same = Window.partitionBy("stem", "bits", "part").orderBy("bytes")
-    rows = (rows.withColumn("part", F.spark_partition_id())
+    rows = (rows.withColumn("part", (F.spark_partition_id() if part is None else part).cast("long"))
             .withColumn("n", F.row_number().over(same) - 1)
             .withColumn("fit", F.greatest(F.lit(limit).cast("long") / F.greatest("bytes", F.lit(1)), F.lit(1)).cast("long"))
-            .withColumn("page", (F.col("part") * 1_000_000 + F.expr("n div fit")).cast("int"))
+            .withColumn("page", (F.col("part") * 1_000_000 + F.expr("n div fit")))
             .withColumn("shard", F.concat("stem", F.lpad(F.bin("bits"), BITS, "0"), F.lit("#"), "page")))
     own = rows.groupBy("shard").agg(F.sum("bytes").alias("shard_bytes"), F.count("*").alias("shard_docs"))
-    return rows.join(own, "shard").select("doc_id", "bytes", "shard", "page", F.lit(2 * BITS).alias("depth"),
+    return rows.join(own, "shard").select(*keep, "doc_id", "bytes", "shard", "page", F.lit(2 * BITS).alias("depth"),
                                           "shard_bytes", "shard_docs")
 
 
@@ -110,10 +110,15 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, limit: int = L
     """Write ``docs`` under ``path``, a folder for each shard (column ``shard``,
     in place of an input column of that name); returns the shards.
 
-    Needs unique doc_ids: rows find their shard by them."""
-    shards = Scratch(spark, "shards").save(assign(spark, docs, limit), "assigned")
-    rows = docs.drop("shard").join(shards.select("doc_id", F.concat(F.lit("s"), "shard").alias("shard")), "doc_id")
-    rows.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    Every row is written once, to its own shard: rows are numbered and written
+    to the shared folder first, so null and repeated ids are no different and
+    numbers don't change when a lost executor's rows are read again."""
+    scratch = Scratch(spark, "shards")
+    number = next(name for i in itertools.count() if (name := f"_number{i}") not in docs.columns)
+    rows = scratch.save(docs.drop("shard").withColumn(number, F.monotonically_increasing_id()), "rows")
+    shards = scratch.save(assign(spark, rows, limit, keep=(number,)), "assigned")
+    placed = rows.join(shards.select(number, F.concat(F.lit("s"), "shard").alias("shard")), number).drop(number)
+    placed.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
     return shards.groupBy("shard").agg(F.first("depth").alias("depth"), F.sum("bytes").alias("bytes"),
                                        F.count("*").alias("docs"))
 
