@@ -30,4 +30,5 @@ ORACLE: dict[str, str] = {
     "op8_chat_windows": chat.ORACLE,
     "op9_extendible_shards": sharding.ORACLE,
     "op12_license_scan": licenses.ORACLE,
+    "op13_conversation_repair": repair.ORACLE,
 }

@@ -431,3 +431,82 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
                     F.coalesce("audit", F.lit("")).alias("audit"),
                     F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
+def _oracle() -> str:
+    """The query's result for DuckDB: the least (cost, audit) of each state, row by row from the front.
+
+    A way is a list: cost in eight digits and then the audit; the lines put out, each after a line break."""
+    def go(way: str, cost: str, letter: str, line: str = "''") -> str:
+        return (f"case when {way} is not null then [lpad(cast(cast(left({way}[1], 8) as int) + {cost} as varchar), 8, '0') "
+                f"|| substr({way}[1], 9) || '{letter}', {way}[2] || {line}] end")
+
+    def least(*ways: str) -> str:
+        return "list_min([" + ", ".join(f"({w})" for w in ways) + "])"
+
+    def line(role: str, text: str) -> str:
+        return f"chr(10) || {role} || ':' || {text}"
+
+    def insert(way: str, role: str) -> str:
+        return go(way, str(INSERT), "I", line(f"'{role}'", "''"))
+
+    def drop(way: str) -> str:
+        return go(way, str(DELETE), "D")
+
+    def keep(way: str, initial: str) -> str:
+        return f"case when initial = '{initial}' and not gone then {go(way, 'more', 'K', line('role', 'body'))} end"
+
+    def rerole(way: str, role: str) -> str:
+        return f"case when not gone then {go(way, f'more + {REROLE}', 'R', line(repr(role), 'body'))} end"
+
+    space = r"\x20\x09-\x0D"
+    return f"""
+with recursive crc(t) as (select list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k:
+    case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n))),
+given as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as body,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key from conversations),
+kinds as (
+  select *, xor(list_reduce(list_transform(range(1, length(key) + 1), lambda i: cast(ascii(substr(key, i, 1)) as bigint)),
+    lambda c, b: xor(c >> 8, t[cast((xor(c, b) & 255) + 1 as int)]), 4294967295), 4294967295) % 20 as kind from given, crc),
+damaged as (
+  select conv_id, turn, case kind when 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(body, '[.!?]', '', 'g') else body end as body
+  from kinds, (values (1), (2)) c(copy) where kind <> 0 and (copy = 1 or kind = 3)),
+numbered as (
+  select *, dense_rank() over (order by conv_id nulls first) as c,
+    row_number() over (partition by conv_id order by turn nulls first, role, body) as i from damaged),
+marked as (
+  select *, left(role, 1) as initial, not regexp_matches(body, '[^{space}]') as blank,
+    row_number() over (partition by c, role, body order by i) > 1 as again,
+    regexp_extract(body, '([^{space}])[{space}]*$', 1) not in ('.', '!', '?') as cut,
+    lag(left(role, 1)) over (partition by c order by i) || left(role, 1) not in ('su', 'ua', 'au') as bad from numbered),
+turns as (
+  select *, blank or again as gone, not blank and again as duplicate, not blank and not again and cut as truncated,
+    case when not blank and not again and cut then {TRUNCATED} else 0 end as more from marked),
+ways as (
+  select distinct c, cast(0 as bigint) as i, ['00000000', ''] as z, cast(null as varchar[]) as s,
+    ['0000000{INSERT}I', chr(10) || 'user:'] as u, ['0000000{2 * INSERT}II', chr(10) || 'user:' || chr(10) || 'assistant:'] as a from turns
+  union all
+  select c, i, z, s, u, {least("a", insert("u", "assistant"))} as a from (
+    select c, i, z, s, a, {least("u", insert("z", "user"), insert("s", "user"), insert("a", "user"))} as u from (
+      select w.c, t.i, {drop("w.z")} as z, {least(drop("w.s"), keep("w.z", "s"))} as s,
+        {least(drop("w.u"), *(f(w, x) for f, x in ((keep, "u"), (rerole, "user")) for w in ("w.z", "w.s", "w.a")))} as u,
+        {least(drop("w.a"), keep("w.u", "a"), rerole("w.u", "assistant"))} as a
+      from ways w join turns t on t.c = w.c and t.i = w.i + 1))),
+found as (
+  select c, {least("z", "a")} as way from ways qualify row_number() over (partition by c order by i desc) = 1),
+counts as (
+  select c, any_value(conv_id) as conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count_if(blank) as blank, count_if(duplicate) as duplicate, count_if(truncated) as truncated, count_if(bad) as illegal
+  from turns group by c)
+select g.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank, 0) as bigint) as blank,
+  cast(coalesce(duplicate, 0) as bigint) as duplicate, cast(coalesce(truncated, 0) as bigint) as truncated,
+  cast(coalesce(illegal, 0) as bigint) as illegal, cast(coalesce(cast(left(way[1], 8) as int), 0) as bigint) as cost,
+  coalesce(substr(way[1], 9), '') as audit, sha256(coalesce(substr(way[2], 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) g left join counts on counts.conv_id is not distinct from g.conv_id
+  and counts.c is not null left join found using (c)
+"""
+
+
+ORACLE = _oracle()

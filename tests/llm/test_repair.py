@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 
 from churnlens.llm import repair
@@ -161,6 +162,9 @@ def test_query(spark, tmp_path):
         given.setdefault(c, []).extend([(turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1))
     for turns in given.values():
         turns.sort(key=lambda x: (x[0] is not None, x[0] or 0))
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    assert {x[0]: x[1:] for x in con.sql(repair.ORACLE).fetchall()} == found
     assert found.keys() == given.keys()
     for c, turns in given.items():
         assert found[c] == (summary(turns) if turns else (0,) * 6 + ("", hashlib.sha256(b"").hexdigest())), c
