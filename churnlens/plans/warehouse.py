@@ -93,9 +93,12 @@ class Warehouse:
     def raw(self) -> dict[str, DataFrame]:
         return self.memo("raw", self._raw_fn)
 
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """A table of the silver layer, written."""
+        return self.table(f"silver/{name}", lambda: df)
+
     def silver(self) -> dict[str, DataFrame]:
-        return self.memo("silver", lambda: build_silver(
-            self.raw(), keep=lambda t, df: self.table(f"silver/{t}", lambda: df)))[0]
+        return self.memo("silver", lambda: build_silver(self.raw(), keep=self.keep))[0]
 
     def silver_flagged(self) -> dict[str, DataFrame]:
         """Silver tables with their FK flags (quarantine = flag false)."""

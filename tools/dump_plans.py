@@ -15,8 +15,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 NOTES = {
     "user_day_activity": "Events reduced to (user, day) by a partial HashAggregate *before* the "
                          "first Exchange; then joined to users on user_id.",
-    "silver_events": "De-duplication: partial WindowGroupLimit (top-1 per event_id per task) before "
-                     "the Exchange; FK flag as a left join on user_id.",
+    "silver_events": "One exchange of events: a grouped minimum per event_id, combined in each task before the "
+                     "Exchange, with copies and unparsable texts counted in the same aggregate. The foreign key is "
+                     "flagged by the orphan keys (written beforehand from the key column alone, their number checked), "
+                     "so neither NULL keys nor a heavy user move a second time.",
     "company_mrr": "Subscription months exploded, partial WindowGroupLimit top-1 per (company, month) "
                    "before the Exchange; spine joins are 1:1 on (company, month). No nested loop.",
     "company_features": "Facts spread to 1-3 month-ends, partial aggregates before each Exchange; "
@@ -35,11 +37,12 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     wh = Warehouse.for_testdata(spark, sf_dir)
     wh.churn_label()
+    wh.revenue_at_risk("heuristic")
     a = wh.as_of()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale
     frames = {
         "user_day_activity": gold.user_day_activity(wh.s("events"), wh.s("users")),
-        "silver_events": silver.build_silver_table("events", wh.raw()["events"],
-                                                   {"users": wh.s("users")}),
+        "silver_events": silver.build_silver_table("events", wh.raw()["events"], {"users": wh.s("users")}, keep=wh.keep),
         "company_mrr": gold.company_mrr(wh.s("companies"), wh.user_day(), wh.s("subscriptions"),
                                         wh.s("subscription_plans"), a),
         "company_features": features.company_features(
@@ -50,8 +53,7 @@ def main(argv):
     }
     out = ["# Physical plans of the key builders", "",
            f"Generated by `tools/dump_plans.py` at `{os.path.basename(sf_dir)}` "
-           "(local[8]; at this size Catalyst broadcasts small aggregates — at scale the same "
-           "joins are sort-merge joins on the aggregates' existing hash partitioning).", ""]
+           "(local[8]) with automatic broadcasts switched off, as joins are planned at scale.", ""]
     for name, df in frames.items():
         p = df._jdf.queryExecution().executedPlan().toString()
         p = re.sub(r"file:[^\],]*", "<path>", p)
