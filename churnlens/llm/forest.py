@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,16 +61,26 @@ def _direction(vector: str):
 
 
 def _projected(level: int):
+    """A vector's projections in all its open nodes: vec, grp, tree, leaf, at."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            frame = batch.to_pandas()
-            out = np.empty(len(frame))
-            for size, rows in frame.groupby(frame["embedding"].map(len)).indices.items():
-                x = np.stack(frame["embedding"].to_numpy()[rows]).astype(np.float64)
+            nodes = batch.column("nodes")
+            counts = pc.list_value_length(nodes).to_numpy()
+            flat = nodes.flatten()
+            tree = flat.field("tree").to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), counts)
+            vectors = batch.column("embedding").to_pandas()
+            at = np.empty(len(flat))
+            for size, rows in vectors.groupby(vectors.map(len)).indices.items():
+                x = np.stack(vectors.to_numpy()[rows]).astype(np.float64)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
-                ways = _directions(size, level)
-                out[rows] = np.einsum("ij,ij->i", x, ways[:, frame["tree"].to_numpy()[rows]].T)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "at"])
+                ways = np.zeros((batch.num_rows, TREES))
+                ways[rows] = x @ _directions(size, level)
+                mine = np.isin(owner, rows)
+                at[mine] = ways[owner[mine], tree[mine]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec").take(pa.array(owner)), batch.column("grp").take(pa.array(owner)),
+                 pa.array(tree, pa.int32()), flat.field("leaf"), pa.array(at)], names=["vec", "grp", "tree", "leaf", "at"])
     return run
 
 
@@ -90,24 +101,27 @@ def grow(vectors: DataFrame, scratch: Scratch, threshold: float = COSINE) -> Dat
 
     Level by level; a node's quantiles and size are one grouped aggregate with
     a map-side part. A group that fits a leaf, or is one leaf in some tree,
-    needs that tree only. What is open after ``DEPTH`` levels is a leaf."""
+    needs that tree only. What is open after ``DEPTH`` levels is a leaf. Levels
+    hold places in trees alone: a vector's open nodes are brought together and
+    it is projected for all of them at once, so its components move once a
+    level and not once a tree."""
     sizes = vectors.groupBy("grp").agg(F.count("*").alias("n"))
     trees = F.sequence(F.lit(0), F.when(F.col("n") <= LEAF, 0).otherwise(TREES - 1))
-    rows = (vectors.join(sizes, "grp").withColumn("tree", F.explode(trees))
-            .select("vec", "grp", "tree", F.lit("").alias("leaf"), "embedding"))
+    rows = (vectors.select("vec", "grp").join(sizes, "grp").withColumn("tree", F.explode(trees))
+            .select("vec", "grp", "tree", F.lit("").alias("leaf")))
     done = None
     for level in range(DEPTH):
         rows = scratch.save(rows, f"level-{level}")
         nodes = rows.groupBy("grp", "tree", "leaf").agg(F.count("*").alias("n"))
         full = scratch.save(nodes.where(F.col("n") > LEAF), f"full-{level}")
-        settled = rows.join(full, ["grp", "tree", "leaf"], "left_anti").drop("embedding")
+        settled = rows.join(full, ["grp", "tree", "leaf"], "left_anti").select(*rows.columns)
         done = settled if done is None else done.union(settled)
         if full.isEmpty():
-            return done
-        schema = "vec long, grp string, tree int, leaf string, embedding array<float>, n long, at double"
-        kind = rows.schema["embedding"].dataType.simpleString()
-        open_rows = rows.join(full, ["grp", "tree", "leaf"]).select(*rows.columns, "n").mapInArrow(
-            _projected(level), schema.replace("array<float>", kind))
+            break
+        open_nodes = rows.join(full.drop("n"), ["grp", "tree", "leaf"]).groupBy("grp", "vec").agg(
+            F.collect_list(F.struct("tree", "leaf")).alias("nodes"))
+        open_rows = open_nodes.join(vectors, ["grp", "vec"]).select("vec", "grp", "nodes", "embedding").mapInArrow(
+            _projected(level), "vec long, grp string, tree int, leaf string, at double")
         open_rows = scratch.save(open_rows, f"at-{level}")
         cuts = open_rows.groupBy("grp", "tree", "leaf").agg(F.percentile_approx("at", QUANTILES, 2000).alias("q"))
         cuts = scratch.save(cuts.select("grp", "tree", "leaf", _cut(threshold).alias("cut")), f"cuts-{level}")
@@ -121,8 +135,14 @@ def grow(vectors: DataFrame, scratch: Scratch, threshold: float = COSINE) -> Dat
                                         F.when(F.col("at") >= F.col("cut.low"), "1")))
         rows = (open_rows.join(cuts.where(F.col("cut.pairs") <= WORTH), ["grp", "tree", "leaf"])
                 .withColumn("side", F.explode(sides))
-                .select("vec", "grp", "tree", F.concat("leaf", "side").alias("leaf"), "embedding"))
-    return done.union(rows.drop("embedding"))
+                .select("vec", "grp", "tree", F.concat("leaf", "side").alias("leaf")))
+    else:
+        done = done.union(rows)
+    leaves = scratch.save(done, "leaves")
+    for used in range(level + 1):
+        for name in ("level", "full", "at", "cuts"):
+            scratch.drop(f"{name}-{used}")
+    return leaves
 
 
 def _earlier(own: list[np.ndarray], mine: tuple[int, str]) -> np.ndarray:
@@ -214,7 +234,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
                 .agg(F.min("vec_id").cast("long").alias("vec"), F.count("*").alias("copies"),
                      F.first("embedding").alias("embedding")))
     distinct = scratch.save(distinct, "distinct")
-    leaves = scratch.save(grow(distinct.select("vec", "grp", "embedding"), scratch, threshold), "leaves")
+    leaves = grow(distinct.select("vec", "grp", "embedding"), scratch, threshold)
     owned = leaves.groupBy("grp", "vec").agg(F.collect_list(F.struct("tree", "leaf")).alias("leaves"))
     members = (leaves.join(owned, ["grp", "vec"])
                .join(distinct.select("grp", "vec", "copies", "embedding"), ["grp", "vec"]))
