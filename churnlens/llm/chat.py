@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 #: Tokens of a window; of these for repeated turns; tokens a turn costs besides its text.
 WINDOW, HISTORY, TURN = 1024, 192, 4
 TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
@@ -39,40 +41,85 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(F.replace(role, F.lit("\\n"), F.lit("\n")), F.lit("\\g"), F.lit(">")))
 
 
+def _in_ranges(turns: DataFrame, scratch: Scratch) -> DataFrame:
+    """The turns in order, written: id (their place in the whole table), conv, part (the range), role, text, tokens.
+
+    A conversation's turns go by turn (nulls first), role, text. The table is
+    cut into ranges of that order, so a conversation of any length lies in as
+    many ranges as it fills."""
+    order = ["conv", "turn", "role"]
+    rows = turns.select("conv_id", F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("n")).alias("conv"), "turn",
+                        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.repartitionByRange(*order, F.substring("text", 1, 32)).sortWithinPartitions(*order, "text")
+    rows = rows.select(F.monotonically_increasing_id().alias("id"), F.spark_partition_id().alias("part"), "conv_id", "conv", "role", "text",
+                       (TURN + F.regexp_count("text", F.lit(TOKEN))).alias("tokens"))
+    return scratch.save(rows, "turns")
+
+
+def _spans(rows: DataFrame, window: int, history: int, scratch: Scratch) -> DataFrame:
+    """id, conv, part, before, system, begins, window of each turn, the id of its conversation's
+    first turn, and whether that is a system turn (``led``).
+
+    Sums, neighbours and window numbers are formed inside (conversation,
+    range); what the ranges before add is one row each, by a window over these."""
+    own, ranges = ["conv", "part"], Window.partitionBy("conv").orderBy("part")
+    inside, earlier = Window.partitionBy(*own).orderBy("id"), ranges.rowsBetween(Window.unboundedPreceding, -1)
+    heads = rows.groupBy(*own).agg(F.min("id").alias("first"), F.min_by("role", "id").alias("role"),
+                                   F.min_by("tokens", "id").alias("tokens"), F.sum("tokens").alias("sum"))
+    held = F.when(F.first("role").over(ranges) == "system", F.first("tokens").over(ranges)).otherwise(0)
+    heads = heads.select(*own, F.first("first").over(ranges).alias("first"), held.alias("held"),
+                         F.coalesce(F.sum("sum").over(earlier) - held, F.lit(0)).alias("sum"))
+    system = (F.col("id") == F.col("first")) & (F.col("role") == "system")
+    laid = (rows.select("id", *own, "role", "tokens").join(heads, own)
+            .withColumn("system", system).withColumn("cost", F.when(system, 0).otherwise(F.col("tokens")).cast("long"))
+            .withColumn("before", F.col("sum") + F.sum("cost").over(inside) - F.col("cost"))
+            .withColumn("room", F.greatest(F.lit(window - history) - F.col("held"), F.lit(window // 4)))
+            .withColumn("first_cell", F.expr("before div room"))
+            .withColumn("last_cell", F.expr("(before + greatest(cost, 1) - 1) div room"))
+            .withColumn("across", F.expr("first_cell <> last_cell and not system")))
+    state = F.struct("system", "across", "last_cell")
+    laid = scratch.save(laid.select("id", *own, "first", (F.col("held") > 0).alias("led"), "before", "system", "across", "first_cell", "last_cell",
+                                    F.lag(state).over(inside).alias("previous")), "laid")
+    ends = laid.groupBy(*own).agg(F.max_by(state, "id").alias("end"))
+    ends = ends.select(*own, F.lag("end").over(ranges).alias("end"))
+    previous = F.coalesce("previous", "end")
+    begins = ~F.col("system") & (previous.isNull() | previous["system"] | F.col("across")
+                                 | previous["across"] | (previous["last_cell"] != F.col("first_cell")))
+    begun = laid.join(ends, own).select("id", *own, "first", "led", "before", "system", begins.alias("begins"))
+    begun = begun.withColumn("window", F.sum(F.col("begins").cast("long")).over(inside))
+    begun = scratch.save(begun, "begun")
+    counts = begun.groupBy(*own).agg(F.max("window").alias("count"))
+    counts = counts.select(*own, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("count"))
+    return begun.join(counts, own).withColumn("window", F.greatest(F.col("window") + F.col("count") - 1, F.lit(0)).cast("int"))
+
+
 def turn_windows(turns: DataFrame, window: int = WINDOW, history: int = HISTORY) -> DataFrame:
     """A row for each turn and window that holds it.
 
-    conv_id, window (from 0), pos, role, text, repeated. New turns of a
+    conv_id, window (from 0), pos (in order), role, text, repeated. New turns of a
     window cost at most ``window - history`` tokens less the system turn's
     (a quarter of ``window`` at least); a turn beyond that has a window to
     itself, uncut. Cells of that many tokens are laid over the prefix sums:
-    turns inside one cell form a span, a turn across a border its own."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = (turns.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-            .withColumn("pos", F.row_number().over(order) - 1)
-            .withColumn("tokens", TURN + F.regexp_count("text", F.lit(TOKEN)))
-            .withColumn("system", (F.col("pos") == 0) & (F.col("role") == "system"))
-            .withColumn("cost", F.when(F.col("system"), 0).otherwise(F.col("tokens")).cast("long"))
-            .withColumn("before", F.sum("cost").over(order) - F.col("cost"))
-            .withColumn("held", F.first(F.when(F.col("system"), F.col("tokens")).otherwise(0)).over(order))
-            .withColumn("room", F.greatest(F.lit(window - history) - F.col("held"), F.lit(window // 4)))
-            .withColumn("first_cell", F.expr("before div room"))
-            .withColumn("last_cell", F.expr("(before + greatest(cost, 1) - 1) div room"))
-            .withColumn("across", F.expr("first_cell <> last_cell and not system")))
-    previous = {c: F.lag(c).over(order) for c in ("system", "across", "last_cell")}
-    begins = ~F.col("system") & (previous["system"].isNull() | previous["system"] | F.col("across")
-                                 | previous["across"] | (previous["last_cell"] != F.col("first_cell")))
-    rows = (rows.withColumn("begins", begins)
-            .withColumn("window", F.greatest(F.sum(F.col("begins").cast("int")).over(order) - 1, F.lit(0)).cast("int")))
-    ahead = Window.partitionBy("conv_id").orderBy("before").rangeBetween(1, history)
-    everywhere = Window.partitionBy("conv_id")
-    rows = (rows.withColumn("later", F.collect_list(F.when(F.col("begins"), F.col("window"))).over(ahead))
-            .withColumn("last", F.max("window").over(everywhere))
-            .withColumn("places", F.when(F.col("system"), F.sequence(F.lit(0), "last"))
-                        .otherwise(F.concat(F.array("window"), "later"))))
-    return (rows.select("conv_id", "pos", "role", "text", F.col("window").alias("_own"), F.explode("places").alias("window"))
-            .withColumn("repeated", F.col("window") != F.col("_own")).drop("_own"))
+    turns inside one cell form a span, a turn across a border its own.
+
+    No step needs a conversation in one task: spans are found in ranges
+    (``_spans``), and turns find the windows that repeat them as history by a
+    join on stretches of ``history`` tokens."""
+    scratch = Scratch(turns.sparkSession, "chat")
+    rows = _in_ranges(turns, scratch)
+    spans = scratch.save(_spans(rows, window, history, scratch), "spans")
+    starts = spans.where("begins").select("conv", "first", "led", F.col("before").alias("at"), F.col("window").alias("later"))
+    # windows that begin up to ``history`` tokens after a turn: in its stretch of the prefix sums or the next
+    stretches = starts.select("conv", "at", "later", F.explode(F.expr(f"array(at div {history}, at div {history} - 1)")).alias("stretch"))
+    near = spans.where("not system").select("id", "conv", "before", F.expr(f"before div {history}").alias("stretch"))
+    again = near.join(stretches, ["conv", "stretch"]).where(F.expr(f"at - before between 1 and {history}")).select("id", "later")
+    # the system turn is the first of its conversation; every window after its own repeats it
+    every = starts.where("led and later > 0").select(F.col("first").alias("id"), "later")
+    placed = (spans.select("id", "window", F.lit(False).alias("repeated"))
+              .union(again.union(every).select("id", F.col("later").alias("window"), F.lit(True).alias("repeated"))))
+    return rows.select("id", "conv_id", "role", "text").join(placed, "id").select(
+        "conv_id", F.col("id").alias("pos"), "role", "text", "window", "repeated")
 
 
 def format_windows(turns: DataFrame, window: int = WINDOW, history: int = HISTORY) -> DataFrame:

@@ -64,3 +64,21 @@ def test_budget_system_and_history(spark):
         assert r.n_repeated < r.n_turns
         spans = [r.formatted[s.start:s.start + s.length] for s in r.loss]
         assert spans == [b for a, b in turns[r.n_repeated:] if a == "assistant"]
+
+
+def test_long_conversation_over_ranges(spark):
+    """A third of all rows in one conversation: it lies in several ranges, and its windows are those of one range."""
+    random.seed(4)
+    rows = [(7, 0, "system", "be kind")] + [(7, 1 + t, "user" if t % 2 == 0 else "assistant", "word " * random.randint(0, 30)) for t in range(300)]
+    rows += [(c, t, random.choice(["user", "assistant", "system"]), "word " * random.randint(0, 90)) for c in range(100) for t in range(random.randint(1, 8))]
+    key = lambda x: sorted((r.conv_id, r.window, r.formatted, [(s.start, s.length) for s in r.loss], r.n_turns, r.n_repeated) for r in x.collect())
+    one = key(check(spark, rows, 120, 40)[0])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        turns = spark.createDataFrame(rows, SCHEMA)
+        scratch = chat.Scratch(spark, "chat-test")
+        assert chat._in_ranges(turns, scratch).where("conv_id = 7").select("part").distinct().count() > 1
+        many = key(check(spark, rows, 120, 40)[0])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert one == many and sum(r[0] == 7 for r in one) > 30
