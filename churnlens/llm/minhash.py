@@ -32,11 +32,11 @@ from .common import Scratch, components, slices, spanning
 BANDS, ROWS, HASHES, BITS = 42, 6, 256, 2
 #: Below the threshold by this much the estimate rejects (over five standard deviations).
 SLACK = 0.16
-#: Members of an open bucket that are compared at a time, against as many others
-#: (a few MB of sets; what bounds it are matrices of all pairs of twice as many).
-BLOCK = 1024
-#: Rows of open buckets that a group of them has on average.
-TOGETHER = 2000
+#: Members of an open bucket that are compared at a time, against as many others (what
+#: bounds it are matrices of all pairs of twice as many), and shingles of these members.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
+#: Rows of open buckets that a group of them has on average, and their shingles (8 bytes each).
+TOGETHER, TOGETHER_SHINGLES = 2000, 4_000_000
 #: Up to this many document ids (8 bytes each) are broadcast to pick texts; beyond it they are joined.
 BROADCAST_IDS = 1_000_000
 SLICE_BYTES = 1_000_000
@@ -194,7 +194,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int, scratch: S
     links = (pairs.join(second, "b").join(first, "a")
              .withColumn("shared", shared)
              .where((F.col("shared") * 100) >= percent * (F.size("shingles") + F.size("s2") - F.col("shared")))
-             .select("a", "b").distinct())
+             .select("a", "b"))  # no grouping by hub here, so a hub's pairs may be split over tasks
     links = scratch.save(links, "links")
     scratch.drop("star-sets")
     return links
@@ -287,7 +287,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
     info = classes.select("node", "n", "sketch")
     info2 = info.toDF("node2", "n2", "sketch2")
 
-    rows = classes.select("node", F.posexplode("bands").alias("band", "key"))
+    rows = classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = scratch.save(rows.join(sizes, "key"), "members")
     popularity = members.groupBy("node").agg(F.sum("size").alias("mates"))
@@ -302,19 +302,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
 
     # buckets whose members are in several components: all pairs across these, in blocks
     roots = scratch.save(components(links, scratch, "roots"), "roots")
-    labelled = members.join(roots, "node", "left").select("key", "band", "node", F.coalesce("root", "node").alias("root"))
-    open_keys = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                            F.count("*").alias("size")).where("lo < hi")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    labelled = members.join(roots, "node", "left").select("key", "band", "node", "n", F.coalesce("root", "node").alias("root"))
+    open_keys = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"),
+                                            F.sum("n").alias("all")).where("lo < hi")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.least(F.ceil(F.col("all") / BLOCK_SHINGLES), F.col("size"))).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     left = (labelled.join(open_keys.select("key", blocks.alias("blocks")), "key").withColumn("block", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "band", "block", "node", "root"))
+                    "band", "block", "node", "root", F.col("n").alias("weight")))
     left = scratch.save(left, "open")
     sets = _set_table(left.select(F.col("node").alias("doc_id")).distinct(), docs, k, scratch, "open")
-    groups = 1 + left.count() // TOGETHER
-    found = (left.join(classes, "node").join(sets, "node")
+    size = left.agg(F.count("*").alias("rows"), F.coalesce(F.sum("weight"), F.lit(0)).alias("all")).first()
+    groups = 1 + max(size.rows // TOGETHER, size["all"] // TOGETHER_SHINGLES)
+    found = (left.drop("weight").join(classes, "node").join(sets, "node")
              .groupBy(F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)).alias("group"))
              .applyInPandas(_across(percent), "a long, b long"))
     links = links.union(scratch.save(found.distinct(), "found"))

@@ -58,8 +58,12 @@ def test_empty_table(spark, none):
     assert minhash.near_duplicates(spark, none, 5, 80).count() == 0
 
 
-def test_groups_of_near_copies(spark):
-    """Copies around a text that are near it but not all near each other, chains, and strangers."""
+@pytest.mark.parametrize("shingles", [minhash.BLOCK_SHINGLES, 300])
+def test_groups_of_near_copies(spark, monkeypatch, shingles):
+    """Copies around a text that are near it but not all near each other, chains, and strangers;
+    in whole buckets and in blocks of a few texts, cut by their shingles."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
+    monkeypatch.setattr(minhash, "TOGETHER_SHINGLES", 10 * shingles)
     random.seed(7)
     vocabulary = [f"w{i}" for i in range(3000)]
     rows = []
