@@ -7,8 +7,10 @@ are normalised by the text's length and by the log of the sample's length
 (an entropy estimate in bits a symbol), and the smallest wins.
 
 The sample is bounded: ``SAMPLE_DOCS`` documents of each language in hash
-order, the first ``SAMPLE_CHARS`` characters of each, ``MODEL_SYMBOLS``
-symbols for all languages together. Prediction reads whole texts; they are
+order, a stretch of ``SAMPLE_CHARS`` characters of each (at a place that a hash
+of the text chooses), and of these ``MODEL_SYMBOLS`` symbols divided among the
+languages, but ``LEAST_SYMBOLS`` for each at least, however many languages
+there are. Prediction reads whole texts; they are
 parsed in blocks of ``BLOCK`` symbols (all blocks side by side), each block
 starting a new phrase. Only the text is used.
 
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-SAMPLE_DOCS, SAMPLE_CHARS, MODEL_SYMBOLS = 200, 1000, 120_000
+SAMPLE_DOCS, SAMPLE_CHARS, MODEL_SYMBOLS, LEAST_SYMBOLS = 200, 1000, 120_000, 4000
 BLOCK, SLICE_CHARS = 512, 1_000_000
 #: Symbols: 0 letters in no sample, 1 any run of other characters, then the alphabet, digits of further letters, PAD after a block's end.
 OTHER, GAP, ALPHABET, DIGIT, DIGITS, PAD, WIDTH = 0, 1, 61, 63, 16, 79, 80
@@ -55,14 +57,16 @@ def normalise(text: str) -> str:
 def fit(docs: DataFrame, allowed: Column) -> Model:
     """Sample ``docs`` (doc_id, text, lang) where ``allowed``; rows without lang or text are left out."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    room = F.greatest(F.char_length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    place = (F.pmod(F.xxhash64("text"), room) + 1).cast("int")
     rows = (docs.where(allowed & F.col("lang").isNotNull() & (F.length("text") > 0))
-            .select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+            .select("lang", "doc_id", F.substring("text", place, F.lit(SAMPLE_CHARS)).alias("text"))
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
             .orderBy("lang", "rank").select("lang", "text").collect())
     texts: dict[str, list[str]] = {}
     for row in rows:
         texts.setdefault(row.lang, []).append(normalise(row.text))
-    each = MODEL_SYMBOLS // max(1, len(texts))
+    each = max(MODEL_SYMBOLS // max(1, len(texts)), LEAST_SYMBOLS)
     samples = {k: " ".join(v)[:each] for k, v in texts.items() if "".join(v).strip()}
     common = Counter("".join(samples.values()).replace(" ", "")).most_common()
     letters = sorted(common, key=lambda x: (-x[1], x[0]))[:ALPHABET]

@@ -44,6 +44,25 @@ def test_accuracy_on_documents_not_learned_from(spark):
     assert total > 250 and right / total >= 0.97
 
 
+def test_accuracy_with_the_least_sample(spark, monkeypatch):
+    """What each language has when there are a great many of them."""
+    monkeypatch.setattr(langid, "MODEL_SYMBOLS", 0)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs, ~langid.held_out())
+    assert all(len(s) == langid.LEAST_SYMBOLS for s in model.samples)
+    out = langid.predict(docs.where(langid.held_out()), model, keep=("doc_id", "lang"))
+    right, total = out.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
+    assert total > 250 and right / total >= 0.97
+
+
+def test_samples_come_from_anywhere(spark, monkeypatch):
+    """Not from the texts' beginnings alone: an opening that all texts share is not what is learned."""
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 50)
+    rows = [(i, "same opening " * 20 + f"{'abc' if i % 2 else 'xyz'} " * 200, "aa" if i % 2 else "bb") for i in range(40)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert all("abc" in s if n == "aa" else "xyz" in s for n, s in zip(model.languages, model.samples))
+
+
 def test_only_the_text_counts(spark, documents):
     model = langid.fit(documents, ~langid.held_out())
     plain = langid.predict(documents, model).collect()
