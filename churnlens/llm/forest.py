@@ -17,7 +17,6 @@ forest. Both are linear in the leaf, however dense it is.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -145,16 +144,22 @@ def grow(vectors: DataFrame, scratch: Scratch, threshold: float = COSINE) -> Dat
     return leaves
 
 
-def _earlier(own: list[np.ndarray], mine: tuple[int, str]) -> np.ndarray:
+def _leaf_id(tree, leaf):
+    """A leaf as one number, by tree, then path: the path's bits (``DEPTH`` at most) behind a 1."""
+    return F.shiftleft(tree.cast("long"), 48) + F.conv(F.concat(F.lit("1"), leaf), 2, 10).cast("long")
+
+
+def _earlier(leaves: list[np.ndarray], mine: int) -> np.ndarray:
     """Which leaves before ``mine`` each vector is in, of those that several are in.
 
-    ``own``: each vector's leaves as (tree, path) in order."""
-    earlier = [[x for x in leaves if x < mine] for leaves in own]
-    held = Counter(x for e in earlier for x in e)
-    names = {x: i for i, x in enumerate(sorted(x for x, n in held.items() if n > 1))}
-    out = np.zeros((len(own), len(names)), np.float32)
-    for i, e in enumerate(earlier):
-        out[i, [names[x] for x in e if x in names]] = 1
+    ``leaves``: each vector's leaves (``_leaf_id``)."""
+    flat, owner = np.concatenate(leaves), np.repeat(np.arange(len(leaves)), [len(x) for x in leaves])
+    before = flat < mine
+    _, column, held = np.unique(flat[before], return_inverse=True, return_counts=True)
+    several = held > 1
+    out = np.zeros((len(leaves), int(several.sum())), np.float32)
+    used = several[column]
+    out[owner[before][used], (np.cumsum(several) - 1)[column[used]]] = 1
     return out
 
 
@@ -183,9 +188,7 @@ def _compare(threshold: float):
         vec, copies, part = frame["vec"].to_numpy(), frame["copies"].to_numpy(), frame["part"].to_numpy()
         x = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        own = [sorted((int(t), p) for t, p in leaves) for leaves in
-               (((s["tree"], s["leaf"]) for s in leaves) for leaves in frame["leaves"])]
-        held, n = _earlier(own, (int(key[1]), key[2])), len(vec)
+        held, n = _earlier(frame["leaves"].to_list(), (int(key[1]) << 48) + int("1" + key[2], 2)), len(vec)
         left, others = np.flatnonzero(part == key[3]), np.flatnonzero(part == key[4])
         links, ends, label = np.zeros(n, np.int64), [], np.arange(n)
         for i in range(0, len(left), BLOCK):
@@ -235,7 +238,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
                      F.first("embedding").alias("embedding")))
     distinct = scratch.save(distinct, "distinct")
     leaves = grow(distinct.select("vec", "grp", "embedding"), scratch, threshold)
-    owned = leaves.groupBy("grp", "vec").agg(F.collect_list(F.struct("tree", "leaf")).alias("leaves"))
+    owned = leaves.groupBy("grp", "vec").agg(F.collect_list(_leaf_id(F.col("tree"), F.col("leaf"))).alias("leaves"))
     members = (leaves.join(owned, ["grp", "vec"])
                .join(distinct.select("grp", "vec", "copies", "embedding"), ["grp", "vec"]))
     found = scratch.save(_in_parts(members, scratch).groupBy("grp", "tree", "leaf", "a", "b").applyInPandas(
