@@ -194,21 +194,24 @@ def entropies(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _predict(model: Model, columns: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for i, j in slices(texts, SLICE_CHARS):
-                if not model.languages:
-                    names, scores = [UNDETERMINED] * (j - i), np.zeros(j - i)
-                else:
-                    bits, letters = entropies(model, texts[i:j])
-                    best = bits.argmin(axis=1)
-                    low = bits.min(axis=1)
-                    second = np.partition(bits, 1, axis=1)[:, 1] if bits.shape[1] > 1 else np.full(len(low), np.inf)
-                    scores = np.where(letters, 1 - low / np.maximum(second, 1e-12), 0.0)
-                    names = [model.languages[b] if ok else UNDETERMINED for b, ok in zip(best, letters)]
-                yield pa.RecordBatch.from_arrays(
-                    [*[c[i:j] for c in batch.columns], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                    names=[*batch.schema.names, *columns])
+        try:
+            for batch in batches:
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                for i, j in slices(texts, SLICE_CHARS):
+                    if not model.languages:
+                        names, scores = [UNDETERMINED] * (j - i), np.zeros(j - i)
+                    else:
+                        bits, letters = entropies(model, texts[i:j])
+                        best = bits.argmin(axis=1)
+                        low = bits.min(axis=1)
+                        second = np.partition(bits, 1, axis=1)[:, 1] if bits.shape[1] > 1 else np.full(len(low), np.inf)
+                        scores = np.where(letters, 1 - low / np.maximum(second, 1e-12), 0.0)
+                        names = [model.languages[b] if ok else UNDETERMINED for b, ok in zip(best, letters)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*[c[i:j] for c in batch.columns], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                        names=[*batch.schema.names, *columns])
+        finally:
+            _tables.cache_clear()  # the worker goes on to other tasks; building them again takes half a second
     return run
 
 

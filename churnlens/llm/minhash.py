@@ -210,10 +210,12 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     column = np.cumsum(np.r_[0, flat[1:] != flat[:-1]])
     several = np.bincount(column)[column] > 1
     column, owner = np.unique(column[several], return_inverse=True)[1], owner[several]
-    total = np.zeros((len(sets), len(sets)), np.float64)
-    for begin in range(0, int(column.max(initial=-1)) + 1, 4096):
-        inside = slice(*np.searchsorted(column, [begin, begin + 4096]))
-        part = np.zeros((len(sets), 4096), np.float32)
+    exact = np.float32 if max(map(len, sets)) < 1 << 24 else np.float64
+    total, width = np.zeros((len(sets), len(sets)), exact), 2048
+    part = np.empty((len(sets), width), np.float32)
+    for begin in range(0, int(column.max(initial=-1)) + 1, width):
+        inside = slice(*np.searchsorted(column, [begin, begin + width]))
+        part[:] = 0
         part[owner[inside], column[inside] - begin] = 1
         total += part @ part.T
     return total
