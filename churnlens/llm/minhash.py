@@ -34,7 +34,7 @@ BANDS, ROWS, HASHES, BITS = 42, 6, 256, 2
 SLACK = 0.16
 #: Members of an open bucket that are compared at a time, against as many others (what
 #: bounds it are matrices of all pairs of twice as many), and shingles of these members.
-BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
+BLOCK, BLOCK_SHINGLES = 700, 2_000_000
 #: Rows of open buckets that a group of them has on average, and their shingles (8 bytes each).
 TOGETHER, TOGETHER_SHINGLES = 2000, 4_000_000
 #: Up to this many document ids (8 bytes each) are broadcast to pick texts; beyond it they are joined.
@@ -242,9 +242,10 @@ def _links_across(percent: int, band: int, crossing: bool, columns: dict, rows:
     used = np.flatnonzero(test.any(axis=0) | test.any(axis=1))
     if not len(used):
         return []
-    shared = shared_counts([columns["shingles"][rows[i]] for i in used])
-    total = size[used][:, None] + size[used][None, :] - shared
-    a, b = np.nonzero(test[np.ix_(used, used)] & (100 * shared >= percent * total))
+    whole = np.int32 if size.max() < 5_000_000 else np.int64  # of all pairs, so as small as they may be
+    shared, own = shared_counts([columns["shingles"][rows[i]] for i in used]).astype(whole), size[used].astype(whole)
+    # 100 * shared >= percent * (sizes - shared)
+    a, b = np.nonzero(test[np.ix_(used, used)] & ((100 + percent) * shared >= percent * np.add.outer(own, own)))
     return [(rows[x], rows[y]) for x, y in spanning(used[a], used[b], len(rows))]
 
 
