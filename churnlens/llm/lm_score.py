@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -152,7 +152,9 @@ def gradients(w: dict[str, np.ndarray], stream: np.ndarray, at: np.ndarray) -> d
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
     first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-    summed = np.add.reduceat(np.take(back, order // (2 * SIDE), axis=0, mode="clip"), first, axis=0)
+    # two columns are added as one complex number
+    pairs = np.take(back, order // (2 * SIDE), axis=0, mode="clip").view(np.result_type(back.dtype, np.complex64))
+    summed = np.add.reduceat(pairs, first, axis=0).view(back.dtype)
     everything = slice(None)
     return {"class": (everything, top @ hidden), "word": (everything, word.reshape(VOCABULARY, HIDDEN + 1)),
             "hidden": (everything, back.sum(axis=0, keepdims=True)), "context": (flat[first], summed)}
@@ -172,6 +174,14 @@ def bucket(word: bytes) -> int:
     return (word[-1] * 31 + len(word) * 7 + word[-2:][0]) % RARE
 
 
+def _buckets(words: pa.Array) -> np.ndarray:
+    """``bucket`` of all words of an array (none of them empty)."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[:len(words) + 1]
+    letters = np.frombuffer(words.buffers()[2], np.uint8).astype(np.int32)
+    begins, last = ends[:-1], ends[1:] - 1
+    return (letters[last] * 31 + (ends[1:] - begins) * 7 + letters[np.maximum(last - 1, begins)]) % RARE
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Integers as their lowest bytes, then the next ones: small numbers leave planes of zeros, which compress."""
     return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
@@ -200,9 +210,9 @@ def _blocks(kind: str):
         def words() -> Iterator[pa.RecordBatch]:
             every = list(ids)
             for a in range(0, len(every), 50_000):
-                some = every[a:a + 50_000]
-                yield batch_of(len(some), at=pa.array(np.arange(a, a + len(some), dtype=np.int32)), word=pa.array(some, pa.binary()),
-                               n=pa.array(n[a:a + len(some)]), bucket=pa.array([bucket(w) for w in some], pa.int32()))
+                some = pa.array(every[a:a + 50_000], pa.binary())
+                yield batch_of(len(some), at=pa.array(np.arange(a, a + len(some), dtype=np.int32)), word=some,
+                               n=pa.array(n[a:a + len(some)]), bucket=pa.array(_buckets(some)))
 
         for batch in batches:
             column, own = batch.column("text").cast(pa.binary()), batch.column("doc_id")
@@ -211,7 +221,7 @@ def _blocks(kind: str):
             for i, j in slices(lengths, SLICE_CHARS, lambda n: n + 50):
                 split = [t.lower().split() if t else [] for t in column.slice(i, j - i).to_pylist()]
                 sizes = [len(w) for w in split]
-                flat = np.fromiter((ids[w] for ws in split for w in ws), np.int32, sum(sizes))
+                flat = np.fromiter(map(ids.__getitem__, chain.from_iterable(split)), np.int32, sum(sizes))
                 n = np.bincount(flat, minlength=len(ids)) + np.pad(n, (0, len(ids) - len(n)))
                 part = own.slice(i, j - i)
                 yield batch_of(1, at=pa.array([chunk], pa.int32()), stream=pa.array([_planes(flat)], pa.binary()),
