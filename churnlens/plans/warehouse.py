@@ -167,7 +167,8 @@ class Warehouse:
                           lambda: model.heuristic_scores(self.features(), self.cutoff))
 
     def model(self):
-        return self.memo("model", lambda: model.fit(self.features(), self.cutoff))
+        return self.memo("model", lambda: model.fit(
+            self.features(), self.cutoff, keep=lambda df: self._keep("gold/_training_rows", df)))
 
     def scored_test(self) -> DataFrame:
         return self.table("gold/_scored_test",

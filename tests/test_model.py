@@ -115,3 +115,26 @@ def test_discriminant(spark):
     assert coef[first] == pytest.approx(3 / inside) and coef[md.NUMERIC_FEATURES[1]] == 0
     assert (coef["plan_type_A"], coef["plan_type_B"]) == pytest.approx(level)
     assert coef[scoring.INTERCEPT] == pytest.approx(-(3 / inside * 3.5 + level[0] * 0.75 + level[1] * 0.25))
+
+
+def _snapshots(spark, copies):
+    """40 different snapshots before the cutoff, each ``copies`` times, and one after it."""
+    rows = [(f"c{i}", dt.date(1999, 1, 31), *[float((i * 7 + j) % (3 + j)) for j in range(7)], None, "Basic" if i % 4 else "Pro", int(i % 3 == 0))
+            for i in range(40) for _ in range(copies)]
+    rows.append(("z", dt.date(2000, 1, 31), *[0.0] * 7, None, "Basic", 0))
+    schema = ", ".join(["company_id string", "as_of_date date"] + [f"{c} double" for c in md.NUMERIC_FEATURES]
+                       + ["days_to_first_invite int", "plan_type string", f"{md.LABEL} int"])
+    return spark.createDataFrame(rows, schema)
+
+
+def test_equal_training_rows_are_read_once_an_iteration(spark):
+    """Copies of a snapshot add weight, not rows, and the fit is the stated objective's all the same."""
+    model, train, test = md.fit(_snapshots(spark, 25), md.FIXTURE_CUTOFF)
+    assert train.count() == 40 and test.count() == 1
+    assert train.agg(F.sum("weight")).first()[0] == pytest.approx(1000.0)
+    found = scoring.residuals(train, scoring.coefficient_table(model))
+    assert found.where("not within_tolerance").count() == 0
+    whole = md.class_weights(md.time_split(_snapshots(spark, 25), md.FIXTURE_CUTOFF)[0])
+    every = scoring.coefficient_table(md.build_pipeline(1000).fit(whole)).collect()
+    for a, b in zip(every, scoring.coefficient_table(model).collect()):
+        assert a.feature == b.feature and a.coef == pytest.approx(b.coef, rel=1e-3, abs=1e-4)
