@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures, io
 from . import analytics, features, gold, model, risk, scoring
-from .silver import build_silver
+from .silver import BUILD_ORDER, FK_PARENTS, accepted, build_silver_table
 
 _REGISTRY: dict[tuple, "Warehouse"] = {}
 _REGISTRY_LOCK = threading.Lock()
@@ -97,16 +97,20 @@ class Warehouse:
         """A table of the silver layer, written."""
         return self.table(f"silver/{name}", lambda: df)
 
-    def silver(self) -> dict[str, DataFrame]:
-        return self.memo("silver", lambda: build_silver(self.raw(), keep=self.keep))[0]
+    def flagged(self, t: str) -> DataFrame:
+        """One silver table with its flags, built after the tables that its foreign keys name."""
+        return self.table(f"silver/{t}", lambda: build_silver_table(
+            t, self.raw()[t], {p: self.s(p) for _, p, _ in FK_PARENTS.get(t, [])}, keep=self.keep))
 
     def silver_flagged(self) -> dict[str, DataFrame]:
         """Silver tables with their FK flags (quarantine = flag false)."""
-        self.silver()
-        return {t: self._memo[f"silver/{t}"] for t in self.silver()}
+        return {t: self.flagged(t) for t in BUILD_ORDER}
 
     def s(self, t: str) -> DataFrame:
-        return self.silver()[t]
+        return accepted(self.flagged(t))
+
+    def silver(self) -> dict[str, DataFrame]:
+        return {t: self.s(t) for t in BUILD_ORDER}
 
     def as_of(self) -> _dt.date:
         return self.memo("as_of", lambda: gold.as_of_date(

@@ -60,3 +60,11 @@ def test_dedupe_combines_before_the_shuffle(spark):
     lines = plan(dedupe_by_key(df, ["k"])).splitlines()
     ex = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(k" in line)
     assert any("WindowGroupLimit" in line for line in lines[ex + 1:])  # map-side top-1
+
+
+def test_one_silver_table_builds_its_parents_only(spark):
+    w = Warehouse.for_testdata(spark, SMOKE_DIR, partition_months=False)
+    assert w.s("companies").count() > 0
+    assert {k for k in w._memo if k.startswith("silver")} == {"silver/companies"}
+    w.s("payments")
+    assert {k for k in w._memo if k.startswith("silver")} == {"silver/companies", "silver/payments"}
