@@ -16,10 +16,14 @@ RISK_HIST_BINS = 10
 OUTREACH_TOP_K = 20
 
 
+#: What money is summed as.
+EXACT = "decimal(38,10)"
+
+
 def _money(c: str) -> F.Column:
     """Exact sum: each value as decimal(38,10), summed without rounding
     drift, so the total does not depend on the order tasks finish in."""
-    return F.sum(F.col(c).cast("decimal(38,10)")).cast("double")
+    return F.sum(F.col(c).cast(EXACT)).cast("double")
 
 
 def _exposure(df: DataFrame, keys: list) -> DataFrame:
@@ -83,13 +87,19 @@ SEGMENTS = ("industry", "company_size_bucket", "acquisition_channel", "country")
 
 def by_segment(monitor: DataFrame, companies: DataFrame) -> DataFrame:
     """Exposure by customer segment, long format (segment, value).
-    Company attributes are attached once, then each row is expanded to one
-    row per segment dimension (stack) and aggregated in a single pass."""
-    j = monitor.join(companies.select("company_id", *SEGMENTS), "company_id", "left")
+    Company attributes are attached once, from a hash table in each partition.
+    Rows are summed by month and all attributes first, and only those sums
+    are expanded to one row per segment dimension (stack) and summed again:
+    exact decimals, so the totals are the same in either order."""
+    attributes = companies.select("company_id", *SEGMENTS).hint("shuffle_hash")
+    parts = monitor.join(attributes, "company_id", "left").groupBy("month_start", *SEGMENTS).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.col(c).cast(EXACT)).cast(EXACT).alias(c) for c in ("mrr", "revenue_at_risk")])
     stack = "stack({n}, {pairs}) as (segment, segment_value)".format(
         n=len(SEGMENTS), pairs=", ".join(f"'{s}', cast({s} as string)" for s in SEGMENTS))
-    x = j.select("month_start", "mrr", "revenue_at_risk", F.expr(stack))
-    return _exposure(x, ["month_start", "segment", "segment_value"])
+    x = parts.select("month_start", "n", "mrr", "revenue_at_risk", F.expr(stack))
+    return x.groupBy("month_start", "segment", "segment_value").agg(
+        F.sum("n").alias("companies"), F.round(_money("mrr"), 6).alias("total_mrr"),
+        F.round(_money("revenue_at_risk"), 6).alias("revenue_at_risk"))
 
 
 def outreach_ranking(monitor: DataFrame, k: int = OUTREACH_TOP_K) -> DataFrame:

@@ -68,3 +68,10 @@ def test_one_silver_table_builds_its_parents_only(spark):
     assert {k for k in w._memo if k.startswith("silver")} == {"silver/companies"}
     w.s("payments")
     assert {k for k in w._memo if k.startswith("silver")} == {"silver/companies", "silver/payments"}
+
+
+def test_segments_are_summed_before_they_are_expanded(wh):
+    from churnlens.plans import dashboards
+    p = plan(dashboards.by_segment(wh.risk_monitor("heuristic"), wh.s("companies")))
+    expand = next(i for i, line in enumerate(p.splitlines()) if "Generate" in line or "Expand" in line)
+    assert sum("HashAggregate" in line for line in p.splitlines()[expand:]) >= 2  # printed below = runs before
