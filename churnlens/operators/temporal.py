@@ -39,6 +39,14 @@ def month_spine(companies: DataFrame, as_of: _dt.date, key: str = "company_id",
     return df
 
 
+def attach_months(spine: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``facts`` (at most one row a company and month) left-joined to a company-month
+    table. The facts of a partition go into a hash table: the spine, by far the
+    longer side, is neither sorted nor spilled, and no table of months is
+    broadcast because its compressed file looks small."""
+    return spine.join(facts.hint("shuffle_hash"), list(keys), "left")
+
+
 def months_covered(df: DataFrame, start: str, end: str, as_of: _dt.date,
                    point_in_time: bool = False, out: str = "month_start") -> DataFrame:
     """Explode each interval row into the months it matches, capped at the
@@ -75,6 +83,38 @@ def latest_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .where(F.col("_rn") == 1).select(*keys, *values))
 
 
+#: Above any number of subscriptions that start on one company's day.
+_DAY = 1 << 41
+
+
+def latest_plan_per_month(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date,
+                          point_in_time: bool = False) -> DataFrame:
+    """H4/E8 for subscriptions: per (company_id, month_start), or with ``point_in_time``
+    (company_id, as_of_date) at month-ends, the plan_id of the latest-starting
+    subscription that matches the month (``months_covered``; ties go to the higher
+    subscription_id, then plan_id), NULL if that plan is unknown.
+
+    As ``latest_per_group`` over the exploded months, but the order is settled
+    before they are made: a subscription gets one number that orders it among its
+    company's (start day, then its place among those of that day), a plan its
+    number in the plans table (one row a plan). The months, many times the
+    subscriptions, are then combined by a hash aggregate over two numbers, in
+    tasks first, and never sorted; months carry no texts besides the company."""
+    numbers = plans.select("plan_id", F.dense_rank().over(Window.orderBy("plan_id")).alias("_plan"))
+    same_day = Window.partitionBy("company_id", "start_date").orderBy(
+        F.col("subscription_id").desc_nulls_last(), F.col("plan_id").desc_nulls_last())
+    day = F.datediff("start_date", F.lit("1970-01-01").cast("date")).cast("long")
+    ordered = (subscriptions.where("start_date is not null")
+               .select("company_id", "start_date", "end_date", "plan_id",
+                       (day * _DAY - F.row_number().over(same_day)).alias("_order"))
+               .join(F.broadcast(numbers.distinct()), "plan_id", "left")
+               .select("company_id", "start_date", "end_date", "_plan", "_order"))
+    months = months_covered(ordered, "start_date", "end_date", as_of, point_in_time)
+    month = month_end("month_start").alias("as_of_date") if point_in_time else F.col("month_start")
+    top = months.groupBy("company_id", month).agg(F.max_by("_plan", "_order").alias("_plan"))
+    return top.join(F.broadcast(numbers.distinct()), "_plan", "left").drop("_plan")
+
+
 def spread_to_month_ends(df: DataFrame, date_col: str, window_days: int,
                          out: str = "as_of_date") -> DataFrame:
     """Copy each fact dated d to every month-end e with

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, month_end, whole_month_diff
-from ..operators.temporal import latest_per_group, month_spine, months_covered, spread_to_month_ends
+from ..operators.temporal import attach_months, latest_plan_per_month, month_spine, spread_to_month_ends
 from .gold import FAILED_PAYMENT_STATUSES
 
 # Windows are BETWEEN snapshot - N days AND snapshot (inclusive).
@@ -74,10 +74,8 @@ def days_to_first_invite(companies: DataFrame, user_day: DataFrame) -> DataFrame
 def plan_asof(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date) -> DataFrame:
     """K16e / E8 point-in-time: plan name of the latest-starting
     subscription (any status) active on the snapshot day."""
-    m = months_covered(subscriptions, "start_date", "end_date", as_of, point_in_time=True)
-    m = m.withColumn("as_of_date", month_end("month_start"))
-    top = latest_per_group(m, KEYS, ["start_date", "subscription_id"], ["plan_id"])
-    return (top.join(plans.select("plan_id", "plan_name"), "plan_id", "left")
+    top = latest_plan_per_month(subscriptions, plans, as_of, point_in_time=True)
+    return (top.join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id", "left")
             .select(*KEYS, F.col("plan_name").alias("plan_type")))
 
 
@@ -98,10 +96,10 @@ def company_features(companies: DataFrame, user_day: DataFrame, tickets: DataFra
     spine = spine.withColumn("as_of_date", month_end("month_start"))
     if drop_post_churn:
         spine = spine.where(F.col("churn_date").isNull() | (F.col("as_of_date") < F.col("churn_date")))
-    out = (spine.join(events_window(user_day), KEYS, "left")
-           .join(support_window(tickets), KEYS, "left")
-           .join(payment_window(payments), KEYS, "left")
-           .join(plan_asof(subscriptions, plans, as_of), KEYS, "left"))
+    out = spine
+    for facts in (events_window(user_day), support_window(tickets), payment_window(payments),
+                  plan_asof(subscriptions, plans, as_of)):
+        out = attach_months(out, facts, KEYS)
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     d = F.col("as_of_date")
     label = (F.col("churn_date").isNotNull() & (F.col("churn_date") > d)
@@ -120,6 +118,6 @@ def company_features(companies: DataFrame, user_day: DataFrame, tickets: DataFra
 def on_spine(spine: DataFrame, piece: DataFrame, zero_fill: list[str]) -> DataFrame:
     """A K16 piece aligned to the snapshot spine (one row per snapshot,
     counts zero-filled), the shape each piece has in the feature table."""
-    out = spine.join(piece, KEYS, "left")
+    out = attach_months(spine, piece, KEYS)
     return out.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) if c in zero_fill
                         else F.col(c) for c in out.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import AS_OF_FALLBACK, lit_date, month_start
-from ..operators.temporal import latest_per_group, month_spine, months_covered
+from ..operators.temporal import attach_months, latest_plan_per_month, month_spine
 
 # Fixed values the logic depends on.
 EVENT_TYPES = {"login": "login", "page_created": "page_created",
@@ -123,10 +123,9 @@ def company_monthly_metrics(companies: DataFrame, user_day: DataFrame, tickets:
     keys = ["company_id", "month_start"]
     spine = month_spine(companies, as_of)
     act = monthly_activity(daily).drop("active_days", "peak_daily_active_users")
-    out = (spine.join(act, keys, "left")
-           .join(mau, keys, "left")
-           .join(monthly_tickets(tickets), keys, "left")
-           .join(monthly_failed_payments(payments), keys, "left"))
+    out = spine
+    for facts in (act, mau, monthly_tickets(tickets), monthly_failed_payments(payments)):
+        out = attach_months(out, facts, keys)
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     return out.select(
         "company_id", "month_start",
@@ -141,9 +140,7 @@ def mrr_plan_per_month(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.da
     start date go to the higher subscription_id. The plan comes from the
     plans table, so a dangling plan_id yields no plan (-> 'unknown')."""
     subs = subscriptions.where(F.col("status").isin(*MRR_SUBSCRIPTION_STATUSES))
-    months = months_covered(subs, "start_date", "end_date", as_of)
-    top = latest_per_group(months, ["company_id", "month_start"],
-                           ["start_date", "subscription_id"], ["plan_id"])
+    top = latest_plan_per_month(subs, plans, as_of)
     sp = plans.select(F.col("plan_id").alias("sp_plan_id"), "plan_name", "price_per_user",
                       "billing_cycle")
     return (top.join(sp, F.col("plan_id") == F.col("sp_plan_id"), "left")
@@ -163,7 +160,7 @@ def company_mrr(companies: DataFrame, user_day: DataFrame, subscriptions: DataFr
     plan = mrr_plan_per_month(subscriptions, plans, as_of)
     users = F.coalesce(F.col("active_user_count"), F.lit(0)).cast("bigint")
     price = F.coalesce(F.col("price_per_user"), F.lit(0).cast("decimal(18,2)"))
-    return (spine.join(mau, keys, "left").join(plan, keys, "left")
+    return (attach_months(attach_months(spine, mau, keys), plan, keys)
             .select("company_id", "month_start",
                     F.coalesce("plan_id", F.lit("unknown")).alias("plan_id"),
                     F.coalesce("plan_name", F.lit("unknown")).alias("plan_name"),

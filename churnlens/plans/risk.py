@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
+from ..operators.temporal import attach_months
+
+
+KEYS = ["company_id", "month_start"]
 
 
 def revenue_at_risk(predictions: DataFrame, company_mrr: DataFrame) -> DataFrame:
     """Gold.revenue_at_risk = prediction x the MRR of its month."""
     p = predictions.withColumn("month_start", month_start("as_of_date"))
-    return (p.join(company_mrr.select("company_id", "month_start", "mrr"),
-                   ["company_id", "month_start"], "left")
+    return (attach_months(p, company_mrr.select("company_id", "month_start", "mrr"), KEYS)
             .select("company_id", "as_of_date", "churn_probability", "mrr",
                     (F.col("mrr").cast("double") * F.col("churn_probability"))
                     .alias("revenue_at_risk")))
@@ -37,7 +40,7 @@ def company_revenue_at_risk(company_mrr: DataFrame, rar: DataFrame) -> DataFrame
     rm = latest_prediction_per_month(rar).select("company_id", "month_start", "churn_probability")
     p = F.coalesce(F.col("churn_probability"), F.lit(0.0))
     return (company_mrr.select("company_id", "month_start", "mrr")
-            .join(rm, ["company_id", "month_start"], "left")
+            .transform(attach_months, rm, KEYS)
             .select("company_id", "month_start", "mrr", p.alias("churn_probability"),
                     (p * F.col("mrr").cast("double")).alias("revenue_at_risk")))
 
@@ -52,7 +55,7 @@ def company_risk_monitor(crar: DataFrame, features: DataFrame) -> DataFrame:
     """The dashboard data set, one row per company-month."""
     f = features.select("company_id", month_start("as_of_date").alias("month_start"),
                         "plan_type", "months_since_signup", "logins_30d", "failed_payments_60d")
-    return (crar.join(f, ["company_id", "month_start"], "left")
+    return (attach_months(crar, f, KEYS)
             .select("company_id", "month_start", "plan_type", "months_since_signup",
                     "logins_30d", "failed_payments_60d", "mrr", "churn_probability",
                     "revenue_at_risk"))

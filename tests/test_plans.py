@@ -75,3 +75,18 @@ def test_segments_are_summed_before_they_are_expanded(wh):
     p = plan(dashboards.by_segment(wh.risk_monitor("heuristic"), wh.s("companies")))
     expand = next(i for i, line in enumerate(p.splitlines()) if "Generate" in line or "Expand" in line)
     assert sum("HashAggregate" in line for line in p.splitlines()[expand:]) >= 2  # printed below = runs before
+
+
+def test_month_tables_neither_sort_nor_broadcast_months(wh):
+    """Company-month facts meet the spine in hash joins, whatever their files' sizes; plans are picked without a sort of months."""
+    a = wh.as_of()
+    monthly = gold.company_monthly_metrics(wh.s("companies"), wh.user_day(), wh.s("support_tickets"), wh.s("payments"), a)
+    feats = features.company_features(wh.s("companies"), wh.user_day(), wh.s("support_tickets"), wh.s("payments"),
+                                      wh.s("subscriptions"), wh.s("subscription_plans"), wh.churn_label(), a)
+    rar = risk.revenue_at_risk(wh.heuristic().select("company_id", "as_of_date", "churn_probability"), wh.company_mrr())
+    monitor = risk.company_risk_monitor(wh.company_revenue_at_risk("heuristic"), wh.features())
+    for frame, joins in ((monthly, 4), (feats, 4), (rar, 1), (monitor, 1)):
+        p = plan(frame)
+        assert p.count("ShuffledHashJoin [company_id") >= joins
+        assert "SortMergeJoin" not in p
+    assert "SortAggregate" not in plan(features.plan_asof(wh.s("subscriptions"), wh.s("subscription_plans"), a))

@@ -5,6 +5,7 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from churnlens.operators.temporal import months_covered, spread_to_month_ends
 
@@ -70,3 +71,25 @@ def test_latest_per_group_equals_brute_force(spark, rows):
                    key=lambda r: (r[1] is not None, r[1] if r[1] is not None else -1, f"s{r[2]:03d}"))
         want[k] = best[2]
     assert got == want
+
+
+def test_latest_plan_per_month_equals_latest_per_group(spark):
+    """Same day, same id, later end, open end, unknown plan, no start, before 1970: the pick of the sorted form."""
+    from churnlens.operators.temporal import latest_per_group, latest_plan_per_month
+    d = dt.date
+    rows = [("a", "s1", "p1", d(2020, 1, 5), d(2020, 6, 30)), ("a", "s2", "p2", d(2020, 1, 5), d(2020, 3, 1)),
+            ("a", "s3", "p9", d(2020, 2, 7), d(2020, 2, 20)), ("a", "s0", "p3", d(2020, 5, 1), None),
+            ("a", None, "p1", d(2020, 5, 1), d(2020, 5, 31)), ("a", "s9", None, d(2020, 9, 1), d(2020, 9, 30)),
+            ("b", "s4", "p1", None, d(2020, 3, 1)), ("b", "s5", "p1", d(1969, 11, 3), d(1970, 2, 1)),
+            ("b", "s6", "p2", d(1969, 12, 31), d(1970, 1, 31)), ("b", "s7", "p2", d(2021, 1, 1), None),
+            (None, "s8", "p1", d(2020, 4, 1), d(2020, 4, 30)), ("c", "s1", "p1", d(2020, 3, 3), d(2020, 3, 1))]
+    subs = spark.createDataFrame(rows, "company_id string, subscription_id string, plan_id string, start_date date, end_date date")
+    plans = spark.createDataFrame([("p1", "one"), ("p2", "two"), ("p3", "three")], "plan_id string, plan_name string")
+    as_of = d(2020, 12, 15)
+    for pit in (False, True):
+        top = latest_per_group(months_covered(subs, "start_date", "end_date", as_of, pit), ["company_id", "month_start"],
+                               ["start_date", "subscription_id"], ["plan_id"])
+        known = top.join(plans, "plan_id", "left").select("company_id", F.last_day("month_start") if pit else "month_start",
+                                                          F.when(F.col("plan_name").isNotNull(), F.col("plan_id")))
+        got = latest_plan_per_month(subs, plans, as_of, pit)
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, known.collect())))
