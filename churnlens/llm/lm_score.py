@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, count
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -182,6 +182,17 @@ def _buckets(words: pa.Array) -> np.ndarray:
     return (letters[last] * 31 + (ends[1:] - begins) * 7 + letters[np.maximum(last - 1, begins)]) % RARE
 
 
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of an array of texts, A-Z lower-cased: the distinct ones in the order in which they
+    appear, all words as places among these, and each text's number of words."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, borders = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    there = pc.greater(pc.binary_length(words), 0)  # white space at a text's ends leaves empty ones
+    before = np.r_[0, np.cumsum(there.to_numpy(zero_copy_only=False))]
+    coded = words.filter(there).dictionary_encode()
+    return coded.dictionary.cast(pa.binary()), coded.indices.to_numpy(), np.diff(before[borders])
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Integers as their lowest bytes, then the next ones: small numbers leave planes of zeros, which compress."""
     return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
@@ -215,17 +226,16 @@ def _blocks(kind: str):
                                n=pa.array(n[a:a + len(some)]), bucket=pa.array(_buckets(some)))
 
         for batch in batches:
-            column, own = batch.column("text").cast(pa.binary()), batch.column("doc_id")
+            column, own = batch.column("text"), batch.column("doc_id")
             types["ids"] = pa.list_(own.type)
             lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
             for i, j in slices(lengths, SLICE_CHARS, lambda n: n + 50):
-                split = [t.lower().split() if t else [] for t in column.slice(i, j - i).to_pylist()]
-                sizes = [len(w) for w in split]
-                flat = np.fromiter(map(ids.__getitem__, chain.from_iterable(split)), np.int32, sum(sizes))
+                distinct, places, sizes = _split(column.slice(i, j - i))
+                flat = np.fromiter(map(ids.__getitem__, distinct.to_numpy(zero_copy_only=False)), np.int32, len(distinct))[places]
                 n = np.bincount(flat, minlength=len(ids)) + np.pad(n, (0, len(ids) - len(n)))
                 part = own.slice(i, j - i)
                 yield batch_of(1, at=pa.array([chunk], pa.int32()), stream=pa.array([_planes(flat)], pa.binary()),
-                               sizes=pa.array([sizes], types["sizes"]),
+                               sizes=pa.array([sizes.tolist()], types["sizes"]),
                                ids=pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), pa.concat_arrays([part])))
                 chunk += 1
                 if len(ids) >= BLOCK_WORDS or n.sum() >= BLOCK_LENGTH:
@@ -244,7 +254,8 @@ def read_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def learn_words(blocks: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The corpus's vocabulary, and its words' places in the blocks (block, at, token, log_share).
+    """The corpus's vocabulary, and its words' places in the blocks (block, at, token, log_share),
+    both read from written tables of words and totals.
 
     Vocabulary: word, token, log_share (0 for words with a token of their own).
     One row more for each shared token, without a word: the share of a word
@@ -266,7 +277,7 @@ def learn_words(blocks: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFra
     placed = (words.join(known, "word", "left").withColumn("token", shared).join(F.broadcast(totals), "token")
               .select("block", "at", F.coalesce("own", "token").alias("token"), share.alias("log_share"), "word", "first"))
     unseen = totals.select(F.lit(None).cast("binary").alias("word"), "token", (-F.log("all")).alias("log_share"))
-    vocabulary = scratch.save(placed.where("first").select("word", "token", "log_share").unionByName(unseen), "vocabulary")
+    vocabulary = placed.where("first").select("word", "token", "log_share").unionByName(unseen)
     return vocabulary, placed.select("block", "at", "token", "log_share")
 
 
@@ -361,6 +372,7 @@ def fit(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> Model:
     """Vocabulary and weights from all texts of ``docs`` (doc_id, text)."""
     blocks = read_blocks(docs, scratch)
     vocabulary, places = learn_words(blocks, scratch)
+    vocabulary = scratch.save(vocabulary, "vocabulary")
     return Model(vocabulary, learn_weights(encode(blocks, places, scratch), scratch))
 
 
@@ -399,6 +411,6 @@ def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "lm")
     blocks = read_blocks(docs, scratch)
     encoded = encode(blocks, learn_words(blocks, scratch)[1], scratch)
-    for used in ("blocks", "words", "vocabulary"):
+    for used in ("blocks", "words"):
         scratch.drop(used)
     return score_encoded(encoded, learn_weights(encoded, scratch))

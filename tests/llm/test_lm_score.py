@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,24 @@ def test_tasks_train_on_from_the_average(spark, documents, monkeypatch):
     assert len(given) >= 2
     for before, after in zip(made, given[1:]):
         assert all((before[k] == after[k]).all() for k in before)
+
+
+def test_words_are_split_as_bytes_are():
+    """In Arrow, whole slices at once: distinct words in the order in which they appear."""
+    texts = ["x y", None, "", "  ", "\tB b\x0bA\x0c c\r\n", "x\x1cy z\x1f", " nÉ İ x", "c  B\x85 y "]
+    distinct, places, sizes = lm._split(pa.array(["left out", *texts]).slice(1))
+    expected = [words_of(t) for t in texts]
+    assert sizes.tolist() == [len(w) for w in expected]
+    assert [distinct[i].as_py() for i in places] == [w for words in expected for w in words]
+    assert distinct.to_pylist() == list(dict.fromkeys(w for words in expected for w in words))
+
+
+def test_the_query_writes_what_it_reads(spark, tmp_path, monkeypatch):
+    """Its vocabulary is derived from the written words, not written as a table that nothing reads."""
+    rows = [(i, t) for i, t in enumerate(["one two two", "two three", None, "One"])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    names, save = [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: names.append(name) or save(self, df, name))
+    out = lm.op1_pseudo_likelihood(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in out] == [3, 2, 0, 1] and {"words", "encoded"} <= set(names)
+    assert "vocabulary" not in names
