@@ -17,13 +17,12 @@ from pyspark.sql import functions as F
 def primary_key_check(df: DataFrame, table: str, pk: Sequence[str]) -> DataFrame:
     """Rows, keys occurring more than once, rows with a NULL key part."""
     null_any = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
-    per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n"),
-                                  F.max(null_any.cast("int")).alias("has_null"))
+    per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n")).withColumn("has_null", null_any)
     return per_key.agg(
         F.lit(table).alias("table_name"),
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
         F.count_if(F.col("n") > 1).alias("duplicate_keys"),
-        F.coalesce(F.sum(F.when(F.col("has_null") == 1, F.col("n"))), F.lit(0)).cast("bigint")
+        F.coalesce(F.sum(F.when(F.col("has_null"), F.col("n"))), F.lit(0)).cast("bigint")
         .alias("null_key_rows"))
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import lit_date, month_end, month_sequence, month_start
@@ -47,6 +47,38 @@ def attach_months(spine: DataFrame, facts: DataFrame, keys: Sequence[str]) -> Da
     return spine.join(facts.hint("shuffle_hash"), list(keys), "left")
 
 
+def with_months(companies: DataFrame, facts: DataFrame, name: str, month: str = "month_start",
+                key: str = "company_id") -> DataFrame:
+    """``companies`` with a map column ``name``: month -> the company's row of ``facts``
+    (at most one row a company and month, so no map is longer than the calendar).
+    The facts move and are joined as one row a company, before any month is made."""
+    entry = F.struct(month, F.struct(*[c for c in facts.columns if c not in (key, month)]))
+    maps = (facts.where(F.col(key).isNotNull() & F.col(month).isNotNull()).repartition(key)
+            .groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias(name)))
+    return companies.join(maps.hint("shuffle_hash"), key, "left")
+
+
+def spine_with_months(companies: DataFrame, as_of: _dt.date, facts: Sequence[DataFrame], month: str = "month_start",
+                      keep: Sequence[str] = (), plans: DataFrame | None = None, key: str = "company_id") -> DataFrame:
+    """The month spine (``month_spine``) with the columns of ``facts`` attached, as left
+    joins on company and month would, ``month`` being month_start or as_of_date (its month-end).
+    Companies meet their facts before their months are made, so the months, by far the
+    longer table, are looked up where they are made and never shuffled. ``plans``
+    (``plan_maps``) adds the number of the month's plan as ``_plan``."""
+    comp, values = companies, {}
+    for i, f in enumerate(facts):
+        comp = with_months(comp, f, f"_facts{i}", month, key)
+        values[f"_facts{i}"] = [c for c in f.columns if c not in (key, month)]
+    if plans is not None:
+        comp = comp.join(plans.hint("shuffle_hash"), key, "left")
+    maps = [*values, *(["_plans"] if plans is not None else [])]
+    spine = month_spine(comp, as_of, key, keep=[*keep, *maps]).withColumn("as_of_date", month_end("month_start"))
+    found = [F.try_element_at(m, F.col(month)).getField(c).alias(c) for m, cols in values.items() for c in cols]
+    if plans is not None:
+        found.append(F.try_element_at("_plans", F.col("month_start")).alias("_plan"))
+    return spine.select(key, *keep, "month_start", "as_of_date", *found)
+
+
 def months_covered(df: DataFrame, start: str, end: str, as_of: _dt.date,
                    point_in_time: bool = False, out: str = "month_start") -> DataFrame:
     """Explode each interval row into the months it matches, capped at the
@@ -58,16 +90,19 @@ def months_covered(df: DataFrame, start: str, end: str, as_of: _dt.date,
         (end IS NULL or end >= e); the last such month is trunc(end) when end
         is itself a month-end, otherwise the month before it.
     """
+    return df.withColumn(out, F.explode(month_sequence(*covered_range(start, end, as_of, point_in_time))))
+
+
+def covered_range(start: str, end: str, as_of: _dt.date, point_in_time: bool = False) -> tuple[Column, Column]:
+    """First and last month that an interval matches (``months_covered``)."""
     cap = month_start(lit_date(as_of))
-    first = month_start(start)
     if point_in_time:
         e = F.col(end).cast("date")
         last_end = F.when(e == F.last_day(e), month_start(e)).otherwise(
             F.add_months(month_start(e), -1))
     else:
         last_end = month_start(end)
-    last = F.when(F.col(end).isNull(), cap).otherwise(F.least(last_end, cap))
-    return df.withColumn(out, F.explode(month_sequence(first, last)))
+    return month_start(start), F.when(F.col(end).isNull(), cap).otherwise(F.least(last_end, cap))
 
 
 def latest_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -87,32 +122,57 @@ def latest_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 _DAY = 1 << 41
 
 
-def latest_plan_per_month(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date,
-                          point_in_time: bool = False) -> DataFrame:
-    """H4/E8 for subscriptions: per (company_id, month_start), or with ``point_in_time``
-    (company_id, as_of_date) at month-ends, the plan_id of the latest-starting
-    subscription that matches the month (``months_covered``; ties go to the higher
-    subscription_id, then plan_id), NULL if that plan is unknown.
+def plan_numbers(plans: DataFrame) -> DataFrame:
+    """Each plan_id's number in the plans table, one row a plan."""
+    return plans.select("plan_id", F.dense_rank().over(Window.orderBy("plan_id")).alias("_plan")).distinct()
+
+
+def plan_maps(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date, point_in_time: bool = False) -> DataFrame:
+    """H4/E8 for subscriptions, one row a company: ``_plans`` maps each month_start that a
+    subscription matches (``months_covered``) to the plan number (``plan_numbers``) of the
+    latest-starting one (ties go to the higher subscription_id, then plan_id), NULL if unknown.
 
     As ``latest_per_group`` over the exploded months, but the order is settled
     before they are made: a subscription gets one number that orders it among its
-    company's (start day, then its place among those of that day), a plan its
-    number in the plans table (one row a plan). The months, many times the
-    subscriptions, are then combined by a hash aggregate over two numbers, in
-    tasks first, and never sorted; months carry no texts besides the company."""
-    numbers = plans.select("plan_id", F.dense_rank().over(Window.orderBy("plan_id")).alias("_plan"))
+    company's (start day, then its place among those of that day). Of those with the
+    same first and last month only the latest is kept, combined in tasks first, so a
+    company's list is bounded by the calendar; its months are then picked inside its
+    row. Months are neither shuffled nor grouped."""
     same_day = Window.partitionBy("company_id", "start_date").orderBy(
         F.col("subscription_id").desc_nulls_last(), F.col("plan_id").desc_nulls_last())
     day = F.datediff("start_date", F.lit("1970-01-01").cast("date")).cast("long")
-    ordered = (subscriptions.where("start_date is not null")
-               .select("company_id", "start_date", "end_date", "plan_id",
-                       (day * _DAY - F.row_number().over(same_day)).alias("_order"))
-               .join(F.broadcast(numbers.distinct()), "plan_id", "left")
-               .select("company_id", "start_date", "end_date", "_plan", "_order"))
-    months = months_covered(ordered, "start_date", "end_date", as_of, point_in_time)
+    first, last = covered_range("start_date", "end_date", as_of, point_in_time)
+    spans = (subscriptions.where("start_date is not null")
+             .select("company_id", "plan_id", first.alias("_first"), last.alias("_last"),
+                     (day * _DAY - F.row_number().over(same_day)).alias("_order"))
+             .where("_first <= _last")
+             .join(F.broadcast(plan_numbers(plans)), "plan_id", "left")
+             .groupBy("company_id", "_first", "_last")
+             .agg(F.max_by("_plan", "_order").alias("_plan"), F.max("_order").alias("_order")))
+    lists = (spans.repartition("company_id").groupBy("company_id")
+             .agg(F.sort_array(F.collect_list(F.struct("_order", "_first", "_last", "_plan")), asc=False).alias("_spans")))
+    # the pick changes only where a span begins or has ended
+    bounds = F.array_sort(F.array_distinct(F.concat(
+        F.transform("_spans", lambda s: s["_first"]), F.transform("_spans", lambda s: F.add_months(s["_last"], 1)))))
+    lists = lists.select("company_id", "_spans", bounds.alias("_bounds"))
+    picked = F.transform("_bounds", lambda b, i: F.struct(
+        b.alias("from"), F.add_months(F.get("_bounds", i + 1), -1).alias("to"),
+        F.get(F.filter("_spans", lambda s: (s["_first"] <= b) & (s["_last"] >= b)), F.lit(0)).alias("s")))
+    covered = F.filter(picked, lambda p: p["s"].isNotNull())
+    months = F.flatten(F.transform(covered, lambda p: F.transform(
+        month_sequence(p["from"], p["to"]), lambda m: F.struct(m, p["s"]["_plan"]))))
+    return lists.select("company_id", F.map_from_entries(months).alias("_plans"))
+
+
+def latest_plan_per_month(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date,
+                          point_in_time: bool = False) -> DataFrame:
+    """``plan_maps`` as rows: per (company_id, month_start), or with ``point_in_time``
+    (company_id, as_of_date) at month-ends, the month's plan_id, NULL if that plan is unknown."""
+    months = plan_maps(subscriptions, plans, as_of, point_in_time).select(
+        "company_id", F.explode("_plans").alias("month_start", "_plan"))
     month = month_end("month_start").alias("as_of_date") if point_in_time else F.col("month_start")
-    top = months.groupBy("company_id", month).agg(F.max_by("_plan", "_order").alias("_plan"))
-    return top.join(F.broadcast(numbers.distinct()), "_plan", "left").drop("_plan")
+    return (months.select("company_id", month, "_plan")
+            .join(F.broadcast(plan_numbers(plans)), "_plan", "left").drop("_plan"))
 
 
 def spread_to_month_ends(df: DataFrame, date_col: str, window_days: int,

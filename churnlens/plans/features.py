@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, month_end, whole_month_diff
-from ..operators.temporal import attach_months, latest_plan_per_month, month_spine, spread_to_month_ends
+from ..operators.temporal import (attach_months, latest_plan_per_month, month_spine, plan_maps, plan_numbers,
+                                  spine_with_months, spread_to_month_ends)
 from .gold import FAILED_PAYMENT_STATUSES
 
 # Windows are BETWEEN snapshot - N days AND snapshot (inclusive).
@@ -84,22 +85,21 @@ def company_features(companies: DataFrame, user_day: DataFrame, tickets: DataFra
                      churn_label: DataFrame, as_of: _dt.date,
                      drop_post_churn: bool = False) -> DataFrame:
     """Gold.company_features_for_model. Company-level attributes
-    (signup, first invite, label) are attached before the spine is
-    exploded, so only (company, snapshot)-keyed facts join the spine.
+    (signup, first invite, label) and each company's windows and plans are
+    attached before the spine is exploded (``spine_with_months``).
     Snapshots after a company's churn date stay in as negatives, as in the
-    source; ``drop_post_churn`` removes them (applied before the joins)."""
+    source; ``drop_post_churn`` removes them."""
     comp = (companies.select("company_id", "signup_date")
             .join(days_to_first_invite(companies, user_day), "company_id", "left")
             .join(churn_label.select("company_id", "churn_flag", "churn_date"), "company_id",
                   "left"))
-    spine = month_spine(comp, as_of, keep=[c for c in comp.columns if c != "company_id"])
-    spine = spine.withColumn("as_of_date", month_end("month_start"))
+    facts = [events_window(user_day), support_window(tickets), payment_window(payments)]
+    out = spine_with_months(comp, as_of, facts, "as_of_date", keep=[c for c in comp.columns if c != "company_id"],
+                            plans=plan_maps(subscriptions, plans, as_of, point_in_time=True))
     if drop_post_churn:
-        spine = spine.where(F.col("churn_date").isNull() | (F.col("as_of_date") < F.col("churn_date")))
-    out = spine
-    for facts in (events_window(user_day), support_window(tickets), payment_window(payments),
-                  plan_asof(subscriptions, plans, as_of)):
-        out = attach_months(out, facts, KEYS)
+        out = out.where(F.col("churn_date").isNull() | (F.col("as_of_date") < F.col("churn_date")))
+    names = plan_numbers(plans).join(plans.select("plan_id", F.col("plan_name").alias("plan_type")), "plan_id")
+    out = out.join(F.broadcast(names), "_plan", "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     d = F.col("as_of_date")
     label = (F.col("churn_date").isNotNull() & (F.col("churn_date") > d)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import AS_OF_FALLBACK, lit_date, month_start
-from ..operators.temporal import attach_months, latest_plan_per_month, month_spine
+from ..operators.temporal import latest_plan_per_month, plan_maps, plan_numbers, spine_with_months
 
 # Fixed values the logic depends on.
 EVENT_TYPES = {"login": "login", "page_created": "page_created",
@@ -114,18 +114,14 @@ def company_monthly_metrics(companies: DataFrame, user_day: DataFrame, tickets:
                             payments: DataFrame, as_of: _dt.date,
                             daily: DataFrame | None = None,
                             mau: DataFrame | None = None) -> DataFrame:
-    """K6: spine left-joined to the pre-aggregated monthly facts, zero-filled.
-    Every fact is aggregated to (company, month) before it meets the spine,
-    so the joins are 1:1 and co-partitioned on the same keys. ``daily`` and
+    """K6: spine with the pre-aggregated monthly facts attached, zero-filled.
+    Every fact is aggregated to (company, month) and then meets its company
+    as one row, before the company's months are made. ``daily`` and
     ``mau`` (K2, K4) are reused when already built."""
     daily = daily if daily is not None else company_daily_activity(user_day)
     mau = mau if mau is not None else monthly_active_users(user_day)
-    keys = ["company_id", "month_start"]
-    spine = month_spine(companies, as_of)
     act = monthly_activity(daily).drop("active_days", "peak_daily_active_users")
-    out = spine
-    for facts in (act, mau, monthly_tickets(tickets), monthly_failed_payments(payments)):
-        out = attach_months(out, facts, keys)
+    out = spine_with_months(companies, as_of, [act, mau, monthly_tickets(tickets), monthly_failed_payments(payments)])
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     return out.select(
         "company_id", "month_start",
@@ -134,13 +130,17 @@ def company_monthly_metrics(companies: DataFrame, user_day: DataFrame, tickets:
         z("total_pages_created"), z("tickets_count"), z("failed_payments"))
 
 
+def mrr_subscriptions(subscriptions: DataFrame) -> DataFrame:
+    """The subscriptions that count for MRR."""
+    return subscriptions.where(F.col("status").isin(*MRR_SUBSCRIPTION_STATUSES))
+
+
 def mrr_plan_per_month(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date) -> DataFrame:
     """E8 (interval overlap): per (company, month) the plan of the latest-
     starting active/cancelled subscription overlapping the month; ties on
     start date go to the higher subscription_id. The plan comes from the
     plans table, so a dangling plan_id yields no plan (-> 'unknown')."""
-    subs = subscriptions.where(F.col("status").isin(*MRR_SUBSCRIPTION_STATUSES))
-    top = latest_plan_per_month(subs, plans, as_of)
+    top = latest_plan_per_month(mrr_subscriptions(subscriptions), plans, as_of)
     sp = plans.select(F.col("plan_id").alias("sp_plan_id"), "plan_name", "price_per_user",
                       "billing_cycle")
     return (top.join(sp, F.col("plan_id") == F.col("sp_plan_id"), "left")
@@ -153,14 +153,13 @@ def company_mrr(companies: DataFrame, user_day: DataFrame, subscriptions: DataFr
     """K7: gold.company_mrr = monthly active users x price per user of the
     month's plan (billing cycle is not normalised, as in the source).
     ``mau`` (K4) is reused when already built."""
-    keys = ["company_id", "month_start"]
-    spine = month_spine(companies, as_of)
     mau = (monthly_active_users(user_day) if mau is None else mau).withColumnRenamed(
         "monthly_active_users", "active_user_count")
-    plan = mrr_plan_per_month(subscriptions, plans, as_of)
+    spine = spine_with_months(companies, as_of, [mau], plans=plan_maps(mrr_subscriptions(subscriptions), plans, as_of))
+    plan = plan_numbers(plans).join(plans.select("plan_id", "plan_name", "price_per_user"), "plan_id")
     users = F.coalesce(F.col("active_user_count"), F.lit(0)).cast("bigint")
     price = F.coalesce(F.col("price_per_user"), F.lit(0).cast("decimal(18,2)"))
-    return (attach_months(attach_months(spine, mau, keys), plan, keys)
+    return (spine.join(F.broadcast(plan), "_plan", "left")
             .select("company_id", "month_start",
                     F.coalesce("plan_id", F.lit("unknown")).alias("plan_id"),
                     F.coalesce("plan_name", F.lit("unknown")).alias("plan_name"),
