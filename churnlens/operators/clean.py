@@ -56,34 +56,58 @@ def _shape(layout: str) -> str:
     return f"^{out}$"
 
 
-def _by_layout(t: Column, layouts: Sequence[str], parse: Callable[[str], Column]) -> Column:
-    """``parse`` of the one layout that a text has the shape of: a layout that
-    doesn't fit costs an exception inside the parser. Other texts that begin
-    as some layout could are tried with all of them in order."""
-    out = F.when(t.isNull(), parse(layouts[0]))
+def _lengths(layout: str) -> tuple[int, int]:
+    """Least and greatest length of a layout's texts."""
+    plain = re.sub(r"'([^']*)'", r"\1", re.sub(r"X+", "", layout))
+    fraction = len(re.findall("S", plain))
+    zone = (1, 6) if "X" in layout else (0, 0)
+    return len(plain) - max(fraction - 1, 0) + zone[0], len(plain) + zone[1]
+
+
+def _iso(t: Column, layout: str) -> Column:
+    """A text that has a layout's shape, with its date as yyyy-MM-dd, which a cast reads."""
+    if layout.startswith("yyyy-MM-dd"):
+        return t
+    day = re.match(r"[yMd/.\-]+", layout)[0]
+    parts = [F.substring(t, day.index(c) + 1, day.count(c)) for c in "yMd"]
+    return F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2], F.substring(t, len(day) + 1, 99))
+
+
+def _by_layout(t: Column, layouts: Sequence[str], read: Callable[[Column], Column], parse: Callable[[str], Column]) -> Column:
+    """``t`` by the one layout that it has the shape of: the cast ``read`` of it as ISO text (the
+    same value, NULL where there is no such day or time, as the layout's parser gives, at a
+    fraction of its time). Lengths are compared first, patterns only where they fit. Other texts
+    that begin as some layout could are parsed with all layouts in order."""
+    out = F.when(t.isNull(), read(t))
     for layout in layouts:
-        out = out.when(t.rlike(_shape(layout)), parse(layout))
+        lo, hi = _lengths(layout)
+        fits = F.length(t) == lo if lo == hi else F.length(t).between(lo, hi)
+        out = out.when(fits & t.rlike(_shape(layout)), read(_iso(t, layout)))
     return out.when(t.rlike("^[-+0-9]"), F.coalesce(*[parse(layout) for layout in layouts]))
 
 
-def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Text -> DATE over a list of layouts; malformed -> NULL."""
-    t = blank_to_null(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"))
-    return _by_layout(t, formats, lambda f: F.try_to_date(t, f))
+def parse_date(c, formats: Sequence[str] = DATE_FORMATS, trimmed: bool = False) -> Column:
+    """Text -> DATE over a list of layouts; malformed -> NULL. ``trimmed`` texts
+    have been through ``blank_to_null``."""
+    t = F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
+    t = t if trimmed else blank_to_null(t)
+    return _by_layout(t, formats, lambda x: x.try_cast("date"), lambda f: F.try_to_date(t, f))
 
 
-def parse_timestamp(c, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """B1: text (or any timestamp) -> TIMESTAMP_NTZ over a list of layouts."""
-    t = blank_to_null(_c(c).cast("string"))
-    return _by_layout(t, formats, lambda f: F.try_to_timestamp(t, F.lit(f))).cast("timestamp_ntz")
+def parse_timestamp(c, formats: Sequence[str] = TIMESTAMP_FORMATS, trimmed: bool = False) -> Column:
+    """B1: text (or any timestamp) -> TIMESTAMP_NTZ over a list of layouts (``trimmed`` as in ``parse_date``)."""
+    t = _c(c).cast("string")
+    t = t if trimmed else blank_to_null(t)
+    return _by_layout(t, formats, lambda x: x.try_cast("timestamp"),
+                      lambda f: F.try_to_timestamp(t, F.lit(f))).cast("timestamp_ntz")
 
 
-def standardise_timestamp(df: DataFrame, name: str) -> DataFrame:
+def standardise_timestamp(df: DataFrame, name: str, trimmed: bool = False) -> DataFrame:
     """B1 for one column: typed timestamps pass through, text is parsed."""
     dt = df.schema[name].dataType.simpleString()
     if dt in ("timestamp_ntz", "timestamp"):
         return df.withColumn(name, F.col(name).cast("timestamp_ntz"))
-    return df.withColumn(name, parse_timestamp(name))
+    return df.withColumn(name, parse_timestamp(name, trimmed=trimmed))
 
 
 def parse_decimal(c, precision: int = 18, scale: int = 2) -> Column:

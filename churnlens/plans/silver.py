@@ -25,6 +25,11 @@ def _typed(df: DataFrame, name: str, parser) -> DataFrame:
     return df
 
 
+def _date(name: str):
+    """B5 for a column after B3."""
+    return clean.parse_date(name, trimmed=True)
+
+
 def _finish(df: DataFrame, table: str) -> DataFrame:
     """The table's columns and types (rows as they came), and texts as given that a report counts."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER[table].fields],
@@ -33,7 +38,7 @@ def _finish(df: DataFrame, table: str) -> DataFrame:
 
 def clean_companies(raw: DataFrame) -> DataFrame:
     df = clean.blank_strings_to_null(raw)
-    df = _typed(df, "signup_date", clean.parse_date)
+    df = _typed(df, "signup_date", _date)
     df = _typed(df, "company_size", lambda c: clean.parse_int_in_range(c, 0, None))
     df = df.withColumn("company_size_bucket", clean.company_size_bucket("company_size"))
     return _finish(df, "companies")
@@ -41,15 +46,15 @@ def clean_companies(raw: DataFrame) -> DataFrame:
 
 def clean_users(raw: DataFrame) -> DataFrame:
     df = clean.blank_strings_to_null(raw)
-    df = df.withColumn("join_date", clean.parse_date("join_date"))
-    df = df.withColumn("last_active_date", clean.parse_date("last_active_date"))
+    df = df.withColumn("join_date", _date("join_date"))
+    df = df.withColumn("last_active_date", _date("last_active_date"))
     df = df.withColumn("is_active", clean.parse_bool("is_active"))
     return _finish(df, "users")
 
 
 def clean_events(raw: DataFrame) -> DataFrame:
     df = clean.blank_strings_to_null(raw)
-    df = clean.standardise_timestamp(df, "event_timestamp")
+    df = clean.standardise_timestamp(df, "event_timestamp", trimmed=True)
     return _finish(df, "events")
 
 
@@ -61,21 +66,21 @@ def clean_plans(raw: DataFrame) -> DataFrame:
 
 def clean_subscriptions(raw: DataFrame) -> DataFrame:
     df = clean.blank_strings_to_null(raw)
-    df = _typed(df, "start_date", clean.parse_date)
-    df = _typed(df, "end_date", clean.parse_date)
+    df = _typed(df, "start_date", _date)
+    df = _typed(df, "end_date", _date)
     return _finish(df, "subscriptions")
 
 
 def clean_payments(raw: DataFrame) -> DataFrame:
     df = clean.blank_strings_to_null(raw)
     df = _typed(df, "amount", clean.parse_decimal)
-    df = _typed(df, "payment_date", clean.parse_date)
+    df = _typed(df, "payment_date", _date)
     return _finish(df, "payments")
 
 
 def clean_tickets(raw: DataFrame) -> DataFrame:
     df = clean.blank_strings_to_null(raw)
-    df = clean.standardise_timestamp(df, "created_at")
+    df = clean.standardise_timestamp(df, "created_at", trimmed=True)
     df = _typed(df, "resolution_time_hours", clean.parse_decimal)
     lo, hi = clean.SATISFACTION_RANGE
     df = df.withColumn("satisfaction_score",
