@@ -47,36 +47,31 @@ def attach_months(spine: DataFrame, facts: DataFrame, keys: Sequence[str]) -> Da
     return spine.join(facts.hint("shuffle_hash"), list(keys), "left")
 
 
-def with_months(companies: DataFrame, facts: DataFrame, name: str, month: str = "month_start",
-                key: str = "company_id") -> DataFrame:
-    """``companies`` with a map column ``name``: month -> the company's row of ``facts``
-    (at most one row a company and month, so no map is longer than the calendar).
-    The facts move and are joined as one row a company, before any month is made."""
-    entry = F.struct(month, F.struct(*[c for c in facts.columns if c not in (key, month)]))
-    maps = (facts.where(F.col(key).isNotNull() & F.col(month).isNotNull()).repartition(key)
-            .groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias(name)))
-    return companies.join(maps.hint("shuffle_hash"), key, "left")
+def by_key(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Rows dealt by ``key`` to ``parts`` tasks (the session's number if None). Tables
+    dealt alike are joined by key, or by key and month, where they are."""
+    return df.repartition(parts, key) if parts else df.repartition(key)
 
 
 def spine_with_months(companies: DataFrame, as_of: _dt.date, facts: Sequence[DataFrame], month: str = "month_start",
-                      keep: Sequence[str] = (), plans: DataFrame | None = None, key: str = "company_id") -> DataFrame:
-    """The month spine (``month_spine``) with the columns of ``facts`` attached, as left
-    joins on company and month would, ``month`` being month_start or as_of_date (its month-end).
-    Companies meet their facts before their months are made, so the months, by far the
-    longer table, are looked up where they are made and never shuffled. ``plans``
-    (``plan_maps``) adds the number of the month's plan as ``_plan``."""
-    comp, values = companies, {}
-    for i, f in enumerate(facts):
-        comp = with_months(comp, f, f"_facts{i}", month, key)
-        values[f"_facts{i}"] = [c for c in f.columns if c not in (key, month)]
-    if plans is not None:
-        comp = comp.join(plans.hint("shuffle_hash"), key, "left")
-    maps = [*values, *(["_plans"] if plans is not None else [])]
-    spine = month_spine(comp, as_of, key, keep=[*keep, *maps]).withColumn("as_of_date", month_end("month_start"))
-    found = [F.try_element_at(m, F.col(month)).getField(c).alias(c) for m, cols in values.items() for c in cols]
-    if plans is not None:
-        found.append(F.try_element_at("_plans", F.col("month_start")).alias("_plan"))
-    return spine.select(key, *keep, "month_start", "as_of_date", *found)
+                      keep: Sequence[str] = (), key: str = "company_id",
+                      parts: int | None = None) -> DataFrame:
+    """The month spine (``month_spine``) with the columns of ``facts`` (at most one row a
+    company and month) attached by left joins on company and month, ``month`` being
+    month_start or as_of_date (its month-end).
+
+    Companies and facts are dealt by company to ``parts`` tasks before any month is made,
+    so the months, by far the longer table, are made where their facts are and never
+    shuffled, nor are they in later joins with other tables dealt alike. Companies
+    ``with_plans`` get the number of the month's plan as ``_plan``."""
+    comp, maps = by_key(companies, key, parts), [c for c in companies.columns if c == "_plans"]
+    spine = month_spine(comp, as_of, key, keep=[*keep, *maps])
+    found = [F.try_element_at(m, F.col("month_start")).alias("_plan") for m in maps]
+    spine = spine.select(key, *keep, "month_start", month_end("month_start").alias("as_of_date"), *found)
+    for f in facts:
+        spine = attach_months(spine, by_key(f, key, parts), [key, month])
+    values = [c for f in facts for c in f.columns if c not in (key, month)]
+    return spine.select(key, *keep, "month_start", "as_of_date", *values, *["_plan" for _ in maps])
 
 
 def months_covered(df: DataFrame, start: str, end: str, as_of: _dt.date,
@@ -164,6 +159,11 @@ def plan_maps(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date, point
     return lists.select("company_id", F.map_from_entries(months).alias("_plans"))
 
 
+def with_plans(companies: DataFrame, plans: DataFrame, key: str = "company_id") -> DataFrame:
+    """Companies with their ``plan_maps``."""
+    return companies.join(plans.hint("shuffle_hash"), key, "left")
+
+
 def latest_plan_per_month(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date,
                           point_in_time: bool = False) -> DataFrame:
     """``plan_maps`` as rows: per (company_id, month_start), or with ``point_in_time``

@@ -11,14 +11,16 @@ product, partial aggregation before every shuffle.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, month_end, whole_month_diff
 from ..operators.temporal import (attach_months, latest_plan_per_month, month_spine, plan_maps, plan_numbers,
-                                  spine_with_months, spread_to_month_ends)
-from .gold import FAILED_PAYMENT_STATUSES
+                                  spine_with_months, spread_to_month_ends, with_plans)
+from .gold import FAILED_PAYMENT_STATUSES, NEXT_DAY, with_next_day
 
 # Windows are BETWEEN snapshot - N days AND snapshot (inclusive).
 ACTIVITY_WINDOW_DAYS = 30
@@ -35,10 +37,12 @@ def snapshot_spine(companies: DataFrame, as_of: _dt.date) -> DataFrame:
 
 
 def events_window(user_day: DataFrame, days: int = ACTIVITY_WINDOW_DAYS) -> DataFrame:
-    """Active users, logins, invites, uploads in the window."""
-    s = spread_to_month_ends(user_day, "activity_date", days)
+    """Active users, logins, invites, uploads in the window. An active
+    user is a user-day of the window whose user's next one is after it."""
+    s = spread_to_month_ends(with_next_day(user_day), "activity_date", days)
+    last = F.col(NEXT_DAY).isNull() | (F.col(NEXT_DAY) > F.col("as_of_date"))
     return (s.groupBy(*KEYS)
-            .agg(F.count_distinct("user_id").alias("active_users_30d"),
+            .agg(F.count_if(F.col("user_id").isNotNull() & last).alias("active_users_30d"),
                  F.sum("n_login").alias("logins_30d"),
                  F.sum("n_invite").alias("invites_30d"),
                  F.sum("n_file").alias("uploads_30d")))
@@ -80,22 +84,43 @@ def plan_asof(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date) -> Da
             .select(*KEYS, F.col("plan_name").alias("plan_type")))
 
 
+def month_windows(user_day: DataFrame, tickets: DataFrame, payments: DataFrame) -> DataFrame:
+    """K16a-c side by side, one row a company and snapshot with any of them (NULL where a piece has no row)."""
+    pieces = [events_window(user_day), support_window(tickets), payment_window(payments)]
+    counts = [c for p in pieces for c in p.columns if c not in KEYS]
+    rows = [p.select(*KEYS, *[F.col(c) if c in p.columns else F.lit(None).cast("bigint").alias(c) for c in counts])
+            for p in pieces]
+    return reduce(DataFrame.unionAll, rows).groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in counts])
+
+
+def feature_companies(companies: DataFrame, user_day: DataFrame, subscriptions: DataFrame, plans: DataFrame,
+                      churn_label: DataFrame, as_of: _dt.date) -> DataFrame:
+    """Companies with signup, first invite, label and the plans of their snapshots (K16e / E8 point-in-time)."""
+    comp = (companies.select("company_id", "signup_date")
+            .join(days_to_first_invite(companies, user_day), "company_id", "left")
+            .join(churn_label.select("company_id", "churn_flag", "churn_date"), "company_id",
+                  "left"))
+    return with_plans(comp, plan_maps(subscriptions, plans, as_of, point_in_time=True))
+
+
 def company_features(companies: DataFrame, user_day: DataFrame, tickets: DataFrame,
                      payments: DataFrame, subscriptions: DataFrame, plans: DataFrame,
                      churn_label: DataFrame, as_of: _dt.date,
-                     drop_post_churn: bool = False) -> DataFrame:
+                     drop_post_churn: bool = False, windows: Sequence[DataFrame] | None = None,
+                     picked: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """Gold.company_features_for_model. Company-level attributes
-    (signup, first invite, label) and each company's windows and plans are
-    attached before the spine is exploded (``spine_with_months``).
+    (signup, first invite, label) and each company's plans are attached
+    before the spine is exploded, the windows where it is (``spine_with_months``,
+    also for ``parts``). ``windows`` (K16a-c, or all as one, ``month_windows``)
+    and ``picked`` (``feature_companies``) are reused when already built.
     Snapshots after a company's churn date stay in as negatives, as in the
     source; ``drop_post_churn`` removes them."""
-    comp = (companies.select("company_id", "signup_date")
-            .join(days_to_first_invite(companies, user_day), "company_id", "left")
-            .join(churn_label.select("company_id", "churn_flag", "churn_date"), "company_id",
-                  "left"))
-    facts = [events_window(user_day), support_window(tickets), payment_window(payments)]
-    out = spine_with_months(comp, as_of, facts, "as_of_date", keep=[c for c in comp.columns if c != "company_id"],
-                            plans=plan_maps(subscriptions, plans, as_of, point_in_time=True))
+    if windows is None:
+        windows = [events_window(user_day), support_window(tickets), payment_window(payments)]
+    if picked is None:
+        picked = feature_companies(companies, user_day, subscriptions, plans, churn_label, as_of)
+    out = spine_with_months(picked, as_of, windows, "as_of_date", parts=parts,
+                            keep=[c for c in picked.columns if c not in ("company_id", "_plans")])
     if drop_post_churn:
         out = out.where(F.col("churn_date").isNull() | (F.col("as_of_date") < F.col("churn_date")))
     names = plan_numbers(plans).join(plans.select("plan_id", F.col("plan_name").alias("plan_type")), "plan_id")

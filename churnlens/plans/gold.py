@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import AS_OF_FALLBACK, lit_date, month_start
-from ..operators.temporal import latest_plan_per_month, plan_maps, plan_numbers, spine_with_months
+from ..operators.temporal import latest_plan_per_month, plan_maps, plan_numbers, spine_with_months, with_plans
 
 # Fixed values the logic depends on.
 EVENT_TYPES = {"login": "login", "page_created": "page_created",
@@ -41,6 +41,19 @@ def as_of_date(events: DataFrame, payments: DataFrame, subscriptions: DataFrame)
     return as_of_frame(events, payments, subscriptions).first()["as_of_date"]
 
 
+#: The user's next active day (NULL on the last): says by itself whether a user-day is the
+#: user's last one in a month or window, so distinct users are counted as rows.
+NEXT_DAY = "next_date"
+
+
+def with_next_day(user_day: DataFrame) -> DataFrame:
+    """User-days with ``NEXT_DAY`` (as they are if they have it)."""
+    if NEXT_DAY in user_day.columns:
+        return user_day
+    w = Window.partitionBy("user_id", "company_id").orderBy("activity_date")
+    return user_day.withColumn(NEXT_DAY, F.lead("activity_date").over(w))
+
+
 def user_day_activity(events: DataFrame, users: DataFrame) -> DataFrame:
     """Shared grain for every activity metric: one row per (company, user,
     day) with per-type event counts.
@@ -60,9 +73,9 @@ def user_day_activity(events: DataFrame, users: DataFrame) -> DataFrame:
                 F.count_if(et == EVENT_TYPES["page_created"]).alias("n_page"),
                 F.count_if(et == EVENT_TYPES["file_uploaded"]).alias("n_file"),
                 F.count_if(et == EVENT_TYPES["invite_sent"]).alias("n_invite")))
-    return per.join(users.select("user_id", "company_id"), "user_id").select(
+    return with_next_day(per.join(users.select("user_id", "company_id"), "user_id").select(
         "company_id", "user_id", "activity_date", "n_events", "n_login", "n_page", "n_file",
-        "n_invite")
+        "n_invite"))
 
 
 def company_daily_activity(user_day: DataFrame) -> DataFrame:
@@ -91,9 +104,10 @@ def monthly_activity(daily: DataFrame) -> DataFrame:
 
 def monthly_active_users(user_day: DataFrame, name: str = "monthly_active_users") -> DataFrame:
     """K4: distinct users with any event in the month (from events, never
-    from the daily table)."""
-    return (user_day.groupBy("company_id", month_start("activity_date").alias("month_start"))
-            .agg(F.count_distinct("user_id").alias(name)))
+    from the daily table): the user-days that are the user's last of the month."""
+    last = ~month_start(NEXT_DAY).eqNullSafe(month_start("activity_date"))
+    return (with_next_day(user_day).groupBy("company_id", month_start("activity_date").alias("month_start"))
+            .agg(F.count_if(F.col("user_id").isNotNull() & last).alias(name)))
 
 
 def monthly_tickets(tickets: DataFrame) -> DataFrame:
@@ -113,15 +127,16 @@ def monthly_failed_payments(payments: DataFrame) -> DataFrame:
 def company_monthly_metrics(companies: DataFrame, user_day: DataFrame, tickets: DataFrame,
                             payments: DataFrame, as_of: _dt.date,
                             daily: DataFrame | None = None,
-                            mau: DataFrame | None = None) -> DataFrame:
+                            mau: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """K6: spine with the pre-aggregated monthly facts attached, zero-filled.
-    Every fact is aggregated to (company, month) and then meets its company
-    as one row, before the company's months are made. ``daily`` and
-    ``mau`` (K2, K4) are reused when already built."""
+    Every fact is aggregated to (company, month) and dealt by company, before
+    the company's months are made. ``daily`` and ``mau`` (K2, K4) are reused
+    when already built; ``parts`` as in ``spine_with_months``."""
     daily = daily if daily is not None else company_daily_activity(user_day)
     mau = mau if mau is not None else monthly_active_users(user_day)
     act = monthly_activity(daily).drop("active_days", "peak_daily_active_users")
-    out = spine_with_months(companies, as_of, [act, mau, monthly_tickets(tickets), monthly_failed_payments(payments)])
+    out = spine_with_months(companies, as_of, [act, mau, monthly_tickets(tickets), monthly_failed_payments(payments)],
+                            parts=parts)
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     return out.select(
         "company_id", "month_start",
@@ -148,14 +163,22 @@ def mrr_plan_per_month(subscriptions: DataFrame, plans: DataFrame, as_of: _dt.da
                     "plan_name", "price_per_user", "billing_cycle"))
 
 
+def mrr_companies(companies: DataFrame, subscriptions: DataFrame, plans: DataFrame, as_of: _dt.date) -> DataFrame:
+    """Companies with the plans of their months, by E8 (interval overlap)."""
+    return with_plans(companies.select("company_id", "signup_date"), plan_maps(mrr_subscriptions(subscriptions), plans, as_of))
+
+
 def company_mrr(companies: DataFrame, user_day: DataFrame, subscriptions: DataFrame,
-                plans: DataFrame, as_of: _dt.date, mau: DataFrame | None = None) -> DataFrame:
+                plans: DataFrame, as_of: _dt.date, mau: DataFrame | None = None,
+                picked: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """K7: gold.company_mrr = monthly active users x price per user of the
     month's plan (billing cycle is not normalised, as in the source).
-    ``mau`` (K4) is reused when already built."""
+    ``mau`` (K4) and ``picked`` (``mrr_companies``) are reused when already
+    built; ``parts`` as in ``spine_with_months``."""
     mau = (monthly_active_users(user_day) if mau is None else mau).withColumnRenamed(
         "monthly_active_users", "active_user_count")
-    spine = spine_with_months(companies, as_of, [mau], plans=plan_maps(mrr_subscriptions(subscriptions), plans, as_of))
+    picked = mrr_companies(companies, subscriptions, plans, as_of) if picked is None else picked
+    spine = spine_with_months(picked, as_of, [mau], parts=parts)
     plan = plan_numbers(plans).join(plans.select("plan_id", "plan_name", "price_per_user"), "plan_id")
     users = F.coalesce(F.col("active_user_count"), F.lit(0)).cast("bigint")
     price = F.coalesce(F.col("price_per_user"), F.lit(0).cast("decimal(18,2)"))

@@ -1,7 +1,7 @@
 """Layered build with materialised intermediate tables.
 
 ``Warehouse`` builds raw -> silver -> gold lazily and writes each shared
-layer once as Parquet under the session's ``spark.checkpoint.dir`` (a
+layer that is dear to make once as Parquet under the session's ``spark.checkpoint.dir`` (a
 shared folder on a cluster), then reads it back. That cuts lineage
 (a lost executor re-reads a file instead of recomputing the whole chain),
 gives later stages column statistics, and lets every downstream table
@@ -16,8 +16,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..functions.dates import lit_date, whole_month_diff
+from ..session import JOIN_WHERE_DEALT, ensure_checkpoint_dir
 from ..sources import fixtures, io
 from . import analytics, features, gold, model, risk, scoring
 from .silver import BUILD_ORDER, FK_PARENTS, accepted, build_silver_table
@@ -27,6 +29,8 @@ _REGISTRY_LOCK = threading.Lock()
 # Month-keyed gold tables are written partitioned by their month column
 # in production runs, so month-filtered reads prune to one folder.
 MONTH_KEYS = ("month_start", "as_of_date")
+#: Company-months of one task; all the joins of a dashboard keep some 1 KB for each.
+MONTHS_A_PART = 250_000
 
 
 class Warehouse:
@@ -34,12 +38,15 @@ class Warehouse:
                  root: str | None = None, materialize: bool = True,
                  cutoff: _dt.date | None = None, partition_months: bool = False):
         self.spark = spark
+        for k, v in JOIN_WHERE_DEALT.items():
+            spark.conf.set(k, v)
         self._raw_fn = raw
         self.root = root or f"{ensure_checkpoint_dir(spark)}/churnlens-{uuid.uuid4().hex[:8]}"
         self.materialize = materialize
         self.cutoff = cutoff or model.DEFAULT_CUTOFF
         self.partition_months = partition_months
         self._memo: dict[str, object] = {}
+        self._queries = 0
         # Re-entrant: builders call other memoised builders. Concurrent
         # callers wait for a layer instead of writing it twice.
         self._lock = threading.RLock()
@@ -55,7 +62,7 @@ class Warehouse:
                 kw = {"cutoff": model.FIXTURE_CUTOFF} | kw
                 wh = cls(spark, lambda: fixtures.raw_tables(spark, sf_dir), **kw)
                 _REGISTRY[key] = wh
-        return wh
+        return wh.next_query()
 
     def _keep(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         if not self.materialize:
@@ -76,6 +83,33 @@ class Warehouse:
               partition_by: list[str] | None = None) -> DataFrame:
         return self.memo(name, lambda: self._keep(name, build(), partition_by))
 
+    def view(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table that is cheap to make from written ones where it is read: not
+        written for the one query that needs it first, but when another comes
+        (``next_query``), and always where tables are the output."""
+        if self.partition_months:
+            return self.table(name, build)
+        with self._lock:
+            if name not in self._memo:
+                first = self.memo(f"view/{name}", lambda: (self._queries, build()))
+                if first[0] == self._queries:
+                    return first[1]
+            return self.table(name, lambda: first[1])
+
+    def next_query(self) -> "Warehouse":
+        with self._lock:
+            self._queries += 1
+        return self
+
+    def month_parts(self) -> int:
+        """Into how many tasks company-months are dealt (``spine_with_months``): none holds many
+        more than ``MONTHS_A_PART``, as its joins keep a part's months in memory."""
+        def count() -> int:
+            months = whole_month_diff(lit_date(self.as_of()), "signup_date") + 1
+            n = self.s("companies").agg(F.sum(F.greatest(months, F.lit(0)).cast("long")).alias("n")).first()["n"] or 0
+            return max(self.spark.sparkContext.defaultParallelism, -(-n // MONTHS_A_PART))
+        return self.memo("month_parts", count)
+
     # -- files ----------------------------------------------------------------
     def ingested_events(self) -> DataFrame:
         """A1 on CSV files of raw events, some with line breaks inside quoted values."""
@@ -132,12 +166,13 @@ class Warehouse:
     def monthly_metrics(self) -> DataFrame:
         return self.table("gold/company_monthly_metrics", lambda: gold.company_monthly_metrics(
             self.s("companies"), self.user_day(), self.s("support_tickets"),
-            self.s("payments"), self.as_of(), daily=self.daily_activity(), mau=self.mau()))
+            self.s("payments"), self.as_of(), daily=self.daily_activity(), mau=self.mau(), parts=self.month_parts()))
 
     def company_mrr(self) -> DataFrame:
-        return self.table("gold/company_mrr", lambda: gold.company_mrr(
-            self.s("companies"), self.user_day(), self.s("subscriptions"),
-            self.s("subscription_plans"), self.as_of(), mau=self.mau()))
+        return self.view("gold/company_mrr", lambda: gold.company_mrr(
+            self.s("companies"), self.user_day(), self.s("subscriptions"), self.s("subscription_plans"), self.as_of(),
+            mau=self.mau(), parts=self.month_parts(), picked=self.table("gold/_mrr_companies", lambda: gold.mrr_companies(
+                self.s("companies"), self.s("subscriptions"), self.s("subscription_plans"), self.as_of()))))
 
     def churn_label(self) -> DataFrame:
         return self.table("gold/company_churn_label", lambda: gold.company_churn_label(
@@ -160,19 +195,31 @@ class Warehouse:
             self.company_mrr(), self.churn_label(), self.as_of()))
 
     def features(self) -> DataFrame:
-        return self.table("gold/company_features_for_model", lambda: features.company_features(
+        return self.view("gold/company_features_for_model", self._features)
+
+    def kept_features(self) -> DataFrame:
+        """The same, written at once for what reads it in many passes."""
+        return self.table("gold/company_features_for_model", self._features)
+
+    def _features(self) -> DataFrame:
+        windows = self.table("gold/_month_windows", lambda: features.month_windows(
+            self.user_day(), self.s("support_tickets"), self.s("payments")))
+        picked = self.table("gold/_feature_companies", lambda: features.feature_companies(
+            self.s("companies"), self.user_day(), self.s("subscriptions"), self.s("subscription_plans"),
+            self.churn_label(), self.as_of()))
+        return features.company_features(
             self.s("companies"), self.user_day(), self.s("support_tickets"), self.s("payments"),
-            self.s("subscriptions"), self.s("subscription_plans"), self.churn_label(),
-            self.as_of()))
+            self.s("subscriptions"), self.s("subscription_plans"), self.churn_label(), self.as_of(),
+            windows=[windows], picked=picked, parts=self.month_parts())
 
     # -- model and risk -------------------------------------------------------
     def heuristic(self) -> DataFrame:
-        return self.table("gold/heuristic_scores",
-                          lambda: model.heuristic_scores(self.features(), self.cutoff))
+        return self.view("gold/heuristic_scores",
+                         lambda: model.heuristic_scores(self.features(), self.cutoff))
 
     def model(self):
         return self.memo("model", lambda: model.fit(
-            self.features(), self.cutoff, keep=lambda df: self._keep("gold/_training_rows", df)))
+            self.kept_features(), self.cutoff, keep=lambda df: self._keep("gold/_training_rows", df)))
 
     def scored_test(self) -> DataFrame:
         return self.table("gold/_scored_test",
@@ -184,7 +231,7 @@ class Warehouse:
 
     def split(self) -> tuple[DataFrame, DataFrame]:
         """M1-M4: imputed training and test snapshots."""
-        train, test = model.time_split(model.model_input(self.features()), self.cutoff)
+        train, test = model.time_split(model.model_input(self.kept_features()), self.cutoff)
         train, (test,) = model.impute(train, [test])
         return train, test
 
@@ -209,10 +256,10 @@ class Warehouse:
             self._preds(source).select(*model.ID_COLS, "churn_probability"), self.company_mrr()))
 
     def company_revenue_at_risk(self, source: str = "model") -> DataFrame:
-        return self.table(f"gold/company_revenue_at_risk_{source}",
-                          lambda: risk.company_revenue_at_risk(self.company_mrr(),
-                                                               self.revenue_at_risk(source)))
+        return self.view(f"gold/company_revenue_at_risk_{source}",
+                         lambda: risk.company_revenue_at_risk(self.company_mrr(),
+                                                              self.revenue_at_risk(source)))
 
     def risk_monitor(self, source: str = "model") -> DataFrame:
-        return self.table(f"gold/company_risk_monitor_{source}", lambda: risk.company_risk_monitor(
+        return self.view(f"gold/company_risk_monitor_{source}", lambda: risk.company_risk_monitor(
             self.company_revenue_at_risk(source), self.features()))

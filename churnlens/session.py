@@ -7,6 +7,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: Tables dealt by company are joined by company and month where they are: a company's
+#: months are bounded by the calendar, so dealing by fewer keys cannot skew them.
+JOIN_WHERE_DEALT = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 # Settings every builder assumes: UTC session clock (dates never shift),
 # AQE on (runtime coalescing, skew-join splitting, SMJ->BHJ conversion on
 # measured sizes), and a broadcast threshold that Catalyst applies to
@@ -22,6 +26,7 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # checkpoint files go with their DataFrame
+    **JOIN_WHERE_DEALT,
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
