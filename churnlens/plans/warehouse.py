@@ -33,6 +33,12 @@ MONTH_KEYS = ("month_start", "as_of_date")
 MONTHS_A_PART = 250_000
 
 
+def _as_read(df: DataFrame) -> DataFrame:
+    """With the schema that the table has when it is written and read: every column may be NULL."""
+    return df.select(*[F.col(f.name) if f.nullable else F.when(F.lit(False), F.lit(None)).otherwise(F.col(f.name)).alias(f.name)
+                       for f in df.schema.fields])
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, raw: Callable[[], dict[str, DataFrame]],
                  root: str | None = None, materialize: bool = True,
@@ -91,7 +97,7 @@ class Warehouse:
             return self.table(name, build)
         with self._lock:
             if name not in self._memo:
-                first = self.memo(f"view/{name}", lambda: (self._queries, build()))
+                first = self.memo(f"view/{name}", lambda: (self._queries, _as_read(build())))
                 if first[0] == self._queries:
                     return first[1]
             return self.table(name, lambda: first[1])
